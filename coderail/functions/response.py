@@ -48,9 +48,17 @@ def json_trimmed(s) -> Column:
 def json_kind(s) -> Column:
     """'object' | 'array' | 'string' | 'scalar' | NULL (not valid JSON text)."""
     t = json_trimmed(s)
-    keys = F.json_object_keys(t)
+    return kind_of(t, F.json_object_keys(t), F.try_parse_json(t).isNotNull())
+
+
+def kind_of(t: Column, keys: Column, parsed_variant: Column) -> Column:
+    """JSON kind from the trimmed text, its object keys and whether it parses as a variant.
+
+    A variant rejects duplicate keys (Python keeps the last one), and neither parser rejects
+    trailing text after a complete document, so the first/last character must also agree.
+    """
     dup_keys = keys.isNotNull() & (F.size(keys) > F.size(F.array_distinct(keys)))
-    parsed = F.try_parse_json(t).isNotNull() | dup_keys
+    parsed = parsed_variant | dup_keys
     first = F.substring(t, 1, 1)
     last = F.substring(t, -1, 1)
     closed = (F.when(first == "{", last == "}").when(first == "[", last == "]")

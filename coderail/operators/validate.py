@@ -15,8 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.response import (ANSWER_SCHEMA, json_kind, missing_fields, parse_float_text, py_list_text,
-                                  strip_fence)
+from ..functions.response import (ANSWER_SCHEMA, REQUIRED_FIELDS, json_trimmed, kind_of, parse_float_text,
+                                  py_list_text, strip_fence)
 from ..functions.text import confidence_level
 
 # Reasoning texts of the default record.
@@ -29,43 +29,50 @@ def _c(c):
     return F.col(c) if isinstance(c, str) else c
 
 
-def answer_columns(raw) -> dict[str, Column]:
-    """All derived columns of one answer as expressions over ``raw``."""
-    clean = strip_fence(_c(raw))
-    kind = json_kind(clean)
-    miss = missing_fields(clean)
-    j = F.from_json(clean, ANSWER_SCHEMA)
-    conf_text = j["confidence"]
-    conf = parse_float_text(conf_text)
-    is_nan = F.isnan(conf)
-    outcome = (F.when(kind.isNull(), "invalid_json")
-               .when(kind.isin("array", "string"), "missing_fields")
-               .when(kind != "object", "not_object")
-               .when(F.size(miss) > 0, "missing_fields")
-               .when(conf.isNull(), "bad_confidence")
-               .when(is_nan, "nan_confidence")
-               .when((conf < 0) | (conf > 1), "clamped")
-               .otherwise("ok"))
+_TMP = ["_clean", "_t", "_keys", "_parsed", "_j", "_kind", "_miss", "_conf", "_outcome"]
+
+
+def validate_responses(df: DataFrame, raw: str = "response", keep_clean: bool = False) -> DataFrame:
+    """Adds ai_code, confidence, confidence_level, reasoning and outcome. Never drops a row.
+
+    Built as a few stacked projections, each parsing once: the JSON text is scanned for keys,
+    validity and fields once per row, and later stages only read the resulting columns (one giant
+    expression would repeat the parses in every branch and outgrow whole-stage code generation).
+    """
+    t = df.withColumn("_clean", strip_fence(F.col(raw)))
+    t = t.withColumn("_t", json_trimmed(F.col("_clean")))
+    t = t.withColumns({"_keys": F.json_object_keys(F.col("_t")),
+                       "_parsed": F.try_parse_json(F.col("_t")).isNotNull(),
+                       "_j": F.from_json(F.col("_clean"), ANSWER_SCHEMA)})
+    t = t.withColumns({"_kind": kind_of(F.col("_t"), F.col("_keys"), F.col("_parsed")),
+                       "_miss": F.array_except(F.array(*[F.lit(f) for f in REQUIRED_FIELDS]),
+                                               F.coalesce(F.col("_keys"), F.array().cast("array<string>"))),
+                       "_conf": parse_float_text(F.col("_j.confidence"))})
+    kind, miss, conf, j = F.col("_kind"), F.col("_miss"), F.col("_conf"), F.col("_j")
+    t = t.withColumn("_outcome", F.when(kind.isNull(), "invalid_json")
+                     .when(kind.isin("array", "string"), "missing_fields")
+                     .when(kind != "object", "not_object")
+                     .when(F.size(miss) > 0, "missing_fields")
+                     .when(conf.isNull(), "bad_confidence")
+                     .when(F.isnan(conf), "nan_confidence")
+                     .when((conf < 0) | (conf > 1), "clamped")
+                     .otherwise("ok"))
+    outcome = F.col("_outcome")
     default = outcome.isin("invalid_json", "missing_fields", "not_object", "nan_confidence")
     value = F.when(default, F.lit("0")).otherwise(F.coalesce(j["value"], F.lit("None")))
     confidence = (F.when(default | (outcome == "bad_confidence"), F.lit(0.0))
                   .otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), conf))))
-    all_missing = F.array(*[F.lit(f) for f in ("value", "confidence", "reasoning")])
+    all_missing = F.array(*[F.lit(f) for f in REQUIRED_FIELDS])
     reasoning = (F.when(outcome == "invalid_json", F.lit(MSG_PARSE))
                  .when(kind.isin("array", "string"), F.concat(F.lit(MSG_MISSING), py_list_text(all_missing)))
                  .when(outcome == "missing_fields", F.concat(F.lit(MSG_MISSING), py_list_text(miss)))
                  .when(outcome.isin("not_object", "nan_confidence"), F.lit(MSG_VALIDATE))
                  .otherwise(F.coalesce(j["reasoning"], F.lit("None"))))
-    return {"clean": clean, "outcome": outcome, "ai_code": value, "confidence": confidence,
-            "confidence_level": confidence_level(confidence), "reasoning": reasoning}
-
-
-def validate_responses(df: DataFrame, raw: str = "response", keep_clean: bool = False) -> DataFrame:
-    """Adds ai_code, confidence, confidence_level, reasoning and outcome. Never drops a row."""
-    cols = answer_columns(raw)
-    if not keep_clean:
-        cols.pop("clean")
-    return df.withColumns(cols)
+    t = t.withColumns({"ai_code": value, "confidence": confidence, "reasoning": reasoning, "outcome": outcome})
+    t = t.withColumn("confidence_level", confidence_level(F.col("confidence")))
+    if keep_clean:
+        t = t.withColumnRenamed("_clean", "clean")
+    return t.drop(*_TMP)
 
 
 def validation_report(validated: DataFrame, by: str = "category") -> DataFrame:

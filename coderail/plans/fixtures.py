@@ -7,6 +7,8 @@ embeds the same text as a CTE. All fixtures grow with the tables they read.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 BASE_TABLES = (
@@ -123,10 +125,24 @@ FIXTURES: dict[str, str] = {
 }
 
 
+_REGISTERED: dict[tuple[int, str], str] = {}
+
+
 def register_tables(spark: SparkSession, sf_dir: str, names=BASE_TABLES) -> None:
-    """Expose the driver tables as temp views (lazy parquet scans; nothing is read here)."""
+    """Expose the driver tables as temp views (lazy parquet scans). Registration lists files and
+    reads footers, so a view already bound to the same folder in this session is not re-registered."""
+    sf = sf_dir.rstrip("/")
     for n in names:
-        spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet").createOrReplaceTempView(n)
+        k = (id(spark), n)
+        if _REGISTERED.get(k) == sf and spark.catalog.tableExists(n):
+            continue
+        spark.read.parquet(f"{sf}/{n}.parquet").createOrReplaceTempView(n)
+        _REGISTERED[k] = sf
+
+
+def _tables_in(sql: str) -> list[str]:
+    words = set(re.findall(r"[a-z_]+", sql))
+    return [t for t in BASE_TABLES if t in words]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -136,5 +152,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One fixture as a DataFrame. The plan is bound at analysis time, so later view swaps do not leak in."""
-    register_tables(spark, sf_dir)
-    return spark.sql(FIXTURES[name])
+    sql = FIXTURES[name]
+    register_tables(spark, sf_dir, _tables_in(sql))
+    return spark.sql(sql)
