@@ -11,6 +11,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.balance import balanced
+
 BASE_TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -136,7 +138,7 @@ def register_tables(spark: SparkSession, sf_dir: str, names=BASE_TABLES) -> None
         k = (id(spark), n)
         if _REGISTERED.get(k) == sf and spark.catalog.tableExists(n):
             continue
-        spark.read.parquet(f"{sf}/{n}.parquet").createOrReplaceTempView(n)
+        balanced(spark.read.parquet(f"{sf}/{n}.parquet")).createOrReplaceTempView(n)
         _REGISTERED[k] = sf
 
 
@@ -147,7 +149,7 @@ def _tables_in(sql: str) -> list[str]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table as a DataFrame."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return balanced(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
