@@ -30,7 +30,10 @@ def merge_codes(entries: DataFrame, codes: DataFrame, key: str = "title", fill:
     """
     code_cols = [c for c in codes.columns if c.startswith("human_code_")]
     c = codes.select(F.col(key).alias("_k"), *code_cols)
-    j = entries.join(c, entries[key].eqNullSafe(c["_k"]), "left").drop("_k")
+    # A non-nullable key never null-safe-equals NULL, so plain equality is the same join and keeps
+    # the key as is: an input already hash-partitioned on it (e.g. after dedupe) is not reshuffled.
+    cond = entries[key] == c["_k"] if not entries.schema[key].nullable else entries[key].eqNullSafe(c["_k"])
+    j = entries.join(c, cond, "left").drop("_k")
     return j.withColumns({col: F.coalesce(F.col(col).cast("string"), F.lit(fill)) for col in code_cols})
 
 
@@ -83,11 +86,18 @@ def build_tasks(entries: DataFrame, selected: DataFrame, scheme: DataFrame,
 
 
 def title_mismatch(entries: DataFrame, codes: DataFrame, key: str = "title") -> DataFrame:
-    """Titles missing in the codes and titles only in the codes (set semantics, both ways)."""
-    a = entries.select(key).distinct()
-    b = codes.select(key).distinct()
-    missing = a.exceptAll(b).select(F.lit("missing_in_codes").alias("side"), key)
-    extra = b.exceptAll(a).select(F.lit("extra_in_codes").alias("side"), key)
+    """Titles missing in the codes and titles only in the codes (set semantics, both ways).
+
+    Two distincts (partial aggregation) and two anti joins that reuse their hash partitioning on
+    the title: two shuffles in total. NULL titles count as equal, as in Python sets."""
+    def keyed(df):
+        # NULL-safe set key as two non-null columns, so the distinct's partitioning serves the joins
+        return df.select(F.coalesce(F.col(key), F.lit("")).alias("_k"), F.col(key).isNull().alias("_n")).distinct()
+
+    a, b = keyed(entries), keyed(codes)
+    title = F.when(F.col("_n"), F.lit(None).cast("string")).otherwise(F.col("_k")).alias(key)
+    missing = a.join(b, ["_k", "_n"], "left_anti").select(F.lit("missing_in_codes").alias("side"), title)
+    extra = b.join(a, ["_k", "_n"], "left_anti").select(F.lit("extra_in_codes").alias("side"), title)
     return missing.unionByName(extra)
 
 

@@ -30,8 +30,19 @@ def trim_columns(df: DataFrame, cols: Iterable[str]) -> DataFrame:
 
 
 def drop_missing(df: DataFrame, subset: Sequence[str]) -> DataFrame:
-    """Rows with NULL in any listed column go; empty strings are kept."""
-    return df.na.drop(how="any", subset=list(subset))
+    """Rows with NULL in any listed column go; empty strings are kept.
+
+    The logical plan does not narrow nullability after a filter, so the kept columns are restated
+    as non-nullable (an identity ``coalesce`` after the filter). Later joins on them then keep
+    plain equi-join keys and reuse an existing hash partitioning."""
+    cond = None
+    for c in subset:
+        p = F.col(c).isNotNull()
+        cond = p if cond is None else cond & p
+    if cond is None:
+        return df
+    out = df.filter(cond)
+    return out.withColumns({c: F.coalesce(F.col(c), F.lit("").cast(df.schema[c].dataType)) for c in subset})
 
 
 def dedupe_first(df: DataFrame, keys: Sequence[str], order: str = "ordinal") -> DataFrame:
@@ -51,9 +62,10 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order: str = "ordinal") ->
 def prepare_entries(df: DataFrame, order: str = "ordinal") -> DataFrame:
     """Texts: strip title/description, drop missing, keep (ordinal, title, description), first title wins."""
     require_columns(df, ["title", "description"])
-    out = trim_columns(df, ["title", "description"])
-    out = drop_missing(out, ["title", "description"])
-    out = out.select(order, "title", "description")
+    # strip keeps NULL as NULL and never makes one, so dropping missing rows first is the same
+    # result and lets the NULL test run on the raw columns (and reach the scan) instead of on trim().
+    out = drop_missing(df.select(order, "title", "description"), ["title", "description"])
+    out = trim_columns(out, ["title", "description"])
     return dedupe_first(out, ["title"], order)
 
 
@@ -83,8 +95,8 @@ def recode_report(df: DataFrame, col: str = "human_code", allowed: Sequence[str]
 def prepare_codes(df: DataFrame, code_col: str = "human_code", order: str = "ordinal") -> DataFrame:
     """Human codes: strip title, project, drop missing, dedupe (before recoding), recode to {0, 1}."""
     require_columns(df, ["title", code_col])
-    out = trim_columns(df, ["title"]).select(order, "title", code_col)
-    out = drop_missing(out, ["title", code_col])
+    out = drop_missing(df.select(order, "title", code_col), ["title", code_col])
+    out = trim_columns(out, ["title"])
     out = dedupe_first(out, ["title"], order)
     return recode_invalid(out, code_col)
 

@@ -113,6 +113,36 @@ SELECT * FROM (VALUES
 ) AS t(ordinal, key, display_name, simplified_name, criteria, examples_text, values_text)
 """
 
+# Spark formulations of the two fixtures whose portable SQL fans rows out with CROSS JOIN over a
+# VALUES list: the same rows come from a generator (LATERAL VIEW inline / explode), so the Spark
+# plan has no join at all. The portable text stays the oracle's; the values are shared below.
+_RESPONSE_CATEGORIES = [(0, "quality"), (1, "toxic"), (2, "length")]
+_LEAF_NUMBERS = ["2.1.1", "2.1.2", "2.1.3", "2.1.4", "2.2.1", "2.2.2", "2.2.3", "2.3.1", "2.3.2", "2.3.3", "2.3.4",
+                 "2.4.1", "2.4.2", "2.4.3", "2.5.1", "2.5.2", "2.5.3", "2.6.1", "2.6.2", "2.6.3", "2.6.4", "2.6.5",
+                 "3.1", "3.2", "3.3", "3.4", "3.5"]
+
+
+def _inline(pairs, names) -> str:
+    items = ", ".join("named_struct(" + ", ".join(f"'{n}', {v!r}" if isinstance(v, str) else f"'{n}', {v}"
+                                                   for n, v in zip(names, p)) + ")" for p in pairs)
+    return f"inline(array({items}))"
+
+
+RESPONSES_RAW_SPARK = RESPONSES_RAW.replace("""      FROM documents d
+      CROSS JOIN (SELECT * FROM (VALUES (0,'quality'),(1,'toxic'),(2,'length')) AS t(o, category)) s
+      CROSS JOIN (SELECT * FROM (VALUES (1),(2),(3)) AS u(attempt)) a) x""", f"""      FROM documents d
+      LATERAL VIEW {_inline(_RESPONSE_CATEGORIES, ("o", "category"))} s AS o, category
+      LATERAL VIEW explode(array(1, 2, 3)) a AS attempt) x""")
+
+LEAF_CODES_SPARK = f"""
+SELECT d.doc_id, n.number,
+  CASE WHEN (d.doc_id * 13 + n.o * 29) % 31 < 4 THEN '1' WHEN (d.doc_id + n.o) % 17 = 0 THEN '-99' ELSE '0' END AS code
+FROM documents d LATERAL VIEW {_inline(list(enumerate(_LEAF_NUMBERS, 1)), ("o", "number"))} n AS o, number
+"""
+
+SPARK_VARIANTS = {"responses_raw": RESPONSES_RAW_SPARK, "leaf_codes": LEAF_CODES_SPARK}
+assert RESPONSES_RAW_SPARK != RESPONSES_RAW
+
 FIXTURES: dict[str, str] = {
     "entries_raw": ENTRIES_RAW,
     "codes_raw": CODES_RAW,
@@ -154,6 +184,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One fixture as a DataFrame. The plan is bound at analysis time, so later view swaps do not leak in."""
-    sql = FIXTURES[name]
+    sql = SPARK_VARIANTS.get(name, FIXTURES[name])
     register_tables(spark, sf_dir, _tables_in(sql))
     return spark.sql(sql)
