@@ -533,3 +533,30 @@ SELECT category, rank, ordinal, title, confidence, ai_code, human_code FROM (
   FROM o_paired WHERE confidence < 0.33 OR ai_code <> human_code) WHERE rank <= 5""", ("o_paired",))
 def q_review_queue(spark, sf):
     return results.review_queue(results.paired_codes(P.coded(spark, sf), P.human_long(spark, sf)), k=5)
+
+
+# ---------------------------------------------------------------- streaming (incremental coding)
+# The entries_raw fixture's projection, applied to the streamed documents.
+_STREAM_TEXTS = [
+    "doc_id AS ordinal",
+    "CASE WHEN doc_id % 50 = 7 THEN NULL WHEN doc_id % 50 = 8 THEN '   ' "
+    "ELSE concat('  ', substr(text, 1, 32), ' ') END AS title",
+    "CASE WHEN doc_id % 40 = 3 THEN NULL ELSE text END AS description",
+]
+
+
+@register("stream_classify", f"""
+SELECT ordinal, category, sha256(prompt) AS prompt_hash, {_RULE_RESPONSE} AS response FROM o_prompts""",
+          ("o_prompts",))
+def q_stream_classify(spark, sf):
+    """The documents table streamed (file source, available-now trigger) through incremental coding;
+    the result is the response store it fills."""
+    from ..streaming import incremental
+    base = scratch_path(spark, "stream")
+    q = incremental.start(
+        spark, sf, schema="doc_id bigint, text string, lang string, source string, n_chars bigint",
+        path_glob="documents.parquet", selected=fixture(spark, sf, "selected"), scheme=P.task_scheme(spark, sf),
+        infer_fn=infer.rule_scorer, store=f"{base}/store", checkpoint=f"{base}/checkpoint",
+        transform=lambda df: df.selectExpr(*_STREAM_TEXTS))
+    q.awaitTermination()
+    return incremental.stored_responses(spark, f"{base}/store").select("ordinal", "category", "prompt_hash", "response")
