@@ -13,13 +13,24 @@ from ..functions.text import py_strip
 SCHEME_VERSION = "1.0"
 
 
-def unique_keys(df: DataFrame, group: str = "scheme_id", key: str = "key", order: str = "ordinal") -> DataFrame:
+def unique_keys(df: DataFrame, group: str = "scheme_id", key: str = "key", order: str = "ordinal",
+                skew_safe: bool = True) -> DataFrame:
     """A repeated key gets ``_1``, ``_2``... in row order; the first stays bare. Rows whose key is
-    empty are dropped (the importer skips them)."""
+    empty are dropped (the importer skips them).
+
+    ``skew_safe`` ranks with :func:`coderail.operators.ranking.rank_within` (range-partitioned, a
+    key repeated across a large share of rows is spread over many tasks); ``False`` uses a plain
+    ``row_number`` window per (scheme, key), fine when groups are known to be small.
+    """
     d = df.filter(F.col(key) != "")
-    w = Window.partitionBy(group, key).orderBy(order)
-    rn = F.row_number().over(w) - 1
-    return d.withColumn(key, F.when(rn == 0, F.col(key)).otherwise(F.concat(F.col(key), F.lit("_"), rn.cast("string"))))
+    if skew_safe:
+        from .ranking import rank_within
+        d = rank_within(d, [group, key], order, out="_rn")
+        rn = F.col("_rn")
+    else:
+        rn = F.row_number().over(Window.partitionBy(group, key).orderBy(order)) - 1
+    out = d.withColumn(key, F.when(rn == 0, F.col(key)).otherwise(F.concat(F.col(key), F.lit("_"), rn.cast("string"))))
+    return out.drop("_rn") if skew_safe else out
 
 
 def normalise_scheme(rows: DataFrame, group: str = "scheme_id", order: str = "ordinal") -> DataFrame:
