@@ -29,6 +29,14 @@ def _c(c):
     return F.col(c) if isinstance(c, str) else c
 
 
+OUTCOMES = ["ok", "clamped", "bad_confidence", "nan_confidence", "missing_fields", "not_object", "invalid_json"]
+
+
+def _metrics_name(prefix: str) -> str:
+    import uuid
+    return f"coderail_{prefix}_{uuid.uuid4().hex[:12]}"
+
+
 _TMP = ["_clean", "_t", "_keys", "_parsed", "_j", "_kind", "_miss", "_conf", "_outcome"]
 
 
@@ -70,6 +78,11 @@ def validate_responses(df: DataFrame, raw: str = "response", keep_clean: bool =
                  .otherwise(F.coalesce(j["reasoning"], F.lit("None"))))
     t = t.withColumns({"ai_code": value, "confidence": confidence, "reasoning": reasoning, "outcome": outcome})
     t = t.withColumn("confidence_level", confidence_level(F.col("confidence")))
+    # Answers per outcome as observed metrics of the query (read with pyspark.sql.Observation or a
+    # query listener). The metrics node also keeps later filters on ``outcome`` from being pushed
+    # into the staged projections, where alias substitution would inline every JSON parse.
+    t = t.observe(_metrics_name("validation"), F.count(F.lit(1)).alias("answers"),
+                  *[F.count_if(F.col("outcome") == o).alias(o) for o in OUTCOMES])
     if keep_clean:
         t = t.withColumnRenamed("_clean", "clean")
     return t.drop(*_TMP)
