@@ -16,7 +16,7 @@ from ..operators import infer, joins, prep, prompt, results, validate
 from ..sources import entries as src_entries
 from ..sources import results_io
 from ..session import scratch_path
-from . import pipeline as P
+from . import stages as P
 from .fixtures import FIXTURES, fixture, table
 from .sqlfn import collapse, fence, guard, level, normalise, strip, validated
 
@@ -560,3 +560,37 @@ def q_stream_classify(spark, sf):
         transform=lambda df: df.selectExpr(*_STREAM_TEXTS))
     q.awaitTermination()
     return incremental.stored_responses(spark, f"{base}/store").select("ordinal", "category", "prompt_hash", "response")
+
+
+# ---------------------------------------------------------------- one batch run with its response store
+@register("coding_run", f"""
+SELECT category, count(*) AS total_samples,
+  count(*) FILTER (WHERE ({_RULE_V}) = '1') AS positive_classifications,
+  round(avg(CAST('0.' || lpad(CAST({_N} % 100 AS VARCHAR), 2, '0') AS DOUBLE)), 4) AS average_confidence
+FROM o_prompts GROUP BY category""", ("o_prompts",))
+def q_coding_run(spark, sf):
+    """Texts coded end to end (rule scorer as the model), answers materialised in the store."""
+    from .run import coding_run
+    out = coding_run(spark, P.entries_raw(spark, sf), fixture(spark, sf, "selected"), P.task_scheme(spark, sf),
+                     infer.rule_scorer, scratch_path(spark, "run"), P.CATEGORIES, num_partitions=8)
+    return out["metrics"]
+
+
+@register("load_template", "SELECT ordinal, category, prompt FROM o_prompts", ("o_prompts",))
+def q_load_template(spark, sf):
+    """The template as a file (with the surrounding blank lines an editor leaves), read whole with
+    ``spark.read.text(wholetext=True)``, stripped as the current pipeline does, then used for prompts."""
+    path = scratch_path(spark, "template")
+    spark.createDataFrame([("\n  " + prompt.PROMPT_TEMPLATE + "\n\n",)], "value string").coalesce(1) \
+        .write.mode("overwrite").text(path)
+    template = prompt.load_template(spark, path, strip=True)
+    tasks = P.tasks(spark, sf)
+    return prompt.construct_prompt(tasks, template=template).select("ordinal", "category", "prompt")
+
+
+@register("sample_entries", """
+SELECT ordinal, title, description FROM o_entries ORDER BY ordinal LIMIT 2""", ("o_entries",))
+def q_sample_entries(spark, sf):
+    """Sample mode for texts: the first two prepared texts in input order (the limit is the feature;
+    planned as a top-k with a per-partition limit, not a global sort)."""
+    return prep.limit_entries(P.entries(spark, sf), 2)

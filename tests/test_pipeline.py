@@ -4,7 +4,7 @@ kappa is symmetric, unknown selections are skipped."""
 from pyspark.sql import functions as F
 
 from coderail.operators import joins, prep, results
-from coderail.plans import pipeline as P
+from coderail.plans import stages as P
 from conftest import SF_SMALL
 
 

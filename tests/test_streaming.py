@@ -6,7 +6,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from coderail.operators import infer
-from coderail.plans import pipeline as P
+from coderail.plans import stages as P
 from coderail.plans.fixtures import fixture
 from coderail.streaming import incremental
 from conftest import SF_SMALL
