@@ -109,11 +109,16 @@ CATEGORY_JSON_SCHEMA = (
 
 def assemble_scheme(scheme: DataFrame, path: str, version: str = SCHEME_VERSION) -> str:
     """Writes every scheme as one JSON-lines document (a folder per scheme, one line per category in
-    scheme order). Distributed write: no scheme is gathered into one row, one task or the driver."""
+    scheme order). Distributed write: no scheme is gathered into one row, one task or the driver.
+
+    Range partitioning on (scheme, ordinal) spreads a large scheme over several tasks; each task
+    writes an ordered slice, and the part-file numbers follow the ranges, so file name + line
+    order is scheme order."""
     cols = [c.split(" ")[0] for c in CATEGORY_JSON_SCHEMA.split(", ") if not c.startswith("condition")]
     out = scheme.withColumn("version", F.lit(version))
     out = out.select(*[c for c in cols if c in out.columns], "condition")
-    (out.repartition("scheme_id").sortWithinPartitions("scheme_id", "ordinal")
+    n = max(int(scheme.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    (out.repartitionByRange(n, "scheme_id", "ordinal").sortWithinPartitions("scheme_id", "ordinal")
      .write.mode("overwrite").partitionBy("scheme_id").json(path))
     return path
 

@@ -334,7 +334,7 @@ def q_classify_rules(spark, sf):
 
 @register("classify_retry", f"""
 SELECT ordinal, category,
-  CASE WHEN {_N} % 7 = 0 THEN 3 ELSE {_N} % 3 + 1 END AS attempts,
+  CAST(CASE WHEN {_N} % 7 = 0 THEN 3 ELSE {_N} % 3 + 1 END AS INTEGER) AS attempts,
   CASE WHEN {_N} % 7 = 0 THEN NULL ELSE {_RULE_RESPONSE} END AS response,
   CASE WHEN {_N} % 7 = 0 THEN 'ConnectionError: model unavailable' END AS error
 FROM o_prompts""", ("o_prompts",))
