@@ -42,6 +42,18 @@ def wide_results(coded: DataFrame, categories: Sequence[str], key: str = "title"
     return g.select(*cols)
 
 
+def title_collisions(coded: DataFrame, key: str = "title") -> DataFrame:
+    """Titles that carry more than one description: the wide table keys by title (as the
+    reference does) and keeps the first description, so these texts collapse there.
+
+    Exact and skew-safe: min and max of a description hash per title (partial aggregation), no
+    distinct set of texts is built."""
+    h = F.sha2(F.col("description"), 256)
+    g = coded.groupBy(key).agg(F.min(h).alias("_lo"), F.max(h).alias("_hi"),
+                               F.count(F.lit(1)).alias("n_rows"))
+    return g.filter(F.col("_lo") != F.col("_hi")).select(key, "n_rows")
+
+
 def category_metrics(coded: DataFrame, normalised: bool = False) -> DataFrame:
     """Per category: rows, rows whose code equals "1" (raw code unless ``normalised``), mean confidence."""
     code = normalise_code(F.col("ai_code")) if normalised else F.col("ai_code")

@@ -83,17 +83,20 @@ def drop_derived(scheme: DataFrame) -> DataFrame:
 
 def scheme_violations(scheme: DataFrame, group: str = "scheme_id", order: str = "ordinal") -> DataFrame:
     """Every violated rule per category (the validator stops at the first):
-    duplicate_name (a later category with the same bare name), missing_criteria, missing_examples,
-    missing_values, condition_unpacking.
+    duplicate_name (a later category with the same bare name), key_collision (a numbered key that
+    equals another key of the scheme; the importer would count further), missing_criteria,
+    missing_examples, missing_values, condition_unpacking.
 
     The duplicate test is an aggregate (first ordinal per bare name) joined back, not a window, so a
     name shared by many rows is combined map-side and the join can be split by AQE.
     """
     named = scheme.withColumn("_bare", S.bare_name(F.col("display_name")))
     first = named.groupBy(group, "_bare").agg(F.min(order).alias("_first"))
-    j = named.join(first, [group, "_bare"], "inner")
+    first_key = named.groupBy(group, "key").agg(F.min(order).alias("_first_key"))
+    j = named.join(first, [group, "_bare"], "inner").join(first_key, [group, "key"], "inner")
     rules = F.array(
         F.when(F.col(order) > F.col("_first"), F.lit("duplicate_name")),
+        F.when(F.col(order) > F.col("_first_key"), F.lit("key_collision")),
         F.when(F.col("criteria").isNull(), F.lit("missing_criteria")),
         F.when(F.col("examples").isNull(), F.lit("missing_examples")),
         F.when(F.col("values_text").isNull(), F.lit("missing_values")),

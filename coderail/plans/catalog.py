@@ -82,6 +82,9 @@ LEFT JOIN (SELECT doc_id, category, attempt, {fence('raw')} AS response FROM o_g
 SELECT e.ordinal, e.title, e.description, coalesce(c.human_code_quality, '0') AS human_code_quality,
        coalesce(c.human_code_toxic, '0') AS human_code_toxic
 FROM o_entries e LEFT JOIN o_codes c ON e.title IS NOT DISTINCT FROM c.title""", ("o_entries", "o_codes")),
+    "o_merged_tasks": (f"""
+SELECT title, description FROM (SELECT {strip('title')} AS title, {strip('description')} AS description
+  FROM entries_raw) WHERE title IS NOT NULL AND description IS NOT NULL""", ("entries_raw",)),
     "o_human": ("""
 SELECT ordinal, title, 'quality' AS category, human_code_quality AS human_code FROM o_merged
 UNION ALL SELECT ordinal, title, 'toxic', human_code_toxic FROM o_merged
@@ -450,6 +453,17 @@ def q_wide_results(spark, sf):
     return results.wide_results(P.coded(spark, sf), P.CATEGORIES)
 
 
+@register("title_collisions", """
+SELECT title, count(*) AS n_rows FROM o_merged_tasks GROUP BY title
+HAVING min(sha256(description)) <> max(sha256(description))""", ("o_merged_tasks",))
+def q_title_collisions(spark, sf):
+    """Stripped texts before the first-title-wins dedupe: titles that carry differing descriptions
+    (the dedupe and the wide table keep only the first of them)."""
+    raw = prep.drop_missing(prep.trim_columns(P.entries_raw(spark, sf), ["title", "description"]),
+                            ["title", "description"])
+    return results.title_collisions(raw.select("title", "description"))
+
+
 @register("collapse_whitespace", f"SELECT doc_id, {collapse('text')} AS text FROM documents")
 def q_collapse_whitespace(spark, sf):
     from ..functions.text import collapse_whitespace

@@ -172,6 +172,9 @@ SELECT scheme_id, ordinal, rule FROM (
   JOIN (SELECT scheme_id, bare, min(ordinal) AS first_ord FROM (
           SELECT scheme_id, ordinal, {Q.bare_name('display_name')} AS bare FROM o_scheme) GROUP BY ALL) f
     ON s.scheme_id = f.scheme_id AND s.bare = f.bare WHERE s.ordinal > f.first_ord
+  UNION ALL SELECT s.scheme_id, s.ordinal, 'key_collision' FROM o_scheme s
+    JOIN (SELECT scheme_id, key, min(ordinal) AS first_ord FROM o_scheme GROUP BY ALL) k
+    ON s.scheme_id = k.scheme_id AND s.key = k.key WHERE s.ordinal > k.first_ord
   UNION ALL SELECT scheme_id, ordinal, condition_problem FROM o_scheme WHERE condition_problem IS NOT NULL)""",
           ("o_scheme",))
 def q_scheme_violations(spark, sf):
