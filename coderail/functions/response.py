@@ -48,7 +48,11 @@ def json_trimmed(s) -> Column:
 def json_kind(s) -> Column:
     """'object' | 'array' | 'string' | 'scalar' | NULL (not valid JSON text)."""
     t = json_trimmed(s)
-    return kind_of(t, F.json_object_keys(t), F.try_parse_json(t).isNotNull())
+    # Keys are only needed when the variant parser rejects the text (duplicate keys); the CASE
+    # evaluates them for those rows only, so valid answers are parsed once.
+    parsed = F.try_parse_json(t).isNotNull()
+    keys = F.when(~parsed, F.json_object_keys(t))
+    return kind_of(t, keys, parsed)
 
 
 def kind_of(t: Column, keys: Column, parsed_variant: Column) -> Column:
