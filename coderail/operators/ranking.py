@@ -51,8 +51,11 @@ def rank_within(df: DataFrame, group: Sequence[str], order: str, out: str = "ran
     order of the frozen, checkpointed sort)."""
     spark = df.sparkSession
     group = list(group)
-    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    s = df.repartitionByRange(n, *group, order).sortWithinPartitions(*group, order)
+    # Without an explicit count AQE may coalesce the ranges of small inputs; coalesced partitions
+    # are still contiguous key ranges in partition-index order, which is all the offsets rely on.
+    s = df.repartitionByRange(num_partitions, *group, order) if num_partitions else \
+        df.repartitionByRange(*group, order)
+    s = s.sortWithinPartitions(*group, order)
     schema = T.StructType(s.schema.fields + [T.StructField("_pid", T.IntegerType(), False),
                                               T.StructField("_lrank", T.LongType(), False)])
     local = s.mapInPandas(_local_ranks(group), schema)

@@ -120,8 +120,7 @@ def assemble_scheme(scheme: DataFrame, path: str, version: str = SCHEME_VERSION)
     cols = [c.split(" ")[0] for c in CATEGORY_JSON_SCHEMA.split(", ") if not c.startswith("condition")]
     out = scheme.withColumn("version", F.lit(version))
     out = out.select(*[c for c in cols if c in out.columns], "condition")
-    n = max(int(scheme.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    (out.repartitionByRange(n, "scheme_id", "ordinal").sortWithinPartitions("scheme_id", "ordinal")
+    (out.repartitionByRange("scheme_id", "ordinal").sortWithinPartitions("scheme_id", "ordinal")
      .write.mode("overwrite").partitionBy("scheme_id").json(path))
     return path
 

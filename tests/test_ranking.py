@@ -24,3 +24,12 @@ def test_rank_within_null_group(spark):
     df = spark.createDataFrame([(None, 3), (None, 1), ("a", 2)], "g string, o long")
     got = {(r.g, r.o): r.r for r in rank_within(df, ["g"], "o", out="r", num_partitions=2).collect()}
     assert got == {(None, 1): 0, (None, 3): 1, ("a", 2): 0}
+
+
+def test_rank_within_default_partitioning(spark):
+    # no explicit count: AQE may coalesce the ranges; positions must still be exact
+    rows = [("s", "hot", i) for i in range(2000)] + [("t", f"k{i % 13}", i) for i in range(260)]
+    df = spark.createDataFrame(rows, "scheme_id string, key string, ordinal long")
+    got = rank_within(df, ["scheme_id", "key"], "ordinal", out="r")
+    exp = df.withColumn("r", F.row_number().over(Window.partitionBy("scheme_id", "key").orderBy("ordinal")) - 1)
+    assert got.exceptAll(exp.select(*got.columns)).count() == 0 and got.count() == df.count()
