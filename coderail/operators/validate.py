@@ -40,7 +40,8 @@ def _metrics_name(prefix: str) -> str:
 _TMP = ["_clean", "_t", "_keys", "_parsed", "_j", "_kind", "_miss", "_conf", "_outcome"]
 
 
-def validate_responses(df: DataFrame, raw: str = "response", keep_clean: bool = False) -> DataFrame:
+def validate_responses(df: DataFrame, raw: str = "response", keep_clean: bool = False,
+                       observation=None) -> DataFrame:
     """Adds ai_code, confidence, confidence_level, reasoning and outcome. Never drops a row.
 
     Built as a few stacked projections, each parsing once: the JSON text is scanned for keys,
@@ -81,7 +82,8 @@ def validate_responses(df: DataFrame, raw: str = "response", keep_clean: bool =
     # Answers per outcome as observed metrics of the query (read with pyspark.sql.Observation or a
     # query listener). The metrics node also keeps later filters on ``outcome`` from being pushed
     # into the staged projections, where alias substitution would inline every JSON parse.
-    t = t.observe(_metrics_name("validation"), F.count(F.lit(1)).alias("answers"),
+    # Pass a ``pyspark.sql.Observation`` to read the counts after the first action.
+    t = t.observe(observation or _metrics_name("validation"), F.count(F.lit(1)).alias("answers"),
                   *[F.count_if(F.col("outcome") == o).alias(o) for o in OUTCOMES])
     if keep_clean:
         t = t.withColumnRenamed("_clean", "clean")

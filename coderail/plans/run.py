@@ -42,7 +42,8 @@ def coding_run(spark: SparkSession, entries_raw: DataFrame, selected: DataFrame,
                temperature: float = 0.0, run_id: str | None = None,
                num_partitions: int | None = None) -> dict[str, DataFrame]:
     """Runs the coding of ``entries_raw`` and returns ``coded``, ``wide``, ``metrics`` (DataFrames
-    over stored data) plus ``new_answers`` (rows appended to the store by this run)."""
+    over stored data), ``new_answers`` (rows appended to the store by this run) and ``outcomes``
+    (an Observation with answers per validation outcome, filled by the results write)."""
     store_path = f"{base.rstrip('/')}/responses"
     rid = run_id or results_io.new_run_id()
     entries = prep.prepare_entries(entries_raw)
@@ -57,10 +58,13 @@ def coding_run(spark: SparkSession, entries_raw: DataFrame, selected: DataFrame,
     new_answers = store.filter(F.col("run_id") == rid)
     good = stored_answers(store)
     resp = tasks.join(good, KEYS, "inner")
-    coded = validate.validate_responses(resp, "response").select(
+    from pyspark.sql import Observation
+    outcomes = Observation(f"coding_run_{rid}")
+    coded = validate.validate_responses(resp, "response", observation=outcomes).select(
         "ordinal", "cat_ordinal", "title", "description", "category", "ai_code", "confidence", "confidence_level",
         "reasoning", "outcome")
     wide = results.wide_results(coded, categories)
     results_io.write_results(wide, f"{base.rstrip('/')}/results", rid)
     return {"coded": coded, "wide": results_io.read_results(spark, f"{base.rstrip('/')}/results")
-            .filter(F.col("run_id") == rid), "metrics": results.category_metrics(coded), "new_answers": new_answers}
+            .filter(F.col("run_id") == rid), "metrics": results.category_metrics(coded), "new_answers": new_answers,
+            "outcomes": outcomes}

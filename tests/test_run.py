@@ -15,6 +15,8 @@ def test_second_run_reuses_store(spark):
     m1 = sorted(map(tuple, first["metrics"].collect()))
     n_tasks = P.tasks(spark, SF_SMALL).count()
     assert first["coded"].count() == n_tasks
+    counts = first["outcomes"].get  # filled by the results write inside the run
+    assert counts["answers"] == n_tasks and counts["ok"] == n_tasks
     store_rows = spark.read.parquet(f"{base}/responses").count()
     second = coding_run(spark, *args, infer.rule_scorer, base, P.CATEGORIES, run_id="20250101_000001")
     # every prompt already has a stored answer: nothing pending, nothing appended, nothing paid twice
