@@ -48,15 +48,16 @@ def drop_missing(df: DataFrame, subset: Sequence[str]) -> DataFrame:
 def dedupe_first(df: DataFrame, keys: Sequence[str], order: str = "ordinal") -> DataFrame:
     """Keep the first row (smallest ``order``) per key.
 
-    Expressed as an aggregate (``min_by`` over a struct of the row) rather than a window: the
-    aggregate combines partially on the map side, so a key that holds a third of all rows is
-    reduced to one row per map task before the shuffle instead of landing whole in one task.
+    Expressed as an aggregate rather than a window: the aggregate combines partially on the map
+    side, so a key that holds a third of all rows is reduced to one row per map task before the
+    shuffle instead of landing whole in one task. Every column is its own ``min_by`` over the
+    (unique) order, so all of them come from the same row, and Catalyst prunes the aggregates a
+    consumer does not read: a plan that only needs the surviving ordinals never shuffles the texts.
     NULL keys form one group, as in pandas.
     """
     rest = [c for c in df.columns if c not in keys]
-    row = F.struct(*[F.col(c) for c in rest])
-    out = df.groupBy(*keys).agg(F.min_by(row, F.col(order)).alias("_first"))
-    return out.select(*[F.col(k) for k in keys], *[F.col(f"_first.{c}").alias(c) for c in rest]).select(*df.columns)
+    aggs = [(F.min(F.col(c)) if c == order else F.min_by(F.col(c), F.col(order))).alias(c) for c in rest]
+    return df.groupBy(*keys).agg(*aggs).select(*df.columns)
 
 
 def prepare_entries(df: DataFrame, order: str = "ordinal") -> DataFrame:
