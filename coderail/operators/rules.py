@@ -37,33 +37,40 @@ def derive_any_in_range(codes: DataFrame, rules: DataFrame, doc: str = "doc_id")
     ``rules(level, number, range_start, range_end, code)``; levels are evaluated in order and later
     levels see the results of earlier ones (2.0.4 ranges over 2.1-2.6, themselves derived).
     Returns ``(doc_id, number, code, level)`` for every text x derived category.
+
+    The range condition is resolved on scheme-sized tables only: category numbers (those present in
+    the codes plus the derived ones, size-checked) x rules of the level give a coverage table
+    (number -> rule), which is broadcast into a plain equi-join with the codes. Each code row then
+    meets only the rules that cover it, and one partial-aggregating pass per text collects the hit
+    rules (bounded by the rule count, so a text holding a third of all rows stays small).
     """
+    spark = codes.sparkSession
     levels = sorted({r["level"] for r in _collect_bounded(rules.select("level").distinct(), "rule levels")})
     r_all = rules.select("level", F.col("number").alias("r_number"), F.col("code").alias("r_code"),
                          number_array("range_start").alias("r_start"), number_array("range_end").alias("r_end"))
-    r_all = r_all.withColumn("r_depth", F.size("r_start"))
-    docs = codes.select(doc).distinct()
+    leaf = [x["number"] for x in _collect_bounded(codes.select("number").distinct(), "category numbers")]
+    derived = [x["r_number"] for x in _collect_bounded(r_all.select("r_number"), "range rules")]
+    nums = (spark.createDataFrame([(n,) for n in dict.fromkeys(leaf + derived)], "number string")
+            .withColumn("_num", number_array("number")))
     current = codes.select(doc, "number", "code")
     out = None
     for lv in levels:
-        r = _bounded(r_all.filter(F.col("level") == lv), "range rules")
-        c = current.withColumn("_num", number_array("number")).withColumn("_depth", F.size("_num"))
-        hit = c.join(r, (c["_depth"] == r["r_depth"]) & (c["_num"] >= r["r_start"]) & (c["_num"] <= r["r_end"]),
-                     "inner")
-        agg = hit.groupBy(doc, "r_number").agg(F.max(F.when(F.col("code") == F.col("r_code"), 1).otherwise(0))
-                                               .alias("_any"))
-        # Every text gets every derived category of the level ("0" when nothing is in range):
-        # the level's rule numbers are bounded and fanned out with a generator, not a join.
+        r = r_all.filter(F.col("level") == lv)
+        cover = nums.join(F.broadcast(r), (F.size("_num") == F.size("r_start")) & (F.col("_num") >= F.col("r_start"))
+                          & (F.col("_num") <= F.col("r_end")), "inner").select("number", "r_number", "r_code")
+        cover = _bounded(cover, "range rule coverage")
         numbers = [x["r_number"] for x in _collect_bounded(r.select("r_number"), "range rules")]
-        pairs = docs.select(doc, F.explode(F.array(*[F.lit(n) for n in numbers])).alias("r_number"))
-        lvl = (pairs.join(agg, [doc, "r_number"], "left")
-               .select(doc, F.col("r_number").alias("number"),
-                       F.when(F.col("_any") == 1, F.lit("1")).otherwise(F.lit("0")).alias("code"),
-                       F.lit(lv).alias("level")))
+        # A left join keeps every text, also those without any code in range ("0" everywhere).
+        hit = F.when(F.col("code") == F.col("r_code"), F.col("r_number"))
+        per_doc = current.join(cover, "number", "left").groupBy(doc).agg(F.collect_set(hit).alias("_hits"))
+        lvl = (per_doc.select(doc, "_hits", F.explode(F.array(*[F.lit(n) for n in numbers])).alias("number"))
+               .select(doc, "number",
+                       F.when(F.array_contains("_hits", F.col("number")), F.lit("1")).otherwise(F.lit("0"))
+                       .alias("code"), F.lit(lv).alias("level")))
         if lv != levels[-1]:
             # The next level reads this one: cut the lineage (reliable checkpoint in the shared
             # folder) so that level is computed once and survives executor loss.
-            shared_dir(codes.sparkSession)
+            shared_dir(spark)
             lvl = lvl.checkpoint()
         out = lvl if out is None else out.unionByName(lvl)
         current = current.unionByName(lvl.drop("level"))
