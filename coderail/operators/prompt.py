@@ -52,9 +52,18 @@ FORMAT_SUFFIX = ('\n\nBitte antworte im folgenden JSON-Format:\n{\n  "value": "0
 PLACEHOLDERS = ["[title]", "[description]", "[category_name]", "[criteria]", "[examples]", "[values]"]
 
 
+MAX_TEMPLATE_CHARS = 1_000_000
+
+
 def load_template(spark, path: str, strip: bool = True) -> str:
-    """Whole template file (one small file, read once on the driver); the current pipeline strips it."""
-    text = "".join(r.value for r in spark.read.text(path, wholetext=True).collect())
+    """Whole template file (one small file, read once on the driver); the current pipeline strips it.
+    The length is checked first, so a wrong path to a large file is refused instead of collected."""
+    from pyspark.sql import functions as F
+    files = spark.read.text(path, wholetext=True)
+    size = files.agg(F.coalesce(F.sum(F.length("value")), F.lit(0))).first()[0]
+    if size > MAX_TEMPLATE_CHARS:
+        raise ValueError(f"template {path}: {size} characters, more than {MAX_TEMPLATE_CHARS}")
+    text = "".join(r.value for r in files.collect())
     return text.strip() if strip else text
 
 

@@ -32,7 +32,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a private folder is created and set,
+    Read from the session; only when it is unset in local mode (tests) a private folder is created and set,
     so that ``DataFrame.checkpoint()`` and written intermediate tables land in one place.
     """
     sc = spark.sparkContext
@@ -40,6 +40,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
         if not d:
+            if not sc.master.startswith("local"):
+                # A machine-local folder would vanish with the executor that wrote it.
+                raise RuntimeError("spark.checkpoint.dir is not set: name a folder shared by the cluster")
             d = tempfile.mkdtemp(prefix="coderail-ckpt-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d
