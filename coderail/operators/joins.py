@@ -91,13 +91,17 @@ def title_mismatch(entries: DataFrame, codes: DataFrame, key: str = "title") ->
     Two distincts (partial aggregation) and two anti joins that reuse their hash partitioning on
     the title: two shuffles in total. NULL titles count as equal, as in Python sets."""
     def keyed(df):
-        # NULL-safe set key as two non-null columns, so the distinct's partitioning serves the joins
-        return df.select(F.coalesce(F.col(key), F.lit("")).alias("_k"), F.col(key).isNull().alias("_n")).distinct()
+        # NULL-safe set key as ONE non-null column (a tag character, then the title; NULL is the tag
+        # alone), so the distinct's hash partitioning serves the anti joins as it is. Two key columns
+        # broke that: for a non-nullable title the null flag folds to a constant and the join
+        # re-shuffles on the title alone.
+        k = F.when(F.col(key).isNull(), F.lit("\u0000")).otherwise(F.concat(F.lit("\u0001"), F.col(key)))
+        return df.select(k.alias("_k")).distinct()
 
     a, b = keyed(entries), keyed(codes)
-    title = F.when(F.col("_n"), F.lit(None).cast("string")).otherwise(F.col("_k")).alias(key)
-    missing = a.join(b, ["_k", "_n"], "left_anti").select(F.lit("missing_in_codes").alias("side"), title)
-    extra = b.join(a, ["_k", "_n"], "left_anti").select(F.lit("extra_in_codes").alias("side"), title)
+    title = F.when(F.col("_k") == "\u0000", F.lit(None).cast("string")).otherwise(F.substring("_k", 2, 1 << 30))
+    missing = a.join(b, "_k", "left_anti").select(F.lit("missing_in_codes").alias("side"), title.alias(key))
+    extra = b.join(a, "_k", "left_anti").select(F.lit("extra_in_codes").alias("side"), title.alias(key))
     return missing.unionByName(extra)
 
 
