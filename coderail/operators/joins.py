@@ -25,15 +25,26 @@ def merge_codes(entries: DataFrame, codes: DataFrame, key: str = "title", fill:
     """Left equi-join of texts with wide human codes on ``title`` (NULL matches NULL, as in pandas).
 
     Every ``human_code_*`` column: missing -> "0", cast to string. Duplicate titles in ``codes``
-    multiply rows. Strategy is left to AQE: it broadcasts ``codes`` when its runtime size is under
-    the threshold and otherwise sort-merges with skew splitting of hot titles.
+    multiply rows.
+
+    Written as (texts INNER codes) UNION (texts ANTI distinct code titles) rather than one LEFT
+    join: AQE splits skewed partitions of a left outer join on the left side only, so a title
+    repeated across a large share of the codes would land whole in one task. The inner join can be
+    split on either side; the anti join reads one row per code title. Both joins see the same text
+    input, so its shuffle (if any) is reused, and an input already hash-partitioned on the key
+    (after dedupe) is not reshuffled at all. Broadcast or sort-merge is AQE's runtime choice.
     """
     code_cols = [c for c in codes.columns if c.startswith("human_code_")]
     c = codes.select(F.col(key).alias("_k"), *code_cols)
     # A non-nullable key never null-safe-equals NULL, so plain equality is the same join and keeps
     # the key as is: an input already hash-partitioned on it (e.g. after dedupe) is not reshuffled.
-    cond = entries[key] == c["_k"] if not entries.schema[key].nullable else entries[key].eqNullSafe(c["_k"])
-    j = entries.join(c, cond, "left").drop("_k")
+    def cond(right):
+        return entries[key] == right["_k"] if not entries.schema[key].nullable else entries[key].eqNullSafe(right["_k"])
+    matched = entries.join(c, cond(c), "inner").drop("_k")
+    keys = c.select("_k").distinct()
+    unmatched = entries.join(keys, cond(keys), "left_anti").select(
+        "*", *[F.lit(None).cast(c.schema[col].dataType).alias(col) for col in code_cols])
+    j = matched.unionByName(unmatched)
     return j.withColumns({col: F.coalesce(F.col(col).cast("string"), F.lit(fill)) for col in code_cols})
 
 
