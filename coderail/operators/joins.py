@@ -21,6 +21,13 @@ def _collect_bounded(df: DataFrame, what: str, bound: int = MAX_BROADCAST_CATEGO
     return rows
 
 
+def bounded_broadcast(df: DataFrame, what: str, bound: int = MAX_BROADCAST_CATEGORIES) -> DataFrame:
+    """Broadcast hint behind a size check: refuses a table with more than ``bound`` rows."""
+    if df.limit(bound + 1).count() > bound:
+        raise ValueError(f"{what}: more than {bound} rows; refusing to broadcast it")
+    return F.broadcast(df)
+
+
 def merge_codes(entries: DataFrame, codes: DataFrame, key: str = "title", fill: str = "0") -> DataFrame:
     """Left equi-join of texts with wide human codes on ``title`` (NULL matches NULL, as in pandas).
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scheme import allowed_codes, is_open_values
 from ..session import shared_dir
-from .joins import MAX_BROADCAST_CATEGORIES, _collect_bounded
+from .joins import _collect_bounded, bounded_broadcast
 
 
 def number_array(c) -> Column:
@@ -25,9 +25,7 @@ def number_array(c) -> Column:
 
 def _bounded(df: DataFrame, what: str) -> DataFrame:
     """Broadcast side with a proven bound: refuse when the rule table is larger than a scheme can be."""
-    if df.limit(MAX_BROADCAST_CATEGORIES + 1).count() > MAX_BROADCAST_CATEGORIES:
-        raise ValueError(f"{what}: more than {MAX_BROADCAST_CATEGORIES} rules")
-    return F.broadcast(df)
+    return bounded_broadcast(df, what)
 
 
 def derive_any_in_range(codes: DataFrame, rules: DataFrame, doc: str = "doc_id") -> DataFrame:

@@ -56,7 +56,7 @@ def coded(spark: SparkSession, sf: str) -> DataFrame:
     e = entries(spark, sf)
     j = (good.select(F.col("doc_id").alias("ordinal"), "category", "response")
          .join(e, "ordinal", "inner")
-         .join(F.broadcast(category_positions(spark, sf)), "category", "inner"))
+         .join(joins.bounded_broadcast(category_positions(spark, sf), "selected categories"), "category", "inner"))
     v = validate.validate_responses(j, "response")
     return v.select("ordinal", "cat_ordinal", "title", "description", "category", "ai_code", "confidence",
                     "confidence_level", "reasoning", "outcome")
