@@ -19,6 +19,20 @@ from pyspark.sql import types as T
 from ..session import shared_dir
 
 
+def _same_as_previous(pdf: pd.DataFrame, group: list[str]) -> pd.Series:
+    """Per row: equal to the row before in every group column (NULL equals NULL). Vectorised."""
+    same = pd.Series(True, index=pdf.index)
+    for g in group:
+        s, prev = pdf[g], pdf[g].shift()
+        same &= (s == prev) | (s.isna() & prev.isna())
+    same.iloc[0] = False
+    return same
+
+
+def _key_of(row: pd.Series, group: list[str]) -> tuple:
+    return tuple(None if pd.isna(row[g]) else row[g] for g in group)
+
+
 def _local_ranks(group: list[str]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
@@ -27,9 +41,10 @@ def _local_ranks(group: list[str]):
         for pdf in batches:
             if pdf.empty:
                 continue
-            key = pdf[group].astype(str).where(pdf[group].notna(), "\x00").agg("\x1f".join, axis=1)
-            starts = key.ne(key.shift())
-            cont = prev_key is not None and key.iloc[0] == prev_key
+            pdf = pdf.reset_index(drop=True)
+            starts = ~_same_as_previous(pdf, group)
+            # the batch may continue the last group of the previous batch of this partition
+            cont = prev_key is not None and _key_of(pdf.iloc[0], group) == prev_key
             if cont:
                 starts.iloc[0] = False
             gid = starts.cumsum()
@@ -39,7 +54,7 @@ def _local_ranks(group: list[str]):
             out = pdf.copy()
             out["_pid"] = pid
             out["_lrank"] = local.values
-            prev_key = key.iloc[-1]
+            prev_key = _key_of(pdf.iloc[-1], group)
             run_len = int(out["_lrank"].iloc[-1]) + 1
             yield out
     return run

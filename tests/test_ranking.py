@@ -33,3 +33,18 @@ def test_rank_within_default_partitioning(spark):
     got = rank_within(df, ["scheme_id", "key"], "ordinal", out="r")
     exp = df.withColumn("r", F.row_number().over(Window.partitionBy("scheme_id", "key").orderBy("ordinal")) - 1)
     assert got.exceptAll(exp.select(*got.columns)).count() == 0 and got.count() == df.count()
+
+
+def test_rank_within_groups_continue_across_arrow_batches(spark):
+    # tiny Arrow batches: groups (NULL included) run over many batches of one partition
+    rows = [(None if i % 5 == 0 else f"g{i % 3}", "x" if i % 2 else None, i) for i in range(400)]
+    df = spark.createDataFrame(rows, "a string, b string, o long")
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = rank_within(df, ["a", "b"], "o", out="r", num_partitions=3).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    exp = {(r.a, r.b, r.o): r.r for r in
+           df.withColumn("r", F.row_number().over(Window.partitionBy("a", "b").orderBy("o")) - 1).collect()}
+    assert len(got) == len(rows) and {(r.a, r.b, r.o): r.r for r in got} == exp
