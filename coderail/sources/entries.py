@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -29,6 +27,19 @@ def _fmt(path: str, fmt: str | None) -> str:
     return "csv"
 
 
+def _is_empty_file(spark: SparkSession, path: str) -> bool:
+    """A single zero-byte file, checked through the Hadoop file system of the path (local, HDFS,
+    object stores alike); folders and globs are left to the reader."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    try:
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        st = fs.getFileStatus(p)
+    except Exception:  # noqa: BLE001 - globs and odd paths: let the reader decide
+        return False
+    return st.isFile() and st.getLen() == 0
+
+
 def load_entries(spark: SparkSession, path: str, fmt: str | None = None, schema: str = ENTRY_SCHEMA,
                  ordinal_col: str | None = "ordinal") -> DataFrame:
     """Reads an entry table. The extension picks the reader (CSV unless told otherwise).
@@ -58,7 +69,7 @@ def load_entries(spark: SparkSession, path: str, fmt: str | None = None, schema:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             raise FileNotFoundError(f"Data file not found: {path}") from e
         raise ValueError(f"Error loading data file: {e}") from e
-    if kind == "csv" and os.path.isfile(path) and os.path.getsize(path) == 0:
+    if kind == "csv" and _is_empty_file(spark, path):
         raise EmptyDataError(f"Data file is empty: {path}")
     if ordinal_col is None:
         df = df.withColumn("ordinal", F.monotonically_increasing_id())
