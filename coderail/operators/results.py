@@ -98,27 +98,24 @@ def agreement_kappa(paired: DataFrame) -> DataFrame:
     """Per category: n, observed agreement, chance agreement sum_k p_ai(k) p_h(k), Cohen's kappa
     (NULL when chance agreement is 1).
 
-    One shuffle aggregates the pairs to confusion cells (partial aggregation, skew-safe); the cells
-    of a category are bounded by codes x codes, so the rest is computed per category on that small
-    array with higher-order functions instead of re-deriving the cells for every marginal.
+    One shuffle aggregates the pairs to confusion cells (partial aggregation, skew-safe). Totals,
+    agreement and the two marginals are then aggregates over the cells, and the chance term joins
+    the marginals on (category, code). Nothing is collected per category: the model's code is free
+    text after normalisation, so the number of cells of a category has no proven bound.
     """
     cells = confusion_counts(paired)
-    per_cat = cells.groupBy("category").agg(F.collect_list(F.struct("human_code", "ai_code", "n")).alias("c"))
-    c = F.col("c")
-    n = F.aggregate(c, F.lit(0).cast("bigint"), lambda acc, x: acc + x["n"])
-    agree = F.aggregate(F.filter(c, lambda x: x["human_code"] == x["ai_code"]), F.lit(0).cast("bigint"),
-                        lambda acc, x: acc + x["n"])
-    codes = F.array_distinct(F.concat(F.transform(c, lambda x: x["human_code"]), F.transform(c, lambda x: x["ai_code"])))
-
-    def marginal(side, k):
-        return F.aggregate(F.filter(c, lambda x: x[side] == k), F.lit(0).cast("bigint"), lambda acc, x: acc + x["n"])
-
-    hxa = F.aggregate(codes, F.lit(0).cast("double"),
-                      lambda acc, k: acc + marginal("human_code", k).cast("double") * marginal("ai_code", k))
-    t = per_cat.select("category", n.alias("n_pairs"), agree.alias("n_agree"), hxa.alias("_hxa"))
+    n = F.col("n")
+    tot = cells.groupBy("category").agg(
+        F.sum(n).alias("n_pairs"),
+        F.sum(F.when(F.col("human_code") == F.col("ai_code"), n).otherwise(F.lit(0))).alias("n_agree"))
+    mh = cells.groupBy("category", F.col("human_code").alias("code")).agg(F.sum(n).alias("_nh"))
+    ma = cells.groupBy("category", F.col("ai_code").alias("code")).agg(F.sum(n).alias("_na"))
+    hxa = (mh.join(ma, ["category", "code"], "inner")
+           .groupBy("category").agg(F.sum(F.col("_nh").cast("double") * F.col("_na")).alias("_hxa")))
+    t = tot.join(hxa, "category", "left")
     nd = F.col("n_pairs").cast("double")
     po = F.col("n_agree") / nd
-    pe = F.col("_hxa") / (nd * nd)
+    pe = F.coalesce(F.col("_hxa"), F.lit(0.0)) / (nd * nd)
     kappa = F.when(pe == 1, F.lit(None).cast("double")).otherwise((po - pe) / (1 - pe))
     return t.select("category", F.col("n_pairs").cast("bigint").alias("n_pairs"), F.round(po, 4).alias("observed"),
                     F.round(pe, 4).alias("expected"), F.round(kappa, 4).alias("kappa"))

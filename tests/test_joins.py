@@ -29,3 +29,20 @@ def test_title_mismatch_sets(spark):
     got = sorted(((r.side, r.title) for r in title_mismatch(e, c).collect()), key=lambda t: (t[0], str(t[1])))
     assert got == sorted([("missing_in_codes", "a"), ("missing_in_codes", None), ("missing_in_codes", ""),
                           ("extra_in_codes", "c"), ("extra_in_codes", "\u0001x")], key=lambda t: (t[0], str(t[1])))
+
+
+def test_kappa_matches_brute_force_with_free_text_codes(spark):
+    from coderail.operators.results import agreement_kappa
+    pairs = [("q", h, a) for h, a in [("1", "1"), ("1", "0"), ("0", "0"), ("0", "vielleicht"), ("1", "1"),
+                                      ("0", None), ("1", "x y")]] + [("t", "1", "1"), ("t", "1", "1")]
+    df = spark.createDataFrame(pairs, "category string, human_code string, ai_code string")
+    got = {r.category: (r.n_pairs, r.observed, r.expected, r.kappa) for r in agreement_kappa(df).collect()}
+    for cat in ("q", "t"):
+        rows = [(h, a) for c, h, a in pairs if c == cat]
+        n = len(rows)
+        po = sum(1 for h, a in rows if h is not None and h == a) / n
+        codes = {h for h, _ in rows} | {a for _, a in rows}
+        pe = sum(sum(1 for h, _ in rows if h == k) * sum(1 for _, a in rows if a == k)
+                 for k in codes if k is not None) / (n * n)
+        kappa = None if pe == 1 else round((po - pe) / (1 - pe), 4)
+        assert got[cat] == (n, round(po, 4), round(pe, 4), kappa)
