@@ -30,6 +30,22 @@ def _earlier(spark: SparkSession, path: str, batch_id: int, cols: list[str]) ->
     return df.filter(F.col("batch_id") < batch_id).select(*cols)
 
 
+# Keys (titles, or answer keys) of one micro-batch that may be broadcast against the history (a few hundred MB at most).
+MAX_BATCH_TITLES = 1_000_000
+
+
+def _history_keys(batch: DataFrame, history: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys of this batch that earlier batches already hold.
+
+    The history grows with every batch, the batch does not: when the batch's keys are under the
+    bound they are broadcast into a semi join, so the history is scanned but never shuffled; above
+    it the distinct history keys are returned for a shuffled anti join (partially aggregated)."""
+    mine = batch.select(*keys)
+    if mine.limit(MAX_BATCH_TITLES + 1).count() <= MAX_BATCH_TITLES:
+        return history.select(*keys).join(F.broadcast(mine.distinct()), keys, "left_semi").distinct()
+    return history.select(*keys).distinct()
+
+
 def code_batch(batch: DataFrame, batch_id: int, *, selected: DataFrame, scheme: DataFrame,
                infer_fn: Callable[[dict], str], store: str, model: str, temperature: float,
                num_partitions: int | None = None) -> None:
@@ -38,7 +54,7 @@ def code_batch(batch: DataFrame, batch_id: int, *, selected: DataFrame, scheme:
     entries = prep.prepare_entries(batch)
     seen = _earlier(spark, f"{store}/entries", batch_id, ["title"])
     if seen is not None:
-        entries = entries.join(seen.distinct(), "title", "left_anti")
+        entries = entries.join(_history_keys(entries, seen, ["title"]), "title", "left_anti")
     (entries.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
      .parquet(f"{store}/entries/batch_id={batch_id}"))
     entries = spark.read.parquet(f"{store}/entries/batch_id={batch_id}")
@@ -46,7 +62,7 @@ def code_batch(batch: DataFrame, batch_id: int, *, selected: DataFrame, scheme:
     tasks = tasks.withColumn("model", F.lit(model)).withColumn("temperature", F.lit(float(temperature)))
     stored = _earlier(spark, f"{store}/responses", batch_id, ["prompt_hash", "model", "temperature"])
     if stored is not None:
-        tasks = joins.pending_tasks(tasks, stored)
+        tasks = joins.pending_tasks(tasks, _history_keys(tasks, stored, ["prompt_hash", "model", "temperature"]))
     answers = infer.classify(tasks.drop("model", "temperature"), infer_fn, model=model, temperature=temperature,
                              num_partitions=num_partitions)
     (answers.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
