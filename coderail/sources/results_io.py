@@ -23,10 +23,13 @@ def write_results(df: DataFrame, base: str, run_id: str | None = None, fmt: str
 
 
 def latest_results(runs: DataFrame, run_col: str = "run_id") -> DataFrame:
-    """Rows of the newest run (run ids sort in time order). On a table partitioned by ``run_id`` the
-    scalar-subquery filter prunes partitions at run time; an empty table gives nothing."""
-    newest = runs.agg(F.max(run_col).alias("_newest"))
-    return runs.join(F.broadcast(newest), F.col(run_col) == F.col("_newest"), "inner").drop("_newest")
+    """Rows of the newest run (run ids sort in time order); an empty table gives nothing.
+
+    The newest id is a scalar subquery, not a join: on a table partitioned by ``run_id`` it becomes a
+    partition filter evaluated at run time (``PartitionFilters: run_id = Subquery``), so only the
+    newest run's files are read, and the subquery itself reads partition values only."""
+    newest = runs.select(F.max(run_col)).scalar()
+    return runs.filter(F.col(run_col) == newest)
 
 
 def read_results(spark: SparkSession, base: str) -> DataFrame:

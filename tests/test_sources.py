@@ -20,3 +20,19 @@ def test_csv_keeps_quoted_empty_and_multiline(spark, tmp_path):
     p.write_text('ordinal,title,description\n1,"a ""q""","line1\nline2"\n2,"",\n')
     rows = load_entries(spark, str(p)).orderBy("ordinal").collect()
     assert [(r.ordinal, r.title, r.description) for r in rows] == [(1, 'a "q"', "line1\nline2"), (2, "", None)]
+
+
+def test_latest_results_prunes_partitions(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from coderail.sources.results_io import latest_results, read_results, write_results
+    base = str(tmp_path / "results")
+    for rid in ("20260101_000000", "20260301_120000", "20260201_000000"):
+        write_results(spark.range(5).withColumn("v", F.lit(rid)), base, rid)
+    out = latest_results(read_results(spark, base))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run_id" in plan and "Subquery" in plan
+    assert {(r.v, r.run_id) for r in out.collect()} == {("20260301_120000", "20260301_120000")}
+    assert out.count() == 5
+    empty = spark.createDataFrame([], "id long, run_id string")
+    assert latest_results(empty).count() == 0
