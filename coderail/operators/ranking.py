@@ -85,3 +85,22 @@ def rank_within(df: DataFrame, group: Sequence[str], order: str, out: str = "ran
     j = local.join(F.broadcast(offsets), ["_pid", *group], "left")
     return j.withColumn(out, F.col("_lrank") + F.coalesce(F.col("_off"), F.lit(0))).drop("_pid", "_lrank", "_off") \
         .select(*df.columns, out)
+
+
+# Largest group a plain row_number window may send to one task (it buffers and spills beyond
+# memory, but a larger group would make that one task the straggler of the stage).
+MAX_WINDOW_GROUP = 1_000_000
+
+
+def position_in_group(df: DataFrame, group: Sequence[str], order: str, out: str = "rank",
+                      max_window_group: int = MAX_WINDOW_GROUP) -> DataFrame:
+    """0-based position of each row in its group by ``order``, choosing the plan by an exact check.
+
+    One small job counts rows per group (partial aggregation) and takes the largest. Up to
+    ``max_window_group`` rows a plain ``row_number`` window is safe and cheapest; beyond it
+    :func:`rank_within` splits hot groups over many tasks."""
+    group = list(group)
+    largest = df.groupBy(*group).count().agg(F.max("count")).first()[0]
+    if largest is None or largest <= max_window_group:
+        return df.withColumn(out, F.row_number().over(Window.partitionBy(*group).orderBy(order)) - 1)
+    return rank_within(df, group, order, out=out)

@@ -18,19 +18,20 @@ def unique_keys(df: DataFrame, group: str = "scheme_id", key: str = "key", order
     """A repeated key gets ``_1``, ``_2``... in row order; the first stays bare. Rows whose key is
     empty are dropped (the importer skips them).
 
-    ``skew_safe`` ranks with :func:`coderail.operators.ranking.rank_within` (range-partitioned, a
-    key repeated across a large share of rows is spread over many tasks); ``False`` uses a plain
-    ``row_number`` window per (scheme, key), fine when groups are known to be small.
+    ``skew_safe`` numbers with :func:`coderail.operators.ranking.position_in_group`: an exact
+    check of the largest (scheme, key) group picks a plain window when every group is small, and
+    the range-partitioned :func:`coderail.operators.ranking.rank_within` when one key is repeated
+    across a large share of rows. ``False`` always uses the plain window.
     """
+    from .ranking import position_in_group
     d = df.filter(F.col(key) != "")
     if skew_safe:
-        from .ranking import rank_within
-        d = rank_within(d, [group, key], order, out="_rn")
-        rn = F.col("_rn")
+        d = position_in_group(d, [group, key], order, out="_rn")
     else:
-        rn = F.row_number().over(Window.partitionBy(group, key).orderBy(order)) - 1
+        d = d.withColumn("_rn", F.row_number().over(Window.partitionBy(group, key).orderBy(order)) - 1)
+    rn = F.col("_rn")
     out = d.withColumn(key, F.when(rn == 0, F.col(key)).otherwise(F.concat(F.col(key), F.lit("_"), rn.cast("string"))))
-    return out.drop("_rn") if skew_safe else out
+    return out.drop("_rn")
 
 
 def normalise_scheme(rows: DataFrame, group: str = "scheme_id", order: str = "ordinal") -> DataFrame:

@@ -48,3 +48,17 @@ def test_rank_within_groups_continue_across_arrow_batches(spark):
     exp = {(r.a, r.b, r.o): r.r for r in
            df.withColumn("r", F.row_number().over(Window.partitionBy("a", "b").orderBy("o")) - 1).collect()}
     assert len(got) == len(rows) and {(r.a, r.b, r.o): r.r for r in got} == exp
+
+
+def test_position_in_group_picks_split_plan_for_hot_group(spark):
+    from coderail.operators.ranking import position_in_group
+    rows = [("s", "hot", i) for i in range(500)] + [("s", f"k{i % 9}", 1000 + i) for i in range(90)]
+    df = spark.createDataFrame(rows, "scheme_id string, key string, ordinal long")
+    exp = df.withColumn("r", F.row_number().over(Window.partitionBy("scheme_id", "key").orderBy("ordinal")) - 1)
+    small = position_in_group(df, ["scheme_id", "key"], "ordinal", out="r")           # window plan
+    split = position_in_group(df, ["scheme_id", "key"], "ordinal", out="r", max_window_group=100)
+    # the split plan reads the checkpointed local ranks; the small one is a window
+    assert "ExistingRDD" in split._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in small._jdf.queryExecution().executedPlan().toString()
+    for got in (small, split):
+        assert got.count() == df.count() and got.exceptAll(exp.select(*got.columns)).count() == 0
