@@ -98,24 +98,28 @@ def agreement_kappa(paired: DataFrame) -> DataFrame:
     """Per category: n, observed agreement, chance agreement sum_k p_ai(k) p_h(k), Cohen's kappa
     (NULL when chance agreement is 1).
 
-    One shuffle aggregates the pairs to confusion cells (partial aggregation, skew-safe). Totals,
-    agreement and the two marginals are then aggregates over the cells, and the chance term joins
-    the marginals on (category, code). Nothing is collected per category: the model's code is free
-    text after normalisation, so the number of cells of a category has no proven bound.
+    A linear chain of partial-aggregating steps, no join and no second read of any input: pairs ->
+    confusion cells; each cell fans out to its human-code row and its model-code row -> per
+    (category, code) both marginals and the agreeing count -> per category the totals and the
+    chance term. Nothing is collected per category: the model's code is free text after
+    normalisation, so the number of codes of a category has no proven bound.
     """
     cells = confusion_counts(paired)
-    n = F.col("n")
-    tot = cells.groupBy("category").agg(
-        F.sum(n).alias("n_pairs"),
-        F.sum(F.when(F.col("human_code") == F.col("ai_code"), n).otherwise(F.lit(0))).alias("n_agree"))
-    mh = cells.groupBy("category", F.col("human_code").alias("code")).agg(F.sum(n).alias("_nh"))
-    ma = cells.groupBy("category", F.col("ai_code").alias("code")).agg(F.sum(n).alias("_na"))
-    hxa = (mh.join(ma, ["category", "code"], "inner")
-           .groupBy("category").agg(F.sum(F.col("_nh").cast("double") * F.col("_na")).alias("_hxa")))
-    t = tot.join(hxa, "category", "left")
+    n, zero = F.col("n"), F.lit(0).cast("bigint")
+    agree = F.when(F.col("human_code") == F.col("ai_code"), n).otherwise(zero)
+    sides = cells.select("category", F.inline(F.array(
+        F.struct(F.col("human_code").alias("code"), n.alias("nh"), zero.alias("na"), agree.alias("ag")),
+        F.struct(F.col("ai_code").alias("code"), zero.alias("nh"), n.alias("na"), zero.alias("ag")))))
+    per_code = sides.groupBy("category", "code").agg(F.sum("nh").alias("nh"), F.sum("na").alias("na"),
+                                                     F.sum("ag").alias("ag"))
+    # a NULL code never equals another, so it adds to the totals but not to the chance term
+    t = per_code.groupBy("category").agg(
+        F.sum("nh").alias("n_pairs"), F.sum("ag").alias("n_agree"),
+        F.sum(F.when(F.col("code").isNotNull(), F.col("nh").cast("double") * F.col("na"))
+              .otherwise(F.lit(0.0))).alias("_hxa"))
     nd = F.col("n_pairs").cast("double")
     po = F.col("n_agree") / nd
-    pe = F.coalesce(F.col("_hxa"), F.lit(0.0)) / (nd * nd)
+    pe = F.col("_hxa") / (nd * nd)
     kappa = F.when(pe == 1, F.lit(None).cast("double")).otherwise((po - pe) / (1 - pe))
     return t.select("category", F.col("n_pairs").cast("bigint").alias("n_pairs"), F.round(po, 4).alias("observed"),
                     F.round(pe, 4).alias("expected"), F.round(kappa, 4).alias("kappa"))
