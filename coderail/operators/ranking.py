@@ -93,14 +93,15 @@ MAX_WINDOW_GROUP = 1_000_000
 
 
 def position_in_group(df: DataFrame, group: Sequence[str], order: str, out: str = "rank",
-                      max_window_group: int = MAX_WINDOW_GROUP) -> DataFrame:
+                      max_window_group: int | None = None) -> DataFrame:
     """0-based position of each row in its group by ``order``, choosing the plan by an exact check.
 
     One small job counts rows per group (partial aggregation) and takes the largest. Up to
     ``max_window_group`` rows a plain ``row_number`` window is safe and cheapest; beyond it
     :func:`rank_within` splits hot groups over many tasks."""
     group = list(group)
+    bound = MAX_WINDOW_GROUP if max_window_group is None else max_window_group
     largest = df.groupBy(*group).count().agg(F.max("count")).first()[0]
-    if largest is None or largest <= max_window_group:
+    if largest is None or largest <= bound:
         return df.withColumn(out, F.row_number().over(Window.partitionBy(*group).orderBy(order)) - 1)
     return rank_within(df, group, order, out=out)

@@ -60,13 +60,16 @@ def normalise_scheme(rows: DataFrame, group: str = "scheme_id", order: str = "or
     return unique_keys(out, group, "key", order).withColumn("simplified_name", S.clean_name(F.col("display_name")))
 
 
-def filter_categories(scheme: DataFrame, include_derived: bool = True, name: str = "display_name") -> DataFrame:
+def filter_categories(scheme: DataFrame, include_derived: bool = True, name: str = "display_name",
+                      position: str | None = None) -> DataFrame:
     """Categories offered for selection: first token of the display name (key as fallback) has a
     digit; with the sort key columns n1, n2, n3, suffix. Order = (sort key, ordinal), a stable sort:
     four-level numbers tie with their three-level parent and keep input order.
 
     The order is returned as a global ``orderBy`` (range-partitioned, so a large scheme is spread
-    over many tasks) instead of a per-scheme window.
+    over many tasks). ``position`` names an optional 0-based column with the place of the category
+    in its scheme's menu, computed by the checked, skew-safe
+    :func:`coderail.operators.ranking.position_in_group`.
     """
     label = F.coalesce(F.col(name), F.col("key")) if "key" in scheme.columns else F.col(name)
     out = scheme.filter(S.has_number(label))
@@ -74,6 +77,10 @@ def filter_categories(scheme: DataFrame, include_derived: bool = True, name: str
         out = out.filter(~F.col("key").startswith(S.DERIVED_PREFIX))
     k = S.category_sort_key(label)
     out = out.withColumns({"n1": k["n1"], "n2": k["n2"], "n3": k["n3"], "suffix": k["suffix"]})
+    if position:
+        from .ranking import position_in_group
+        out = out.withColumn("_menu", F.struct("n1", "n2", "n3", "suffix", "ordinal"))
+        out = position_in_group(out, ["scheme_id"], "_menu", out=position).drop("_menu")
     return out.orderBy("scheme_id", "n1", "n2", "n3", "suffix", "ordinal")
 
 

@@ -75,3 +75,19 @@ def test_clean_examples_bullets(spark):
     df = spark.createDataFrame([("• a\n  \n· \"b\"",)], "e string")
     out = df.select(S.clean_examples(S.example_lines(F.col("e"))).alias("x")).first().x
     assert out == ["a", "'b'"]
+
+
+def test_filter_categories_position_is_menu_order(spark):
+    from coderail.operators.scheme import filter_categories
+    rows = [("a", 1, "2.0.3 X"), ("a", 2, "1.1 Y"), ("a", 3, "2.0.3.1 Z"), ("a", 4, "Kein Nummer"), ("a", 5, "1.1a W"),
+            ("b", 6, "3 V"), ("b", 7, "1 U")]
+    df = spark.createDataFrame(rows, "scheme_id string, ordinal long, display_name string")
+    for bound in (1_000_000, 1):   # window plan, then the split plan
+        import coderail.operators.ranking as R
+        old, R.MAX_WINDOW_GROUP = R.MAX_WINDOW_GROUP, bound
+        try:
+            out = filter_categories(df, position="pos").collect()
+        finally:
+            R.MAX_WINDOW_GROUP = old
+        got = {(r.scheme_id, r.pos): r.ordinal for r in out}
+        assert got == {("a", 0): 2, ("a", 1): 5, ("a", 2): 1, ("a", 3): 3, ("b", 0): 7, ("b", 1): 6}
