@@ -1,6 +1,6 @@
 """One batch coding run, end to end, with the paid step materialised.
 
-texts -> prepare -> tasks x selected categories -> prompts (+ sha256) -> skip prompts whose answer
+texts -> prepare (written once per run) -> tasks x selected categories -> prompts (+ sha256) -> skip prompts whose answer
 is already stored -> classify the rest -> APPEND to the response store -> read the store back ->
 validate -> coded -> wide results (written as a run) + metrics.
 
@@ -46,7 +46,12 @@ def coding_run(spark: SparkSession, entries_raw: DataFrame, selected: DataFrame,
     (an Observation with answers per validation outcome, filled by the results write)."""
     store_path = f"{base.rstrip('/')}/responses"
     rid = run_id or results_io.new_run_id()
-    entries = prep.prepare_entries(entries_raw)
+    # The prepared texts are written once per run and read back: the calls and the join with the
+    # stored answers both derive their tasks from this table, so the texts are de-duplicated (a
+    # shuffle of every text) once, and the lineage is cut before the paid step.
+    entries_path = f"{base.rstrip('/')}/entries/run_id={rid}"
+    prep.prepare_entries(entries_raw).write.mode("overwrite").parquet(entries_path)
+    entries = spark.read.parquet(entries_path)
     tasks = prompt.with_prompt_hash(prompt.construct_prompt(joins.build_tasks(entries, selected, scheme)))
     tasks = tasks.withColumn("model", F.lit(model)).withColumn("temperature", F.lit(float(temperature)))
     store = read_store(spark, store_path)
