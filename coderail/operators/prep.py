@@ -53,7 +53,8 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order: str = "ordinal") ->
     shuffle instead of landing whole in one task. Every column is its own ``min_by`` over the
     (unique) order, so all of them come from the same row, and Catalyst prunes the aggregates a
     consumer does not read: a plan that only needs the surviving ordinals never shuffles the texts.
-    NULL keys form one group, as in pandas.
+    ``order`` must be unique per row, as the input position added at ingest is; with ties the
+    columns of one key could come from different rows. NULL keys form one group, as in pandas.
     """
     rest = [c for c in df.columns if c not in keys]
     aggs = [(F.min(F.col(c)) if c == order else F.min_by(F.col(c), F.col(order))).alias(c) for c in rest]
