@@ -104,15 +104,25 @@ def build_messages(df: DataFrame, prompt: str = "prompt", with_suffix: bool = Tr
     return df.withColumn("messages", msgs)
 
 
+def _first_line_with(text: Column, marker: str) -> Column:
+    """The first line of ``text`` that contains ``marker``; NULL when none does.
+
+    That line holds the marker's first occurrence, so it is cut out around that position: no
+    array of all lines is built for a prompt that carries a whole text."""
+    pos = F.instr(text, marker)
+    before = F.substring_index(F.substring(text, F.lit(1), pos - 1), "\n", -1)
+    after = F.substring_index(F.substring(text, pos, F.lit(1 << 30)), "\n", 1)
+    return F.when(pos > 0, F.concat(before, after))
+
+
 def extract_prompt_fields(df: DataFrame, prompt: str = "prompt") -> DataFrame:
     """Title and category read back from a prompt (the debug view of a request).
 
     Title: first line containing ``Titel: `` -> text between its first and second occurrence.
     Category: first line containing ``"category": "`` -> up to the next quote.
     """
-    lines = F.split(F.col(prompt), "\n", -1)
-    tline = F.try_element_at(F.filter(lines, lambda l: l.contains("Titel: ")), F.lit(1))
-    cline = F.try_element_at(F.filter(lines, lambda l: l.contains('"category": "')), F.lit(1))
+    tline = _first_line_with(F.col(prompt), "Titel: ")
+    cline = _first_line_with(F.col(prompt), '"category": "')
     title = F.split_part(tline, F.lit("Titel: "), F.lit(2))
     cat = F.split_part(F.split_part(cline, F.lit('category": "'), F.lit(2)), F.lit('"'), F.lit(1))
     return df.withColumns({"prompt_title": F.coalesce(title, F.lit("No title found")),
