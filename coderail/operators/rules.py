@@ -28,7 +28,8 @@ def _bounded(df: DataFrame, what: str) -> DataFrame:
     return bounded_broadcast(df, what)
 
 
-def derive_any_in_range(codes: DataFrame, rules: DataFrame, doc: str = "doc_id") -> DataFrame:
+def derive_any_in_range(codes: DataFrame, rules: DataFrame, doc: str = "doc_id",
+                        numbers: Sequence[str] | None = None) -> DataFrame:
     """Code "1" for a derived category when any category of the text whose number lies in
     [range_start, range_end] at the same depth as the range ends has the rule's code, else "0".
 
@@ -41,12 +42,18 @@ def derive_any_in_range(codes: DataFrame, rules: DataFrame, doc: str = "doc_id")
     (number -> rule), which is broadcast into a plain equi-join with the codes. Each code row then
     meets only the rules that cover it, and one partial-aggregating pass per text collects the hit
     rules (bounded by the rule count, so a text holding a third of all rows stays small).
+    ``numbers`` (every category number the codes can hold, i.e. the scheme's, when the caller has
+    them) spares the pass over the
+    codes that finds them.
     """
     spark = codes.sparkSession
     levels = sorted({r["level"] for r in _collect_bounded(rules.select("level").distinct(), "rule levels")})
     r_all = rules.select("level", F.col("number").alias("r_number"), F.col("code").alias("r_code"),
                          number_array("range_start").alias("r_start"), number_array("range_end").alias("r_end"))
-    leaf = [x["number"] for x in _collect_bounded(codes.select("number").distinct(), "category numbers")]
+    if numbers is None:
+        leaf = [x["number"] for x in _collect_bounded(codes.select("number").distinct(), "category numbers")]
+    else:
+        leaf = list(numbers)
     derived = [x["r_number"] for x in _collect_bounded(r_all.select("r_number"), "range rules")]
     nums = (spark.createDataFrame([(n,) for n in dict.fromkeys(leaf + derived)], "number string")
             .withColumn("_num", number_array("number")))

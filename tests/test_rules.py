@@ -44,3 +44,5 @@ def test_any_in_range_matches_brute_force(spark):
     rdf = spark.createDataFrame(rules, "level int, number string, range_start string, range_end string, code string")
     got = sorted(tuple(r) for r in derive_any_in_range(cdf, rdf).collect())
     assert got == _brute(codes, rules)
+    known = sorted({n for _, n, _ in codes})
+    assert sorted(tuple(r) for r in derive_any_in_range(cdf, rdf, numbers=known).collect()) == got
