@@ -43,8 +43,7 @@ def derive_any_in_range(codes: DataFrame, rules: DataFrame, doc: str = "doc_id",
     meets only the rules that cover it, and one partial-aggregating pass per text collects the hit
     rules (bounded by the rule count, so a text holding a third of all rows stays small).
     ``numbers`` (every category number the codes can hold, i.e. the scheme's, when the caller has
-    them) spares the pass over the
-    codes that finds them.
+    them) spares the pass over the codes that finds them.
     """
     spark = codes.sparkSession
     levels = sorted({r["level"] for r in _collect_bounded(rules.select("level").distinct(), "rule levels")})
