@@ -19,7 +19,8 @@ def task_order(ordinal: str = "ordinal", cat_ordinal: str = "cat_ordinal"):
     return F.struct(F.col(ordinal), F.col(cat_ordinal))
 
 
-def wide_results(coded: DataFrame, categories: Sequence[str], key: str = "title") -> DataFrame:
+def wide_results(coded: DataFrame, categories: Sequence[str], key: str = "title",
+                 entries: DataFrame | None = None) -> DataFrame:
     """One row per title: first description (collapsed whitespace), and per category the normalised
     code, the confidence as "%.2f" and the reasoning of the **last** result for that pair.
 
@@ -27,14 +28,21 @@ def wide_results(coded: DataFrame, categories: Sequence[str], key: str = "title"
     sorted by code point; absent pairs are NULL. Built as ONE aggregation over ``title`` with
     conditional ``max_by`` per category (what ``pivot`` with an explicit value list does, minus its
     second aggregation): the partial aggregate shrinks hot titles before the shuffle.
+
+    ``entries`` (the de-duplicated texts ``coded`` was built from: one row per title) lets the
+    aggregation carry the small cells only; descriptions are joined back on the title. ``coded``
+    then never moves a description, where it otherwise carries one per category and row, and
+    texts hash-partitioned on the title by their dedupe are joined without another shuffle.
     """
     cats = sorted(dict.fromkeys(categories))
     order = task_order()
     cell = F.struct(normalise_code(F.col("ai_code")).alias("ai"), format_2dp(F.col("confidence")).alias("conf"),
                     F.col("reasoning").alias("reason"))
-    aggs = [F.min_by(F.col("description"), order).alias("_desc")]
-    aggs += [F.max_by(cell, F.when(F.col("category") == c, order)).alias(f"_c{i}") for i, c in enumerate(cats)]
-    g = coded.groupBy(key).agg(*aggs)
+    aggs = [F.max_by(cell, F.when(F.col("category") == c, order)).alias(f"_c{i}") for i, c in enumerate(cats)]
+    if entries is None:
+        g = coded.groupBy(key).agg(F.min_by(F.col("description"), order).alias("_desc"), *aggs)
+    else:
+        g = entries.select(key, F.col("description").alias("_desc")).join(coded.groupBy(key).agg(*aggs), key)
     cols = [F.col(key), collapse_whitespace(F.col("_desc")).alias("description")]
     cols += [F.col(f"_c{i}.ai").alias(f"ai_{c}") for i, c in enumerate(cats)]
     cols += [F.col(f"_c{i}.conf").alias(f"confidence_{c}") for i, c in enumerate(cats)]

@@ -450,7 +450,7 @@ def _wide_sql(cats):
 
 @register("wide_results", _wide_sql(P.CATEGORIES), ("o_coded",))
 def q_wide_results(spark, sf):
-    return results.wide_results(P.coded(spark, sf), P.CATEGORIES)
+    return results.wide_results(P.coded(spark, sf), P.CATEGORIES, entries=P.entries(spark, sf))
 
 
 @register("title_collisions", """

@@ -68,7 +68,7 @@ def coding_run(spark: SparkSession, entries_raw: DataFrame, selected: DataFrame,
     coded = validate.validate_responses(resp, "response", observation=outcomes).select(
         "ordinal", "cat_ordinal", "title", "description", "category", "ai_code", "confidence", "confidence_level",
         "reasoning", "outcome")
-    wide = results.wide_results(coded, categories)
+    wide = results.wide_results(coded, categories, entries=entries)
     results_io.write_results(wide, f"{base.rstrip('/')}/results", rid)
     return {"coded": coded, "wide": results_io.read_results(spark, f"{base.rstrip('/')}/results")
             .filter(F.col("run_id") == rid), "metrics": results.category_metrics(coded), "new_answers": new_answers,

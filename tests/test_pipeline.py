@@ -77,3 +77,15 @@ def test_build_tasks_nothing_selected(spark):
     sel = spark.createDataFrame([], "ordinal int, key string")
     t = joins.build_tasks(P.entries(spark, SF_SMALL), sel, P.task_scheme(spark, SF_SMALL))
     assert t.count() == 0
+
+
+def test_wide_with_entries_equals_wide_from_coded(spark):
+    from coderail.operators.results import wide_results
+    from coderail.plans import stages as P
+    from conftest import SF_SMALL
+    coded, entries = P.coded(spark, SF_SMALL), P.entries(spark, SF_SMALL)
+    a = wide_results(coded, P.CATEGORIES)
+    b = wide_results(coded, P.CATEGORIES, entries=entries)
+    assert a.columns == b.columns
+    assert a.count() == b.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
