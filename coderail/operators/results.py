@@ -82,10 +82,17 @@ def overall_metrics(coded: DataFrame) -> DataFrame:
 
 def run_progress(tasks: DataFrame, coded: DataFrame, keys=("ordinal", "category")) -> DataFrame:
     """Finished pairs per category and overall: n_tasks, n_done, truncated integer percent (0 when
-    there are no tasks; the reference divides by zero)."""
-    done = coded.select(*keys).distinct().withColumn("_done", F.lit(1))
-    j = tasks.select(*keys).join(done, list(keys), "left")
-    agg = j.rollup("category").agg(F.count(F.lit(1)).alias("n_tasks"), F.count("_done").alias("n_done"))
+    there are no tasks; the reference divides by zero).
+
+    One union and one partial-aggregating group-by per pair (how many task rows it has, whether any
+    result exists), then the rollup: no distinct of the results and no join with the tasks."""
+    keys = list(keys)
+    marks = (tasks.select(*keys, F.lit(1).alias("_t"), F.lit(0).alias("_d"))
+             .unionByName(coded.select(*keys, F.lit(0).alias("_t"), F.lit(1).alias("_d"))))
+    per_pair = marks.groupBy(*keys).agg(F.sum("_t").alias("_t"), F.max("_d").alias("_d")).filter(F.col("_t") > 0)
+    agg = per_pair.rollup("category").agg(F.sum("_t").cast("bigint").alias("n_tasks"),
+                                          F.sum(F.when(F.col("_d") == 1, F.col("_t")).otherwise(F.lit(0)))
+                                          .cast("bigint").alias("n_done"))
     pct = F.when(F.col("n_tasks") == 0, F.lit(0)).otherwise(F.floor(F.col("n_done") * 100 / F.col("n_tasks")))
     return agg.select(F.coalesce("category", F.lit("_overall")).alias("category"), "n_tasks", "n_done",
                       pct.cast("bigint").alias("pct_done"))

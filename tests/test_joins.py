@@ -46,3 +46,20 @@ def test_kappa_matches_brute_force_with_free_text_codes(spark):
                  for k in codes if k is not None) / (n * n)
         kappa = None if pe == 1 else round((po - pe) / (1 - pe), 4)
         assert got[cat] == (n, round(po, 4), round(pe, 4), kappa)
+
+
+def test_run_progress_brute_force(spark):
+    from coderail.operators.results import run_progress
+    tasks = [(o, c) for o in range(7) for c in ("a", "b")] + [(1, "a")]          # one task listed twice
+    coded = [(0, "a"), (0, "a"), (1, "a"), (2, "b"), (9, "a"), (3, "c")]         # repeats and strays
+    t = spark.createDataFrame(tasks, "ordinal long, category string")
+    c = spark.createDataFrame(coded, "ordinal long, category string")
+    got = {r.category: (r.n_tasks, r.n_done, r.pct_done) for r in run_progress(t, c).collect()}
+    done = set(coded)
+
+    def fig(rows):
+        n, d = len(rows), sum(1 for r in rows if r in done)
+        return n, d, (d * 100 // n if n else 0)
+    exp = {cat: fig([r for r in tasks if r[1] == cat]) for cat in ("a", "b")}
+    exp["_overall"] = fig(tasks)
+    assert got == exp
