@@ -106,21 +106,15 @@ def build_tasks(entries: DataFrame, selected: DataFrame, scheme: DataFrame,
 def title_mismatch(entries: DataFrame, codes: DataFrame, key: str = "title") -> DataFrame:
     """Titles missing in the codes and titles only in the codes (set semantics, both ways).
 
-    Two distincts (partial aggregation) and two anti joins that reuse their hash partitioning on
-    the title: two shuffles in total. NULL titles count as equal, as in Python sets."""
-    def keyed(df):
-        # NULL-safe set key as ONE non-null column (a tag character, then the title; NULL is the tag
-        # alone), so the distinct's hash partitioning serves the anti joins as it is. Two key columns
-        # broke that: for a non-nullable title the null flag folds to a constant and the join
-        # re-shuffles on the title alone.
-        k = F.when(F.col(key).isNull(), F.lit("\u0000")).otherwise(F.concat(F.lit("\u0001"), F.col(key)))
-        return df.select(k.alias("_k")).distinct()
-
-    a, b = keyed(entries), keyed(codes)
-    title = F.when(F.col("_k") == "\u0000", F.lit(None).cast("string")).otherwise(F.substring("_k", 2, 1 << 30))
-    missing = a.join(b, "_k", "left_anti").select(F.lit("missing_in_codes").alias("side"), title.alias(key))
-    extra = b.join(a, "_k", "left_anti").select(F.lit("extra_in_codes").alias("side"), title.alias(key))
-    return missing.unionByName(extra)
+    Both title sets are tagged with their side, unioned and grouped once by title (partial
+    aggregation): a title seen on one side only is a mismatch. One shuffle and no joins. NULL
+    titles count as equal, as in Python sets (grouping treats NULL as one key)."""
+    marks = (entries.select(F.col(key), F.lit(1).alias("_e"), F.lit(0).alias("_c"))
+             .unionByName(codes.select(F.col(key), F.lit(0).alias("_e"), F.lit(1).alias("_c"))))
+    g = marks.groupBy(key).agg(F.max("_e").alias("_e"), F.max("_c").alias("_c"))
+    side = (F.when(F.col("_c") == 0, F.lit("missing_in_codes"))
+            .when(F.col("_e") == 0, F.lit("extra_in_codes")))
+    return g.filter(F.col("_e") != F.col("_c")).select(side.alias("side"), F.col(key))
 
 
 def scheme_aliases(scheme: DataFrame, group: str = "scheme_id", order: str = "ordinal") -> DataFrame:
