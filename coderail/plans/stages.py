@@ -56,7 +56,9 @@ def coded(spark: SparkSession, sf: str) -> DataFrame:
     e = entries(spark, sf)
     j = (good.select(F.col("doc_id").alias("ordinal"), "category", "response")
          .join(e, "ordinal", "inner")
-         .join(joins.bounded_broadcast(category_positions(spark, sf), "selected categories"), "category", "inner"))
+         # No hint: the selection is tiny, and Spark broadcasts it by its own size check (planner
+         # estimate, then AQE's run-time size) with a sort-merge join beyond the threshold.
+         .join(category_positions(spark, sf), "category", "inner"))
     v = validate.validate_responses(j, "response")
     return v.select("ordinal", "cat_ordinal", "title", "description", "category", "ai_code", "confidence",
                     "confidence_level", "reasoning", "outcome")
