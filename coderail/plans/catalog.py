@@ -18,7 +18,7 @@ from ..sources import results_io
 from ..session import scratch_path
 from . import stages as P
 from .fixtures import FIXTURES, fixture, table
-from .sqlfn import collapse, fence, guard, level, normalise, strip, validated
+from .sqlfn import collapse, fence, guard, normalise, strip, validated
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, tuple[QueryFn, str | None, tuple[str, ...]]] = {}
