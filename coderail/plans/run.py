@@ -40,7 +40,7 @@ def stored_answers(store: DataFrame) -> DataFrame:
 def coding_run(spark: SparkSession, entries_raw: DataFrame, selected: DataFrame, scheme: DataFrame,
                infer_fn: Callable[[dict], str], base: str, categories: Sequence[str], model: str = "rule-scorer",
                temperature: float = 0.0, run_id: str | None = None,
-               num_partitions: int | None = None) -> dict[str, DataFrame]:
+               num_partitions: int | None = None, backoff: float = infer.FIRST_BACKOFF_S) -> dict[str, DataFrame]:
     """Runs the coding of ``entries_raw`` and returns ``coded``, ``wide``, ``metrics`` (DataFrames
     over stored data), ``new_answers`` (rows appended to the store by this run) and ``outcomes``
     (an Observation with answers per validation outcome, filled by the results write)."""
@@ -52,12 +52,25 @@ def coding_run(spark: SparkSession, entries_raw: DataFrame, selected: DataFrame,
     entries_path = f"{base.rstrip('/')}/entries/run_id={rid}"
     prep.prepare_entries(entries_raw).write.mode("overwrite").parquet(entries_path)
     entries = spark.read.parquet(entries_path)
-    tasks = prompt.with_prompt_hash(prompt.construct_prompt(joins.build_tasks(entries, selected, scheme)))
-    tasks = tasks.withColumn("model", F.lit(model)).withColumn("temperature", F.lit(float(temperature)))
+    def tasks_of(texts: DataFrame) -> DataFrame:
+        t = prompt.with_prompt_hash(prompt.construct_prompt(joins.build_tasks(texts, selected, scheme)))
+        return t.withColumn("model", F.lit(model)).withColumn("temperature", F.lit(float(temperature)))
+
+    tasks = tasks_of(entries)
     store = read_store(spark, store_path)
-    todo = tasks if store is None else joins.pending_tasks(tasks, stored_answers(store).select(*KEYS))
+    if store is None:
+        todo = tasks
+    else:
+        # Only keys are anti-joined: the prompt is hashed in a projection and dropped, so the
+        # shuffle carries (text, category, hash) rows, not prompts (text x categories in bytes).
+        # The pending categories of each text (bounded by the selection) are then joined to the
+        # texts once, and prompts are rebuilt for those pairs only.
+        pending = joins.pending_tasks(tasks.select("ordinal", "category", *KEYS), stored_answers(store).select(*KEYS))
+        per_text = pending.groupBy("ordinal").agg(F.collect_set("category").alias("_pending"))
+        todo = (tasks_of(entries.join(per_text, "ordinal", "inner"))
+                .filter(F.array_contains(F.col("_pending"), F.col("category"))).drop("_pending"))
     answers = infer.classify(todo.drop("model", "temperature"), infer_fn, model=model, temperature=temperature,
-                             num_partitions=num_partitions)
+                             num_partitions=num_partitions, backoff=backoff)
     answers.withColumn("run_id", F.lit(rid)).write.mode("append").partitionBy("run_id").parquet(store_path)
     store = spark.read.parquet(store_path)
     new_answers = store.filter(F.col("run_id") == rid)

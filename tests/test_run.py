@@ -24,3 +24,18 @@ def test_second_run_reuses_store(spark):
     assert spark.read.parquet(f"{base}/responses").count() == store_rows == n_tasks
     assert sorted(map(tuple, second["metrics"].collect())) == m1
     assert second["wide"].count() == first["wide"].count()
+
+
+def test_rerun_calls_only_failed_pairs(spark):
+    base = scratch_path(spark, "test-rerun")
+    args = (P.entries_raw(spark, SF_SMALL), fixture(spark, SF_SMALL, "selected"), P.task_scheme(spark, SF_SMALL))
+    first = coding_run(spark, *args, infer.flaky_scorer, base, P.CATEGORIES, run_id="20250101_000000",
+                       num_partitions=4, backoff=0.0)   # no real waiting between attempts
+    n_tasks = P.tasks(spark, SF_SMALL).count()
+    stored = spark.read.parquet(f"{base}/responses")
+    n_failed = stored.filter("error IS NOT NULL").count()
+    assert 0 < n_failed < n_tasks and first["coded"].count() == n_tasks - n_failed
+    second = coding_run(spark, *args, infer.rule_scorer, base, P.CATEGORIES, run_id="20250101_000001")
+    new = second["new_answers"]
+    assert new.count() == n_failed and new.filter("error IS NULL").count() == n_failed
+    assert second["coded"].count() == n_tasks
