@@ -44,3 +44,16 @@ def test_two_batches_and_replay(spark):
     incremental.code_batch(batch1, 1, selected=sel, scheme=scheme, infer_fn=infer.rule_scorer, store=store,
                            model="rule-scorer", temperature=0.0)
     assert incremental.stored_responses(spark, store).count() == expected
+
+
+def test_history_keys_broadcast_and_shuffle_paths_agree(spark, monkeypatch):
+    batch = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "title string")
+    history = spark.createDataFrame([("b",), ("b",), ("x",), (None,), ("c",)], "title string")
+    want = {("b",), ("c",)}                     # NULL never matches in the anti join that follows
+    small = {tuple(r) for r in incremental._history_keys(batch, history, ["title"]).collect()}
+    assert small == want
+    monkeypatch.setattr(incremental, "MAX_BATCH_TITLES", 1)
+    big = {tuple(r) for r in incremental._history_keys(batch, history, ["title"]).collect()}
+    assert want <= big and ("b",) in big       # shuffle path: all distinct history keys
+    seen_in_batch = {t for (t,) in big} & {"a", "b", "c"}
+    assert seen_in_batch == {"b", "c"}
