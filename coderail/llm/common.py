@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import gc
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from coderail.session import scratch_path
 
@@ -62,3 +65,26 @@ def slices(frames: Iterator[pd.DataFrame], column: str, limit: int = 8 << 20) ->
         group = size // limit
         for at in np.split(np.arange(len(pdf)), np.flatnonzero(np.diff(group)) + 1):
             yield pdf.iloc[at]
+
+
+def with_text_column(docs: DataFrame, name: str, kind: str, of: Callable[[list[str | None]], pa.Array],
+                     limit: int = 8 << 20) -> DataFrame:
+    """``docs``, all columns untouched, with the column ``name`` that ``of`` makes of whole texts.
+
+    Arrow batches pass through; ``of`` gets about ``limit`` bytes of texts at a time.
+    """
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T._parse_datatype_string(kind))])
+    at = docs.columns.index("text")
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lengths = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
+            group = np.cumsum(lengths, dtype=np.int64) // limit
+            edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(lengths)]
+            for a, b in zip(edges, edges[1:]):
+                if a < b:
+                    part = batch.slice(a, b - a)
+                    made = of(part.column(at).to_pylist())
+                    yield pa.RecordBatch.from_arrays([*part.columns, made], names=[*batch.schema.names, name])
+
+    return docs.mapInArrow(rows, schema)
