@@ -6,7 +6,7 @@ directory (ones before every 512th bit) leads from a position of one level to th
 read by a few look-ups and without decoding its block.
 
 File format: Parquet without compression, one row per block of whole documents, in ascending order of ``doc_id``
-(null first; equal ids by text).  ``levels`` lists (chunks, bitmap, ranks) as little-endian binaries; ``doc_ids`` and
+(null first; equal ids by a hash of the text).  ``levels`` lists (chunks, bitmap, ranks) as little-endian binaries; ``doc_ids`` and
 ``doc_ends`` are the block's document directory.  ``first`` counts the ids before the block in its partition;
 a partition's own offset follows from the counts of the partitions before it.
 
@@ -78,7 +78,7 @@ def dac_get(levels, i: int) -> int:
 def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, block_tokens: int = 4 << 20,
               partition_bytes: int = 32 << 20) -> None:
     """Encode ``docs`` (doc_id, text) and write the id files below ``path``."""
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
     parts = parts_for(docs, F.octet_length("text"), partition_bytes)
 
     def blocks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -110,7 +110,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, block_tok
         if doc_ids:
             yield row()
 
-    (docs.repartitionByRange(parts, "doc_id", "text").sortWithinPartitions("doc_id", "text")
+    (docs.repartitionByRange(parts, "doc_id", "h").sortWithinPartitions("doc_id", "h")
      .mapInPandas(blocks, BLOCK).write.option("compression", "none").parquet(path))
 
 
