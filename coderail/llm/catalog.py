@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from coderail.llm.op01_dac import op1_token_dac
+from coderail.llm.op02_suffixes import op2_substring_suffixes
 from coderail.llm.op03_token_counts import op3_token_counts
 from coderail.llm.op04_quality import op4_quality_rules
 from coderail.llm.op05_simhash import op5_simhash
@@ -15,6 +16,7 @@ from coderail.llm.op10_mixing import op10_mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_dac": op1_token_dac,
+    "op2_substring_suffixes": op2_substring_suffixes,
     "op3_token_counts": op3_token_counts,
     "op4_quality_rules": op4_quality_rules,
     "op5_simhash": op5_simhash,
