@@ -11,6 +11,7 @@ from coderail.llm.op02_suffixes import op2_substring_suffixes
 from coderail.llm.op03_token_counts import op3_token_counts
 from coderail.llm.op04_quality import op4_quality_rules
 from coderail.llm.op05_simhash import op5_simhash
+from coderail.llm.op06_chaining import op6_fuzzy_passages
 from coderail.llm.op09_packing import op9_ffd_packing
 from coderail.llm.op10_mixing import op10_mixing
 
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
     "op4_quality_rules": op4_quality_rules,
     "op5_simhash": op5_simhash,
+    "op6_fuzzy_passages": op6_fuzzy_passages,
     "op9_ffd_packing": op9_ffd_packing,
     "op10_mixing": op10_mixing,
 }

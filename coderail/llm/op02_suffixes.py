@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coderail.llm.common import materialise, mix64, parts_for, release, slices, table, text_bytes
+from coderail.llm.words import BASE, powers, running
 
 WINDOW = 100
 MOD, COVER = 7, (1, 2, 4)
@@ -41,44 +42,20 @@ BUCKETS = 6
 SLICE_BYTES = 2 << 20
 PART_BYTES = 16 << 20
 
-BASE = 0x9E3779B97F4A7C15
 IN_COVER = np.isin(np.arange(MOD), COVER)
 RECORD = np.dtype([("core", "<u8"), ("around", "V12"), ("low", "u1"), ("high", "u1"), ("gid", "<i8"), ("at", "<u4")])
 FOUND = np.dtype([("gid", "<i8"), ("at", "<u4"), ("mask", "u1")])
 ANCHOR = np.dtype([("hash", "<u8"), ("gid", "<i8"), ("at", "<u4"), ("again", "u1")])
 
 
-class _Powers:
-    """BASE**i and its inverse modulo 2**64, grown as needed."""
-
-    up = down = np.ones(1, np.uint64)
-
-    @classmethod
-    def to(cls, n: int) -> None:
-        step, back = np.uint64(BASE), np.uint64(pow(BASE, -1, 1 << 64))
-        with np.errstate(over="ignore"):
-            while len(cls.up) < n:
-                cls.up = np.concatenate([cls.up, cls.up * (cls.up[-1] * step)])
-                cls.down = np.concatenate([cls.down, cls.down * (cls.down[-1] * back)])
-
-
 def gram_hashes(data: np.ndarray, width: int, at: np.ndarray | None = None) -> np.ndarray:
     """Hashes of the ``width`` bytes from every position on, or from ``at`` on."""
-    _Powers.to(len(data) + 1)
+    powers.to(len(data) + 1)
     with np.errstate(over="ignore"):
-        sums = np.concatenate([[np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _Powers.up[: len(data)])])
+        sums = np.concatenate([[np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers.up[: len(data)])])
         if at is None:
-            return mix64((sums[width:] - sums[:-width]) * _Powers.down[: len(data) - width + 1])
-        return mix64((sums[at + width] - sums[at]) * _Powers.down[at])
-
-
-def running(x: np.ndarray, width: int, best) -> np.ndarray:
-    """``best`` (minimum or maximum) of every ``width`` neighbours, by doubling."""
-    size, out = 1, x
-    while 2 * size <= width:
-        out = best(out[: len(out) - size], out[size:])
-        size *= 2
-    return best(out[: len(x) - width + 1], out[width - size : len(x) - size + 1]) if size < width else out
+            return mix64((sums[width:] - sums[:-width]) * powers.down[: len(data) - width + 1])
+        return mix64((sums[at + width] - sums[at]) * powers.down[at])
 
 
 def join_texts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -320,7 +297,7 @@ def repeated_in_bucket(found: DataFrame, bucket: int, buckets: int, parts: int)
                 for x in (a, b):
                     wide = np.zeros((len(rec), 8), np.uint8)
                     wide[:, :6] = x
-                    key = mix64(key * np.uint64(BASE) + wide.view("<u8")[:, 0])
+                    key = mix64(key * BASE + wide.view("<u8")[:, 0])
                 key = mix64(key + rec["low"] * np.uint64(8) + rec["high"])
             order = np.lexsort((rec["at"], rec["gid"], key))
             rec, key = rec[order], key[order]

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coderail.llm.common import mix64, table, with_text_column
+from coderail.llm.words import BASE, Batch
 
 #: Labelled documents used at most for training and calibration, drawn by a seeded hash of their id.
 SAMPLE_DOCS = 4000
@@ -33,48 +34,13 @@ MAX_REPEAT_PERCENT = 20
 MIN_PROBABILITY = 0.5
 SLICE_BYTES = 2 << 20
 
-BLANK = np.zeros(256, bool)
-BLANK[[0x20, *range(0x09, 0x0E)]] = True
 SYMBOL = np.zeros(256, bool)
 SYMBOL[list(b"#*$%&|<>")] = True
-BASE = np.uint64(0x9E3779B97F4A7C15)
 COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 
 
-class _Powers:
-    """BASE**i and its inverse modulo 2**64, grown as needed."""
-
-    def __init__(self):
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def to(self, n: int) -> None:
-        inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
-        with np.errstate(over="ignore"):
-            while len(self.up) < n:
-                self.up = np.concatenate([self.up, self.up * (self.up[-1] * BASE)])
-                self.down = np.concatenate([self.down, self.down * (self.down[-1] * inverse)])
-
-
-_powers = _Powers()
-
-
-class Batch:
-    """Bytes, words and word hashes of some texts, each text followed by one blank."""
-
-    def __init__(self, texts: list[str | None]):
-        raw = [(t or "").encode() + b" " for t in texts]
-        self.ends = np.cumsum([len(r) for r in raw])
-        self.starts = self.ends - [len(r) for r in raw]
-        self.data = np.frombuffer(b"".join(raw), np.uint8)
-        self.blank = BLANK[self.data]
-        edge = np.diff(np.concatenate([[1], self.blank.astype(np.int8)]))
-        self.word_start, self.word_end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-        self.word_doc = np.searchsorted(self.ends, self.word_start, side="right")
-        _powers.to(len(self.data) + 1)
-        with np.errstate(over="ignore"):
-            sums = np.concatenate([[np.uint64(0)], np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * _powers.up[: len(self.data)])])
-            self.word_hash = mix64((sums[self.word_end] - sums[self.word_start]) * _powers.down[self.word_start])
-        self.n_words = np.bincount(self.word_doc, minlength=len(raw))
+class Texts(Batch):
+    """What the rules and the classifier read off the words of some texts."""
 
     def per_doc(self, flags: np.ndarray) -> np.ndarray:
         """How many flagged bytes each text has."""
@@ -118,7 +84,7 @@ class Batch:
         return words.astype(np.int64), np.concatenate([self.word_doc, pair_doc]), gram[inside].astype(np.int64), doc[inside]
 
 
-def base_counts(texts: list[str | None], batch: Batch) -> pd.DataFrame:
+def base_counts(texts: list[str | None], batch: Texts) -> pd.DataFrame:
     dup = []
     for t in texts:
         lines = [x for x in (t or "").split("\n") if x.strip(" \t\n\v\f\r")]
@@ -128,7 +94,7 @@ def base_counts(texts: list[str | None], batch: Batch) -> pd.DataFrame:
         "n_symbols": batch.per_doc(SYMBOL[batch.data]), "n_dup_lines": dup, "n_repeat_words": batch.repeat_words()})
 
 
-def scores(batch: Batch, weights: np.ndarray) -> np.ndarray:
+def scores(batch: Texts, weights: np.ndarray) -> np.ndarray:
     """Mean weight of the words' features plus mean weight of the 4-grams, per text."""
     out = np.zeros(len(batch.ends))
     words, word_doc, grams, gram_doc = batch.features()
@@ -144,7 +110,7 @@ def train(texts: list[str], labels: np.ndarray, rounds: int = 60, l2: float = 1e
     cols, rows, vals = [], [], []
     first = 0
     for at in np.array_split(np.arange(len(texts)), max(1, len(texts) // 200)):
-        words, word_doc, grams, gram_doc = Batch([texts[i] for i in at]).features()
+        words, word_doc, grams, gram_doc = Texts([texts[i] for i in at]).features()
         for index, doc in ((words, word_doc), (grams, gram_doc)):
             n = np.bincount(doc, minlength=len(at))
             key, count = np.unique(doc.astype(np.int64) << (BITS + 1) | index, return_counts=True)
@@ -211,7 +177,7 @@ def judge(docs: DataFrame, model) -> DataFrame:
     """``docs`` with ``q_``: a struct of the counts, base_failed, probability and kept."""
 
     def rate(texts: list[str | None]) -> pa.Array:
-        batch = Batch(texts)
+        batch = Texts(texts)
         out = base_counts(texts, batch)
         out["base_failed"] = (out["n_words"] < MIN_WORDS) | (100 * out["n_repeat_words"] > MAX_REPEAT_PERCENT * out["n_words"])
         p = np.ones(len(out))

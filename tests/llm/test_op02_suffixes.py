@@ -4,7 +4,8 @@ import random
 import numpy as np
 from cases import as_sf, edge_docs, edge_rows, empty_docs, words
 
-from coderail.llm.op02_suffixes import COVER, MOD, WINDOW, anchors, dedup_substrings, op2_substring_suffixes, running
+from coderail.llm.op02_suffixes import COVER, MOD, WINDOW, anchors, dedup_substrings, op2_substring_suffixes
+from coderail.llm.words import running
 
 
 def brute(rows):
