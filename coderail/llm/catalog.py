@@ -12,6 +12,8 @@ from coderail.llm.op03_token_counts import op3_token_counts
 from coderail.llm.op04_quality import op4_quality_rules
 from coderail.llm.op05_simhash import op5_simhash
 from coderail.llm.op06_chaining import op6_fuzzy_passages
+from coderail.llm.op07_licenses import op7_license_scan
+from coderail.llm.op08_topk import OP8_SQL, op8_block_topk
 from coderail.llm.op09_packing import op9_ffd_packing
 from coderail.llm.op10_mixing import op10_mixing
 
@@ -22,8 +24,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
     "op5_simhash": op5_simhash,
     "op6_fuzzy_passages": op6_fuzzy_passages,
+    "op7_license_scan": op7_license_scan,
+    "op8_block_topk": op8_block_topk,
     "op9_ffd_packing": op9_ffd_packing,
     "op10_mixing": op10_mixing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op8_block_topk": OP8_SQL}
