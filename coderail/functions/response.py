@@ -1,8 +1,7 @@
 """Model answers as Column expressions: fence removal, JSON checks, field access, confidence coercion.
 
 Mirrors Python's ``json.loads`` + ``float()`` semantics as closely as built-in expressions allow;
-the known gaps (bare NaN/Infinity literals, booleans as confidence, non-string values rendered as
-JSON instead of Python repr) are listed in the README.
+the known gap (non-string values rendered as JSON instead of Python repr) is listed in the README.
 """
 
 from __future__ import annotations
@@ -45,9 +44,25 @@ def json_trimmed(s) -> Column:
     return F.regexp_replace(_c(s), _JSON_WS_STRIP, "")
 
 
+def bare_literals_quoted(t) -> Column:
+    """``json.loads`` reads NaN, Infinity and -Infinity as numbers; the parsers here reject them. In text
+    that does not parse as it is, such a literal in value position becomes a string (``float()`` reads both alike)."""
+    c = _c(t)
+    quoted = F.regexp_replace(c, r'([:\[,][ \t\n\r]*)(-?Infinity|NaN)(?=[ \t\n\r]*[,}\]])', '$1"$2"')
+    return F.when(c.rlike("Infinity|NaN") & F.try_parse_json(c).isNull(), quoted).otherwise(c)
+
+
+def one_document(t) -> Column:
+    """Nothing follows the first complete document. The parsers stop after it; inside an array, and
+    inside an object, every rest breaks the syntax of at least one of the two or adds an element."""
+    c = _c(t)
+    return ((F.json_array_length(F.concat(F.lit("["), c, F.lit("]"))) == 1)
+            & F.json_object_keys(F.concat(F.lit('{"k":'), c, F.lit("}"))).isNotNull())
+
+
 def json_kind(s) -> Column:
     """'object' | 'array' | 'string' | 'scalar' | NULL (not valid JSON text)."""
-    t = json_trimmed(s)
+    t = bare_literals_quoted(json_trimmed(s))
     # Keys are only needed when the variant parser rejects the text (duplicate keys); the CASE
     # evaluates them for those rows only, so valid answers are parsed once.
     parsed = F.try_parse_json(t).isNotNull()
@@ -58,34 +73,23 @@ def json_kind(s) -> Column:
 def kind_of(t: Column, keys: Column, parsed_variant: Column) -> Column:
     """JSON kind from the trimmed text, its object keys and whether it parses as a variant.
 
-    A variant rejects duplicate keys (Python keeps the last one), and neither parser rejects
-    trailing text after a complete document, so the first/last character must also agree.
+    A variant rejects duplicate keys (Python keeps the last one), and no parser rejects text after
+    a complete document, hence :func:`one_document`.
     """
     dup_keys = keys.isNotNull() & (F.size(keys) > F.size(F.array_distinct(keys)))
-    parsed = parsed_variant | dup_keys
     first = F.substring(t, 1, 1)
-    last = F.substring(t, -1, 1)
-    closed = (F.when(first == "{", last == "}").when(first == "[", last == "]")
-              .when(first == '"', last == '"').otherwise(t.rlike(r"^[-+0-9.eEa-z]+$")))
-    ok = parsed & closed
-    return (F.when(~ok | t.isNull(), F.lit(None).cast("string"))
+    plain = first.isin("{", "[", '"') | t.rlike(r"^[-+0-9.eEa-z]+$")
+    bare = t.isin("NaN", "Infinity", "-Infinity")
+    ok = bare | ((parsed_variant | dup_keys) & plain & one_document(t))
+    return (F.when(~F.coalesce(ok, F.lit(False)), F.lit(None).cast("string"))
             .when(first == "{", "object").when(first == "[", "array")
             .when(first == '"', "string").otherwise("scalar"))
 
 
-def guard_error(raw) -> Column:
-    """Why a raw answer is rejected before validation: 'empty' | 'html' | 'invalid_json' | NULL (ok)."""
-    r = _c(raw)
-    return (F.when(r.isNull() | (r == ""), F.lit("empty"))
-            .when(py_strip(r).startswith("<"), F.lit("html"))
-            .when(json_kind(strip_fence(r)).isNull(), F.lit("invalid_json"))
-            .otherwise(F.lit(None).cast("string")))
-
-
-def missing_fields(clean) -> Column:
-    """Required fields absent from the object, in the fixed order (NULL-valued fields are present)."""
-    keys = F.coalesce(F.json_object_keys(json_trimmed(_c(clean))), F.array().cast("array<string>"))
-    return F.array_except(F.array(*[F.lit(f) for f in REQUIRED_FIELDS]), keys)
+def bare_boolean_confidence(t) -> Column:
+    """1.0 / 0.0 when the confidence is a JSON boolean (``float(True)``), else NULL."""
+    word = F.regexp_extract(_c(t), r'"confidence"[ \t\n\r]*:[ \t\n\r]*(true|false)\b', 1)
+    return F.when(word == "true", F.lit(1.0)).when(word == "false", F.lit(0.0))
 
 
 def py_list_text(arr: Column) -> Column:

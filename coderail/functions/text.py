@@ -49,10 +49,6 @@ def collapse_whitespace(c) -> Column:
     return F.regexp_replace(py_strip(c), _RUN_RE, " ")
 
 
-def is_blank(c) -> Column:
-    return _col(c).rlike(_WS_ONLY_RE)
-
-
 def format_2dp(c) -> Column:
     """``f"{x:.2f}"`` for values in [0, 1]: round-half-even on the binary value (``format_number``).
 

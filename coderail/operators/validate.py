@@ -15,8 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.response import (ANSWER_SCHEMA, REQUIRED_FIELDS, json_trimmed, kind_of, parse_float_text,
-                                  py_list_text, strip_fence)
+from ..functions.response import (ANSWER_SCHEMA, REQUIRED_FIELDS, bare_boolean_confidence, bare_literals_quoted,
+                                  json_trimmed, kind_of, parse_float_text, py_list_text, strip_fence)
 from ..functions.text import confidence_level
 
 # Reasoning texts of the default record.
@@ -41,22 +41,26 @@ _TMP = ["_clean", "_t", "_keys", "_parsed", "_j", "_kind", "_miss", "_conf", "_o
 
 
 def validate_responses(df: DataFrame, raw: str = "response", keep_clean: bool = False,
-                       observation=None) -> DataFrame:
-    """Adds ai_code, confidence, confidence_level, reasoning and outcome. Never drops a row.
+                       observation=None, on_invalid: str = "default") -> DataFrame:
+    """Adds ai_code, confidence, confidence_level, reasoning and outcome.
+
+    ``on_invalid`` says what becomes of an answer that is no JSON: ``default`` (code "0"), ``raw`` (the
+    answer itself as the code, confidence 0) or ``drop`` (no row). Nothing else ever drops a row.
 
     Built as a few stacked projections, each parsing once: the JSON text is scanned for keys,
     validity and fields once per row, and later stages only read the resulting columns (one giant
     expression would repeat the parses in every branch and outgrow whole-stage code generation).
     """
     t = df.withColumn("_clean", strip_fence(F.col(raw)))
-    t = t.withColumn("_t", json_trimmed(F.col("_clean")))
+    t = t.withColumn("_t", bare_literals_quoted(json_trimmed(F.col("_clean"))))
     t = t.withColumns({"_keys": F.json_object_keys(F.col("_t")),
                        "_parsed": F.try_parse_json(F.col("_t")).isNotNull(),
-                       "_j": F.from_json(F.col("_clean"), ANSWER_SCHEMA)})
+                       "_j": F.from_json(F.col("_t"), ANSWER_SCHEMA)})
     t = t.withColumns({"_kind": kind_of(F.col("_t"), F.col("_keys"), F.col("_parsed")),
                        "_miss": F.array_except(F.array(*[F.lit(f) for f in REQUIRED_FIELDS]),
                                                F.coalesce(F.col("_keys"), F.array().cast("array<string>"))),
-                       "_conf": parse_float_text(F.col("_j.confidence"))})
+                       "_conf": F.coalesce(F.when(F.col("_j.confidence").isin("true", "false"), bare_boolean_confidence("_t")),
+                                           parse_float_text(F.col("_j.confidence")))})
     kind, miss, conf, j = F.col("_kind"), F.col("_miss"), F.col("_conf"), F.col("_j")
     t = t.withColumn("_outcome", F.when(kind.isNull(), "invalid_json")
                      .when(kind.isin("array", "string"), "missing_fields")
@@ -66,9 +70,13 @@ def validate_responses(df: DataFrame, raw: str = "response", keep_clean: bool =
                      .when(F.isnan(conf), "nan_confidence")
                      .when((conf < 0) | (conf > 1), "clamped")
                      .otherwise("ok"))
+    if on_invalid not in ("default", "raw", "drop"):
+        raise ValueError(f"on_invalid: {on_invalid}")
     outcome = F.col("_outcome")
     default = outcome.isin("invalid_json", "missing_fields", "not_object", "nan_confidence")
     value = F.when(default, F.lit("0")).otherwise(F.coalesce(j["value"], F.lit("None")))
+    if on_invalid == "raw":
+        value = F.when(outcome == "invalid_json", F.coalesce(F.col(raw), F.lit(""))).otherwise(value)
     confidence = (F.when(default | (outcome == "bad_confidence"), F.lit(0.0))
                   .otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), conf))))
     all_missing = F.array(*[F.lit(f) for f in REQUIRED_FIELDS])
@@ -85,6 +93,8 @@ def validate_responses(df: DataFrame, raw: str = "response", keep_clean: bool =
     # Pass a ``pyspark.sql.Observation`` to read the counts after the first action.
     t = t.observe(observation or _metrics_name("validation"), F.count(F.lit(1)).alias("answers"),
                   *[F.count_if(F.col("outcome") == o).alias(o) for o in OUTCOMES])
+    if on_invalid == "drop":
+        t = t.filter(F.col("outcome") != "invalid_json")
     if keep_clean:
         t = t.withColumnRenamed("_clean", "clean")
     return t.drop(*_TMP)
