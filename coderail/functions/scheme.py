@@ -61,7 +61,7 @@ def simplify_name(name, protect_derived: bool = False) -> Column:
     lower-case letter of the name. ``protect_derived`` keeps a ``_DERIVED_`` prefix (current pipeline)."""
     src = _c(name)
     is_derived = src.startswith(DERIVED_PREFIX)
-    base = F.when(is_derived, F.substring(src, len(DERIVED_PREFIX) + 1, 1 << 30)).otherwise(src) \
+    base = F.when(is_derived, F.substr(src, F.lit(len(DERIVED_PREFIX) + 1))).otherwise(src) \
         if protect_derived else src
     out = base
     for p in SIMPLIFY_PATTERNS:
@@ -195,6 +195,7 @@ def clean_values(values, variant: str = "fix") -> Column:
 
 
 # ------------------------------------------------------------------ S15 bare names, S16 value formats
+# Fixed value: numbering prefix of a display name.
 BARE_NAME = r"(?i)^\d+(?:\.\d+)*(?:\s*[a-z])?\s+(.+)$"
 
 

@@ -1,107 +1,37 @@
 """Position of a row inside its group, robust to a group holding a large share of all rows.
 
 A ``row_number()`` window sends each group whole to one task. Here the rows are range-partitioned
-by (group, order): sampled bounds split a hot group over many tasks. Each partition numbers its
-rows per group in one vectorised pass; a group continuing from earlier partitions then adds the
-row count it has there. Only the first group of a partition can continue from earlier partitions,
-so that offset table has at most one row per partition: a proven bound, broadcast.
+by (group, order): sampled bounds split a hot group over many tasks. A window per (partition, group)
+numbers the rows where they are; a group continuing from earlier partitions then adds the row count
+it has there. One plan for every input: nothing is counted first.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import shared_dir
 
 
-def _same_as_previous(pdf: pd.DataFrame, group: list[str]) -> pd.Series:
-    """Per row: equal to the row before in every group column (NULL equals NULL). Vectorised."""
-    same = pd.Series(True, index=pdf.index)
-    for g in group:
-        s, prev = pdf[g], pdf[g].shift()
-        same &= (s == prev) | (s.isna() & prev.isna())
-    same.iloc[0] = False
-    return same
-
-
-def _key_of(row: pd.Series, group: list[str]) -> tuple:
-    return tuple(None if pd.isna(row[g]) else row[g] for g in group)
-
-
-def _local_ranks(group: list[str]):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
-        prev_key, run_len = None, 0
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pdf = pdf.reset_index(drop=True)
-            starts = ~_same_as_previous(pdf, group)
-            # the batch may continue the last group of the previous batch of this partition
-            cont = prev_key is not None and _key_of(pdf.iloc[0], group) == prev_key
-            if cont:
-                starts.iloc[0] = False
-            gid = starts.cumsum()
-            local = pdf.groupby(gid.values).cumcount().astype("int64")
-            if cont:
-                local = local.where(gid != gid.iloc[0], local + run_len)
-            out = pdf.copy()
-            out["_pid"] = pid
-            out["_lrank"] = local.values
-            prev_key = _key_of(pdf.iloc[-1], group)
-            run_len = int(out["_lrank"].iloc[-1]) + 1
-            yield out
-    return run
-
-
 def rank_within(df: DataFrame, group: Sequence[str], order: str, out: str = "rank",
                 num_partitions: int | None = None) -> DataFrame:
-    """Adds ``out`` = 0-based position of the row in its ``group`` by ``order`` (ties keep the
-    order of the frozen, checkpointed sort)."""
+    """Adds ``out`` = 0-based position of the row in its ``group`` by ``order`` (ties in any order)."""
     spark = df.sparkSession
     group = list(group)
-    # Without an explicit count AQE may coalesce the ranges of small inputs; coalesced partitions
-    # are still contiguous key ranges in partition-index order, which is all the offsets rely on.
-    s = df.repartitionByRange(num_partitions, *group, order) if num_partitions else \
-        df.repartitionByRange(*group, order)
-    s = s.sortWithinPartitions(*group, order)
-    schema = T.StructType(s.schema.fields + [T.StructField("_pid", T.IntegerType(), False),
-                                              T.StructField("_lrank", T.LongType(), False)])
-    local = s.mapInPandas(_local_ranks(group), schema)
-    # Freeze partition ids and local ranks (a recomputation could fetch shuffle blocks in another
-    # order and break ties differently) and cut the lineage: reliable checkpoint, shared folder.
+    s = df.repartitionByRange(num_partitions, *group, order) if num_partitions else df.repartitionByRange(*group, order)
+    # The partition numbers are frozen by a reliable checkpoint in the shared folder: a recomputation
+    # would otherwise be free to place rows with equal keys differently.
     shared_dir(spark)
-    local = local.checkpoint()
-    counts = local.groupBy("_pid", *group).agg(F.count(F.lit(1)).alias("_cnt"))
-    w = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.sum("_cnt").over(w)).filter(F.col("_off") > 0).select(
-        "_pid", *group, "_off")
-    j = local.join(F.broadcast(offsets), ["_pid", *group], "left")
-    return j.withColumn(out, F.col("_lrank") + F.coalesce(F.col("_off"), F.lit(0))).drop("_pid", "_lrank", "_off") \
-        .select(*df.columns, out)
-
-
-# Largest group a plain row_number window may send to one task (it buffers and spills beyond
-# memory, but a larger group would make that one task the straggler of the stage).
-MAX_WINDOW_GROUP = 1_000_000
-
-
-def position_in_group(df: DataFrame, group: Sequence[str], order: str, out: str = "rank",
-                      max_window_group: int | None = None) -> DataFrame:
-    """0-based position of each row in its group by ``order``, choosing the plan by an exact check.
-
-    One small job counts rows per group (partial aggregation) and takes the largest. Up to
-    ``max_window_group`` rows a plain ``row_number`` window is safe and cheapest; beyond it
-    :func:`rank_within` splits hot groups over many tasks."""
-    group = list(group)
-    bound = MAX_WINDOW_GROUP if max_window_group is None else max_window_group
-    largest = df.groupBy(*group).count().agg(F.max("count")).first()[0]
-    if largest is None or largest <= bound:
-        return df.withColumn(out, F.row_number().over(Window.partitionBy(*group).orderBy(order)) - 1)
-    return rank_within(df, group, order, out=out)
+    placed = s.withColumn("_pid", F.spark_partition_id()).checkpoint()
+    counts = placed.groupBy("_pid", *group).agg(F.count(F.lit(1)).alias("_cnt"))
+    earlier = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", *group, F.coalesce(F.sum("_cnt").over(earlier), F.lit(0)).alias("_off"))
+    local = placed.withColumn("_lrank", F.row_number().over(Window.partitionBy("_pid", *group).orderBy(order)) - 1)
+    same = F.lit(True)
+    for c in ("_pid", *group):
+        same &= F.col(f"l.{c}").eqNullSafe(F.col(f"o.{c}"))
+    return (local.alias("l").join(offsets.alias("o"), same)
+            .select(*[F.col(f"l.{c}") for c in df.columns], (F.col("_lrank") + F.col("_off")).alias(out)))

@@ -13,25 +13,41 @@ from ..functions.text import py_strip
 SCHEME_VERSION = "1.0"
 
 
-def unique_keys(df: DataFrame, group: str = "scheme_id", key: str = "key", order: str = "ordinal",
-                skew_safe: bool = True) -> DataFrame:
-    """A repeated key gets ``_1``, ``_2``... in row order; the first stays bare. Rows whose key is
-    empty are dropped (the importer skips them).
-
-    ``skew_safe`` numbers with :func:`coderail.operators.ranking.position_in_group`: an exact
-    check of the largest (scheme, key) group picks a plain window when every group is small, and
-    the range-partitioned :func:`coderail.operators.ranking.rank_within` when one key is repeated
-    across a large share of rows. ``False`` always uses the plain window.
+def unique_keys(df: DataFrame, group: str = "scheme_id", key: str = "key", order: str = "ordinal") -> DataFrame:
+    """A repeated key gets ``_1``, ``_2``... in row order, counting on past names that are taken; the
+    first stays bare. Rows whose key is empty are dropped (the importer skips them).
+
+    Positions come from the skew-safe :func:`coderail.operators.ranking.rank_within`. A numbered name
+    can only meet another key of its family (the same key without trailing numbers), so only families
+    with a repeated key next to a different one are settled row by row, from (order, key) alone.
     """
-    from .ranking import position_in_group
-    d = df.filter(F.col(key) != "")
-    if skew_safe:
-        d = position_in_group(d, [group, key], order, out="_rn")
-    else:
-        d = d.withColumn("_rn", F.row_number().over(Window.partitionBy(group, key).orderBy(order)) - 1)
+    from .ranking import rank_within
+    d = rank_within(df.filter(F.col(key) != ""), [group, key], order, out="_rn")
+    d = d.withColumn("_root", F.regexp_replace(key, "(_[0-9]+)+$", ""))
+    mixed = (d.groupBy(group, "_root").agg(F.min(key).alias("_lo"), F.max(key).alias("_hi"), F.max("_rn").alias("_most"))
+             .filter((F.col("_lo") != F.col("_hi")) & (F.col("_most") > 0)).select(group, "_root"))
+
+    def settle(pdf):
+        used, counters, names = set(), {}, []
+        pdf = pdf.sort_values(order, kind="stable")
+        for k in pdf[key]:
+            name = k
+            if k in used:
+                n = counters.get(k, 1)
+                while f"{k}_{n}" in used:
+                    n += 1
+                counters[k], name = n + 1, f"{k}_{n}"
+            used.add(name)
+            names.append(name)
+        return pdf[[group, order]].assign(_name=names)
+
+    kinds = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in (group, order))
+    settled = (d.join(mixed, [group, "_root"], "left_semi").select(group, "_root", order, key)
+               .groupBy(group, "_root").applyInPandas(settle, f"{kinds}, _name string"))
     rn = F.col("_rn")
-    out = d.withColumn(key, F.when(rn == 0, F.col(key)).otherwise(F.concat(F.col(key), F.lit("_"), rn.cast("string"))))
-    return out.drop("_rn")
+    counted = F.when(rn == 0, F.col(key)).otherwise(F.concat(F.col(key), F.lit("_"), rn.cast("string")))
+    out = d.join(settled, [group, order], "left")
+    return out.withColumn(key, F.coalesce("_name", counted)).select(*df.columns)
 
 
 def normalise_scheme(rows: DataFrame, group: str = "scheme_id", order: str = "ordinal") -> DataFrame:
@@ -68,8 +84,7 @@ def filter_categories(scheme: DataFrame, include_derived: bool = True, name: str
 
     The order is returned as a global ``orderBy`` (range-partitioned, so a large scheme is spread
     over many tasks). ``position`` names an optional 0-based column with the place of the category
-    in its scheme's menu, computed by the checked, skew-safe
-    :func:`coderail.operators.ranking.position_in_group`.
+    in its scheme's menu, computed by the skew-safe :func:`coderail.operators.ranking.rank_within`.
     """
     label = F.coalesce(F.col(name), F.col("key")) if "key" in scheme.columns else F.col(name)
     out = scheme.filter(S.has_number(label))
@@ -78,9 +93,9 @@ def filter_categories(scheme: DataFrame, include_derived: bool = True, name: str
     k = S.category_sort_key(label)
     out = out.withColumns({"n1": k["n1"], "n2": k["n2"], "n3": k["n3"], "suffix": k["suffix"]})
     if position:
-        from .ranking import position_in_group
+        from .ranking import rank_within
         out = out.withColumn("_menu", F.struct("n1", "n2", "n3", "suffix", "ordinal"))
-        out = position_in_group(out, ["scheme_id"], "_menu", out=position).drop("_menu")
+        out = rank_within(out, ["scheme_id"], "_menu", out=position).drop("_menu")
     return out.orderBy("scheme_id", "n1", "n2", "n3", "suffix", "ordinal")
 
 
@@ -89,22 +104,40 @@ def drop_derived(scheme: DataFrame) -> DataFrame:
     return scheme.filter(~F.col("key").startswith(S.DERIVED_PREFIX))
 
 
+def fix_scheme(scheme: DataFrame) -> DataFrame:
+    """The fix step between import and validation: the key becomes the display name, its number is cut
+    for ``simplified_name``, criteria, examples and values are cleaned; conditions stay."""
+    return scheme.withColumns({
+        "display_name": F.col("key"), "simplified_name": S.simplify_name(F.col("key")),
+        "criteria": S.clean_criteria(F.coalesce("criteria", F.lit(""))),
+        "examples": S.clean_examples(F.coalesce("examples", F.array().cast("array<string>"))),
+        "values_text": S.clean_values(F.col("values_text"))})
+
+
+def build_scheme(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Import -> fix -> validate: the fixed scheme and its violations (an empty table: valid)."""
+    fixed = fix_scheme(normalise_scheme(rows))
+    return fixed, scheme_violations(fixed)
+
+
 def scheme_violations(scheme: DataFrame, group: str = "scheme_id", order: str = "ordinal") -> DataFrame:
     """Every violated rule per category (the validator stops at the first):
-    duplicate_name (a later category with the same bare name), key_collision (a numbered key that
-    equals another key of the scheme; the importer would count further), missing_criteria,
-    missing_examples, missing_values, condition_unpacking.
+    duplicate_name (a later category with the same bare name), key_collision (a later category with the
+    same key), missing_criteria, missing_examples, missing_values, condition_unpacking.
 
-    The duplicate test is an aggregate (first ordinal per bare name) joined back, not a window, so a
-    name shared by many rows is combined map-side and the join can be split by AQE.
+    A category without a display name goes by its key, as in the validator; one without either still
+    gets its other rules. Both tests are aggregates (first ordinal per name, per key) joined back, not
+    windows, so a name shared by many rows is combined map-side and the joins can be split by AQE.
     """
-    named = scheme.withColumn("_bare", S.bare_name(F.col("display_name")))
-    first = named.groupBy(group, "_bare").agg(F.min(order).alias("_first"))
-    first_key = named.groupBy(group, "key").agg(F.min(order).alias("_first_key"))
-    j = named.join(first, [group, "_bare"], "inner").join(first_key, [group, "key"], "inner")
+    key = F.coalesce("key", F.lit(""))
+    named = scheme.withColumns({"_bare": S.bare_name(F.coalesce("display_name", key)), "_key": key})
+    first = named.groupBy(F.col(group).alias("_g1"), F.col("_bare").alias("_b1")).agg(F.min(order).alias("_first"))
+    first_key = named.groupBy(F.col(group).alias("_g2"), F.col("_key").alias("_k2")).agg(F.min(order).alias("_first_key"))
+    j = (named.join(first, F.col(group).eqNullSafe(F.col("_g1")) & (F.col("_bare") == F.col("_b1")))
+         .join(first_key, F.col(group).eqNullSafe(F.col("_g2")) & (F.col("_key") == F.col("_k2"))))
     rules = F.array(
-        F.when(F.col(order) > F.col("_first"), F.lit("duplicate_name")),
-        F.when(F.col(order) > F.col("_first_key"), F.lit("key_collision")),
+        F.when((F.col(order) > F.col("_first")) & (F.col("_bare") != ""), F.lit("duplicate_name")),
+        F.when((F.col(order) > F.col("_first_key")) & (F.col("_key") != ""), F.lit("key_collision")),
         F.when(F.col("criteria").isNull(), F.lit("missing_criteria")),
         F.when(F.col("examples").isNull(), F.lit("missing_examples")),
         F.when(F.col("values_text").isNull(), F.lit("missing_values")),
@@ -139,12 +172,12 @@ class SchemeStructureError(ValueError):
 
 def load_scheme(spark, path: str) -> DataFrame:
     """Reads scheme documents written by :func:`assemble_scheme` (or any JSON lines of that shape)
-    with an explicit schema. Structure checks of the reference become plan-time column checks plus a
-    ``problem`` column per category (missing version / key / values)."""
-    df = spark.read.schema(CATEGORY_JSON_SCHEMA).json(path)
-    missing = [c for c in ("version", "key", "criteria", "examples", "values_text") if c not in df.columns]
+    with an explicit schema. A structure that misses a field everywhere is refused; otherwise a ``problem`` column per category (missing version / key / values)."""
+    found = spark.read.json(path).columns  # what the documents really hold, before the schema fills it up
+    missing = [c for c in ("version", "key", "criteria", "examples", "values_text") if c not in found]
     if missing:
         raise SchemeStructureError(f"coding_scheme must have {missing}")
+    df = spark.read.schema(CATEGORY_JSON_SCHEMA).json(path)
     problem = (F.when(F.col("version").isNull(), F.lit("missing_version"))
                .when(F.col("key").isNull(), F.lit("missing_key"))
                .when(F.col("values_text").isNull(), F.lit("missing_values")))

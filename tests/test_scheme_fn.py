@@ -1,6 +1,7 @@
 """Golden cases from the reference docstrings and scheme texts for the scheme-table rules."""
 
 from conftest import one_col
+import pytest
 from pyspark.sql import functions as F
 
 from coderail.functions import scheme as S
@@ -82,12 +83,49 @@ def test_filter_categories_position_is_menu_order(spark):
     rows = [("a", 1, "2.0.3 X"), ("a", 2, "1.1 Y"), ("a", 3, "2.0.3.1 Z"), ("a", 4, "Kein Nummer"), ("a", 5, "1.1a W"),
             ("b", 6, "3 V"), ("b", 7, "1 U")]
     df = spark.createDataFrame(rows, "scheme_id string, ordinal long, display_name string")
-    for bound in (1_000_000, 1):   # window plan, then the split plan
-        import coderail.operators.ranking as R
-        old, R.MAX_WINDOW_GROUP = R.MAX_WINDOW_GROUP, bound
-        try:
-            out = filter_categories(df, position="pos").collect()
-        finally:
-            R.MAX_WINDOW_GROUP = old
-        got = {(r.scheme_id, r.pos): r.ordinal for r in out}
-        assert got == {("a", 0): 2, ("a", 1): 5, ("a", 2): 1, ("a", 3): 3, ("b", 0): 7, ("b", 1): 6}
+    got = {(r.scheme_id, r.pos): r.ordinal for r in filter_categories(df, position="pos").collect()}
+    assert got == {("a", 0): 2, ("a", 1): 5, ("a", 2): 1, ("a", 3): 3, ("b", 0): 7, ("b", 1): 6}
+
+
+def test_unique_keys_count_past_taken_names(spark):
+    from coderail.operators.scheme import unique_keys
+
+    def importer(keys):
+        used = {}
+        for k in keys:
+            name, n = k, 0
+            while name in used:
+                n += 1
+                name = f"{k}_{n}"
+            used[name] = 1
+        return list(used)
+    cases = {"a": ["Foo", "Foo", "Foo_1"], "b": ["Foo_1", "Foo", "Foo", "Foo", "Foo_2", "Foo_2"], "c": ["p_1", "p_2", "p"],
+             "d": ["x"] * 5 + ["y", "x_3", "x"], "e": ["Foo", "Foo_1", "Foo_1", "Foo_1_1", "Foo"]}
+    rows = [(s, 10 * i, k) for s, ks in cases.items() for i, k in enumerate(ks)] + [("a", 99, "")]
+    got = unique_keys(spark.createDataFrame(rows, "scheme_id string, ordinal long, key string")).orderBy("scheme_id", "ordinal").collect()
+    for s, ks in cases.items():
+        assert [r.key for r in got if r.scheme_id == s] == importer(ks)
+
+
+def test_violations_keep_rows_without_names(spark):
+    from coderail.operators.scheme import scheme_violations
+    rows = [("a", 1, "K", "1.1 N", "c", ["e"], "v"), ("a", 2, "K", "2.1 N", None, ["e"], "v"), ("a", 3, "L", None, "c", None, "v"),
+            ("a", 4, None, None, "c", ["e"], None), ("a", 5, None, "L", "c", ["e"], "v")]
+    df = spark.createDataFrame(rows, "scheme_id string, ordinal long, key string, display_name string, criteria string, examples array<string>, values_text string")
+    got = sorted((r.ordinal, r.rule) for r in scheme_violations(df).collect())
+    assert got == [(2, "duplicate_name"), (2, "key_collision"), (2, "missing_criteria"), (3, "missing_examples"), (4, "missing_values"), (5, "duplicate_name")]
+
+
+def test_load_scheme_refuses_a_foreign_structure(spark, tmp_path):
+    from coderail.operators.scheme import SchemeStructureError, load_scheme
+    (tmp_path / "s.json").write_text('{"foo": 1}\n')
+    with pytest.raises(SchemeStructureError):
+        load_scheme(spark, str(tmp_path / "s.json"))
+
+
+def test_fix_scheme_cleans_every_field(spark):
+    from coderail.operators.scheme import fix_scheme
+    df = spark.createDataFrame([("a", 1, "2_0_Name", "2.0 Name", 'Kriterium:  a "b"', ["• x", '"y" '], "A; B;; -99")],
+                               "scheme_id string, ordinal long, key string, display_name string, criteria string, examples array<string>, values_text string")
+    r = fix_scheme(df).first()
+    assert (r.display_name, r.simplified_name, r.criteria, r.examples, r.values_text) == ("2_0_Name", "2_0_Name", "a 'b'", ["x", "'y'"], "A, B, -99")
