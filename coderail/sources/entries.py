@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-ENTRY_SCHEMA = "ordinal BIGINT, title STRING, description STRING"
+from ..operators.prep import require_columns
+
 NULL_MARKER = "\u0000<null>\u0000"
 
 
@@ -40,14 +41,15 @@ def _is_empty_file(spark: SparkSession, path: str) -> bool:
     return st.isFile() and st.getLen() == 0
 
 
-def load_entries(spark: SparkSession, path: str, fmt: str | None = None, schema: str = ENTRY_SCHEMA,
-                 ordinal_col: str | None = "ordinal") -> DataFrame:
+def load_entries(spark: SparkSession, path: str, fmt: str | None = None, ordinal_col: str | None = "ordinal") -> DataFrame:
     """Reads an entry table. The extension picks the reader (CSV unless told otherwise).
 
-    CSV is read with the given schema (never inferred), a header, RFC-4180 quoting and multi-line
-    fields. ``ordinal`` (input order) must come from the source; when the source has no such
-    column, ``ordinal_col=None`` numbers rows with ``monotonically_increasing_id`` (increasing in
-    file order for one file). Distinct errors for a missing file, an empty file and other failures.
+    CSV is read by its header: ``title`` and ``description`` are required, in any order and next to
+    any other columns, which are kept as text (types are never inferred). RFC-4180 quoting and
+    multi-line fields; a multi-line file is read by one task, so prefer Parquet for large input.
+    ``ordinal`` is the input order. A source without that column gets ``monotonically_increasing_id``
+    (increasing in file order for one file), as with ``ordinal_col=None``. Distinct errors for a
+    missing file, an empty file, missing columns and other failures.
     """
     kind = _fmt(path, fmt)
     if kind == "xlsx":
@@ -60,9 +62,9 @@ def load_entries(spark: SparkSession, path: str, fmt: str | None = None, schema:
             # An unquoted empty field is NULL, a quoted one ("") the empty string: with the default
             # nullValue "" both would read as NULL.
             rd = rd.option("nullValue", NULL_MARKER).option("emptyValue", "")
-            df = rd.schema(schema).csv(path)
+            df = rd.csv(path)
         elif kind == "json":
-            df = spark.read.schema(schema).json(path)
+            df = spark.read.json(path)
         else:
             df = spark.read.parquet(path)
     except AnalysisException as e:
@@ -71,11 +73,11 @@ def load_entries(spark: SparkSession, path: str, fmt: str | None = None, schema:
         raise ValueError(f"Error loading data file: {e}") from e
     if kind == "csv" and _is_empty_file(spark, path):
         raise EmptyDataError(f"Data file is empty: {path}")
-    if ordinal_col is None:
-        df = df.withColumn("ordinal", F.monotonically_increasing_id())
-    elif ordinal_col != "ordinal":
-        df = df.withColumnRenamed(ordinal_col, "ordinal")
-    return df
+    require_columns(df, ["title", "description"])
+    df = df.withColumns({c: F.col(c).cast("string") for c in ("title", "description")})
+    if ordinal_col is None or ordinal_col not in df.columns:
+        return df.withColumn("ordinal", F.monotonically_increasing_id())
+    return df.withColumn("ordinal", F.col(ordinal_col).cast("bigint"))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -7,7 +7,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-RUN_ID_FORMAT = "%Y%m%d_%H%M%S"
+# Microseconds keep two runs of one second apart; ids still sort in time order.
+RUN_ID_FORMAT = "%Y%m%d_%H%M%S_%f"
 
 
 def new_run_id(now: datetime | None = None) -> str:
@@ -15,10 +16,10 @@ def new_run_id(now: datetime | None = None) -> str:
 
 
 def write_results(df: DataFrame, base: str, run_id: str | None = None, fmt: str = "parquet") -> str:
-    """Appends one run below ``base`` partitioned by ``run_id``; returns the run id."""
+    """Writes one run to its own folder below ``base`` (``run_id=...``); returns the run id. Writing a
+    run again replaces it and leaves the other runs alone."""
     rid = run_id or new_run_id()
-    out = df.withColumn("run_id", F.lit(rid)) if "run_id" not in df.columns else df
-    out.write.mode("append").partitionBy("run_id").format(fmt).save(base)
+    df.drop("run_id").write.mode("overwrite").format(fmt).save(f"{base.rstrip('/')}/run_id={rid}")
     return rid
 
 
@@ -32,5 +33,8 @@ def latest_results(runs: DataFrame, run_col: str = "run_id") -> DataFrame:
     return runs.filter(F.col(run_col) == newest)
 
 
-def read_results(spark: SparkSession, base: str) -> DataFrame:
-    return spark.read.parquet(base)
+def read_results(spark: SparkSession, base: str, run_id: str | None = None) -> DataFrame:
+    """All runs with the columns of all of them (runs may code different categories), or one run with its own."""
+    if run_id is None:
+        return spark.read.option("mergeSchema", True).parquet(base).withColumn("run_id", F.col("run_id").cast("string"))
+    return spark.read.parquet(f"{base.rstrip('/')}/run_id={run_id}").withColumn("run_id", F.lit(run_id))

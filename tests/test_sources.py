@@ -36,3 +36,29 @@ def test_latest_results_prunes_partitions(spark, tmp_path):
     assert out.count() == 5
     empty = spark.createDataFrame([], "id long, run_id string")
     assert latest_results(empty).count() == 0
+
+
+def test_columns_come_by_header_name(spark, tmp_path):
+    from coderail.operators.prep import MissingColumnsError
+    (tmp_path / "swapped.csv").write_text("ordinal,description,title,lang\n5,d,t,de\n")
+    r = load_entries(spark, str(tmp_path / "swapped.csv")).first()
+    assert (r.ordinal, r.title, r.description, r.lang) == (5, "t", "d", "de")
+    (tmp_path / "bare.csv").write_text("title,description\na,b\nc,d\n")
+    rows = load_entries(spark, str(tmp_path / "bare.csv")).orderBy("ordinal").collect()
+    assert [(r.title, r.description) for r in rows] == [("a", "b"), ("c", "d")]
+    (tmp_path / "none.csv").write_text("title,text\na,b\n")
+    with pytest.raises(MissingColumnsError):
+        load_entries(spark, str(tmp_path / "none.csv"))
+
+
+def test_runs_with_other_categories_and_repeated_ids(spark, tmp_path):
+    from coderail.sources.results_io import new_run_id, read_results, write_results
+    base = str(tmp_path / "runs")
+    one = spark.createDataFrame([("t", "1")], "title string, ai_quality string")
+    two = spark.createDataFrame([("t", "0", "1")], "title string, ai_quality string, ai_length string")
+    write_results(one, base, "a")
+    write_results(two, base, "b")
+    write_results(two, base, "b")
+    assert sorted((r.run_id, r.ai_quality, r.ai_length) for r in read_results(spark, base).collect()) == [("a", "1", None), ("b", "0", "1")]
+    assert read_results(spark, base, "a").columns == ["title", "ai_quality", "run_id"]
+    assert new_run_id() != new_run_id()
