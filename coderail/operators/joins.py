@@ -9,30 +9,12 @@ from pyspark.sql import functions as F
 
 from ..functions.text import py_strip
 
-# Upper bound for anything we ship to every task (selected categories, scheme rules). A coding
-# scheme is a document of tens of categories; beyond this bound the caller must join instead.
-MAX_BROADCAST_CATEGORIES = 10_000
-
-
-def _collect_bounded(df: DataFrame, what: str, bound: int = MAX_BROADCAST_CATEGORIES):
-    rows = df.limit(bound + 1).collect()
-    if len(rows) > bound:
-        raise ValueError(f"{what}: more than {bound} rows; refusing to ship it to every task")
-    return rows
-
-
-def bounded_broadcast(df: DataFrame, what: str, bound: int = MAX_BROADCAST_CATEGORIES) -> DataFrame:
-    """Broadcast hint behind a size check: refuses a table with more than ``bound`` rows."""
-    if df.limit(bound + 1).count() > bound:
-        raise ValueError(f"{what}: more than {bound} rows; refusing to broadcast it")
-    return F.broadcast(df)
-
-
 def merge_codes(entries: DataFrame, codes: DataFrame, key: str = "title", fill: str = "0") -> DataFrame:
     """Left equi-join of texts with wide human codes on ``title`` (NULL matches NULL, as in pandas).
 
-    Every ``human_code_*`` column: missing -> "0", cast to string. Duplicate titles in ``codes``
-    multiply rows.
+    Every column of ``codes`` comes along (one that the texts have too as ``<name>_codes``);
+    ``human_code`` and ``human_code_*`` columns: missing -> "0", cast to string. Duplicate titles in
+    ``codes`` multiply rows.
 
     Written as (texts INNER codes) UNION (texts ANTI distinct code titles) rather than one LEFT
     join: AQE splits skewed partitions of a left outer join on the left side only, so a title
@@ -41,8 +23,9 @@ def merge_codes(entries: DataFrame, codes: DataFrame, key: str = "title", fill:
     input, so its shuffle (if any) is reused, and an input already hash-partitioned on the key
     (after dedupe) is not reshuffled at all. Broadcast or sort-merge is AQE's runtime choice.
     """
-    code_cols = [c for c in codes.columns if c.startswith("human_code_")]
-    c = codes.select(F.col(key).alias("_k"), *code_cols)
+    names = {c: f"{c}_codes" if c in entries.columns else c for c in codes.columns if c != key}
+    all_cols, code_cols = list(names.values()), [n for c, n in names.items() if c == "human_code" or c.startswith("human_code_")]
+    c = codes.select(F.col(key).alias("_k"), *[F.col(c).alias(n) for c, n in names.items()])
     # A non-nullable key never null-safe-equals NULL, so plain equality is the same join and keeps
     # the key as is: an input already hash-partitioned on it (e.g. after dedupe) is not reshuffled.
     def cond(right):
@@ -50,7 +33,7 @@ def merge_codes(entries: DataFrame, codes: DataFrame, key: str = "title", fill:
     matched = entries.join(c, cond(c), "inner").drop("_k")
     keys = c.select("_k").distinct()
     unmatched = entries.join(keys, cond(keys), "left_anti").select(
-        "*", *[F.lit(None).cast(c.schema[col].dataType).alias(col) for col in code_cols])
+        "*", *[F.lit(None).cast(c.schema[col].dataType).alias(col) for col in all_cols])
     j = matched.unionByName(unmatched)
     return j.withColumns({col: F.coalesce(F.col(col).cast("string"), F.lit(fill)) for col in code_cols})
 
@@ -74,27 +57,41 @@ def dedupe_selection(selected: DataFrame) -> DataFrame:
     return selected.groupBy("key").agg(F.min("ordinal").alias("ordinal")).select("ordinal", "key")
 
 
+def _aliases(scheme: DataFrame) -> DataFrame:
+    """(alias, key) of one scheme: its keys and, where it has them, its simplified names."""
+    s = scheme.withColumn("_one", F.lit(1))
+    if "simplified_name" not in scheme.columns:
+        s = s.withColumn("simplified_name", F.lit(None).cast("string"))
+    return scheme_aliases(s, group="_one").select("alias", "key")
+
+
 def selected_categories(selected: DataFrame, scheme: DataFrame) -> DataFrame:
-    """Known, de-duplicated selections joined with their scheme row (unknown keys are skipped)."""
-    sel = dedupe_selection(selected).withColumnRenamed("ordinal", "cat_ordinal")
+    """Known selections, by key or simplified name, joined with their scheme row; each category once,
+    at its first position (unknown names are skipped)."""
+    known = selected.withColumnRenamed("key", "alias").join(_aliases(scheme), "alias").select("ordinal", "key")
+    sel = dedupe_selection(known).withColumnRenamed("ordinal", "cat_ordinal")
     return sel.join(scheme.drop("ordinal"), "key", "inner")
 
 
 def unknown_categories(selected: DataFrame, scheme: DataFrame) -> DataFrame:
-    """Selected keys absent from the scheme (the reference warns and skips them)."""
-    return selected.join(scheme.select("key"), "key", "left_anti").select("ordinal", "key")
+    """Selected names that are neither a key nor a simplified name (the reference warns and skips them)."""
+    return selected.join(_aliases(scheme).select(F.col("alias").alias("key")), "key", "left_anti").select("ordinal", "key")
 
 
 def build_tasks(entries: DataFrame, selected: DataFrame, scheme: DataFrame,
-                cat_cols: Sequence[str] = ("display_name", "criteria", "examples", "values_text")) -> DataFrame:
+                cat_cols: Sequence[str] = ("display_name", "criteria", "examples", "values_text"),
+                max_selected: int | None = None) -> DataFrame:
     """Texts x selected categories (the task table), in entry order then selection order.
 
-    The category side is bounded by the scheme size; it is collected once (size-checked) and
-    fanned out with a generator, so no join and no shuffle happens: every entry partition emits its
-    own tasks where it is. Nothing selected -> empty task table.
+    The selection is what a user picked from the menu: it is read once and fanned out with a
+    generator, so no join and no shuffle happens and every entry partition emits its own tasks where
+    it is. ``max_selected`` (off by default) refuses a selection by mistake of a whole table.
+    Nothing selected -> empty task table.
     """
     cats = selected_categories(selected, scheme).select("cat_ordinal", F.col("key").alias("category"), *cat_cols)
-    rows = _collect_bounded(cats.orderBy("cat_ordinal"), "selected categories")
+    rows = cats.orderBy("cat_ordinal").collect()
+    if max_selected is not None and len(rows) > max_selected:
+        raise ValueError(f"{len(rows)} selected categories, more than {max_selected}")
     if not rows:
         return entries.select("*", F.lit(None).cast("int").alias("cat_ordinal"),
                               F.lit(None).cast("string").alias("category"),

@@ -103,6 +103,17 @@ def prepare_codes(df: DataFrame, code_col: str = "human_code", order: str = "ord
     return recode_invalid(out, code_col)
 
 
+def prepare_codes_wide(df: DataFrame, order: str = "ordinal") -> DataFrame:
+    """Wide human codes ready to merge: strip title, drop rows without one, first title wins, every
+    ``human_code_*`` column recoded to {0, 1} (missing stays missing: the merge fills it)."""
+    require_columns(df, ["title"])
+    cols = [c for c in df.columns if c.startswith("human_code_")]
+    out = dedupe_first(trim_columns(drop_missing(df.select(order, "title", *cols), ["title"]), ["title"]), ["title"], order)
+    for c in cols:
+        out = recode_invalid(out.withColumn("_was", F.col(c)), c).withColumn(c, F.when(F.col("_was").isNotNull(), F.col(c))).drop("_was")
+    return out
+
+
 # The entry record rules.
 CODE_PATTERN = r"^[01]$"
 

@@ -52,18 +52,9 @@ FORMAT_SUFFIX = ('\n\nBitte antworte im folgenden JSON-Format:\n{\n  "value": "0
 PLACEHOLDERS = ["[title]", "[description]", "[category_name]", "[criteria]", "[examples]", "[values]"]
 
 
-MAX_TEMPLATE_CHARS = 1_000_000
-
-
 def load_template(spark, path: str, strip: bool = True) -> str:
-    """Whole template file (one small file, read once on the driver); the current pipeline strips it.
-    The length is checked first, so a wrong path to a large file is refused instead of collected."""
-    from pyspark.sql import functions as F
-    files = spark.read.text(path, wholetext=True)
-    size = files.agg(F.coalesce(F.sum(F.length("value")), F.lit(0))).first()[0]
-    if size > MAX_TEMPLATE_CHARS:
-        raise ValueError(f"template {path}: {size} characters, more than {MAX_TEMPLATE_CHARS}")
-    text = "".join(r.value for r in files.collect())
+    """Whole template file (one file that goes into every prompt, read once); the current pipeline strips it."""
+    text = "".join(r.value for r in spark.read.text(path, wholetext=True).collect())
     return text.strip() if strip else text
 
 
@@ -104,6 +95,14 @@ def build_messages(df: DataFrame, prompt: str = "prompt", with_suffix: bool = Tr
     return df.withColumn("messages", msgs)
 
 
+def with_request(df: DataFrame, prompt: str = "prompt") -> DataFrame:
+    """``messages`` as the model gets them, and ``prompt_hash`` over all of them: an answer is reused only
+    for the same system message, prompt and format suffix."""
+    out = build_messages(df, prompt)
+    said = F.array_join(F.transform("messages", lambda m: m["content"]), "\n")
+    return out.withColumn("prompt_hash", F.sha2(said, 256))
+
+
 def _first_line_with(text: Column, marker: str) -> Column:
     """The first line of ``text`` that contains ``marker``; NULL when none does.
 
@@ -111,7 +110,7 @@ def _first_line_with(text: Column, marker: str) -> Column:
     array of all lines is built for a prompt that carries a whole text."""
     pos = F.instr(text, marker)
     before = F.substring_index(F.substring(text, F.lit(1), pos - 1), "\n", -1)
-    after = F.substring_index(F.substring(text, pos, F.lit(1 << 30)), "\n", 1)
+    after = F.substring_index(F.substr(text, pos), "\n", 1)
     return F.when(pos > 0, F.concat(before, after))
 
 

@@ -104,9 +104,17 @@ def paired_codes(coded: DataFrame, human: DataFrame, keys=("ordinal", "category"
     return a.join(human.select(*keys, "human_code"), list(keys), "inner")
 
 
-def confusion_counts(paired: DataFrame) -> DataFrame:
-    """Cells behind the agreement figures: rows per (category, human code, model code)."""
-    return paired.groupBy("category", "human_code", "ai_code").agg(F.count(F.lit(1)).alias("n"))
+def confusion_counts(paired: DataFrame, codes: Sequence[str] = ("0", "1")) -> DataFrame:
+    """Cells behind the agreement figures: rows per (category, human code, model code).
+
+    Every category has all cells over ``codes``, empty ones as 0; further codes appear where they occur."""
+    counted = paired.groupBy("category", "human_code", "ai_code").agg(F.count(F.lit(1)).alias("n"))
+    if not codes:
+        return counted
+    zero = F.array(*[F.struct(F.lit(h).alias("human_code"), F.lit(a).alias("ai_code"), F.lit(0).cast("bigint").alias("n"))
+                     for h in codes for a in codes])
+    zeros = paired.select("category").distinct().select("category", F.inline(zero))
+    return counted.unionByName(zeros).groupBy("category", "human_code", "ai_code").agg(F.sum("n").alias("n"))
 
 
 def agreement_kappa(paired: DataFrame) -> DataFrame:
@@ -119,7 +127,7 @@ def agreement_kappa(paired: DataFrame) -> DataFrame:
     chance term. Nothing is collected per category: the model's code is free text after
     normalisation, so the number of codes of a category has no proven bound.
     """
-    cells = confusion_counts(paired)
+    cells = confusion_counts(paired, ())
     n, zero = F.col("n"), F.lit(0).cast("bigint")
     agree = F.when(F.col("human_code") == F.col("ai_code"), n).otherwise(zero)
     sides = cells.select("category", F.inline(F.array(

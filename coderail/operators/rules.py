@@ -1,8 +1,9 @@
 """Derived categories and code rules declared in the scheme (the reference parses them but never
 evaluates them): any-in-range derivation, equality conditions, implied codes, disallowed codes.
 
-Rule tables are scheme-sized (bounded, size-checked) and are broadcast; code tables are text-sized
-and are never shuffled more than once per level.
+The range rules are read once as the scheme's own list (one per derived category) and become
+expressions; code tables are shuffled at most once. Other rule tables are joined plainly: Spark's own
+size checks choose a broadcast.
 """
 
 from __future__ import annotations
@@ -12,9 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scheme import allowed_codes, is_open_values
-from ..session import shared_dir
-from .joins import _collect_bounded, bounded_broadcast
+from ..functions.scheme import allowed_codes, clean_name, is_open_values
 
 
 def number_array(c) -> Column:
@@ -23,13 +22,61 @@ def number_array(c) -> Column:
     return F.transform(F.split(col, r"\.", -1), lambda x: x.try_cast("int"))
 
 
-def _bounded(df: DataFrame, what: str) -> DataFrame:
-    """Broadcast side with a proven bound: refuse when the rule table is larger than a scheme can be."""
-    return bounded_broadcast(df, what)
+def _number(text: str) -> list[int] | None:
+    try:
+        return [int(x) for x in text.split(".")]
+    except (AttributeError, ValueError):
+        return None
 
 
-def derive_any_in_range(codes: DataFrame, rules: DataFrame, doc: str = "doc_id",
-                        numbers: Sequence[str] | None = None) -> DataFrame:
+def _covers(rule, number: str) -> bool:
+    n, a, b = _number(number), _number(rule["range_start"]), _number(rule["range_end"])
+    return bool(n and a and b) and len(n) == len(a) and a <= n <= b
+
+
+class RuleCycleError(ValueError):
+    pass
+
+
+def rule_levels(rules: Sequence[dict]) -> list[int]:
+    """Evaluation order: a rule comes after the derived categories in its range (1 = none there)."""
+    needs = [[j for j, r in enumerate(rules) if _covers(rule, r["number"])] for rule in rules]
+    level = [0] * len(rules)
+    for now in range(1, len(rules) + 1):
+        ready = [i for i in range(len(rules)) if not level[i] and all(level[j] for j in needs[i])]
+        for i in ready:
+            level[i] = now
+        if not ready:
+            break
+    if not all(level):
+        raise RuleCycleError(f"conditions depend on each other: {[r['number'] for r, n in zip(rules, level) if not n]}")
+    return level
+
+
+def rules_from_conditions(scheme: DataFrame) -> tuple[DataFrame, list[tuple[str, str, str]]]:
+    """The conditions of one scheme as rules: range rules ``(level, number, range_start, range_end, code)``
+    for :func:`derive_any_in_range`, and equality rules ``(number, reference, value)`` for
+    :func:`derive_equals`.
+
+    The number is the one that leads the display name, the code the one that leads the value (the
+    parsed value goes on with "oder nein (0)"), the reference its bare name without number and quotes.
+    """
+    spark = scheme.sparkSession
+    lead = F.regexp_extract
+    rows = scheme.filter(F.col("condition").isNotNull()).orderBy("ordinal").select(
+        lead("display_name", r"^\s*(\d+(?:\.\d+)*)", 1).alias("number"), F.col("condition.type").alias("type"),
+        F.lower(clean_name(F.regexp_replace("condition.reference", r"^[^0-9A-Za-z\u00c0-\u024f]+(\d+(\.\d+)*\.?\s*)?|^\d+(\.\d+)*\.?\s*", "")))
+        .alias("reference"),
+        lead("condition.range_start", r"(\d+(?:\.\d+)*)", 1).alias("range_start"),
+        lead("condition.range_end", r"(\d+(?:\.\d+)*)", 1).alias("range_end"),
+        lead("condition.value", r"^\s*(-?\d+)", 1).alias("code")).collect()
+    ranges = [r.asDict() for r in rows if r["type"] == "any_in_range" and r["number"] and r["code"]]
+    made = [(n, r["number"], r["range_start"], r["range_end"], r["code"]) for n, r in zip(rule_levels(ranges), ranges)]
+    equals = [(r["number"], r["reference"], r["code"]) for r in rows if r["type"] == "equals" and r["number"]]
+    return spark.createDataFrame(made, "level int, number string, range_start string, range_end string, code string"), equals
+
+
+def derive_any_in_range(codes: DataFrame, rules: DataFrame, doc: str = "doc_id") -> DataFrame:
     """Code "1" for a derived category when any category of the text whose number lies in
     [range_start, range_end] at the same depth as the range ends has the rule's code, else "0".
 
@@ -37,48 +84,40 @@ def derive_any_in_range(codes: DataFrame, rules: DataFrame, doc: str = "doc_id",
     levels see the results of earlier ones (2.0.4 ranges over 2.1-2.6, themselves derived).
     Returns ``(doc_id, number, code, level)`` for every text x derived category.
 
-    The range condition is resolved on scheme-sized tables only: category numbers (those present in
-    the codes plus the derived ones, size-checked) x rules of the level give a coverage table
-    (number -> rule), which is broadcast into a plain equi-join with the codes. Each code row then
-    meets only the rules that cover it, and one partial-aggregating pass per text collects the hit
-    rules (bounded by the rule count, so a text holding a third of all rows stays small).
-    ``numbers`` (every category number the codes can hold, i.e. the scheme's, when the caller has
-    them) spares the pass over the codes that finds them.
+    One pass: each code row is compared with the rules where it is, one partial-aggregating group-by
+    per text collects the rules it hits (at most all of them), and every level is an expression over
+    that set. No join, no checkpoint, no second read of the codes.
     """
-    spark = codes.sparkSession
-    levels = sorted({r["level"] for r in _collect_bounded(rules.select("level").distinct(), "rule levels")})
-    r_all = rules.select("level", F.col("number").alias("r_number"), F.col("code").alias("r_code"),
-                         number_array("range_start").alias("r_start"), number_array("range_end").alias("r_end"))
-    if numbers is None:
-        leaf = [x["number"] for x in _collect_bounded(codes.select("number").distinct(), "category numbers")]
-    else:
-        leaf = list(numbers)
-    derived = [x["r_number"] for x in _collect_bounded(r_all.select("r_number"), "range rules")]
-    nums = (spark.createDataFrame([(n,) for n in dict.fromkeys(leaf + derived)], "number string")
-            .withColumn("_num", number_array("number")))
-    current = codes.select(doc, "number", "code")
-    out = None
-    for lv in levels:
-        r = r_all.filter(F.col("level") == lv)
-        cover = nums.join(F.broadcast(r), (F.size("_num") == F.size("r_start")) & (F.col("_num") >= F.col("r_start"))
-                          & (F.col("_num") <= F.col("r_end")), "inner").select("number", "r_number", "r_code")
-        cover = _bounded(cover, "range rule coverage")
-        numbers = [x["r_number"] for x in _collect_bounded(r.select("r_number"), "range rules")]
-        # A left join keeps every text, also those without any code in range ("0" everywhere).
-        hit = F.when(F.col("code") == F.col("r_code"), F.col("r_number"))
-        per_doc = current.join(cover, "number", "left").groupBy(doc).agg(F.collect_set(hit).alias("_hits"))
-        lvl = (per_doc.select(doc, "_hits", F.explode(F.array(*[F.lit(n) for n in numbers])).alias("number"))
-               .select(doc, "number",
-                       F.when(F.array_contains("_hits", F.col("number")), F.lit("1")).otherwise(F.lit("0"))
-                       .alias("code"), F.lit(lv).alias("level")))
-        if lv != levels[-1]:
-            # The next level reads this one: cut the lineage (reliable checkpoint in the shared
-            # folder) so that level is computed once and survives executor loss.
-            shared_dir(spark)
-            lvl = lvl.checkpoint()
-        out = lvl if out is None else out.unionByName(lvl)
-        current = current.unionByName(lvl.drop("level"))
-    return out
+    own = [r.asDict() for r in rules.select("level", "number", "range_start", "range_end", "code").orderBy("level", "number").collect()]
+    if not own:
+        return codes.select(doc, "number", "code", F.lit(0).alias("level")).limit(0)
+
+    def ints(text: str) -> Column:
+        return F.array(*[F.lit(n) for n in _number(text) or []]).cast("array<int>")
+    table = F.array(*[F.struct(F.lit(i).alias("i"), ints(r["range_start"]).alias("a"), ints(r["range_end"]).alias("b"),
+                               F.lit(r["code"]).alias("code")) for i, r in enumerate(own)])
+    n = number_array("number")
+    valid = F.forall(n, lambda x: x.isNotNull())
+    hit = F.filter(table, lambda r: valid & (F.size(n) == F.size(r["a"])) & (n >= r["a"]) & (n <= r["b"])
+                   & (F.col("code") == r["code"]))
+    per_doc = (codes.select(doc, F.coalesce(F.transform(hit, lambda r: r["i"]), F.array().cast("array<int>")).alias("_h"))
+               .groupBy(doc).agg(F.array_distinct(F.flatten(F.collect_set("_h"))).alias("_h")))
+    levels = sorted({r["level"] for r in own})
+    for lv in levels[1:]:
+        now = []
+        for i, r in enumerate(own):
+            below = [j for j, d in enumerate(own) if d["level"] < lv and _covers(r, d["number"])]
+            if r["level"] == lv and below and r["code"] in ("0", "1"):
+                found = [F.array_contains("_h", j) if r["code"] == "1" else ~F.array_contains("_h", j) for j in below]
+                any_found = found[0]
+                for f in found[1:]:
+                    any_found = any_found | f
+                now.append(F.when(any_found, F.lit(i)))
+        if now:
+            per_doc = per_doc.withColumn("_h", F.array_union("_h", F.array_compact(F.array(*now))))
+    out = F.array(*[F.struct(F.lit(r["number"]).alias("number"), F.when(F.array_contains("_h", i), "1").otherwise("0").alias("code"),
+                             F.lit(r["level"]).alias("level")) for i, r in enumerate(own)])
+    return per_doc.select(doc, F.inline(out))
 
 
 def derive_equals(wide: DataFrame, rules: Sequence[tuple[str, str, str, str]], doc: str = "doc_id") -> DataFrame:
@@ -95,7 +134,7 @@ def implied_codes(codes: DataFrame, rules: DataFrame, doc: str = "doc_id") -> Da
     """``rules(if_key, if_code, then_key, then_code)``: when a text has ``if_code`` for ``if_key``,
     its ``then_key`` code becomes ``then_code``. Returns all code rows with the rule applied and an
     ``implied`` flag for changed rows."""
-    r = _bounded(rules, "implication rules")
+    r = rules
     trig = (codes.join(r, (codes["number"] == r["if_key"]) & (codes["code"] == r["if_code"]), "inner")
             .groupBy(doc, F.col("then_key").alias("number")).agg(F.max("then_code").alias("_then")))
     j = codes.join(trig, [doc, "number"], "left")
@@ -107,8 +146,8 @@ def implied_codes(codes: DataFrame, rules: DataFrame, doc: str = "doc_id") -> Da
 def disallowed_codes(codes: DataFrame, values: DataFrame, doc: str = "doc_id") -> DataFrame:
     """Codes outside the category's allowed values (the ``(n)`` marks of its values text, plus -99
     when listed); open categories are exempt. ``values(category, values_text)`` is scheme-sized."""
-    v = _bounded(values.select("category", allowed_codes(F.col("values_text")).alias("_allowed"),
-                               is_open_values(F.col("values_text")).alias("_open")), "category values")
+    v = values.select("category", allowed_codes(F.col("values_text")).alias("_allowed"),
+                      is_open_values(F.col("values_text")).alias("_open"))
     j = codes.join(v, "category", "inner")
     return j.filter(~F.col("_open") & ~F.array_contains(F.col("_allowed"), F.col("code"))).select(
         doc, "category", "code")

@@ -17,7 +17,7 @@ from ..sources import entries as src_entries
 from ..sources import results_io
 from ..session import scratch_path
 from . import stages as P
-from .fixtures import FIXTURES, fixture, table
+from .fixtures import FIXTURES, TITLE, fixture, table
 from .sqlfn import collapse, fence, guard, normalise, strip, validated
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -60,7 +60,8 @@ SELECT ordinal, title, description FROM (
                 ("codes_raw",)),
     "o_cats": (f"""
 SELECT s.cat_ordinal, t.key AS category, t.display_name, t.criteria, {_RENDER} AS examples_rendered, t.values_text
-FROM (SELECT key, min(ordinal) AS cat_ordinal FROM selected GROUP BY key) s JOIN task_scheme t ON s.key = t.key""",
+FROM (SELECT t.key, min(s.ordinal) AS cat_ordinal FROM selected s JOIN task_scheme t ON s.key IN (t.key, t.simplified_name)
+      GROUP BY t.key) s JOIN task_scheme t ON s.key = t.key""",
                ("selected", "task_scheme")),
     "o_tasks": ("SELECT e.ordinal, e.title, e.description, c.* FROM o_entries e CROSS JOIN o_cats c",
                 ("o_entries", "o_cats")),
@@ -85,10 +86,16 @@ FROM o_entries e LEFT JOIN o_codes c ON e.title IS NOT DISTINCT FROM c.title""",
     "o_merged_tasks": (f"""
 SELECT title, description FROM (SELECT {strip('title')} AS title, {strip('description')} AS description
   FROM entries_raw) WHERE title IS NOT NULL AND description IS NOT NULL""", ("entries_raw",)),
+    "o_codes_prepared": ("""
+SELECT title, CASE WHEN human_code_quality IN ('0', '1') THEN human_code_quality WHEN human_code_quality IS NOT NULL THEN '0' END
+  AS human_code_quality, human_code_toxic
+FROM (SELECT *, row_number() OVER (PARTITION BY title ORDER BY ordinal) AS rn FROM o_codes WHERE title IS NOT NULL) WHERE rn = 1""",
+                         ("o_codes",)),
     "o_human": ("""
-SELECT ordinal, title, 'quality' AS category, human_code_quality AS human_code FROM o_merged
-UNION ALL SELECT ordinal, title, 'toxic', human_code_toxic FROM o_merged
-UNION ALL SELECT ordinal, title, 'length', '0' FROM o_merged""", ("o_merged",)),
+SELECT e.ordinal, e.title, k.category, CASE k.category WHEN 'quality' THEN coalesce(c.human_code_quality, '0')
+  WHEN 'toxic' THEN coalesce(c.human_code_toxic, '0') ELSE '0' END AS human_code
+FROM o_entries e LEFT JOIN o_codes_prepared c ON e.title = c.title
+CROSS JOIN (VALUES ('quality'), ('toxic'), ('length')) AS k(category)""", ("o_entries", "o_codes_prepared")),
     "o_paired": (f"""
 SELECT c.ordinal, c.category, {normalise('c.ai_code')} AS ai_code, c.confidence, c.title, h.human_code
 FROM o_coded c JOIN o_human h ON c.ordinal = h.ordinal AND c.category = h.category""", ("o_coded", "o_human")),
@@ -135,14 +142,22 @@ def q_csv_roundtrip(spark, sf):
     return src_entries.load_entries(spark, path, fmt="csv")
 
 
-@register("write_results")
+@register("write_results", """
+SELECT '20250519_144300' AS run_id, title, description, arg_max({N}, CASE WHEN category = 'quality' THEN {O} END) AS ai_quality,
+  CAST(NULL AS VARCHAR) AS ai_toxic FROM o_coded GROUP BY title, description
+UNION ALL
+SELECT '20250519_151643', title, description, arg_max({N}, CASE WHEN category = 'quality' THEN {O} END),
+  arg_max({N}, CASE WHEN category = 'toxic' THEN {O} END) FROM o_coded GROUP BY title, description"""
+          .replace("{N}", normalise("ai_code")).replace("{O}", "ordinal * 1000 + cat_ordinal")
+          .replace("title, description,", "title, " + collapse("description") + " AS description,"), ("o_coded",))
 def q_write_results(spark, sf):
-    """Two runs of the wide table appended below one base path, read back partition-pruned."""
+    """Two runs with different categories below one base path, the second written twice; all of it read back."""
     base = scratch_path(spark, "results")
-    wide = results.wide_results(P.coded(spark, sf), P.CATEGORIES)
-    results_io.write_results(wide, base, "20250519_144300")
-    results_io.write_results(wide, base, "20250519_151643")
-    return results_io.read_results(spark, base).filter(F.col("run_id") == "20250519_151643")
+    coded, texts = P.coded(spark, sf), P.entries(spark, sf)
+    results_io.write_results(results.wide_results(coded, ["quality"], entries=texts), base, "20250519_144300")
+    for _ in range(2):
+        results_io.write_results(results.wide_results(coded, ["quality", "toxic"], entries=texts), base, "20250519_151643")
+    return results_io.read_results(spark, base).select("run_id", "title", "description", "ai_quality", "ai_toxic")
 
 
 @register("latest_results", "SELECT * FROM runs WHERE run_id = (SELECT max(run_id) FROM runs)", ("runs",))
@@ -246,11 +261,17 @@ def q_build_tasks(spark, sf):
     return P.tasks(spark, sf).select("ordinal", "cat_ordinal", "category", "title", "display_name", "values_text")
 
 
-@register("unknown_categories", """
-SELECT event_id AS ordinal, category AS key FROM runs WHERE category NOT IN (SELECT key FROM task_scheme)""",
+_WISHES = """SELECT event_id AS ordinal, CASE event_id % 4 WHEN 0 THEN 'quality' WHEN 1 THEN 'Beleidigung' ELSE category END
+  AS key FROM runs"""
+
+
+@register("unknown_categories", f"""
+SELECT ordinal, key FROM ({_WISHES}) WHERE key NOT IN (SELECT key FROM task_scheme UNION ALL SELECT simplified_name FROM task_scheme)""",
           ("runs", "task_scheme"))
 def q_unknown_categories(spark, sf):
-    sel = fixture(spark, sf, "runs").select(F.col("event_id").alias("ordinal"), F.col("category").alias("key"))
+    """Wishes by key, by simplified name, and by names the scheme does not have."""
+    key = (F.when(F.col("event_id") % 4 == 0, "quality").when(F.col("event_id") % 4 == 1, "Beleidigung").otherwise(F.col("category")))
+    sel = fixture(spark, sf, "runs").select(F.col("event_id").alias("ordinal"), key.alias("key"))
     return joins.unknown_categories(sel, P.task_scheme(spark, sf))
 
 
@@ -510,8 +531,11 @@ def q_run_progress(spark, sf):
     return results.run_progress(P.tasks(spark, sf), P.coded(spark, sf))
 
 
-@register("confusion_counts", "SELECT category, human_code, ai_code, count(*) AS n FROM o_paired GROUP BY ALL",
-          ("o_paired",))
+@register("confusion_counts", """
+SELECT category, human_code, ai_code, CAST(sum(n) AS BIGINT) AS n FROM (
+  SELECT category, human_code, ai_code, 1 AS n FROM o_paired
+  UNION ALL SELECT DISTINCT p.category, h.c, a.c, 0 FROM o_paired p CROSS JOIN (VALUES ('0'), ('1')) AS h(c)
+    CROSS JOIN (VALUES ('0'), ('1')) AS a(c)) GROUP BY ALL""", ("o_paired",))
 def q_confusion_counts(spark, sf):
     return results.confusion_counts(results.paired_codes(P.coded(spark, sf), P.human_long(spark, sf)))
 
@@ -553,15 +577,14 @@ def q_review_queue(spark, sf):
 # The entries_raw fixture's projection, applied to the streamed documents.
 _STREAM_TEXTS = [
     "doc_id AS ordinal",
-    "CASE WHEN doc_id % 50 = 7 THEN NULL WHEN doc_id % 50 = 8 THEN '   ' "
-    "ELSE concat('  ', substr(text, 1, 32), ' ') END AS title",
+    f"CASE WHEN doc_id % 50 = 7 THEN NULL WHEN doc_id % 50 = 8 THEN '   ' ELSE concat('  ', {TITLE}, ' ') END AS title",
     "CASE WHEN doc_id % 40 = 3 THEN NULL ELSE text END AS description",
 ]
 
 
 @register("stream_classify", f"""
-SELECT ordinal, category, sha256(prompt) AS prompt_hash, {_RULE_RESPONSE} AS response FROM o_prompts""",
-          ("o_prompts",))
+SELECT ordinal, category, sha256('{_SYSTEM}' || chr(10) || prompt || '{_SUFFIX}') AS prompt_hash, {_RULE_RESPONSE} AS response
+FROM o_prompts""", ("o_prompts",))
 def q_stream_classify(spark, sf):
     """The documents table streamed (file source, available-now trigger) through incremental coding;
     the result is the response store it fills."""

@@ -196,11 +196,20 @@ def q_scheme_aliases(spark, sf):
     return joins.scheme_aliases(normalised(spark, sf))
 
 
-@register("assemble_scheme")
+@register("assemble_scheme", f"SELECT {_SCHEME_OUT}, '1.0' AS version FROM o_scheme", ("o_scheme",))
 def q_assemble_scheme(spark, sf):
-    """Documents written per scheme (JSON lines, scheme order); the read-back is the row check."""
+    """Documents written per scheme (JSON lines, scheme order) and read back."""
     path = OS.assemble_scheme(normalised(spark, sf), scratch_path(spark, "schemes"))
-    return spark.read.json(path)
+    return _scheme_out(spark.read.schema(OS.CATEGORY_JSON_SCHEMA).json(path), "version")
+
+
+@register("build_scheme", f"""
+SELECT scheme_id, ordinal, key, key AS display_name, {Q.simplify_name('key')} AS simplified_name, {Q.clean_criteria('criteria')} AS criteria,
+  array_to_string({Q.clean_examples('examples')}, chr(10)) AS examples_text, {Q.clean_values('values_text')} AS values_text,
+  cond_type, reference, range_start, range_end, cond_value FROM o_scheme""", ("o_scheme",))
+def q_build_scheme(spark, sf):
+    """Import and fix steps chained; the violations are the query below."""
+    return _scheme_out(OS.build_scheme(rows(spark, sf))[0])
 
 
 @register("load_scheme", f"SELECT {_SCHEME_OUT}, CAST(NULL AS VARCHAR) AS problem FROM o_scheme", ("o_scheme",))

@@ -11,35 +11,40 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.balance import balanced
 
 BASE_TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
 
-ENTRIES_RAW = """
+# The whole first line and a digest of the text: only equal texts share a title, and the ids that are
+# meant to (each of 7 course names is used by several different texts).
+TITLE = """CASE WHEN doc_id % 60 = 9 THEN concat('Kurs ', CAST(doc_id % 7 AS STRING))
+       ELSE concat(split_part(text, chr(10), 1), ' #', substr(md5(text), 1, 12)) END"""
+
+ENTRIES_RAW = f"""
 SELECT doc_id AS ordinal,
   CASE WHEN doc_id % 50 = 7 THEN NULL WHEN doc_id % 50 = 8 THEN '   '
-       ELSE concat('  ', substr(text, 1, 32), ' ') END AS title,
+       ELSE concat('  ', {TITLE}, ' ') END AS title,
   CASE WHEN doc_id % 40 = 3 THEN NULL ELSE text END AS description, lang, source
 FROM documents
 """
 
-CODES_RAW = """
-SELECT l.doc_id AS ordinal, concat(substr(d.text, 1, 32), '  ') AS title,
-  CASE WHEN l.doc_id % 31 = 0 THEN '2' WHEN l.doc_id % 37 = 0 THEN NULL
-       ELSE CAST(l.quality AS STRING) END AS human_code_quality,
-  CAST(l.toxic AS STRING) AS human_code_toxic
-FROM labels l JOIN documents d ON l.doc_id = d.doc_id
+CODES_RAW = f"""
+SELECT doc_id AS ordinal, concat({TITLE}, '  ') AS title,
+  CASE WHEN doc_id % 31 = 0 THEN '2' WHEN doc_id % 37 = 0 THEN NULL
+       ELSE CAST(quality AS STRING) END AS human_code_quality,
+  CAST(toxic AS STRING) AS human_code_toxic
+FROM (SELECT l.doc_id, l.quality, l.toxic, d.text FROM labels l JOIN documents d ON l.doc_id = d.doc_id) x
 """
 
 SELECTED = """
-SELECT * FROM (VALUES (1,'quality'),(2,'toxic'),(3,'length'),(4,'quality'),(5,'unknown')) AS t(ordinal, key)
+SELECT * FROM (VALUES (1,'quality'),(2,'toxic'),(3,'Laenge'),(4,'quality'),(5,'unknown')) AS t(ordinal, key)
 """
 
 RESPONSES_RAW = """
 SELECT doc_id, category, attempt, CASE
+  WHEN doc_id % 29 = 11 THEN '<html>503 Service Unavailable</html>'
   WHEN m < 5 THEN concat('{"value": "', v, '", "confidence": 0.', c, ', "reasoning": "r', CAST(doc_id AS STRING), '"}')
   WHEN m = 5 THEN concat('Antwort: ```json', chr(10), '{"value": ', v, ', "confidence": 0.', c, ', "reasoning": "fenced"}', chr(10), '``` Ende')
   WHEN m = 6 THEN concat('```', chr(10), '{"value": "', CASE WHEN v = '1' THEN 'Ja (1)' ELSE 'Nein (0)' END, '", "confidence": "0.', c, '", "reasoning": "plain"}')
@@ -47,9 +52,15 @@ SELECT doc_id, category, attempt, CASE
   WHEN m = 8 THEN concat('{"value": "', v, '", "confidence": 0.', c, '}')
   WHEN m = 9 THEN concat('{"value": "', v, '", "confidence": 0.', c, ', "reasoning": "no comma" "citation": "x"}')
   WHEN m = 10 THEN '{"value": "-99", "confidence": "hoch", "reasoning": null}'
-  WHEN v = '1' THEN '<html>502</html>' ELSE '' END AS raw
+  WHEN m = 11 THEN CASE WHEN v = '1' THEN '<html>502</html>' ELSE '' END
+  WHEN m = 12 THEN concat('{"value": "', v, '", "confidence": 0.', c, ', "reasoning": "two"} {"x": 1}')
+  WHEN m = 13 THEN concat('{"value": "', v, '", "confidence": Infinity, "reasoning": "bare"}')
+  WHEN m = 14 THEN concat('{"value": "', v, '", "confidence": ', CASE WHEN v = '1' THEN 'true' ELSE 'false' END, ', "reasoning": "boolean"}')
+  WHEN m = 15 THEN '42'
+  WHEN m = 16 THEN concat('["', v, '", 0.', c, ']')
+  ELSE concat('{"value": "', v, '", "confidence": NaN, "reasoning": "bare"}') END AS raw
 FROM (SELECT d.doc_id, s.category, a.attempt,
-        (d.doc_id + s.o * 5 + (a.attempt - 1) * 7) % 12 AS m,
+        (d.doc_id + s.o * 5 + (a.attempt - 1) * 7) % 18 AS m,
         CASE WHEN (d.doc_id * 3 + s.o) % 5 < 3 THEN '1' ELSE '0' END AS v,
         lpad(CAST((d.doc_id * 37 + s.o * 11) % 100 AS STRING), 2, '0') AS c
       FROM documents d
@@ -168,7 +179,7 @@ def register_tables(spark: SparkSession, sf_dir: str, names=BASE_TABLES) -> None
         k = (id(spark), n)
         if _REGISTERED.get(k) == sf and spark.catalog.tableExists(n):
             continue
-        balanced(spark.read.parquet(f"{sf}/{n}.parquet")).createOrReplaceTempView(n)
+        spark.read.parquet(f"{sf}/{n}.parquet").createOrReplaceTempView(n)
         _REGISTERED[k] = sf
 
 
@@ -179,7 +190,7 @@ def _tables_in(sql: str) -> list[str]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table as a DataFrame."""
-    return balanced(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

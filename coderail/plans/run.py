@@ -1,20 +1,21 @@
-"""One batch coding run, end to end, with the paid step materialised.
+"""One batch coding run, end to end, with the paid step materialised in small commits.
 
-texts -> prepare (written once per run) -> tasks x selected categories -> prompts (+ sha256) -> skip prompts whose answer
-is already stored -> classify the rest -> APPEND to the response store -> read the store back ->
-validate -> coded -> wide results (written as a run) + metrics.
+texts -> prepare (written once per run) -> tasks x selected categories (keys, simplified names) -> requests (template,
+messages; one hash over all that is sent) -> pairs (written once per run) -> skip requests whose answer is stored ->
+classify the rest bucket by bucket, each bucket committed to the response store -> validate -> coded (written
+once) -> wide results (written as a run), metrics, agreement with human codes.
 
-The store (parquet below ``base``) is the only place answers come from after ``classify``: lazy
-re-evaluation of a later stage, a retried Spark task or a second run never calls the model again
-for a (prompt, model, temperature) that has an answer. Failed pairs are stored with their error
-and retried by the next run, as the reference retries on every run.
+The store (parquet below ``base``) is the only place answers come from after ``classify``: lazy re-evaluation of a
+later stage, a second run, or a run that follows a killed one never calls the model again for a (request, model,
+temperature) that has a stored answer. What a killed run can lose is the bucket it was working on. Failed pairs are
+stored with their error and retried by the next run, as the reference retries on every run.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -22,13 +23,18 @@ from ..operators import infer, joins, prep, prompt, results, validate
 from ..sources import results_io
 
 KEYS = ["prompt_hash", "model", "temperature"]
+PAIR = ["ordinal", "category"]
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table, or None where there is no such path; any other failure is raised (an unreadable store
+    must not look like an empty one, or every answer would be paid for again)."""
     try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+        return spark.read.option("mergeSchema", True).parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return None
+        raise
 
 
 def stored_answers(store: DataFrame) -> DataFrame:
@@ -37,52 +43,62 @@ def stored_answers(store: DataFrame) -> DataFrame:
     return ok.groupBy(*KEYS).agg(F.min("response").alias("response"))
 
 
+def requests(texts: DataFrame, selected: DataFrame, scheme: DataFrame, template: str, model: str,
+             temperature: float) -> DataFrame:
+    """Tasks with everything that is sent for them, and its hash."""
+    t = prompt.with_request(prompt.construct_prompt(joins.build_tasks(texts, selected, scheme), template=template))
+    return t.withColumn("model", F.lit(model)).withColumn("temperature", F.lit(float(temperature)))
+
+
 def coding_run(spark: SparkSession, entries_raw: DataFrame, selected: DataFrame, scheme: DataFrame,
                infer_fn: Callable[[dict], str], base: str, categories: Sequence[str], model: str = "rule-scorer",
-               temperature: float = 0.0, run_id: str | None = None,
-               num_partitions: int | None = None, backoff: float = infer.FIRST_BACKOFF_S) -> dict[str, DataFrame]:
-    """Runs the coding of ``entries_raw`` and returns ``coded``, ``wide``, ``metrics`` (DataFrames
-    over stored data), ``new_answers`` (rows appended to the store by this run) and ``outcomes``
-    (an Observation with answers per validation outcome, filled by the results write)."""
-    store_path = f"{base.rstrip('/')}/responses"
-    rid = run_id or results_io.new_run_id()
-    # The prepared texts are written once per run and read back: the calls and the join with the
-    # stored answers both derive their tasks from this table, so the texts are de-duplicated (a
-    # shuffle of every text) once, and the lineage is cut before the paid step.
-    entries_path = f"{base.rstrip('/')}/entries/run_id={rid}"
-    prep.prepare_entries(entries_raw).write.mode("overwrite").parquet(entries_path)
-    entries = spark.read.parquet(entries_path)
-    def tasks_of(texts: DataFrame) -> DataFrame:
-        t = prompt.with_prompt_hash(prompt.construct_prompt(joins.build_tasks(texts, selected, scheme)))
-        return t.withColumn("model", F.lit(model)).withColumn("temperature", F.lit(float(temperature)))
-
-    tasks = tasks_of(entries)
+               temperature: float = 0.0, run_id: str | None = None, num_partitions: int | None = None,
+               backoff: float = infer.FIRST_BACKOFF_S, template: str = prompt.PROMPT_TEMPLATE,
+               human_codes: DataFrame | None = None, on_invalid: str = "default", buckets: int = 8) -> dict[str, DataFrame]:
+    """Runs the coding of ``entries_raw`` and returns ``coded``, ``wide``, ``metrics`` (DataFrames over stored
+    data), ``new_answers`` (rows this run added to the store), ``outcomes`` (an Observation with answers per
+    validation outcome) and, with ``human_codes`` (wide, as read), ``agreement`` (kappa per category).
+
+    ``buckets``: commits of the paid step; a pair's bucket is a hash of its key.
+    """
+    base = base.rstrip("/")
+    store_path, rid = f"{base}/responses", run_id or results_io.new_run_id()
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        path = f"{base}/{name}/run_id={rid}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
+    # Texts are de-duplicated (a shuffle of every text) once, requests hashed once: later steps read
+    # the small table of pairs.
+    entries = written(prep.prepare_entries(entries_raw), "entries")
+    tasks = requests(entries, selected, scheme, template, model, temperature)
+    pairs = written(tasks.select("ordinal", "cat_ordinal", "category", "title", *KEYS), "pairs")
+    store = read_store(spark, store_path)
+    pending = pairs if store is None else joins.pending_tasks(pairs, stored_answers(store).select(*KEYS))
+    bucket = F.pmod(F.xxhash64(*PAIR), F.lit(buckets))
+    # The pending categories of each text (bounded by the selection) are joined to the texts; requests
+    # are built for those pairs only.
+    todo = written(pending.groupBy("ordinal").agg(F.collect_set("category").alias("_pending")), "pending")
+    for b in range(buckets):
+        mine = (requests(entries.join(todo, "ordinal"), selected, scheme, template, model, temperature)
+                .filter(F.array_contains(F.col("_pending"), F.col("category")) & (bucket == b)).drop("_pending"))
+        answers = infer.classify(mine.drop("model", "temperature"), infer_fn, model=model, temperature=temperature,
+                                 num_partitions=num_partitions, backoff=backoff)
+        answers.write.mode("overwrite").parquet(f"{store_path}/run_id={rid}/bucket={b}")
     store = read_store(spark, store_path)
-    if store is None:
-        todo = tasks
-    else:
-        # Only keys are anti-joined: the prompt is hashed in a projection and dropped, so the
-        # shuffle carries (text, category, hash) rows, not prompts (text x categories in bytes).
-        # The pending categories of each text (bounded by the selection) are then joined to the
-        # texts once, and prompts are rebuilt for those pairs only.
-        pending = joins.pending_tasks(tasks.select("ordinal", "category", *KEYS), stored_answers(store).select(*KEYS))
-        per_text = pending.groupBy("ordinal").agg(F.collect_set("category").alias("_pending"))
-        todo = (tasks_of(entries.join(per_text, "ordinal", "inner"))
-                .filter(F.array_contains(F.col("_pending"), F.col("category"))).drop("_pending"))
-    answers = infer.classify(todo.drop("model", "temperature"), infer_fn, model=model, temperature=temperature,
-                             num_partitions=num_partitions, backoff=backoff)
-    answers.withColumn("run_id", F.lit(rid)).write.mode("append").partitionBy("run_id").parquet(store_path)
-    store = spark.read.parquet(store_path)
     new_answers = store.filter(F.col("run_id") == rid)
-    good = stored_answers(store)
-    resp = tasks.join(good, KEYS, "inner")
-    from pyspark.sql import Observation
     outcomes = Observation(f"coding_run_{rid}")
-    coded = validate.validate_responses(resp, "response", observation=outcomes).select(
-        "ordinal", "cat_ordinal", "title", "description", "category", "ai_code", "confidence", "confidence_level",
-        "reasoning", "outcome")
-    wide = results.wide_results(coded, categories, entries=entries)
-    results_io.write_results(wide, f"{base.rstrip('/')}/results", rid)
-    return {"coded": coded, "wide": results_io.read_results(spark, f"{base.rstrip('/')}/results")
-            .filter(F.col("run_id") == rid), "metrics": results.category_metrics(coded), "new_answers": new_answers,
-            "outcomes": outcomes}
+    answered = pairs.join(stored_answers(store), KEYS)
+    valid = validate.validate_responses(answered, "response", observation=outcomes, on_invalid=on_invalid)
+    coded = written(valid.select("ordinal", "cat_ordinal", "title", "category", "ai_code", "confidence",
+                                 "confidence_level", "reasoning", "outcome"), "coded")
+    results_io.write_results(results.wide_results(coded, categories, entries=entries), f"{base}/results", rid)
+    out = {"coded": coded.join(entries.select("ordinal", "description"), "ordinal"),
+           "wide": results_io.read_results(spark, f"{base}/results", rid), "metrics": results.category_metrics(coded),
+           "new_answers": new_answers, "outcomes": outcomes}
+    if human_codes is not None:
+        merged = joins.merge_codes(entries, prep.prepare_codes_wide(human_codes).drop("ordinal"))
+        human = joins.codes_long(merged, categories)
+        out["agreement"] = results.agreement_kappa(results.paired_codes(coded, human))
+    return out

@@ -64,7 +64,8 @@ FROM (
   FROM (
     SELECT *, list_filter(['value', 'confidence', 'reasoning'], lambda f: NOT list_contains(json_keys(js), f)) AS miss,
       json_extract_string(js, '$.confidence') AS conf_text,
-      CASE WHEN regexp_matches({strip("json_extract_string(js, '$.confidence')")}, '{FLOAT_TEXT}')
+      CASE WHEN json_type(js, '$.confidence') = 'BOOLEAN' THEN CASE WHEN json_extract_string(js, '$.confidence') = 'true' THEN 1.0 ELSE 0.0 END
+           WHEN regexp_matches({strip("json_extract_string(js, '$.confidence')")}, '{FLOAT_TEXT}')
            THEN TRY_CAST(replace({strip("json_extract_string(js, '$.confidence')")}, '_', '') AS DOUBLE) END AS conf
     FROM (SELECT *, json_type(js) AS kind FROM (
       SELECT *, CASE WHEN json_valid(clean) THEN clean END AS js FROM (SELECT *, {fence(raw)} AS clean FROM {src})))))

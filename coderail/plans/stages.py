@@ -65,6 +65,7 @@ def coded(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def human_long(spark: SparkSession, sf: str) -> DataFrame:
-    """Human codes per (text, category) after the left merge; "0" where no code exists."""
-    merged = joins.merge_codes(entries(spark, sf), codes_wide(spark, sf).drop("ordinal"))
+    """Prepared human codes, one per (text, category), after the left merge; "0" where no code exists."""
+    codes = prep.prepare_codes_wide(fixture(spark, sf, "codes_raw")).drop("ordinal")
+    merged = joins.merge_codes(entries(spark, sf), codes)
     return joins.codes_long(merged, CATEGORIES)

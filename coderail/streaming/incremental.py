@@ -1,14 +1,15 @@
 """Incremental coding of arriving texts.
 
 ``readStream`` of an entry folder -> per micro-batch (``foreachBatch``):
-  prepare (first title wins inside the batch) -> drop titles already coded by earlier batches ->
-  tasks x selected categories -> prompts -> skip prompts already in the response store ->
-  classify -> append answers to the store.
-
-Exactly-once by construction: every output of batch ``b`` goes to ``.../batch_id=b`` with mode
-``overwrite``, and earlier state is read as ``batch_id < b``. A replayed batch (after a driver or
-executor failure) rewrites its own folder instead of duplicating rows, and never re-pays calls
-whose answers an earlier batch stored. Tables live below the shared folder.
+  prepare (first title wins inside the batch) -> drop titles that an earlier batch brought -> pairs to code:
+  the new texts x selected categories, older texts x categories selected for the first time, and older pairs
+  whose calls failed -> requests -> skip requests already answered -> classify -> append answers to the store.
+
+Only an answered (text, category) pair is done: failures and later selections of known texts come back in the next
+batch. Exactly-once by construction: every output of batch ``b`` goes to ``.../batch_id=b`` with mode ``overwrite``,
+and earlier state is read as ``batch_id < b``. A replayed batch (after a driver or executor failure) rewrites its own
+folder instead of duplicating rows, and never re-pays calls whose answers an earlier batch stored. Tables live below
+the shared folder. State is joined on its keys; broadcast or shuffle is Spark's choice by its own size checks.
 """
 
 from __future__ import annotations
@@ -17,63 +18,67 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..operators import infer, joins, prep, prompt
+from ..plans.run import KEYS, read_store, requests
 
+PAIR = ["title", "category"]
 
-def _earlier(spark: SparkSession, path: str, batch_id: int, cols: list[str]) -> DataFrame | None:
-    try:
-        df = spark.read.parquet(path)
-    except AnalysisException:
-        return None
-    return df.filter(F.col("batch_id") < batch_id).select(*cols)
 
-
-# Keys (titles, or answer keys) of one micro-batch that may be broadcast against the history (a few hundred MB at most).
-MAX_BATCH_TITLES = 1_000_000
-
-
-def _history_keys(batch: DataFrame, history: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys of this batch that earlier batches already hold.
-
-    The history grows with every batch, the batch does not: when the batch's keys are under the
-    bound they are broadcast into a semi join, so the history is scanned but never shuffled; above
-    it the distinct history keys are returned for a shuffled anti join (partially aggregated)."""
-    mine = batch.select(*keys)
-    if mine.limit(MAX_BATCH_TITLES + 1).count() <= MAX_BATCH_TITLES:
-        return history.select(*keys).join(F.broadcast(mine.distinct()), keys, "left_semi").distinct()
-    return history.select(*keys).distinct()
+def _earlier(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
+    df = read_store(spark, path)
+    return None if df is None else df.filter(F.col("batch_id") < batch_id)
 
 
 def code_batch(batch: DataFrame, batch_id: int, *, selected: DataFrame, scheme: DataFrame,
                infer_fn: Callable[[dict], str], store: str, model: str, temperature: float,
-               num_partitions: int | None = None) -> None:
+               num_partitions: int | None = None, template: str = prompt.PROMPT_TEMPLATE,
+               backoff: float = infer.FIRST_BACKOFF_S) -> None:
     """One micro-batch of the incremental run (see module docstring)."""
     spark = batch.sparkSession
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        path = f"{store}/{name}/batch_id={batch_id}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
     entries = prep.prepare_entries(batch)
-    seen = _earlier(spark, f"{store}/entries", batch_id, ["title"])
-    if seen is not None:
-        entries = entries.join(_history_keys(entries, seen, ["title"]), "title", "left_anti")
-    (entries.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-     .parquet(f"{store}/entries/batch_id={batch_id}"))
-    entries = spark.read.parquet(f"{store}/entries/batch_id={batch_id}")
-    tasks = prompt.with_prompt_hash(prompt.construct_prompt(joins.build_tasks(entries, selected, scheme)))
-    tasks = tasks.withColumn("model", F.lit(model)).withColumn("temperature", F.lit(float(temperature)))
-    stored = _earlier(spark, f"{store}/responses", batch_id, ["prompt_hash", "model", "temperature"])
-    if stored is not None:
-        tasks = joins.pending_tasks(tasks, _history_keys(tasks, stored, ["prompt_hash", "model", "temperature"]))
-    answers = infer.classify(tasks.drop("model", "temperature"), infer_fn, model=model, temperature=temperature,
-                             num_partitions=num_partitions)
-    (answers.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-     .parquet(f"{store}/responses/batch_id={batch_id}"))
+    before = _earlier(spark, f"{store}/entries", batch_id)
+    if before is not None:
+        entries = entries.join(before.select("title"), "title", "left_anti")
+    entries = written(entries.select("ordinal", "title", "description"), "entries")
+    categories = joins.selected_categories(selected, scheme).select(F.col("key").alias("category"))
+    asked_before = _earlier(spark, f"{store}/selected", batch_id)
+    categories = written(categories, "selected")
+    tasks = requests(entries, selected, scheme, template, model, temperature)
+    answers = _earlier(spark, f"{store}/responses", batch_id)
+    if before is not None:
+        again = None
+        if answers is not None:  # pairs whose every call failed so far
+            done = answers.filter(F.col("error").isNull()).select(*PAIR)
+            again = answers.filter(F.col("error").isNotNull()).select(*PAIR).distinct().join(done, PAIR, "left_anti")
+        if asked_before is not None:
+            fresh = [r["category"] for r in categories.join(asked_before.select("category"), "category", "left_anti").collect()]
+            if fresh:  # the selection is the user's menu choice, read as in build_tasks
+                later = before.select("title", F.explode(F.array(*map(F.lit, fresh))).alias("category"))
+                again = later if again is None else again.unionByName(later)
+        if again is not None:
+            per_text = again.groupBy("title").agg(F.collect_set("category").alias("_pending"))
+            known = before.select("ordinal", "title", "description").join(per_text, "title")
+            old = requests(known, selected, scheme, template, model, temperature)
+            tasks = tasks.unionByName(old.filter(F.array_contains("_pending", F.col("category"))).drop("_pending"))
+    if answers is not None:
+        tasks = joins.pending_tasks(tasks, answers.filter(F.col("error").isNull()).select(*KEYS))
+    written(infer.classify(tasks.drop("model", "temperature"), infer_fn, model=model, temperature=temperature,
+                           num_partitions=num_partitions, backoff=backoff), "responses")
 
 
 def start(spark: SparkSession, source: str, *, schema: str, selected: DataFrame, scheme: DataFrame,
           infer_fn: Callable[[dict], str], store: str, checkpoint: str, fmt: str = "parquet",
           path_glob: str | None = None, model: str = "rule-scorer", temperature: float = 0.0,
           available_now: bool = True, max_files_per_trigger: int | None = None,
-          transform: Callable[[DataFrame], DataFrame] | None = None, num_partitions: int | None = None):
+          transform: Callable[[DataFrame], DataFrame] | None = None, num_partitions: int | None = None,
+          template: str = prompt.PROMPT_TEMPLATE, backoff: float = infer.FIRST_BACKOFF_S):
     """Starts the incremental run; returns the ``StreamingQuery``. ``transform`` maps the source
     rows to entry columns (ordinal, title, description); it runs inside the streaming plan."""
     rd = spark.readStream.schema(schema).format(fmt)
@@ -87,7 +92,7 @@ def start(spark: SparkSession, source: str, *, schema: str, selected: DataFrame,
 
     def run(batch: DataFrame, batch_id: int) -> None:
         code_batch(batch, batch_id, selected=selected, scheme=scheme, infer_fn=infer_fn, store=store, model=model,
-                   temperature=temperature, num_partitions=num_partitions)
+                   temperature=temperature, num_partitions=num_partitions, template=template, backoff=backoff)
 
     w = src.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")

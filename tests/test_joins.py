@@ -63,3 +63,28 @@ def test_run_progress_brute_force(spark):
     exp = {cat: fig([r for r in tasks if r[1] == cat]) for cat in ("a", "b")}
     exp["_overall"] = fig(tasks)
     assert got == exp
+
+
+def test_merge_keeps_every_code_column(spark):
+    from coderail.operators.joins import merge_codes
+    e = spark.createDataFrame([(1, "a"), (2, "b")], "ordinal long, title string")
+    c = spark.createDataFrame([(7, "a", "1", "x")], "ordinal long, title string, human_code string, coder string")
+    got = sorted(tuple(r) for r in merge_codes(e, c).select("ordinal", "title", "ordinal_codes", "human_code", "coder").collect())
+    assert got == [(1, "a", 7, "1", "x"), (2, "b", None, "0", None)]
+
+
+def test_selection_by_simplified_name(spark):
+    from coderail.operators.joins import selected_categories, unknown_categories
+    scheme = spark.createDataFrame([(1, "k1", "Eins"), (2, "k2", "Zwei")], "ordinal int, key string, simplified_name string")
+    sel = spark.createDataFrame([(1, "Zwei"), (2, "k1"), (3, "k2"), (4, "Drei")], "ordinal int, key string")
+    assert sorted((r.cat_ordinal, r.key) for r in selected_categories(sel, scheme).collect()) == [(1, "k2"), (2, "k1")]
+    assert [(r.ordinal, r.key) for r in unknown_categories(sel, scheme).collect()] == [(4, "Drei")]
+
+
+def test_many_selected_categories_are_not_refused(spark):
+    from coderail.operators.joins import build_tasks
+    e = spark.createDataFrame([(1, "t")], "ordinal long, title string")
+    n = 1200
+    scheme = spark.createDataFrame([(i, f"k{i}", "d") for i in range(n)], "ordinal int, key string, display_name string")
+    sel = spark.createDataFrame([(i, f"k{i}") for i in range(n)], "ordinal int, key string")
+    assert build_tasks(e, sel, scheme, cat_cols=("display_name",)).count() == n

@@ -39,3 +39,59 @@ def test_rerun_calls_only_failed_pairs(spark):
     new = second["new_answers"]
     assert new.count() == n_failed and new.filter("error IS NULL").count() == n_failed
     assert second["coded"].count() == n_tasks
+
+
+def test_killed_run_pays_only_what_was_not_committed(spark):
+    import pytest
+    base = scratch_path(spark, "test-killed")
+    args = (P.entries_raw(spark, SF_SMALL), fixture(spark, SF_SMALL, "selected"), P.task_scheme(spark, SF_SMALL))
+
+    real, calls = infer.classify, []
+
+    def classify(*a, **k):
+        calls.append(1)
+        if len(calls) > 3:
+            raise RuntimeError("killed")
+        return real(*a, **k)
+    infer.classify = classify
+    try:
+        with pytest.raises(RuntimeError, match="killed"):
+            coding_run(spark, *args, infer.rule_scorer, base, P.CATEGORIES, run_id="a", buckets=5)
+    finally:
+        infer.classify = real
+    paid = spark.read.parquet(f"{base}/responses").count()
+    out = coding_run(spark, *args, infer.rule_scorer, base, P.CATEGORIES, run_id="b", buckets=5)
+    n_tasks = P.tasks(spark, SF_SMALL).count()
+    assert 0 < paid < n_tasks and out["new_answers"].count() == n_tasks - paid and out["coded"].count() == n_tasks
+
+
+def test_template_messages_agreement_and_invalid_answers(spark):
+    base = scratch_path(spark, "test-options")
+    texts = spark.createDataFrame([(i, f"t{i}", "d" * i) for i in range(6)], "ordinal long, title string, description string")
+    codes = spark.createDataFrame([(i, f" t{i} ", str(i % 2)) for i in range(5)], "ordinal long, title string, human_code_quality string")
+    pick = spark.createDataFrame([(1, "Textqualitaet")], "ordinal int, key string")
+
+    def scorer(request):
+        system, user = request["messages"]
+        assert system["role"] == "system" and user["content"].startswith("T=" + request["title"]) and "reasoning" in user["content"]
+        return '{"value": "%d", "confidence": 0.5, "reasoning": "r"}' % (len(request["description"]) % 2)
+    out = coding_run(spark, texts, pick, P.task_scheme(spark, SF_SMALL), scorer, base, ["quality"], template="T=[title] [values]",
+                     human_codes=codes, backoff=0.0)
+    assert out["coded"].count() == 6 and out["new_answers"].filter("error IS NOT NULL").count() == 0
+    row = out["agreement"].collect()[0]
+    assert (row.category, row.n_pairs, row.observed) == ("quality", 6, round(5 / 6, 4))
+    from coderail.operators.validate import validate_responses
+    df = spark.createDataFrame([("nope",), ('{"value": "1", "confidence": 1, "reasoning": ""}',)], "response string")
+    assert [r.ai_code for r in validate_responses(df, on_invalid="raw").collect()] == ["nope", "1"]
+    assert [r.ai_code for r in validate_responses(df, on_invalid="drop").collect()] == ["1"]
+
+
+def test_unreadable_store_is_not_an_empty_one(spark, tmp_path):
+    import pytest
+
+    from coderail.plans.run import read_store
+    assert read_store(spark, str(tmp_path / "none")) is None
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "x.parquet").write_text("not parquet")
+    with pytest.raises(Exception):
+        read_store(spark, str(tmp_path / "bad"))

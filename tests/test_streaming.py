@@ -46,14 +46,20 @@ def test_two_batches_and_replay(spark):
     assert incremental.stored_responses(spark, store).count() == expected
 
 
-def test_history_keys_broadcast_and_shuffle_paths_agree(spark, monkeypatch):
-    batch = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "title string")
-    history = spark.createDataFrame([("b",), ("b",), ("x",), (None,), ("c",)], "title string")
-    want = {("b",), ("c",)}                     # NULL never matches in the anti join that follows
-    small = {tuple(r) for r in incremental._history_keys(batch, history, ["title"]).collect()}
-    assert small == want
-    monkeypatch.setattr(incremental, "MAX_BATCH_TITLES", 1)
-    big = {tuple(r) for r in incremental._history_keys(batch, history, ["title"]).collect()}
-    assert want <= big and ("b",) in big       # shuffle path: all distinct history keys
-    seen_in_batch = {t for (t,) in big} & {"a", "b", "c"}
-    assert seen_in_batch == {"b", "c"}
+def test_failed_pairs_and_new_categories_come_back(spark, tmp_path):
+    texts = [spark.createDataFrame([(10 * b + i, f"t{b}{i}", "x" * (i + 1)) for i in range(5)], SCHEMA) for b in range(3)]
+    scheme = P.task_scheme(spark, SF_SMALL)
+    pick = lambda *keys: spark.createDataFrame(list(enumerate(keys, 1)), "ordinal int, key string")
+
+    def down(request):
+        raise ConnectionError("model unavailable")
+    store, common = str(tmp_path / "store"), dict(scheme=scheme, model="m", temperature=0.0, backoff=0.0)
+    incremental.code_batch(texts[0], 0, selected=pick("quality"), infer_fn=down, store=store, **common)
+    assert incremental.stored_responses(spark, store).filter("error IS NULL").count() == 0
+    incremental.code_batch(texts[1], 1, selected=pick("quality", "Beleidigung"), infer_fn=infer.rule_scorer, store=store, **common)
+    got = incremental.stored_responses(spark, store).filter("error IS NULL")
+    assert sorted((r.title, r.category) for r in got.collect()) == sorted(
+        (f"t{b}{i}", c) for b in (0, 1) for i in range(5) for c in ("quality", "toxic"))
+    incremental.code_batch(texts[2].union(texts[0]), 2, selected=pick("quality", "toxic"), infer_fn=infer.rule_scorer, store=store, **common)
+    last = incremental.stored_responses(spark, store).filter("batch_id = 2")
+    assert sorted((r.title, r.category) for r in last.collect()) == sorted((f"t2{i}", c) for i in range(5) for c in ("quality", "toxic"))
