@@ -42,10 +42,10 @@ def text_bytes(col: str | Column = "text") -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit("")).cast("binary")
 
 
-def parts_for(df: DataFrame, size: Column, bytes_each: int) -> int:
-    """How many partitions hold ``bytes_each`` of ``size`` each; never fewer than the session's shuffle partitions."""
+def parts_for(df: DataFrame, size: Column, bytes_each: int, least: int = 32) -> int:
+    """How many partitions hold ``bytes_each`` of ``size`` each; at least ``least``, so that a small input spreads too."""
     total = df.agg(F.sum(size)).first()[0] or 0
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(total) // bytes_each))
+    return max(least, -(-int(total) // bytes_each))
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -67,6 +67,17 @@ def slices(frames: Iterator[pd.DataFrame], column: str, limit: int = 8 << 20) ->
             yield pdf.iloc[at]
 
 
+def arrow_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches, without copying, so that ``column`` (bytes or text) holds about ``limit`` bytes in each."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        group = np.cumsum(lengths, dtype=np.int64) // limit
+        edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(lengths)]
+        for a, b in zip(edges, edges[1:]):
+            if a < b:
+                yield batch.slice(a, b - a)
+
+
 def with_text_column(docs: DataFrame, name: str, kind: str, of: Callable[[list[str | None]], pa.Array],
                      limit: int = 8 << 20) -> DataFrame:
     """``docs``, all columns untouched, with the column ``name`` that ``of`` makes of whole texts.
@@ -74,17 +85,10 @@ def with_text_column(docs: DataFrame, name: str, kind: str, of: Callable[[list[s
     Arrow batches pass through; ``of`` gets about ``limit`` bytes of texts at a time.
     """
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T._parse_datatype_string(kind))])
-    at = docs.columns.index("text")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lengths = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
-            group = np.cumsum(lengths, dtype=np.int64) // limit
-            edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(lengths)]
-            for a, b in zip(edges, edges[1:]):
-                if a < b:
-                    part = batch.slice(a, b - a)
-                    made = of(part.column(at).to_pylist())
-                    yield pa.RecordBatch.from_arrays([*part.columns, made], names=[*batch.schema.names, name])
+        for part in arrow_slices(batches, "text", limit):
+            made = of(part.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([*part.columns, made], names=[*part.schema.names, name])
 
     return docs.mapInArrow(rows, schema)

@@ -187,10 +187,11 @@ def candidates(texts: DataFrame, repeated: DataFrame, parts: int) -> DataFrame:
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         got = np.frombuffer(b"".join(right["data"]), np.dtype([("gid", "<i8"), ("at", "<u4")]))
         got = got[np.argsort(got["gid"], kind="stable")]
-        out = []
-        for pdf in slices(iter([left.drop_duplicates("gid")]), "text", SLICE_BYTES):
+        owner, out = np.ascontiguousarray(got["gid"]), []
+        for pdf in slices(iter([left.drop_duplicates("gid").sort_values("gid")]), "text", SLICE_BYTES):
             gids = pdf["gid"].to_numpy()
-            out += runs(list(pdf["text"]), gids, got[np.isin(got["gid"], gids)])
+            near = got[np.searchsorted(owner, gids[0]) : np.searchsorted(owner, gids[-1], side="right")]
+            out += runs(list(pdf["text"]), gids, near[np.isin(near["gid"], gids)])
         return pd.DataFrame(out, columns=["gid", "text", "runs"])
 
     homed = texts.withColumn("bucket", F.pmod("gid", F.lit(parts)))
@@ -316,15 +317,16 @@ def repeated_in_bucket(found: DataFrame, bucket: int, buckets: int, parts: int)
     return found.mapInPandas(send, BLOCK).groupBy("bucket").applyInPandas(meet, BLOCK)
 
 
-def cut_out(text: bytes, hits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Removed runs (start, end) of a text, from the repeated windows found (at, mask)."""
-    steps = np.zeros(len(text) + 1, np.int32)
+def cut_out(text: bytes, at: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Removed runs (start, end) of a text, from the repeated windows found."""
+    start = np.zeros(len(text) + 1, bool)
     for d in range(MOD):
-        start = hits["at"][hits["mask"] & (1 << d) > 0].astype(np.int64) - d
-        np.add.at(steps, start, 1)
-        np.add.at(steps, start + WINDOW, -1)
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], (np.cumsum(steps)[: len(text)] > 0).astype(np.int8), [0]])))
-    return edge[::2], edge[1::2]
+        start[at[mask & (1 << d) > 0] - d] = True
+    start = np.flatnonzero(start)
+    if not len(start):
+        return start, start
+    gap = np.flatnonzero(start[1:] > start[:-1] + WINDOW) + 1  # windows that touch make one run
+    return start[np.concatenate([[0], gap])], start[np.concatenate([gap - 1, [len(start) - 1]])] + WINDOW
 
 
 def removals(found: DataFrame, hits: DataFrame, parts: int, spans: bool) -> DataFrame:
@@ -332,11 +334,12 @@ def removals(found: DataFrame, hits: DataFrame, parts: int, spans: bool) -> Data
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         got = np.frombuffer(b"".join(right["data"]), FOUND)
-        got = got[np.argsort(got["gid"], kind="stable")]
+        order = np.argsort(got["gid"], kind="stable")
+        at, mask, gids = got["at"][order].astype(np.int64), got["mask"][order], left["gid"].to_numpy()
+        first, last = (np.searchsorted(got["gid"][order], gids, side=side).tolist() for side in ("left", "right"))
         out = []
-        for gid, text in zip(left["gid"], left["text"], strict=True):
-            a, b = np.searchsorted(got["gid"], [gid, gid + 1])
-            starts, ends = cut_out(text, got[a:b])
+        for gid, text, a, b in zip(gids.tolist(), left["text"], first, last, strict=True):
+            starts, ends = cut_out(text, at[a:b], mask[a:b])
             kept = b"".join(text[i:j] for i, j in zip([0, *ends], [*starts, len(text)], strict=True))
             out.append((gid, int((ends - starts).sum()), len(starts), hashlib.sha256(kept).hexdigest(), *[kept] * spans))
         return pd.DataFrame(out, columns=["gid", "n_removed", "n_spans", "kept_sha256", *["kept"] * spans])
