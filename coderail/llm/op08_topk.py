@@ -149,9 +149,9 @@ def op8_block_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP8_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(1024 * CAST(x AS DOUBLE))) AS w
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS w
   FROM embeddings
-  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.w, c.w) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
