@@ -127,11 +127,11 @@ def oracle_text(name: str) -> str | None:
 
 
 # ---------------------------------------------------------------- sources and sinks
-@register("load_entries", "SELECT ordinal, title, description FROM entries_raw", ("entries_raw",))
+@register("load_entries", "SELECT lang, description, ordinal, title FROM entries_raw", ("entries_raw",))
 def q_load_entries(spark, sf):
-    """CSV ingest with explicit schema: the raw texts are written once as CSV, then read back."""
+    """CSV ingest by header: columns in another order, and one more, as users have them."""
     path = scratch_path(spark, "entries_csv")
-    src_entries.write_csv(P.entries_raw(spark, sf).select("ordinal", "title", "description"), path)
+    src_entries.write_csv(P.entries_raw(spark, sf).select("lang", "description", "ordinal", "title"), path)
     return src_entries.load_entries(spark, path, fmt="csv")
 
 
@@ -540,7 +540,7 @@ def q_confusion_counts(spark, sf):
     return results.confusion_counts(results.paired_codes(P.coded(spark, sf), P.human_long(spark, sf)))
 
 
-@register("agreement_kappa", """
+_KAPPA = """
 WITH cells AS (SELECT category, human_code, ai_code, count(*) AS n FROM o_paired GROUP BY ALL),
  pc AS (SELECT category, sum(n) AS n_pairs, sum(CASE WHEN human_code = ai_code THEN n ELSE 0 END) AS n_agree
         FROM cells GROUP BY category),
@@ -552,7 +552,10 @@ WITH cells AS (SELECT category, human_code, ai_code, count(*) AS n FROM o_paired
          coalesce(m.hxa, 0) / (CAST(pc.n_pairs AS DOUBLE) * pc.n_pairs) AS pe
        FROM pc LEFT JOIN m ON pc.category = m.category)
 SELECT category, CAST(n_pairs AS BIGINT) AS n_pairs, round(po, 4) AS observed, round(pe, 4) AS expected,
-  round(CASE WHEN pe = 1 THEN NULL ELSE (po - pe) / (1 - pe) END, 4) AS kappa FROM k""", ("o_paired",))
+  round(CASE WHEN pe = 1 THEN NULL ELSE (po - pe) / (1 - pe) END, 4) AS kappa FROM k"""
+
+
+@register("agreement_kappa", _KAPPA, ("o_paired",))
 def q_agreement_kappa(spark, sf):
     return results.agreement_kappa(results.paired_codes(P.coded(spark, sf), P.human_long(spark, sf)))
 
@@ -613,6 +616,17 @@ def q_coding_run(spark, sf):
     return out["metrics"]
 
 
+@register("run_agreement", _KAPPA.replace("FROM o_paired", f"""FROM (SELECT p.category, h.human_code, {_RULE_V.replace('category =', 'p.category =')
+          } AS ai_code FROM o_prompts p JOIN o_human h ON p.ordinal = h.ordinal AND p.category = h.category)"""), ("o_prompts", "o_human"))
+def q_run_agreement(spark, sf):
+    """A run with a user's template and human codes: its agreement per category."""
+    from .run import coding_run
+    out = coding_run(spark, P.entries_raw(spark, sf), fixture(spark, sf, "selected"), P.task_scheme(spark, sf),
+                     infer.rule_scorer, scratch_path(spark, "run"), P.CATEGORIES, num_partitions=8, buckets=2,
+                     template="Titel: [title]\n[description]\n[criteria]: [values]?", human_codes=fixture(spark, sf, "codes_raw"))
+    return out["agreement"]
+
+
 @register("load_template", "SELECT ordinal, category, prompt FROM o_prompts", ("o_prompts",))
 def q_load_template(spark, sf):
     """The template as a file (with the surrounding blank lines an editor leaves), read whole with

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.scheme import parse_condition
 from ..operators import rules as R
 from .catalog import register
 from .fixtures import fixture
@@ -33,16 +34,32 @@ LEFT JOIN (SELECT c.doc_id, r.number, max(CASE WHEN c.code = r.code THEN 1 ELSE
            GROUP BY c.doc_id, r.number) h ON p.doc_id = h.doc_id AND p.number = h.number"""
 
 
-@register("derive_any_in_range", f"""
+_DERIVED_SQL = f"""
 WITH d1 AS ({_level_sql('leaf_codes', 1)}),
  c1 AS (SELECT doc_id, number, code FROM leaf_codes UNION ALL SELECT doc_id, number, code FROM d1),
  d2 AS ({_level_sql('c1', 2)})
-SELECT * FROM d1 UNION ALL SELECT * FROM d2""", ("leaf_codes", "derived_rules"))
+SELECT * FROM d1 UNION ALL SELECT * FROM d2"""
+
+
+@register("derive_any_in_range", _DERIVED_SQL, ("leaf_codes", "derived_rules"))
 def q_derive_any_in_range(spark, sf):
     out = R.derive_any_in_range(fixture(spark, sf, "leaf_codes"), fixture(spark, sf, "derived_rules"))
     return out.withColumn("level", F.col("level").cast("int"))
 
 
+@register("derive_from_conditions", _DERIVED_SQL, ("leaf_codes", "derived_rules"))
+def q_derive_from_conditions(spark, sf):
+    """The same rules, read out of the values texts of a scheme: number from the display name, code from
+    the parsed value, levels from what the ranges cover."""
+    r = fixture(spark, sf, "derived_rules")
+    text = F.concat(F.lit("Ja ("), "code", F.lit(") wenn min. eine der Kategorien "), "range_start", F.lit("-"), "range_end",
+                    F.lit(" = "), "code", F.lit("\noder Nein (0)"))
+    scheme = r.select(F.monotonically_increasing_id().alias("ordinal"), F.concat("number", F.lit(" Kategorie")).alias("display_name"),
+                      parse_condition(text).alias("condition"))
+    ranges, _ = R.rules_from_conditions(scheme)
+    return R.derive_any_in_range(fixture(spark, sf, "leaf_codes"), ranges)
+
+
 @register("derive_equals", " UNION ALL ".join(
     f"SELECT doc_id, '{n}' AS number, CASE WHEN {ref} = '{v}' THEN CAST({src} AS VARCHAR) ELSE '-99' END AS code "
     f"FROM provider_codes" for n, ref, v, src in EQUALS_RULES), ("provider_codes",))
