@@ -27,20 +27,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coderail.llm.common import materialise, mix64, parts_for, release, slices, table
-from coderail.llm.words import BASE, BLANK, Batch, running
+from coderail.llm.common import arrow_slices, materialise, mix64, parts_for, release, table
+from coderail.llm.words import BASE, Batch, running
 
 K = 8
 WINDOW = 8
 GAP_COST = 0.5
 #: Words that a gap of a chain may span on either side.
 MAX_GAP = 40
-#: A chain is aligned from this many seed-covered words on.
-MIN_COVERED = K
+#: A chain is aligned if its seeds cover this many words: two seeds at least.  One k-mer by itself is mostly a stock
+#: phrase (a repeated run of MIN_WORDS words has five seeds or more); it is aligned only where it lies beside a longer
+#: chain of its document, less than MIN_WORDS words away: there a passage may go on in another document.
+MIN_COVERED = K + 1
 MIN_WORDS = 50
 MIN_SIMILARITY = 0.8
 PAGE = 64
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def text_seeds(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -62,9 +64,19 @@ def text_seeds(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndar
     at = np.flatnonzero(running(np.concatenate([pad, least, pad]), WINDOW, np.maximum) == key)
     first_word = np.concatenate([[0], np.cumsum(batch.n_words)])
     h, text = h[at], batch.word_doc[at]
-    order = np.lexsort((at, h, text))
+
+    def in_order() -> tuple[np.ndarray, np.ndarray]:
+        order = np.lexsort((at, h, text))
+        return order, (h[order[1:]] == h[order[:-1]]) & (text[order[1:]] == text[order[:-1]])
+
+    order, same = in_order()
+    tight = np.concatenate([[False], same & (np.diff(at[order]) <= K)])  # text that repeats itself within K words:
+    rank = np.arange(len(at)) - np.maximum.accumulate(np.where(tight, 0, np.arange(len(at))))
+    with np.errstate(over="ignore"):  # the n-th turn on one side goes with the n-th on the other
+        h[order] = np.where(tight, mix64(h[order] + rank.astype(np.uint64) * BASE), h[order])
+    order, same = in_order()
     lead = np.ones(len(at), bool)
-    lead[order[1:]] = (h[order[1:]] != h[order[:-1]]) | (text[order[1:]] != text[order[:-1]])
+    lead[order[1:]] = ~same
     return h, text, at - first_word[text], lead
 
 
@@ -72,10 +84,11 @@ def seeds(docs: DataFrame) -> DataFrame:
     """(rid, text) to (seed, rid, at, lead)."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for pdf in slices((b.to_pandas() for b in batches), "text", SLICE_BYTES):
-            h, text, at, lead = text_seeds(list(pdf["text"]))
+        for part in arrow_slices(batches, "text", SLICE_BYTES):
+            h, text, at, lead = text_seeds(part.column("text").to_pylist())
+            rid = part.column("rid").to_numpy()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h.view(np.int64)), pa.array(pdf["rid"].to_numpy()[text]), pa.array(at.astype(np.int32)), pa.array(lead)],
+                [pa.array(h.view(np.int64)), pa.array(rid[text]), pa.array(at.astype(np.int32)), pa.array(lead)],
                 names=["seed", "rid", "at", "lead"])
 
     return docs.select("rid", "text").mapInArrow(rows, "seed long, rid long, at int, lead boolean")
@@ -86,6 +99,8 @@ def matches(found: DataFrame) -> DataFrame:
     lead = F.when(F.col("lead"), F.col("rid"))
     firsts = (found.groupBy("seed").agg(F.min("rid").alias("first"), F.max("rid").alias("last"), F.min_by("at", lead).alias("first_at"))
               .where("last > first").drop("last"))
+    firsts = materialise(firsts, "repeated_seeds")  # far fewer than all seeds, whose shuffle files can go now
+    release(found.sparkSession)
     return found.drop("lead").join(firsts, "seed").where("rid > first").select("rid", "at", "first", "first_at")
 
 
@@ -162,12 +177,26 @@ def chains(found: DataFrame, parts: int) -> DataFrame:
         head = np.flatnonzero(cut)
         tail = np.concatenate([head[1:], [len(x)]]) - 1
         fragments = np.stack([x[head], y[head], x[tail] - x[head] + K], axis=1)
-        edge = np.flatnonzero(np.concatenate([[True], (rid[head][1:] != rid[head][:-1]) | (first[head][1:] != first[head][:-1]), [True]]))
+        owner, target = rid[head], first[head]
+        edge = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (target[1:] != target[:-1]), [True]]))
+        long: list[tuple] = []
+        short: list[int] = []
         for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
             part = fragments[a:b]
             for c in [[0]] if b - a == 1 else chain([tuple(f) for f in part.tolist()]):
                 if part[c, 2].sum() >= MIN_COVERED:
-                    yield int(rid[head[a]]), int(first[head[a]]), part[c].astype("<i4").tobytes()
+                    long.append((int(owner[a]), int(target[a]), part[c]))
+                else:
+                    short.append(a + c[0])
+        yield from ((r, f, part.astype("<i4").tobytes()) for r, f, part in long)
+        spans: dict[int, list[tuple[int, int]]] = {}
+        for r, _, part in long:
+            spans.setdefault(r, []).append((int(part[0, 0]), int(part[-1, 0] + part[-1, 2])))
+        for i in short:
+            r, x = int(owner[i]), int(fragments[i, 0])
+            near = [(a, b) for a, b in spans.get(r, ()) if a - MIN_WORDS < x + K and x < b + MIN_WORDS]
+            if near and not any(a <= x and x + K <= b for a, b in near):
+                yield r, int(target[i]), fragments[i : i + 1].astype("<i4").tobytes()
 
     def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = []
@@ -228,9 +257,9 @@ def extend(a: list[bytes], b: list[bytes], jump: int = 6, confirm: int = 4) -> t
             elif score < best - 6:
                 break
         x, y, equal = x + far, y + far, equal + best_hits
-        jumps = ((m + n, m, n) for m in range(jump + 1) for n in range(jump + 1) if m + n)
-        follow = [(d, m, n) for d, m, n in jumps
-                  if len(a) >= x + m + confirm and a[x + m : x + m + confirm] == b[y + n : y + n + confirm]]
+        here = b[y : y + jump + 1]
+        follow = [(m + n, m, n) for m, p in enumerate(a[x : x + jump + 1]) if p in here for n, q in enumerate(here)
+                  if p == q and m + n and len(a) >= x + m + confirm and a[x + m : x + m + confirm] == b[y + n : y + n + confirm]]
         if not follow:
             return x, y, equal
         _, m, n = min(follow)
@@ -251,30 +280,34 @@ class Pages:
 
 def align(fragments: np.ndarray, mine: Pages, theirs: Pages) -> tuple[int, int, int, int, int]:
     """The passage (start, end) in both documents, and its equal words."""
-    x0, y0 = fragments[0, 0], fragments[0, 1]
-    x1, y1 = fragments[-1, 0] + fragments[-1, 2], fragments[-1, 1] + fragments[-1, 2]
-    equal = int(fragments[:, 2].sum())
-    for (ax, ay, am), (bx, by, _) in zip(fragments[:-1].tolist(), fragments[1:].tolist()):
+    parts = fragments.tolist()
+    (x0, y0, _), (x1, y1, last) = parts[0], parts[-1]
+    x1, y1, equal = x1 + last, y1 + last, sum(m for _, _, m in parts)
+    for (ax, ay, am), (bx, by, _) in zip(parts, parts[1:]):
         equal += edit_matches(mine.words(ax + am, bx), theirs.words(ay + am, by))
     back, front = (w[::-1] for w in (mine.words(x0 - MIN_WORDS, x0), theirs.words(y0 - MIN_WORDS, y0)))
     dx, dy, hits = extend(back, front)
     x0, y0, equal = x0 - dx, y0 - dy, equal + hits
     dx, dy, hits = extend(mine.words(x1, x1 + MIN_WORDS), theirs.words(y1, y1 + MIN_WORDS))
-    return int(x0), int(x1 + dx), int(y0), int(y1 + dy), equal + hits
+    return x0, x1 + dx, y0, y1 + dy, equal + hits
 
 
 def pages(docs: DataFrame) -> DataFrame:
     """(rid, text) to its words by pages: (rid, page, words)."""
 
-    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in slices(frames, "text", SLICE_BYTES):
-            out = []
-            for rid, text in zip(pdf["rid"], pdf["text"], strict=True):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in arrow_slices(batches, "text", SLICE_BYTES):
+            rids, numbers, made = [], [], []
+            for rid, text in zip(part.column("rid").to_pylist(), part.column("text").to_pylist(), strict=True):
                 words = (text or "").encode().split()
-                out += [(rid, p, b" ".join(words[p * PAGE : (p + 1) * PAGE])) for p in range(-(-len(words) // PAGE))]
-            yield pd.DataFrame(out, columns=["rid", "page", "words"])
+                n = -(-len(words) // PAGE)
+                rids += [rid] * n
+                numbers += range(n)
+                made += [b" ".join(words[p * PAGE : (p + 1) * PAGE]) for p in range(n)]
+            yield pa.RecordBatch.from_arrays([pa.array(rids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(made, pa.binary())],
+                                             names=["rid", "page", "words"])
 
-    return docs.select("rid", "text").mapInPandas(rows, "rid long, page int, words binary")
+    return docs.select("rid", "text").mapInArrow(rows, "rid long, page int, words binary")
 
 
 def passages(docs: DataFrame, parts: int) -> DataFrame:
@@ -297,16 +330,15 @@ def passages(docs: DataFrame, parts: int) -> DataFrame:
 
         def of(pdf: pd.DataFrame) -> pd.DataFrame:
             out = []
-            ids, side, page, words, raw = (pdf[c].tolist() for c in ("chain", "side", "page", "words", "fragments"))
+            ids, side, page, words, rids, firsts = (pdf[c].tolist() for c in ("chain", "side", "page", "words", "rid", "first"))
             edge = [0, *(np.flatnonzero(np.diff(pdf["chain"].to_numpy())) + 1).tolist(), len(ids)]
             for a, b in zip(edge, edge[1:]):
                 got: tuple[dict, dict] = ({}, {})
-                fragments = None
                 for i in range(a, b):
-                    if raw[i] is not None:
-                        fragments, rid, first = np.frombuffer(raw[i], "<i4").reshape(-1, 3), pdf["rid"].iat[i], pdf["first"].iat[i]
+                    if page[i] < 0:  # the chain itself
+                        fragments, rid, first = np.frombuffer(words[i], "<i4").reshape(-1, 3), rids[i], firsts[i]
                     else:
-                        got[int(side[i])][int(page[i])] = words[i].split()
+                        got[side[i]][page[i]] = words[i].split()
                 x0, x1, y0, y1, equal = align(fragments, Pages(got[0]), Pages(got[1]))
                 similarity = equal / max(x1 - x0, y1 - y0)
                 if x1 - x0 >= MIN_WORDS and similarity >= MIN_SIMILARITY:
@@ -327,9 +359,9 @@ def passages(docs: DataFrame, parts: int) -> DataFrame:
             yield of(pd.concat(held))
 
     read = made.mapInPandas(asked, "chain long, side int, rid long, page int").join(pages(docs), ["rid", "page"])
-    none = F.lit(None)
-    read = read.select("chain", "side", "page", "words", none.cast("binary").alias("fragments"), none.cast("long").alias("rid"), none.cast("long").alias("first"))
-    own = made.select("chain", F.lit(0).alias("side"), F.lit(-1).alias("page"), none.cast("binary").alias("words"), "fragments", "rid", "first")
+    none = F.lit(0).cast("long")
+    read = read.select("chain", "side", "page", "words", none.alias("rid"), none.alias("first"))
+    own = made.select("chain", F.lit(0).alias("side"), F.lit(-1).alias("page"), F.col("fragments").alias("words"), "rid", "first")
     both = read.unionByName(own).repartition(parts, "chain").sortWithinPartitions("chain")
     out = both.mapInPandas(aligned, "rid long, start_word int, end_word int, first long, first_start int, first_end int, similarity double")
     return materialise(out, "passages")

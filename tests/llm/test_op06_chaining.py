@@ -55,7 +55,7 @@ def test_runs_of_equal_words_share_a_seed():
 
 def planted(seed=7, docs=80):
     rng = random.Random(seed)
-    passages = [rng.choices(VOCABULARY, k=rng.choice((55, 70, 120))) for _ in range(6)]
+    passages = [rng.choices(VOCABULARY, k=rng.choice((60, 80, 120))) for _ in range(6)]
     rows, where = [], {}
     for i in range(docs):
         w = rng.choices(VOCABULARY, k=rng.randint(20, 200))
@@ -64,7 +64,7 @@ def planted(seed=7, docs=80):
             p = rng.randrange(6)
             part = list(passages[p])
             if kind == "fuzzy":
-                for at in range(18, len(part) - 10, 25):
+                for at in range(22, len(part) - 10, 28):
                     part[at] = rng.choice(VOCABULARY)
                 del part[len(part) // 2 + 3]
             at = rng.randint(0, len(w))
@@ -99,6 +99,14 @@ def test_a_passage_split_between_two_earlier_documents_is_found(spark):
     assert got == {1: 92, 2: 73, 3: 40}
 
 
+def test_texts_that_repeat_themselves(spark):
+    rng = random.Random(5)
+    run = ["and"] * 120 + ["x", "y", "z"] * 40
+    rows = [(i, " ".join(rng.choices(VOCABULARY, k=15) + run[: 200 + i] + rng.choices(VOCABULARY, k=15))) for i in range(4)]
+    got = {r["doc_id"]: len(r["text"].split()) for r in without_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0] == 230 and all(30 <= got[i] <= 36 for i in (1, 2, 3)), got
+
+
 def test_edge_documents(spark, tmp_path):
     got = op6_fuzzy_passages(spark, as_sf(spark, edge_docs(spark), tmp_path)).collect()
     rows = edge_rows()
