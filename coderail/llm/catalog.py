@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from coderail.llm.op01_dac import op1_token_dac
-from coderail.llm.op02_suffixes import op2_substring_suffixes
+from coderail.llm.op02_suffixes import OP2_SQL, op2_substring_suffixes
 from coderail.llm.op03_token_counts import op3_token_counts
 from coderail.llm.op04_quality import op4_quality_rules
 from coderail.llm.op05_simhash import op5_simhash
@@ -30,4 +30,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mixing": op10_mixing,
 }
 
-ORACLE_SQL: dict[str, str] = {"op8_block_topk": OP8_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_substring_suffixes": OP2_SQL, "op8_block_topk": OP8_SQL}

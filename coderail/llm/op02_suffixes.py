@@ -394,3 +394,33 @@ def dedup_substrings(docs: DataFrame, buckets: int = BUCKETS, part_bytes: int =
 
 def op2_substring_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(table(spark, sf_dir, "documents"))
+
+
+OP2_SQL = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), w AS (
+  SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS s
+  FROM (SELECT doc_id, h, unnest(range(greatest(len(h) // 2 - 99, 0))) AS i FROM d)
+), repeated AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS rn FROM w) WHERE rn > 1
+), marked AS (
+  SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS opens FROM repeated
+), numbered AS (
+  SELECT doc_id, i, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked
+), runs AS (
+  SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM numbered GROUP BY doc_id, run
+), pieces AS (
+  SELECT r.doc_id, r.a, substr(d.h, 2 * coalesce(lag(r.b) OVER (PARTITION BY r.doc_id ORDER BY r.a), 0) + 1,
+    2 * (r.a - coalesce(lag(r.b) OVER (PARTITION BY r.doc_id ORDER BY r.a), 0))) AS before
+  FROM runs r JOIN d ON r.doc_id = d.doc_id
+), cut AS (
+  SELECT doc_id, string_agg(before, '' ORDER BY a) AS head FROM pieces GROUP BY doc_id
+), sums AS (
+  SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last FROM runs GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(s.n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(s.n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(c.head, '') || substr(d.h, 2 * coalesce(s.last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN sums s ON d.doc_id = s.doc_id LEFT JOIN cut c ON d.doc_id = c.doc_id
+"""
