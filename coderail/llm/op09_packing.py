@@ -85,7 +85,7 @@ def pack(cut: DataFrame, seq_len: int) -> DataFrame:
     """Pieces with ``sequence_id`` (group and bin) and ``offset``; ``ids`` are carried along if they are there."""
     columns = [c for c in cut.columns if c != "pack_group"]
 
-    def one(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "ids_crc32", "start"], kind="stable", na_position="first")
         bins, offsets = first_fit_decreasing(pdf["length"].to_numpy(), seq_len)
         return pdf[columns].assign(sequence_id=(int(key[0]) << 32) + bins, offset=offsets)
@@ -105,7 +105,7 @@ def sequences(packed: DataFrame, seq_len: int, pad_id: int) -> DataFrame:
     """The padded sequences themselves: sequence_id, n_tokens and ids (from pieces that carry ``ids``).  A sequence
     whose length is a power of two stays as it is."""
 
-    def one(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         raw = b"".join(pdf.sort_values("offset")["ids"])
         n = len(raw) // 4
         pad = 0 if n & (n - 1) == 0 else seq_len - n
