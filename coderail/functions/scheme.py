@@ -98,6 +98,12 @@ def example_lines(examples) -> Column:
     return F.filter(lines, lambda l: l != "")
 
 
+def dict_examples(examples_arr: Column) -> Column:
+    """Examples given as key/value pairs become texts: ``{"Begriffe": "a", "Form": "b"}`` -> ``Begriffe: a; Form: b``."""
+    return F.transform(examples_arr, lambda m: F.array_join(
+        F.transform(F.map_entries(m), lambda e: F.concat(e["key"], F.lit(": "), F.coalesce(e["value"], F.lit("None")))), "; "))
+
+
 def clean_examples(examples_arr: Column, quote: bool = False) -> Column:
     """Fixer per example: drop one leading bullet (``·`` or ``•``) and the blanks after it, strip,
     double -> single quotes; ``quote`` wraps each in double quotes (a file-format artefact)."""

@@ -106,7 +106,9 @@ def drop_derived(scheme: DataFrame) -> DataFrame:
 
 def fix_scheme(scheme: DataFrame) -> DataFrame:
     """The fix step between import and validation: the key becomes the display name, its number is cut
-    for ``simplified_name``, criteria, examples and values are cleaned; conditions stay."""
+    for ``simplified_name``, criteria, examples (texts or key/value maps) and values are cleaned; conditions stay."""
+    if scheme.schema["examples"].dataType.simpleString().startswith("array<map"):
+        scheme = scheme.withColumn("examples", S.dict_examples(F.col("examples")))
     return scheme.withColumns({
         "display_name": F.col("key"), "simplified_name": S.simplify_name(F.col("key")),
         "criteria": S.clean_criteria(F.coalesce("criteria", F.lit(""))),

@@ -283,19 +283,18 @@ def q_title_mismatch(spark, sf):
     return joins.title_mismatch(P.entries(spark, sf), P.codes_wide(spark, sf))
 
 
-_STORE_SQL = f"""
-SELECT DISTINCT sha256(p.prompt) AS prompt_hash FROM o_prompts p JOIN responses_raw r
-  ON r.doc_id = p.ordinal AND r.category = p.category WHERE r.attempt = 1 AND ({guard('r.raw')}) IS NULL"""
+_STORE_SQL = """
+SELECT DISTINCT sha256(p.prompt) AS prompt_hash FROM o_prompts p JOIN o_resolved r
+  ON r.doc_id = p.ordinal AND r.category = p.category WHERE r.error IS NULL"""
 
 
 @register("pending_tasks", f"""
 SELECT ordinal, category, sha256(prompt) AS prompt_hash FROM o_prompts
-WHERE sha256(prompt) NOT IN ({_STORE_SQL})""", ("o_prompts", "responses_raw"))
+WHERE sha256(prompt) NOT IN ({_STORE_SQL})""", ("o_prompts", "o_resolved"))
 def q_pending_tasks(spark, sf):
     pr = P.prompts(spark, sf).withColumn("model", F.lit("rule-scorer")).withColumn("temperature", F.lit(0.0))
-    first = infer.guard_responses(fixture(spark, sf, "responses_raw").filter(F.col("attempt") == 1))
-    stored = (first.filter(F.col("guard_error").isNull())
-              .select(F.col("doc_id").alias("ordinal"), "category")
+    good, _ = infer.split_failures(P.resolved(spark, sf))
+    stored = (good.select(F.col("doc_id").alias("ordinal"), "category")
               .join(pr.select("ordinal", "category", "prompt_hash", "model", "temperature"),
                     ["ordinal", "category"], "inner"))
     return joins.pending_tasks(pr, stored).select("ordinal", "category", "prompt_hash")

@@ -165,26 +165,41 @@ def q_drop_derived(spark, sf):
     return OS.drop_derived(normalised(spark, sf)).select("scheme_id", "ordinal", "key")
 
 
+# A scheme as edited by hand: missing names, keys, criteria, examples and values, and a key given twice.
+_EDITED = ["scheme_id", "ordinal", "CASE WHEN ordinal % 17 = 3 THEN 'Doppelt' WHEN ordinal % 41 = 4 THEN NULL ELSE key END AS key",
+           "CASE WHEN ordinal % 19 = 5 THEN NULL ELSE display_name END AS display_name",
+           "CASE WHEN ordinal % 13 = 1 THEN NULL ELSE criteria END AS criteria",
+           "CASE WHEN ordinal % 13 = 2 THEN NULL ELSE examples END AS examples",
+           "CASE WHEN ordinal % 13 = 3 THEN NULL ELSE values_text END AS values_text", "condition_problem"]
+
+
 @register("scheme_violations", f"""
-SELECT scheme_id, ordinal, rule FROM (
-  SELECT s.scheme_id, s.ordinal, 'duplicate_name' AS rule FROM (
-    SELECT *, {Q.bare_name('display_name')} AS bare FROM o_scheme) s
-  JOIN (SELECT scheme_id, bare, min(ordinal) AS first_ord FROM (
-          SELECT scheme_id, ordinal, {Q.bare_name('display_name')} AS bare FROM o_scheme) GROUP BY ALL) f
-    ON s.scheme_id = f.scheme_id AND s.bare = f.bare WHERE s.ordinal > f.first_ord
-  UNION ALL SELECT s.scheme_id, s.ordinal, 'key_collision' FROM o_scheme s
-    JOIN (SELECT scheme_id, key, min(ordinal) AS first_ord FROM o_scheme GROUP BY ALL) k
-    ON s.scheme_id = k.scheme_id AND s.key = k.key WHERE s.ordinal > k.first_ord
-  UNION ALL SELECT scheme_id, ordinal, condition_problem FROM o_scheme WHERE condition_problem IS NOT NULL)""",
-          ("o_scheme",))
+WITH e AS (SELECT {', '.join(_EDITED)} FROM o_scheme),
+ n AS (SELECT *, {Q.bare_name("coalesce(display_name, key, '')")} AS bare FROM e)
+SELECT scheme_id, ordinal, 'duplicate_name' AS rule FROM n a WHERE bare <> ''
+  AND EXISTS (SELECT 1 FROM n b WHERE b.scheme_id = a.scheme_id AND b.bare = a.bare AND b.ordinal < a.ordinal)
+UNION ALL SELECT scheme_id, ordinal, 'key_collision' FROM e a
+  WHERE EXISTS (SELECT 1 FROM e b WHERE b.scheme_id = a.scheme_id AND b.key = a.key AND b.key <> '' AND b.ordinal < a.ordinal)
+UNION ALL SELECT scheme_id, ordinal, 'missing_criteria' FROM e WHERE criteria IS NULL
+UNION ALL SELECT scheme_id, ordinal, 'missing_examples' FROM e WHERE examples IS NULL
+UNION ALL SELECT scheme_id, ordinal, 'missing_values' FROM e WHERE values_text IS NULL
+UNION ALL SELECT scheme_id, ordinal, condition_problem FROM e WHERE condition_problem IS NOT NULL""", ("o_scheme",))
 def q_scheme_violations(spark, sf):
-    return OS.scheme_violations(normalised(spark, sf))
+    return OS.scheme_violations(normalised(spark, sf).selectExpr(*_EDITED))
+
+
+# Every format of the validator, and texts of none.
+_FORMATS = ["Ja (1), Nein (0)", "offen", "Hochschule (1), Anbieter (2), Uni (3)", "Haus (1), Hof (2), -99", "SoSe24; WiSe24/25; -99",
+            "A; B; C; -99", "Lehre und Forschung; Praxis; -99", "eins, zwei", "wenn 2.1 = 1", "-99", "eins,zwei", "", "'offen'", "A; -99", "x, , y"]
+_FORMAT_SQL = "CASE ordinal % {n} {whens} ELSE values_text END".format(
+    n=len(_FORMATS) + 1, whens=" ".join(f"WHEN {i} THEN '{v.replace(chr(39), chr(39) * 2)}'" for i, v in enumerate(_FORMATS)))
 
 
-@register("values_format", f"SELECT scheme_id, ordinal, {Q.values_format('values_text', S.VALUE_FORMATS)} AS format "
-          "FROM o_scheme", ("o_scheme",))
+@register("values_format", f"SELECT scheme_id, ordinal, {Q.values_format('values_text')} AS format FROM ("
+          f"SELECT scheme_id, ordinal, {_FORMAT_SQL} AS values_text FROM o_scheme)", ("o_scheme",))
 def q_values_format(spark, sf):
-    return normalised(spark, sf).select("scheme_id", "ordinal", S.values_format(F.col("values_text")).alias("format"))
+    df = normalised(spark, sf).selectExpr("scheme_id", "ordinal", f"{_FORMAT_SQL} AS values_text")
+    return df.select("scheme_id", "ordinal", S.values_format(F.col("values_text")).alias("format"))
 
 
 @register("scheme_aliases", """

@@ -203,9 +203,20 @@ def bare_name(x: str) -> str:
     return f"CASE WHEN regexp_matches({x}, '{pat}') THEN regexp_extract({x}, '{pat}', 1) ELSE {x} END"
 
 
-def values_format(x: str, formats) -> str:
+def values_format(x: str) -> str:
+    """The formats by their parts, not by the engine's patterns."""
     v = strip_chars(x, "\"'")
-    out = f"CASE WHEN starts_with({v}, 'wenn') THEN 'conditional' "
-    for name, pat in formats:
-        out += f"WHEN regexp_matches({v}, '{pat}') THEN '{name}' "
-    return out + "ELSE 'invalid' END"
+    parts, lines = f"string_split({v}, ', ')", f"string_split({v}, '; ')"
+    numbered = "regexp_full_match(p, '[^,]+ [(][0-9]+[)]')"
+
+    def every(items: str, test: str) -> str:
+        return f"len(list_filter({items}, lambda p: NOT ({test}))) = 0"
+    head = f"left({v}, greatest(len({v}) - 5, 0))"
+    return (f"CASE WHEN starts_with({v}, 'wenn') THEN 'conditional' WHEN {v} = 'Ja (1), Nein (0)' THEN 'binary' "
+            f"WHEN {v} = 'offen' THEN 'open' WHEN len({parts}) > 1 AND {every(parts, numbered)} THEN 'numbered_choice' "
+            f"WHEN len({parts}) = 3 AND {parts}[3] = '-99' AND {every(f'{parts}[1:2]', numbered)} THEN 'numbered_choice_missing' "
+            f"WHEN len({lines}) = 3 AND {lines}[3] = '-99' AND regexp_full_match({lines}[1], 'SoSe[0-9]{{2}}') "
+            f"AND regexp_full_match({lines}[2], 'WiSe[0-9]{{2}}/[0-9]{{2}}') THEN 'semester' "
+            f"WHEN len({lines}) > 2 AND {lines}[-1] = '-99' AND {every(f'{lines}[1:-2]', 'len(p) = 1 AND p BETWEEN chr(65) AND chr(90)')} THEN 'letter_list' "
+            f"WHEN ends_with({v}, '; -99') AND NOT contains({v}, ',') AND regexp_full_match({head}, '(?s).+; .+') THEN 'text_list' "
+            f"WHEN {v} <> '' AND {every(parts, 'p <> chr(0) AND len(p) > 0 AND NOT contains(p, chr(44))')} THEN 'comma_list' ELSE 'invalid' END")

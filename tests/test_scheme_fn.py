@@ -129,3 +129,8 @@ def test_fix_scheme_cleans_every_field(spark):
                                "scheme_id string, ordinal long, key string, display_name string, criteria string, examples array<string>, values_text string")
     r = fix_scheme(df).first()
     assert (r.display_name, r.simplified_name, r.criteria, r.examples, r.values_text) == ("2_0_Name", "2_0_Name", "a 'b'", ["x", "'y'"], "A, B, -99")
+
+
+def test_examples_given_as_pairs(spark):
+    df = spark.createDataFrame([([{"Begriffe": "a"}, {"x": "1", "y": "2"}],)], "e array<map<string,string>>")
+    assert df.select(S.dict_examples(F.col("e")).alias("x")).first().x == ["Begriffe: a", "x: 1; y: 2"]
