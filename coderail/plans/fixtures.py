@@ -77,7 +77,7 @@ SELECT concat('p', CAST(p_size AS STRING)) AS scheme_id, p_partkey AS ordinal,
     WHEN 3 THEN concat('A', chr(10), ' B ', chr(10), chr(10), 'C')
     WHEN 4 THEN 'Seminar (1);; Event (2);; Event (2); -99'
     WHEN 5 THEN concat('Ja (1) wenn min. eine der Kategorien ', CAST(p_partkey % 4 AS STRING), '.1-', CAST(p_partkey % 4 AS STRING), '.4 = 1', chr(10), 'oder Nein (0)')
-    WHEN 6 THEN concat('Wenn ', p_brand, ' = 2', chr(10), ' Offen; -99')
+    WHEN 6 THEN concat('Wenn ', p_brand, CASE WHEN p_partkey % 2 = 0 THEN ' = 2' ELSE ' = 2 = 3' END, chr(10), ' Offen; -99')
     WHEN 7 THEN 'a, b, a' WHEN 8 THEN 'Ja (1), nur, wenn auch 2.0.4 =1; Nein (0)'
     WHEN 9 THEN 'Ja (1) wenn min. eine der Kategorien 2.0.3.1 & 2.0.3.2 = 1' ELSE '' END AS values_text,
   CASE WHEN p_partkey % 3 = 0 THEN concat('Kriterium:  ', p_type, ' "x"') ELSE '' END AS criteria,
