@@ -154,7 +154,9 @@ def near_duplicates(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     release(prints.sparkSession)
     roots = components(edges)
     rooted = nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    rooted = materialise(rooted, "simhash_rooted")
+    # written as well, so that both sides of the join are plain shuffles and Spark can split a large component
+    least = materialise(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "simhash_least")
     return materialise(rooted.join(least, "root").select(F.col("fp").alias("fp_"), "component_id", "root"), "simhash_components")
 
 
