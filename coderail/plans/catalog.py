@@ -250,6 +250,20 @@ def q_merge_codes(spark, sf):
     return joins.merge_codes(P.entries(spark, sf), P.codes_wide(spark, sf).drop("ordinal"))
 
 
+@register("merge_prepared_codes", f"""
+SELECT e.ordinal, e.title, e.description, c.ordinal AS ordinal_codes, coalesce(c.human_code, '0') AS human_code
+FROM o_entries e LEFT JOIN (
+  SELECT ordinal, title, CASE WHEN {_RECODE_V.replace('human_code_quality', 'human_code')} IN ('0', '1')
+      THEN {_RECODE_V.replace('human_code_quality', 'human_code')} ELSE '0' END AS human_code
+  FROM (SELECT *, row_number() OVER (PARTITION BY title ORDER BY ordinal) AS rn FROM (
+    SELECT ordinal, title, human_code_quality AS human_code FROM o_codes WHERE title IS NOT NULL AND human_code_quality IS NOT NULL))
+  WHERE rn = 1) c ON e.title = c.title""", ("o_entries", "o_codes"))
+def q_merge_prepared_codes(spark, sf):
+    """The narrow prepared codes (P7) merged with the texts."""
+    codes = prep.prepare_codes(fixture(spark, sf, "codes_raw").withColumnRenamed("human_code_quality", "human_code"))
+    return joins.merge_codes(P.entries(spark, sf), codes)
+
+
 @register("codes_long", "SELECT * FROM o_human", ("o_human",))
 def q_codes_long(spark, sf):
     return P.human_long(spark, sf)
@@ -450,6 +464,23 @@ def q_validate_responses(spark, sf):
                                             "confidence_level", "reasoning", "outcome")
 
 
+@register("invalid_answers_raw", f"""
+SELECT doc_id, category, attempt, CASE WHEN outcome = 'invalid_json' THEN coalesce(raw, '') ELSE ai_code END AS ai_code, outcome
+FROM {_V_ALL} v""", ("responses_raw",))
+def q_invalid_answers_raw(spark, sf):
+    """``on_invalid='raw'``: an answer that is no JSON becomes the code itself."""
+    out = validate.validate_responses(fixture(spark, sf, "responses_raw"), "raw", on_invalid="raw")
+    return out.select("doc_id", "category", "attempt", "ai_code", "outcome")
+
+
+@register("invalid_answers_drop", f"SELECT doc_id, category, attempt, ai_code, outcome FROM {_V_ALL} v WHERE outcome <> 'invalid_json'",
+          ("responses_raw",))
+def q_invalid_answers_drop(spark, sf):
+    """``on_invalid='drop'``: no row for an answer that is no JSON."""
+    out = validate.validate_responses(fixture(spark, sf, "responses_raw"), "raw", on_invalid="drop")
+    return out.select("doc_id", "category", "attempt", "ai_code", "outcome")
+
+
 @register("validation_report", f"SELECT category, outcome, count(*) AS n FROM {_V_ALL} v GROUP BY ALL",
           ("responses_raw",))
 def q_validation_report(spark, sf):
@@ -601,6 +632,24 @@ def q_stream_classify(spark, sf):
     return incremental.stored_responses(spark, f"{base}/store").select("ordinal", "category", "prompt_hash", "response")
 
 
+@register("stream_retry", f"""
+SELECT ordinal, category, {_RULE_RESPONSE} AS response, CAST(1 AS INTEGER) AS batch_id FROM o_prompts""", ("o_prompts",))
+def q_stream_retry(spark, sf):
+    """Batch 0 fails every call of its one category; batch 1 brings the same texts and all categories: the failed
+    pairs and the new categories of the known texts are answered there, each once."""
+    from ..streaming import incremental
+    store, texts = scratch_path(spark, "stream_retry"), P.entries_raw(spark, sf)
+
+    def unavailable(request):
+        raise ConnectionError("model unavailable")
+    common = dict(scheme=P.task_scheme(spark, sf), store=store, model="rule-scorer", temperature=0.0, backoff=0.0)
+    one = spark.createDataFrame([(1, "quality")], "ordinal int, key string")
+    incremental.code_batch(texts, 0, selected=one, infer_fn=unavailable, **common)
+    incremental.code_batch(texts, 1, selected=fixture(spark, sf, "selected"), infer_fn=infer.rule_scorer, **common)
+    return (incremental.stored_responses(spark, store).filter(F.col("error").isNull())
+            .select("ordinal", "category", "response", F.col("batch_id").cast("int").alias("batch_id")))
+
+
 # ---------------------------------------------------------------- one batch run with its response store
 @register("coding_run", f"""
 SELECT category, count(*) AS total_samples,
