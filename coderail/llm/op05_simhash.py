@@ -169,10 +169,11 @@ def near_duplicates_kept(docs: DataFrame, width: int = SHINGLE_WORDS, max_bits:
     one = prints.join(roots, "fp_").groupBy("root").agg(F.min(rank).alias("r")).select("r.doc_id", "r.h")
     many = prints.groupBy("doc_id", "h").agg(F.count("*").alias("n"))
     one = materialise(one.alias("o").join(many.alias("m"), F.col("o.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("o.h") == F.col("m.h")))
-                      .select(F.col("o.doc_id").alias("id_"), F.col("o.h").alias("h_"), "n"), "simhash_kept")
-    stay = docs.join(one, docs["doc_id"].eqNullSafe(F.col("id_")) & (F.xxhash64(docs["text"]) == F.col("h_")))
-    single = stay.where("n = 1").select(docs.columns)
-    repeated = stay.where("n > 1").dropDuplicates(["id_", "h_"]).select(docs.columns)
+                      .select(F.struct(F.col("o.doc_id").alias("id"), F.col("o.h").alias("h"), "n").alias("_stays")), "simhash_kept")
+    stay = docs.join(one, docs["doc_id"].eqNullSafe(F.col("_stays.id")) & (F.xxhash64(docs["text"]) == F.col("_stays.h")))
+    columns = [docs[f"`{c}`"] for c in docs.columns]
+    single = stay.where("_stays.n = 1").select(columns)
+    repeated = stay.where("_stays.n > 1").dropDuplicates(["_stays"]).select(docs.columns)
     return single.unionByName(repeated)
 
 
