@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 WS = r"[\s\x1c-\x1f]"
 _STRIP_RE = rf"(?U)^{WS}+|{WS}+$"
 _RUN_RE = rf"(?U){WS}+"
-_WS_ONLY_RE = rf"(?U)^{WS}*$"
 
 
 def _col(c) -> Column:
