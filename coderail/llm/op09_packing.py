@@ -17,7 +17,6 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from coderail.llm.common import mix64, slices, table
 from coderail.llm.tokens import BATCH_BYTES, default_path, encoder
