@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -32,9 +33,12 @@ def materialise(df: DataFrame, name: str, compression: str = "zstd") -> DataFram
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop the shuffle files of finished, unreferenced steps (it acts on JVM garbage only)."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark's cleaner drop the shuffle files of finished, unreferenced steps (it acts on JVM garbage only; what the
+    newest step held becomes garbage with the first pass)."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
 
 
 def text_bytes(col: str | Column = "text") -> Column:
