@@ -19,7 +19,7 @@ CACHE_CHUNKS = 600_000
 #: Longer chunks are not kept.
 CACHE_CHARS = 40
 #: Bytes of texts taken from an Arrow batch at a time, and characters encoded in one step.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 STEP_CHARS = 1 << 16
 #: Latin letters, then ASCII punctuation other than the apostrophe: one pre-token each; the letters may be lower-cased
 #: beforehand.
