@@ -75,7 +75,7 @@ def dac_get(levels, i: int) -> int:
     return value
 
 
-def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, block_tokens: int = 4 << 20,
+def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, block_tokens: int = 1 << 20,
               partition_bytes: int = 32 << 20) -> None:
     """Encode ``docs`` (doc_id, text) and write the id files below ``path``."""
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
