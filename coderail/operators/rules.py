@@ -85,8 +85,8 @@ def derive_any_in_range(codes: DataFrame, rules: DataFrame, doc: str = "doc_id")
     Returns ``(doc_id, number, code, level)`` for every text x derived category.
 
     One pass: each code row is compared with the rules where it is, one partial-aggregating group-by
-    per text collects the rules it hits (at most all of them), and every level is an expression over
-    that set. No join, no checkpoint, no second read of the codes.
+    per text keeps a flag per rule, and every level is an expression over those flags. No join, no
+    checkpoint, no second read of the codes.
     """
     own = [r.asDict() for r in rules.select("level", "number", "range_start", "range_end", "code").orderBy("level", "number").collect()]
     if not own:
@@ -94,28 +94,22 @@ def derive_any_in_range(codes: DataFrame, rules: DataFrame, doc: str = "doc_id")
 
     def ints(text: str) -> Column:
         return F.array(*[F.lit(n) for n in _number(text) or []]).cast("array<int>")
-    table = F.array(*[F.struct(F.lit(i).alias("i"), ints(r["range_start"]).alias("a"), ints(r["range_end"]).alias("b"),
-                               F.lit(r["code"]).alias("code")) for i, r in enumerate(own)])
-    n = number_array("number")
-    valid = F.forall(n, lambda x: x.isNotNull())
-    hit = F.filter(table, lambda r: valid & (F.size(n) == F.size(r["a"])) & (n >= r["a"]) & (n <= r["b"])
-                   & (F.col("code") == r["code"]))
-    per_doc = (codes.select(doc, F.coalesce(F.transform(hit, lambda r: r["i"]), F.array().cast("array<int>")).alias("_h"))
-               .groupBy(doc).agg(F.array_distinct(F.flatten(F.collect_set("_h"))).alias("_h")))
-    levels = sorted({r["level"] for r in own})
-    for lv in levels[1:]:
-        now = []
+    rows = codes.select(doc, "code", number_array("number").alias("_n"))
+    hits = [F.bool_or((F.size("_n") == len(_number(r["range_start"]) or [])) & (F.col("_n") >= ints(r["range_start"]))
+                      & (F.col("_n") <= ints(r["range_end"])) & (F.col("code") == r["code"])) for r in own]
+    per_doc = rows.groupBy(doc).agg(*[F.coalesce(h, F.lit(False)).alias(f"_h{i}") for i, h in enumerate(hits)])
+    for lv in sorted({r["level"] for r in own})[1:]:
+        now = {}
         for i, r in enumerate(own):
             below = [j for j, d in enumerate(own) if d["level"] < lv and _covers(r, d["number"])]
             if r["level"] == lv and below and r["code"] in ("0", "1"):
-                found = [F.array_contains("_h", j) if r["code"] == "1" else ~F.array_contains("_h", j) for j in below]
-                any_found = found[0]
-                for f in found[1:]:
-                    any_found = any_found | f
-                now.append(F.when(any_found, F.lit(i)))
+                found = F.col(f"_h{i}")
+                for j in below:
+                    found = found | (F.col(f"_h{j}") if r["code"] == "1" else ~F.col(f"_h{j}"))
+                now[f"_h{i}"] = found
         if now:
-            per_doc = per_doc.withColumn("_h", F.array_union("_h", F.array_compact(F.array(*now))))
-    out = F.array(*[F.struct(F.lit(r["number"]).alias("number"), F.when(F.array_contains("_h", i), "1").otherwise("0").alias("code"),
+            per_doc = per_doc.withColumns(now)
+    out = F.array(*[F.struct(F.lit(r["number"]).alias("number"), F.when(F.col(f"_h{i}"), "1").otherwise("0").alias("code"),
                              F.lit(r["level"]).alias("level")) for i, r in enumerate(own)])
     return per_doc.select(doc, F.inline(out))
 
