@@ -49,14 +49,16 @@ def bare_literals_quoted(t) -> Column:
     that does not parse as it is, such a literal in value position becomes a string (``float()`` reads both alike)."""
     c = _c(t)
     quoted = F.regexp_replace(c, r'([:\[,][ \t\n\r]*)(-?Infinity|NaN)(?=[ \t\n\r]*[,}\]])', '$1"$2"')
-    return F.when(c.rlike("Infinity|NaN") & F.try_parse_json(c).isNull(), quoted).otherwise(c)
+    return F.when((c.contains("Infinity") | c.contains("NaN")) & F.try_parse_json(c).isNull(), quoted).otherwise(c)
 
 
 def one_document(t) -> Column:
     """Nothing follows the first complete document. The parsers stop after it; inside an array, and
-    inside an object, every rest breaks the syntax of at least one of the two or adds an element."""
+    inside an object, every rest breaks the syntax of at least one of the two or adds an element. An
+    object whose first closing brace is its last character needs no such test."""
     c = _c(t)
-    return ((F.json_array_length(F.concat(F.lit("["), c, F.lit("]"))) == 1)
+    flat = c.startswith("{") & (F.instr(c, "}") == F.length(c))
+    return flat | ((F.json_array_length(F.concat(F.lit("["), c, F.lit("]"))) == 1)
             & F.json_object_keys(F.concat(F.lit('{"k":'), c, F.lit("}"))).isNotNull())
 
 
