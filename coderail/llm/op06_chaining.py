@@ -9,7 +9,7 @@
    a Fenwick tree of prefix maxima.
 4. Alignment: the words between the fragments of a chain and beside its ends are fetched by pages; gaps are aligned by
    least edits, ends are extended while equal words outweigh others.  Passages of ``MIN_WORDS`` words and up with
-   ``MIN_SIMILARITY`` equal words are reported.
+   ``MIN_SIMILARITY`` equal words are reported; a chain that is none is split at its worst gap, and its parts judged.
 
 "Earlier" means smaller doc_id (null first; equal ids by a hash of the text; then any order among repeated rows).
 Null or empty text: no passage.  Null ``doc_id``: takes part, reported as null.  Repeated rows: the second repeats the
@@ -218,12 +218,11 @@ def chains(found: DataFrame, parts: int) -> DataFrame:
 
 
 def wanted_pages(fragments: np.ndarray) -> tuple[set[int], set[int]]:
-    """Pages of the document and of the earlier one that the alignment of a chain reads."""
+    """Pages of the document and of the earlier one that the alignment of a chain and of its parts reads."""
     out = []
     for side in (0, 1):
         start, end = fragments[:, side], fragments[:, side] + fragments[:, 2]
-        spans = [(max(0, int(start[0]) - MIN_WORDS), int(start[0])), (int(end[-1]), int(end[-1]) + MIN_WORDS)]
-        spans += list(zip(end[:-1].tolist(), start[1:].tolist()))
+        spans = [s for a, b in zip(start.tolist(), end.tolist()) for s in ((max(0, a - MIN_WORDS), a), (b, b + MIN_WORDS))]
         out.append({p for a, b in spans if a < b for p in range(a // PAGE, (b - 1) // PAGE + 1)})
     return out[0], out[1]
 
@@ -278,18 +277,34 @@ class Pages:
         return out
 
 
-def align(fragments: np.ndarray, mine: Pages, theirs: Pages) -> tuple[int, int, int, int, int]:
-    """The passage (start, end) in both documents, and its equal words."""
+def align(fragments: np.ndarray, mine: Pages, theirs: Pages) -> list[tuple[int, int, int, int, float]]:
+    """The passages of a chain: start and end in both documents, similarity.
+
+    A chain that is no passage as a whole is split at its worst gap (most words that are not equal) and its parts are
+    judged again, down to single fragments.
+    """
     parts = fragments.tolist()
-    (x0, y0, _), (x1, y1, last) = parts[0], parts[-1]
-    x1, y1, equal = x1 + last, y1 + last, sum(m for _, _, m in parts)
+    gaps = []
     for (ax, ay, am), (bx, by, _) in zip(parts, parts[1:]):
-        equal += edit_matches(mine.words(ax + am, bx), theirs.words(ay + am, by))
-    back, front = (w[::-1] for w in (mine.words(x0 - MIN_WORDS, x0), theirs.words(y0 - MIN_WORDS, y0)))
-    dx, dy, hits = extend(back, front)
-    x0, y0, equal = x0 - dx, y0 - dy, equal + hits
-    dx, dy, hits = extend(mine.words(x1, x1 + MIN_WORDS), theirs.words(y1, y1 + MIN_WORDS))
-    return x0, x1 + dx, y0, y1 + dy, equal + hits
+        equal = edit_matches(mine.words(ax + am, bx), theirs.words(ay + am, by))
+        gaps.append((max(bx - ax - am, by - ay - am) - equal, equal))
+    out, todo = [], [(0, len(parts))]
+    while todo:
+        a, b = todo.pop()
+        (x0, y0, _), (x1, y1, last) = parts[a], parts[b - 1]
+        x1, y1, equal = x1 + last, y1 + last, sum(m for _, _, m in parts[a:b]) + sum(e for _, e in gaps[a : b - 1])
+        back, front = (w[::-1] for w in (mine.words(x0 - MIN_WORDS, x0), theirs.words(y0 - MIN_WORDS, y0)))
+        dx, dy, hits = extend(back, front)
+        x0, y0, equal = x0 - dx, y0 - dy, equal + hits
+        dx, dy, hits = extend(mine.words(x1, x1 + MIN_WORDS), theirs.words(y1, y1 + MIN_WORDS))
+        x1, y1, equal = x1 + dx, y1 + dy, equal + hits
+        similarity = equal / max(x1 - x0, y1 - y0)
+        if x1 - x0 >= MIN_WORDS and similarity >= MIN_SIMILARITY:
+            out.append((x0, x1, y0, y1, similarity))
+        elif b - a > 1:
+            cut = max(range(a, b - 1), key=lambda i: gaps[i][0]) + 1
+            todo += [(cut, b), (a, cut)]
+    return out
 
 
 def pages(docs: DataFrame) -> DataFrame:
@@ -339,10 +354,8 @@ def passages(docs: DataFrame, parts: int) -> DataFrame:
                         fragments, rid, first = np.frombuffer(words[i], "<i4").reshape(-1, 3), rids[i], firsts[i]
                     else:
                         got[side[i]][page[i]] = words[i].split()
-                x0, x1, y0, y1, equal = align(fragments, Pages(got[0]), Pages(got[1]))
-                similarity = equal / max(x1 - x0, y1 - y0)
-                if x1 - x0 >= MIN_WORDS and similarity >= MIN_SIMILARITY:
-                    out.append((rid, x0, x1, first, y0, y1, similarity))
+                out += [(rid, x0, x1, first, y0, y1, similarity)
+                        for x0, x1, y0, y1, similarity in align(fragments, Pages(got[0]), Pages(got[1]))]
             return pd.DataFrame(out, columns=["rid", "start_word", "end_word", "first", "first_start", "first_end", "similarity"])
 
         for pdf in frames:  # sorted by chain: the last one may go on in the next batch

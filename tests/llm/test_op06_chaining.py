@@ -99,6 +99,19 @@ def test_a_passage_split_between_two_earlier_documents_is_found(spark):
     assert got == {1: 92, 2: 73, 3: 40}
 
 
+def test_exact_passages_with_other_words_between_them_are_found(spark):
+    fresh = (f"w{i}" for i in range(10**6))
+    fill = lambda n: [next(fresh) for _ in range(n)]
+    rows, runs = [], {}
+    for i, (m, n, between) in enumerate(((3, 55, 30), (2, 52, 30), (4, 60, 38))):
+        runs[2 * i] = [fill(n) for _ in range(m)]
+        rows += [(d, " ".join(fill(25) + sum((p + fill(between) for p in runs[2 * i]), []))) for d in (2 * i, 2 * i + 1)]
+    kept = {r["doc_id"]: set(r["text"].split()) for r in without_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, made in runs.items():
+        others = set(dict(rows)[i + 1].split()) - set(sum(made, []))
+        assert others <= kept[i + 1] and kept[i + 1] == others, i
+
+
 def test_texts_that_repeat_themselves(spark):
     rng = random.Random(5)
     run = ["and"] * 120 + ["x", "y", "z"] * 40
