@@ -5,8 +5,8 @@
 2. Matches: each seed is joined to its earliest occurrence in another document, so a passage found in thousands of
    documents gives one match per occurrence, never pairs among them.
 3. Chains: matches of a document with one earlier document merge into exact fragments (same diagonal, seeds that overlap
-   or touch); fragments are chained in order on both sides, the best predecessor under a linear gap cost coming from
-   a Fenwick tree of prefix maxima.
+   or touch); fragments are chained in order on both sides, the best predecessor within ``MAX_GAP`` words under a linear
+   gap cost coming from a tree of range maxima.
 4. Alignment: the words between the fragments of a chain and beside its ends are fetched by pages; gaps are aligned by
    least edits, ends are extended while equal words outweigh others.  Passages of ``MIN_WORDS`` words and up with
    ``MIN_SIMILARITY`` equal words are reported; a chain that is none is split at its worst gap, and its parts judged.
@@ -19,6 +19,7 @@ matches, pages of one chain.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -104,51 +105,65 @@ def matches(found: DataFrame) -> DataFrame:
     return found.drop("lead").join(firsts, "seed").where("rid > first").select("rid", "at", "first", "first_at")
 
 
-class Fenwick:
-    """Largest value (with its owner) of a prefix."""
+NONE = (float("-inf"), -1)
+
+
+class Maxima:
+    """Largest value (with its owner) of a range of places."""
 
     def __init__(self, n: int):
-        self.best = [(float("-inf"), -1)] * (n + 1)
+        self.n, self.best = n, [NONE] * (2 * n)
 
     def put(self, i: int, value: tuple[float, int]) -> None:
-        i += 1
-        while i < len(self.best):
-            if value > self.best[i]:
-                self.best[i] = value
-            i += i & -i
-
-    def upto(self, i: int) -> tuple[float, int]:
-        out = (float("-inf"), -1)
-        while i:
-            out = max(out, self.best[i])
-            i &= i - 1
+        i += self.n
+        self.best[i] = value
+        while i > 1:
+            i >>= 1
+            self.best[i] = max(self.best[2 * i], self.best[2 * i + 1])
+
+    def between(self, a: int, b: int) -> tuple[float, int]:
+        """Of the places from a to before b."""
+        out, a, b = NONE, a + self.n, b + self.n
+        while a < b:
+            if a & 1:
+                out, a = max(out, self.best[a]), a + 1
+            if b & 1:
+                b -= 1
+                out = max(out, self.best[b])
+            a, b = a >> 1, b >> 1
         return out
 
 
 def chain(fragments: list[tuple[int, int, int]], cost: float = GAP_COST, max_gap: int = MAX_GAP) -> list[list[int]]:
     """Chains of fragments (x, y, length), best first; each fragment is in one chain.
 
-    Score of a chain: its words, less ``cost`` for every word between its fragments on either side.
+    Score of a chain: its words, less ``cost`` for every word between its fragments on either side.  A predecessor is
+    the best of those that end at most ``max_gap`` words before on both sides: on the first side they enter the tree
+    and leave it again, on the second side the tree is asked for a range.
     """
     n = len(fragments)
     by_start = sorted(range(n), key=lambda i: fragments[i][:2])
-    by_end = sorted(range(n), key=lambda i: fragments[i][0] + fragments[i][2])
-    ends_y = sorted({y + m for _, y, m in fragments})
-    rank = {y: r for r, y in enumerate(ends_y)}
-    tree, score, before, put = Fenwick(len(ends_y)), [0.0] * n, [-1] * n, 0
+    end_x = [x + m for x, _, m in fragments]
+    by_end = sorted(range(n), key=lambda i: end_x[i])
+    by_end_y = sorted(range(n), key=lambda i: fragments[i][1] + fragments[i][2])
+    ends_y = [fragments[i][1] + fragments[i][2] for i in by_end_y]
+    place = [0] * n
+    for r, i in enumerate(by_end_y):
+        place[i] = r
+    tree, score, before, put, gone = Maxima(n), [0.0] * n, [-1] * n, 0, 0
     for i in by_start:
         x, y, m = fragments[i]
-        while put < n and sum(fragments[by_end[put]][::2]) <= x:
+        while put < n and end_x[by_end[put]] <= x:
             j = by_end[put]
-            jx, jy, jm = fragments[j]
-            tree.put(rank[jy + jm], (score[j] + cost * (jx + jy + 2 * jm), j))
+            tree.put(place[j], (score[j] + cost * (end_x[j] + ends_y[place[j]]), j))
             put += 1
-        value, j = tree.upto(int(np.searchsorted(ends_y, y, side="right")))
+        while gone < put and end_x[by_end[gone]] < x - max_gap:
+            tree.put(place[by_end[gone]], NONE)
+            gone += 1
+        value, j = tree.between(bisect_left(ends_y, y - max_gap), bisect_right(ends_y, y))
         value -= cost * (x + y)
         if j >= 0 and value > 0:
-            jx, jy, jm = fragments[j]
-            if x - jx - jm <= max_gap and y - jy - jm <= max_gap:
-                before[i] = j
+            before[i] = j
         score[i] = m + (value if before[i] >= 0 else 0)
     free, out = [True] * n, []
     for i in sorted(range(n), key=lambda i: (-score[i], i)):

@@ -38,6 +38,20 @@ def test_fenwick_chains_reach_the_brute_force_score():
         assert abs(max(map(value, got)) - brute_chain(fragments, 0.5, 10**6)) < 1e-9
 
 
+def test_chains_reach_the_brute_force_score_with_short_gaps():
+    rng = random.Random(8)
+    for _ in range(400):
+        fragments = list({(rng.randrange(200), rng.randrange(200), rng.choice((8, 9, 16, 60))) for _ in range(rng.randint(1, 25))})
+        got = chain(fragments, 0.5, 40)
+        assert sorted(i for c in got for i in c) == list(range(len(fragments)))
+        steps = [(fragments[i], fragments[j]) for c in got for i, j in zip(c, c[1:])]
+        assert all(0 <= u - x - m <= 40 and 0 <= v - y - m <= 40 for (x, y, m), (u, v, _) in steps)
+        score = max(sum(fragments[i][2] for i in c) - 0.5 * sum(fragments[j][0] + fragments[j][1] - sum(fragments[i][:2]) - 2 * fragments[i][2] for i, j in zip(c, c[1:])) for c in got)
+        assert abs(score - brute_chain(fragments, 0.5, 40)) < 1e-9
+    behind = [(0, 0, 200)] + [(260 + 12 * i, 260 + 12 * i, 8) for i in range(6)]  # 60 words behind a longer passage
+    assert sorted(map(len, chain(behind))) == [1, 6]
+
+
 def test_alignment_pieces():
     assert edit_matches(list("abcd"), list("abxd")) == 3 and edit_matches([], list("ab")) == 0 and edit_matches(list("abc"), list("bc")) == 2
     assert extend(list("abcXef"), list("abcYef")) == (3, 3, 3) and extend(list("aaaaXbbbb"), list("aaaaYbbbb")) == (9, 9, 8)
