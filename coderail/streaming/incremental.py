@@ -2,11 +2,11 @@
 
 ``readStream`` of an entry folder -> per micro-batch (``foreachBatch``):
   prepare (first title wins inside the batch) -> drop titles that an earlier batch brought -> pairs to code:
-  the new texts x selected categories, older texts x categories selected for the first time, and older pairs
-  whose calls failed -> requests -> skip requests already answered -> classify -> append answers to the store.
+  all texts so far x selected categories, less the pairs that have an answer -> requests -> skip requests already
+  answered -> classify -> append answers to the store.
 
-Only an answered (text, category) pair is done: failures and later selections of known texts come back in the next
-batch. Exactly-once by construction: every output of batch ``b`` goes to ``.../batch_id=b`` with mode ``overwrite``,
+Only an answered (text, category) pair is done: failures, and categories selected later or again, come back for known
+texts in the next batch. Exactly-once by construction: every output of batch ``b`` goes to ``.../batch_id=b`` with mode ``overwrite``,
 and earlier state is read as ``batch_id < b``. A replayed batch (after a driver or executor failure) rewrites its own
 folder instead of duplicating rows, and never re-pays calls whose answers an earlier batch stored. Tables live below
 the shared folder. State is joined on its keys; broadcast or shuffle is Spark's choice by its own size checks.
@@ -48,25 +48,18 @@ def code_batch(batch: DataFrame, batch_id: int, *, selected: DataFrame, scheme:
         entries = entries.join(before.select("title"), "title", "left_anti")
     entries = written(entries.select("ordinal", "title", "description"), "entries")
     categories = joins.selected_categories(selected, scheme).select(F.col("key").alias("category"))
-    asked_before = _earlier(spark, f"{store}/selected", batch_id)
     categories = written(categories, "selected")
     tasks = requests(entries, selected, scheme, template, model, temperature)
     answers = _earlier(spark, f"{store}/responses", batch_id)
-    if before is not None:
-        again = None
-        if answers is not None:  # pairs whose every call failed so far
-            done = answers.filter(F.col("error").isNull()).select(*PAIR)
-            again = answers.filter(F.col("error").isNotNull()).select(*PAIR).distinct().join(done, PAIR, "left_anti")
-        if asked_before is not None:
-            fresh = [r["category"] for r in categories.join(asked_before.select("category"), "category", "left_anti").collect()]
-            if fresh:  # the selection is the user's menu choice, read as in build_tasks
-                later = before.select("title", F.explode(F.array(*map(F.lit, fresh))).alias("category"))
-                again = later if again is None else again.unionByName(later)
-        if again is not None:
-            per_text = again.groupBy("title").agg(F.collect_set("category").alias("_pending"))
-            known = before.select("ordinal", "title", "description").join(per_text, "title")
-            old = requests(known, selected, scheme, template, model, temperature)
-            tasks = tasks.unionByName(old.filter(F.array_contains("_pending", F.col("category"))).drop("_pending"))
+    if before is not None:  # the selection is the user's menu choice, read as in build_tasks
+        asked = F.array(*[F.lit(r["category"]) for r in categories.distinct().collect()]).cast("array<string>")
+        open_pairs = before.select("title", F.explode(asked).alias("category"))
+        if answers is not None:
+            open_pairs = open_pairs.join(answers.filter(F.col("error").isNull()).select(*PAIR).distinct(), PAIR, "left_anti")
+        per_text = open_pairs.groupBy("title").agg(F.collect_set("category").alias("_pending"))
+        known = before.select("ordinal", "title", "description").join(per_text, "title")
+        old = requests(known, selected, scheme, template, model, temperature)
+        tasks = tasks.unionByName(old.filter(F.array_contains("_pending", F.col("category"))).drop("_pending"))
     if answers is not None:
         tasks = joins.pending_tasks(tasks, answers.filter(F.col("error").isNull()).select(*KEYS))
     written(infer.classify(tasks.drop("model", "temperature"), infer_fn, model=model, temperature=temperature,

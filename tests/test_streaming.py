@@ -63,3 +63,15 @@ def test_failed_pairs_and_new_categories_come_back(spark, tmp_path):
     incremental.code_batch(texts[2].union(texts[0]), 2, selected=pick("quality", "toxic"), infer_fn=infer.rule_scorer, store=store, **common)
     last = incremental.stored_responses(spark, store).filter("batch_id = 2")
     assert sorted((r.title, r.category) for r in last.collect()) == sorted((f"t2{i}", c) for i in range(5) for c in ("quality", "toxic"))
+
+
+def test_a_category_dropped_and_selected_again_reaches_the_texts_between(spark, tmp_path):
+    texts = [spark.createDataFrame([(10 * b + i, f"t{b}{i}", "x" * (i + 1)) for i in range(3)], SCHEMA) for b in range(3)]
+    pick = lambda *keys: spark.createDataFrame(list(enumerate(keys, 1)), "ordinal int, key string")
+    store = str(tmp_path / "store")
+    for b, keys in enumerate((("quality", "toxic"), ("quality",), ("quality", "toxic"))):
+        incremental.code_batch(texts[b], b, selected=pick(*keys), infer_fn=infer.rule_scorer, store=store,
+                               scheme=P.task_scheme(spark, SF_SMALL), model="m", temperature=0.0, backoff=0.0)
+    got = sorted((r.batch_id, r.title, r.category) for r in incremental.stored_responses(spark, store).collect())
+    assert got == sorted([(b, f"t{b}{i}", c) for b in range(3) for i in range(3) for c in ("quality", "toxic") if (b, c) != (1, "toxic")]
+                         + [(2, f"t1{i}", "toxic") for i in range(3)])
