@@ -2,7 +2,7 @@ import random
 
 from cases import as_sf, edge_docs, empty_docs, words
 
-from coderail.llm.op07_licenses import TEMPLATES, differences, op7_license_scan, recognise, scan, words_of
+from coderail.llm.op07_licenses import TEMPLATES, differences, op7_license_scan, notices, recognise, scan, words_of
 
 LINES = {"Released under the MIT License.": "MIT", "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
          "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
@@ -23,6 +23,20 @@ def test_changed_and_foreign_wording():
     assert differences(words_of("a b d e"), words_of("a b c d")) == (["c"], ["e"])
 
 
+def test_notices_behind_other_words_and_over_line_breaks():
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed."
+    gpl = "/*\n * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as\n" \
+          " * published by the Free Software Foundation, either version 3 of the License,\n * or (at your option) any later version.\n */"
+    for text, name, verdict in (("This project is licensed under the MIT License.", "MIT", "modified"),
+                                ("This project is licensed under the Apache License, Version 2.0.", "Apache-2.0", "exact"),
+                                (mpl, "MPL-2.0", "exact"), ("// " + mpl.replace("\n", "\n// "), "MPL-2.0", "exact"), (gpl, "GPL-3.0-header", "exact"),
+                                ("Our small tool, released\nunder the MIT\nLicense.", "MIT", "exact")):
+        assert [x[2:4] for x in notices("Some words. And more of them\n" + text + "\nThe rest, it is.")] == [(name, verdict)], text
+    twice = "Licensed under CC BY 4.0. Licensed under CC BY 4.0. All rights reserved. Released under the MIT License."
+    assert [(x[2], x[-2]) for x in notices(twice)] == [("CC-BY-4.0", 0), ("CC-BY-4.0", 26), ("All-rights-reserved", 52), ("MIT", 73)]
+    assert notices("The MIT was founded under a license. Licensed plumber, version 2.0 of the Apache helicopter.") == []
+
+
 def test_notices_in_documents(spark):
     rng = random.Random(4)
     rows = []
