@@ -36,10 +36,12 @@ WINDOW = 8
 GAP_COST = 0.5
 #: Words that a gap of a chain may span on either side.
 MAX_GAP = 40
-#: A chain is aligned if its seeds cover this many words: two seeds at least.  One k-mer by itself is mostly a stock
-#: phrase (a repeated run of MIN_WORDS words has five seeds or more); it is aligned only where it lies beside a longer
-#: chain of its document, less than MIN_WORDS words away: there a passage may go on in another document.
-MIN_COVERED = K + 1
+#: Words on each side of a seed that are carried along, BITS bits of a hash each.
+BESIDE = 10
+BITS = 3
+#: ``extend``: words that it may leave out, and equal words that must follow.
+JUMP = 6
+CONFIRM = 4
 MIN_WORDS = 50
 MIN_SIMILARITY = 0.8
 PAGE = 64
@@ -48,7 +50,10 @@ SLICE_BYTES = 1 << 20
 
 def text_seeds(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hash, text, first word, and whether it is the text's first with this hash, of the seeds of some texts."""
-    batch = Batch(texts)
+    return batch_seeds(Batch(texts))
+
+
+def batch_seeds(batch: Batch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     w, n = batch.word_hash, len(batch.word_hash)
     if n < K + WINDOW - 1:
         none = np.zeros(0, np.int64)
@@ -81,28 +86,64 @@ def text_seeds(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndar
     return h, text, at - first_word[text], lead
 
 
+def beside(batch: Batch, text: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """BITS bits of each of the BESIDE words behind a seed, nearest lowest, and above them of those before it; 0 past the text's ends."""
+    code = np.concatenate([(batch.word_hash >> np.uint64(64 - BITS)).astype(np.int64), [0]])
+    last = np.cumsum(batch.n_words)
+    first = last - batch.n_words
+    out = np.zeros(len(at), np.int64)
+    for i in range(BESIDE):
+        right, left = first[text] + at + K + i, first[text] + at - 1 - i
+        out |= code[np.where(right < last[text], right, -1)] << (BITS * i)
+        out |= code[np.where(left >= first[text], left, -1)] << (BITS * (BESIDE + i))
+    return out
+
+
+def may_extend(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether ``extend`` may get anywhere from a seed, by what ``beside`` says of both sides; never false where it does.
+
+    Equal words have equal bits, so its score is at most the one counted here.
+    """
+    out = np.zeros(len(a), bool)
+    for side in (0, BITS * BESIDE):
+        u, v = ((x >> side) & ((1 << BITS * BESIDE) - 1) for x in (a, b))
+        score, ended = np.zeros(len(a), np.int64), np.zeros(len(a), bool)
+        for i in range(BESIDE):
+            score += np.where(((u ^ v) >> (BITS * i)) & ((1 << BITS) - 1) == 0, 1, -2)
+            out |= ~ended & (score > 0)
+            ended |= score < -6
+        out |= ~ended
+        for m in range(JUMP + 1):
+            for n in range(JUMP + 1):
+                if m + n:
+                    out |= ((u >> (BITS * m)) ^ (v >> (BITS * n))) & ((1 << BITS * CONFIRM) - 1) == 0
+    return out
+
+
 def seeds(docs: DataFrame) -> DataFrame:
-    """(rid, text) to (seed, rid, at, lead)."""
+    """(rid, text) to (seed, rid, at, lead, beside)."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in arrow_slices(batches, "text", SLICE_BYTES):
-            h, text, at, lead = text_seeds(part.column("text").to_pylist())
+            batch = Batch(part.column("text").to_pylist())
+            h, text, at, lead = batch_seeds(batch)
             rid = part.column("rid").to_numpy()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h.view(np.int64)), pa.array(rid[text]), pa.array(at.astype(np.int32)), pa.array(lead)],
-                names=["seed", "rid", "at", "lead"])
+                [pa.array(h.view(np.int64)), pa.array(rid[text]), pa.array(at.astype(np.int32)), pa.array(lead),
+                 pa.array(beside(batch, text, at))], names=["seed", "rid", "at", "lead", "beside"])
 
-    return docs.select("rid", "text").mapInArrow(rows, "seed long, rid long, at int, lead boolean")
+    return docs.select("rid", "text").mapInArrow(rows, "seed long, rid long, at int, lead boolean, beside long")
 
 
 def matches(found: DataFrame) -> DataFrame:
-    """Seeds with their earliest occurrence, where that lies in an earlier document: (rid, at, first, first_at)."""
+    """Seeds with their earliest occurrence, where that lies in an earlier document: (rid, at, beside, first, first_at, first_beside)."""
     lead = F.when(F.col("lead"), F.col("rid"))
-    firsts = (found.groupBy("seed").agg(F.min("rid").alias("first"), F.max("rid").alias("last"), F.min_by("at", lead).alias("first_at"))
+    firsts = (found.groupBy("seed").agg(F.min("rid").alias("first"), F.max("rid").alias("last"), F.min_by("at", lead).alias("first_at"),
+                                         F.min_by("beside", lead).alias("first_beside"))
               .where("last > first").drop("last"))
     firsts = materialise(firsts, "repeated_seeds")  # far fewer than all seeds, whose shuffle files can go now
     release(found.sparkSession)
-    return found.drop("lead").join(firsts, "seed").where("rid > first").select("rid", "at", "first", "first_at")
+    return found.drop("lead").join(firsts, "seed").where("rid > first").select("rid", "at", "beside", "first", "first_at", "first_beside")
 
 
 NONE = (float("-inf"), -1)
@@ -181,7 +222,10 @@ CHAIN = "rid long, first long, fragments binary"
 
 
 def chains(found: DataFrame, parts: int) -> DataFrame:
-    """Chains of each document with each earlier one; ``fragments`` packs (x, y, length) as int32."""
+    """Chains of each document with each earlier one; ``fragments`` packs (x, y, length) as int32.
+
+    A chain of one seed is left out only if its alignment would get nowhere: then it is the seed's K words.
+    """
 
     def of(pdf: pd.DataFrame) -> Iterator[tuple]:
         rid, first, x, y = (pdf[c].to_numpy() for c in ("rid", "first", "at", "first_at"))
@@ -194,24 +238,12 @@ def chains(found: DataFrame, parts: int) -> DataFrame:
         fragments = np.stack([x[head], y[head], x[tail] - x[head] + K], axis=1)
         owner, target = rid[head], first[head]
         edge = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (target[1:] != target[:-1]), [True]]))
-        long: list[tuple] = []
-        short: list[int] = []
+        alone = (tail == head) & ~may_extend(pdf["beside"].to_numpy()[order][head], pdf["first_beside"].to_numpy()[order][head])
         for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
             part = fragments[a:b]
             for c in [[0]] if b - a == 1 else chain([tuple(f) for f in part.tolist()]):
-                if part[c, 2].sum() >= MIN_COVERED:
-                    long.append((int(owner[a]), int(target[a]), part[c]))
-                else:
-                    short.append(a + c[0])
-        yield from ((r, f, part.astype("<i4").tobytes()) for r, f, part in long)
-        spans: dict[int, list[tuple[int, int]]] = {}
-        for r, _, part in long:
-            spans.setdefault(r, []).append((int(part[0, 0]), int(part[-1, 0] + part[-1, 2])))
-        for i in short:
-            r, x = int(owner[i]), int(fragments[i, 0])
-            near = [(a, b) for a, b in spans.get(r, ()) if a - MIN_WORDS < x + K and x < b + MIN_WORDS]
-            if near and not any(a <= x and x + K <= b for a, b in near):
-                yield r, int(target[i]), fragments[i : i + 1].astype("<i4").tobytes()
+                if len(c) > 1 or not alone[a + c[0]]:
+                    yield int(owner[a]), int(target[a]), part[c].astype("<i4").tobytes()
 
     def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = []
@@ -254,7 +286,7 @@ def edit_matches(a: list[bytes], b: list[bytes]) -> int:
     return -row[-1][1]
 
 
-def extend(a: list[bytes], b: list[bytes], jump: int = 6, confirm: int = 4) -> tuple[int, int, int]:
+def extend(a: list[bytes], b: list[bytes], jump: int = JUMP, confirm: int = CONFIRM) -> tuple[int, int, int]:
     """How far equal words go on, on both sides, and how many they are.
 
     Words are compared one by one: +1 and -2 per word, up to the best sum, given up 6 below it.  Then up to ``jump``

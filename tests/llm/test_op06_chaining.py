@@ -4,7 +4,8 @@ import numpy as np
 from cases import as_sf, edge_docs, edge_rows, empty_docs
 from pyspark.sql import functions as F
 
-from coderail.llm.op06_chaining import K, WINDOW, chain, edit_matches, extend, op6_fuzzy_passages, text_seeds, without_passages
+from coderail.llm.op06_chaining import K, WINDOW, batch_seeds, beside, chain, edit_matches, extend, may_extend, op6_fuzzy_passages, text_seeds, without_passages
+from coderail.llm.words import Batch
 
 VOCABULARY = ["".join(random.Random(5 * i).choice("abcdefghijklmnop") for _ in range(6)) for i in range(3000)]
 
@@ -126,6 +127,40 @@ def test_exact_passages_with_other_words_between_them_are_found(spark):
         assert others <= kept[i + 1] and kept[i + 1] == others, i
 
 
+def test_seeds_are_left_out_only_where_nothing_extends():
+    rng, kept, n = random.Random(12), 0, 0
+    for _ in range(300):
+        letters = rng.choice(("abc", "abcdefghijklmnopqrstuvwxyz"))
+        texts = [" ".join(rng.choices(letters, k=rng.randint(0, 30)) + [f"s{i}" for i in range(15)] + rng.choices(letters, k=rng.randint(0, 30))) for _ in range(2)]
+        batch, (a, b) = Batch(texts), [t.split() for t in texts]
+        h, text, at, _ = batch_seeds(batch)
+        code = beside(batch, text, at)
+        for i in np.flatnonzero(text == 0):
+            for j in np.flatnonzero((text == 1) & (h == h[i])):
+                x, y = int(at[i]), int(at[j])
+                far = extend(a[x + K :][:50], b[y + K :][:50])[0] or extend(a[:x][::-1][:50], b[:y][::-1][:50])[0]
+                got = may_extend(code[i : i + 1], code[j : j + 1])[0]
+                assert got or not far
+                kept, n = kept + got, n + 1
+    a, b = np.random.default_rng(1).integers(0, 1 << 60, (2, 20000))
+    assert n > 300 and may_extend(a, b).mean() < 0.4
+
+
+def test_passages_that_share_one_seed_are_found(spark):
+    fresh = (f"w{i}" for i in range(10**6))
+    fill = lambda n: [next(fresh) for _ in range(n)]
+    rows, one = [], []
+    for i in range(150):
+        p = fill(72)
+        q = [next(fresh) if k % 10 == 9 else w for k, w in enumerate(p)]
+        rows += [(2 * i, " ".join(fill(20) + p + fill(20))), (2 * i + 1, " ".join(fill(20) + q + fill(20)))]
+        h, text, _, _ = text_seeds([rows[-2][1], rows[-1][1]])
+        if len(set(h[text == 0]) & set(h[text == 1])) == 1:
+            one.append(2 * i + 1)
+    got = {r["doc_id"]: len(r["text"].split()) for r in without_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(one) > 5 and all(got[i] < 60 for i in one), [got[i] for i in one]
+
+
 def test_texts_that_repeat_themselves(spark):
     rng = random.Random(5)
     run = ["and"] * 120 + ["x", "y", "z"] * 40
