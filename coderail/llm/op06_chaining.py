@@ -1,7 +1,7 @@
 """Fuzzy passages that repeat across documents, by collinear chaining of shared word k-mers.
 
 1. Seeds: k-mers of words that are least of some window of ``WINDOW`` k-mers (by hash); any run of K + WINDOW - 1 equal
-   words has one, and both sides choose it alike.
+   words has one, and both sides choose it alike.  Wide seeds beside them: any run of ``MIN_WORDS`` equal words has one.
 2. Matches: each seed is joined to its earliest occurrence in another document, so a passage found in thousands of
    documents gives one match per occurrence, never pairs among them.
 3. Chains: matches of a document with one earlier document merge into exact fragments (same diagonal, seeds that overlap
@@ -36,6 +36,10 @@ WINDOW = 8
 GAP_COST = 0.5
 #: Words that a gap of a chain may span on either side.
 MAX_GAP = 40
+#: Wide seeds, least of WIDE_WINDOW by hash: any run of MIN_WORDS equal words has one.  Words that are stock phrases one
+#: by one, each first seen in another document, meet here in the first document that has them together.
+WIDE = 32
+WIDE_WINDOW = 19
 #: Words on each side of a seed that are carried along, BITS bits of a hash each.
 BESIDE = 10
 BITS = 3
@@ -53,21 +57,21 @@ def text_seeds(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndar
     return batch_seeds(Batch(texts))
 
 
-def batch_seeds(batch: Batch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def batch_seeds(batch: Batch, k: int = K, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     w, n = batch.word_hash, len(batch.word_hash)
-    if n < K + WINDOW - 1:
+    if n < k + window - 1:
         none = np.zeros(0, np.int64)
         return none.astype(np.uint64), none, none, none.astype(bool)
     with np.errstate(over="ignore"):
-        h = np.zeros(n - K + 1, np.uint64)
-        for k in range(K):
-            h = (h + w[k : n - K + 1 + k]) * BASE
+        h = np.zeros(n - k + 1, np.uint64)
+        for i in range(k):
+            h = (h + w[i : n - k + 1 + i]) * BASE
         h = mix64(h)
     key = (h >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-    least = running(key, WINDOW, np.minimum)
-    least[batch.word_doc[K + WINDOW - 2 :] != batch.word_doc[: len(least)]] = 0  # the window leaves its text
-    pad = np.zeros(WINDOW - 1, np.uint32)
-    at = np.flatnonzero(running(np.concatenate([pad, least, pad]), WINDOW, np.maximum) == key)
+    least = running(key, window, np.minimum)
+    least[batch.word_doc[k + window - 2 :] != batch.word_doc[: len(least)]] = 0  # the window leaves its text
+    pad = np.zeros(window - 1, np.uint32)
+    at = np.flatnonzero(running(np.concatenate([pad, least, pad]), window, np.maximum) == key)
     first_word = np.concatenate([[0], np.cumsum(batch.n_words)])
     h, text = h[at], batch.word_doc[at]
 
@@ -76,7 +80,7 @@ def batch_seeds(batch: Batch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
         return order, (h[order[1:]] == h[order[:-1]]) & (text[order[1:]] == text[order[:-1]])
 
     order, same = in_order()
-    tight = np.concatenate([[False], same & (np.diff(at[order]) <= K)])  # text that repeats itself within K words:
+    tight = np.concatenate([[False], same & (np.diff(at[order]) <= k)])  # text that repeats itself within k words:
     rank = np.arange(len(at)) - np.maximum.accumulate(np.where(tight, 0, np.arange(len(at))))
     with np.errstate(over="ignore"):  # the n-th turn on one side goes with the n-th on the other
         h[order] = np.where(tight, mix64(h[order] + rank.astype(np.uint64) * BASE), h[order])
@@ -121,16 +125,18 @@ def may_extend(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def seeds(docs: DataFrame) -> DataFrame:
-    """(rid, text) to (seed, rid, at, lead, beside)."""
+    """(rid, text) to (seed, rid, at, lead, beside); ``beside`` is -1 at a wide seed."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in arrow_slices(batches, "text", SLICE_BYTES):
             batch = Batch(part.column("text").to_pylist())
-            h, text, at, lead = batch_seeds(batch)
             rid = part.column("rid").to_numpy()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h.view(np.int64)), pa.array(rid[text]), pa.array(at.astype(np.int32)), pa.array(lead),
-                 pa.array(beside(batch, text, at))], names=["seed", "rid", "at", "lead", "beside"])
+            for k, window in ((K, WINDOW), (WIDE, WIDE_WINDOW)):
+                h, text, at, lead = batch_seeds(batch, k, window)
+                near = beside(batch, text, at) if k == K else np.full(len(at), -1, np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h.view(np.int64)), pa.array(rid[text]), pa.array(at.astype(np.int32)), pa.array(lead), pa.array(near)],
+                    names=["seed", "rid", "at", "lead", "beside"])
 
     return docs.select("rid", "text").mapInArrow(rows, "seed long, rid long, at int, lead boolean, beside long")
 
@@ -143,7 +149,10 @@ def matches(found: DataFrame) -> DataFrame:
               .where("last > first").drop("last"))
     firsts = materialise(firsts, "repeated_seeds")  # far fewer than all seeds, whose shuffle files can go now
     release(found.sparkSession)
-    return found.drop("lead").join(firsts, "seed").where("rid > first").select("rid", "at", "beside", "first", "first_at", "first_beside")
+    step = F.explode(F.when(F.col("beside") < 0, F.array(*map(F.lit, range(0, WIDE, K)))).otherwise(F.array(F.lit(0))))
+    return (found.drop("lead").join(firsts, "seed").where("rid > first").withColumn("step", step)  # a wide seed as K words each
+            .select("rid", (F.col("at") + F.col("step")).alias("at"), "beside", "first",
+                    (F.col("first_at") + F.col("step")).alias("first_at"), "first_beside"))
 
 
 NONE = (float("-inf"), -1)
