@@ -171,6 +171,16 @@ def test_a_passage_of_stock_lines_first_seen_elsewhere_is_found(spark):
     assert got == {**dict.fromkeys(range(6), 50), 10: 100, 11: 40}
 
 
+def test_a_passage_whose_every_short_run_is_first_seen_elsewhere_is_found(spark):
+    fresh = (f"w{i}" for i in range(10**6))
+    fill = lambda n: [next(fresh) for _ in range(n)]
+    lines = [fill(10) for _ in range(6)]
+    rows = [(i, " ".join(fill(20) + lines[i] + lines[i + 1] + fill(20))) for i in range(5)]  # the 8-word seeds over line ends too
+    rows += [(i, " ".join(fill(20) + sum(lines, []) + fill(20))) for i in (10, 11)]
+    got = {r["doc_id"]: len(r["text"].split()) for r in without_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {**dict.fromkeys(range(5), 60), 10: 100, 11: 40}
+
+
 def test_texts_that_repeat_themselves(spark):
     rng = random.Random(5)
     run = ["and"] * 120 + ["x", "y", "z"] * 40
