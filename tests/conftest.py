@@ -6,8 +6,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -16,11 +14,3 @@ def spark():
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="coderail-test-ckpt-"))
     yield s
-
-
-def one_col(spark, values, expr, schema="s string"):
-    """Evaluate a Column expression over a list of single values; returns the results in order."""
-    from pyspark.sql import functions as F
-    rows = [(i, v) for i, v in enumerate(values)]
-    df = spark.createDataFrame(rows, f"i int, {schema}")
-    return [r[0] for r in df.orderBy("i").select(expr(F.col(schema.split()[0]))).collect()]

@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from coderail.plans.fixtures import BASE_TABLES
-from conftest import SF_SMALL
+from core_helpers import SF_SMALL
 
 QUERIES = E.queries()
 ORACLES = E.oracle_sql()

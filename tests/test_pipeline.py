@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from coderail.operators import joins, prep, results
 from coderail.plans import stages as P
-from conftest import SF_SMALL
+from core_helpers import SF_SMALL
 
 
 def test_dedupe_first_wins_and_idempotent(spark):
@@ -82,7 +82,7 @@ def test_build_tasks_nothing_selected(spark):
 def test_wide_with_entries_equals_wide_from_coded(spark):
     from coderail.operators.results import wide_results
     from coderail.plans import stages as P
-    from conftest import SF_SMALL
+    from core_helpers import SF_SMALL
     coded, entries = P.coded(spark, SF_SMALL), P.entries(spark, SF_SMALL)
     a = wide_results(coded, P.CATEGORIES)
     b = wide_results(coded, P.CATEGORIES, entries=entries)

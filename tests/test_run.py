@@ -5,7 +5,7 @@ from coderail.plans import stages as P
 from coderail.plans.fixtures import fixture
 from coderail.plans.run import coding_run
 from coderail.session import scratch_path
-from conftest import SF_SMALL
+from core_helpers import SF_SMALL
 
 
 def test_second_run_reuses_store(spark):

@@ -1,6 +1,6 @@
 """Golden cases from the reference docstrings and scheme texts for the scheme-table rules."""
 
-from conftest import one_col
+from core_helpers import one_col
 import pytest
 from pyspark.sql import functions as F
 

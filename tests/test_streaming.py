@@ -9,7 +9,7 @@ from coderail.operators import infer
 from coderail.plans import stages as P
 from coderail.plans.fixtures import fixture
 from coderail.streaming import incremental
-from conftest import SF_SMALL
+from core_helpers import SF_SMALL
 
 SCHEMA = "ordinal bigint, title string, description string"
 

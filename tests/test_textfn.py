@@ -1,6 +1,6 @@
 """Python string semantics and the golden literals of the fixtures."""
 
-from conftest import one_col
+from core_helpers import one_col
 
 from coderail.functions import text as T
 
