@@ -16,6 +16,7 @@ from coderail.llm.op07_licenses import op7_license_scan
 from coderail.llm.op08_topk import OP8_SQL, op8_block_topk
 from coderail.llm.op09_packing import op9_ffd_packing
 from coderail.llm.op10_mixing import op10_mixing
+from coderail.llm.op11_kmeans_tree import OP11_SQL, op11_kmeans_tree
 from coderail.llm.op12_conversations import OP12_SQL, op12_conversation_repair
 from coderail.llm.op13_lexical import OP13_SQL, op13_lexical_search
 
@@ -30,9 +31,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_block_topk": op8_block_topk,
     "op9_ffd_packing": op9_ffd_packing,
     "op10_mixing": op10_mixing,
+    "op11_kmeans_tree": op11_kmeans_tree,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_lexical_search": op13_lexical_search,
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_substring_suffixes": OP2_SQL, "op8_block_topk": OP8_SQL,
+ORACLE_SQL: dict[str, str] = {"op2_substring_suffixes": OP2_SQL, "op8_block_topk": OP8_SQL, "op11_kmeans_tree": OP11_SQL,
                               "op12_conversation_repair": OP12_SQL, "op13_lexical_search": OP13_SQL}
