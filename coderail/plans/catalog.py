@@ -664,13 +664,32 @@ def q_coding_run(spark, sf):
     return out["metrics"]
 
 
+@register("coding_run_restart", f"""
+SELECT category, count(*) AS n_coded, count(*) AS n_answers, count(*) FILTER ({_N} % 7 = 0) AS n_failed_first,
+  CAST(0 AS BIGINT) AS n_paid_twice
+FROM o_prompts GROUP BY category""", ("o_prompts",))
+def q_coding_run_restart(spark, sf):
+    """A run that fails some pairs, then twice again under the same id: the store keeps every answer, the second start
+    asks for the failed pairs alone, the third for nothing, and the coded pairs are whole each time."""
+    from .run import coding_run
+    args = (P.entries_raw(spark, sf), fixture(spark, sf, "selected"), P.task_scheme(spark, sf))
+    base = scratch_path(spark, "restart")
+    for scorer in (infer.flaky_scorer, infer.rule_scorer, infer.rule_scorer):
+        out = coding_run(spark, *args, scorer, base, P.CATEGORIES, num_partitions=8, backoff=0.0, run_id="restart", waves=2)
+    ok = F.col("error").isNull()
+    answers = out["new_answers"].groupBy("request_id").agg(F.count_if(ok).alias("n"), F.count_if(~ok).alias("failed"))
+    pairs = spark.read.parquet(f"{base}/pairs/run_id=restart").join(answers, "request_id").groupBy("category").agg(
+        F.sum("n").alias("n_answers"), F.sum("failed").alias("n_failed_first"), F.count_if(F.col("n") > 1).alias("n_paid_twice"))
+    return out["coded"].groupBy("category").agg(F.count("*").alias("n_coded")).join(pairs, "category")
+
+
 @register("run_agreement", _KAPPA.replace("FROM o_paired", f"""FROM (SELECT p.category, h.human_code, {_RULE_V.replace('category =', 'p.category =')
           } AS ai_code FROM o_prompts p JOIN o_human h ON p.ordinal = h.ordinal AND p.category = h.category)"""), ("o_prompts", "o_human"))
 def q_run_agreement(spark, sf):
     """A run with a user's template and human codes: its agreement per category."""
     from .run import coding_run
     out = coding_run(spark, P.entries_raw(spark, sf), fixture(spark, sf, "selected"), P.task_scheme(spark, sf),
-                     infer.rule_scorer, scratch_path(spark, "run"), P.CATEGORIES, num_partitions=8, buckets=2,
+                     infer.rule_scorer, scratch_path(spark, "run"), P.CATEGORIES, num_partitions=8, waves=2,
                      template="Titel: [title]\n[description]\n[criteria]: [values]?", human_codes=fixture(spark, sf, "codes_raw"))
     return out["agreement"]
 

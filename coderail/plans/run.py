@@ -1,46 +1,29 @@
-"""One batch coding run, end to end, with the paid step materialised in small commits.
+"""One batch coding run, end to end, with the paid step materialised call by call.
 
 texts -> prepare (written once per run) -> tasks x selected categories (keys, simplified names) -> requests (template,
 messages; one hash over all that is sent) -> pairs (written once per run) -> skip requests whose answer is stored ->
-classify the rest bucket by bucket, each bucket committed to the response store -> validate -> coded (written
+classify the rest in waves of texts, each wave added to the answer store -> validate -> coded (written
 once) -> wide results (written as a run), metrics, agreement with human codes.
 
-The store (parquet below ``base``) is the only place answers come from after ``classify``: lazy re-evaluation of a
-later stage, a second run, or a run that follows a killed one never calls the model again for a (request, model,
-temperature) that has a stored answer. What a killed run can lose is the bucket it was working on. Failed pairs are
-stored with their error and retried by the next run, as the reference retries on every run.
+Everything below a run's id can be made again and is overwritten when the run is started again; paid answers are not
+below it. They go to the answer store (:class:`coderail.sources.answers.AnswerStore`), which is only ever added to,
+and, until a wave is committed, to the call log, answer by answer. So neither lazy re-evaluation, nor a second run,
+nor a run that follows a killed one under the same or another id, nor a Spark task that is tried again calls the model again
+for a (request, model, temperature) that was answered. Failed pairs are stored with their error and retried by
+the next run, as the reference retries on every run. One run at a time works on a ``base``.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..operators import infer, joins, prep, prompt, results, validate
 from ..sources import results_io
-
-KEYS = ["prompt_hash", "model", "temperature"]
-PAIR = ["ordinal", "category"]
-
-
-def read_store(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table, or None where there is no such path; any other failure is raised (an unreadable store
-    must not look like an empty one, or every answer would be paid for again)."""
-    try:
-        return spark.read.option("mergeSchema", True).parquet(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e):
-            return None
-        raise
-
-
-def stored_answers(store: DataFrame) -> DataFrame:
-    """One successful answer per key (deterministic choice when a key was answered twice)."""
-    ok = store.filter(F.col("error").isNull())
-    return ok.groupBy(*KEYS).agg(F.min("response").alias("response"))
+from ..sources.answers import AnswerStore, CallLog, with_request_id
 
 
 def requests(texts: DataFrame, selected: DataFrame, scheme: DataFrame, template: str, model: str,
@@ -54,49 +37,55 @@ def coding_run(spark: SparkSession, entries_raw: DataFrame, selected: DataFrame,
                infer_fn: Callable[[dict], str], base: str, categories: Sequence[str], model: str = "rule-scorer",
                temperature: float = 0.0, run_id: str | None = None, num_partitions: int | None = None,
                backoff: float = infer.FIRST_BACKOFF_S, template: str = prompt.PROMPT_TEMPLATE,
-               human_codes: DataFrame | None = None, on_invalid: str = "default", buckets: int = 8) -> dict[str, DataFrame]:
+               human_codes: DataFrame | None = None, on_invalid: str = "default", waves: int = 1,
+               store_buckets: int | None = None, call_log: bool = True) -> dict[str, DataFrame]:
     """Runs the coding of ``entries_raw`` and returns ``coded``, ``wide``, ``metrics`` (DataFrames over stored
-    data), ``new_answers`` (rows this run added to the store), ``outcomes`` (an Observation with answers per
+    data), ``new_answers`` (rows that runs of this id added to the store), ``outcomes`` (an Observation with answers per
     validation outcome) and, with ``human_codes`` (wide, as read), ``agreement`` (kappa per category).
 
-    ``buckets``: commits of the paid step; a pair's bucket is a hash of its key.
+    ``waves``: commits of the paid step; a text's wave is a hash of its ordinal. The call log holds one file per call
+    of a wave, so very many calls want more waves. ``store_buckets``: buckets of a store
+    that this run creates (default: the session's shuffle partitions). ``call_log=False``: without the log, for shared folders that Python workers cannot reach;
+    then a killed wave, or a task that is tried again, pays again for its own calls.
     """
     base = base.rstrip("/")
-    store_path, rid = f"{base}/responses", run_id or results_io.new_run_id()
+    rid = run_id or results_io.new_run_id()
 
-    def written(df: DataFrame, name: str) -> DataFrame:
+    def written(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
         path = f"{base}/{name}/run_id={rid}"
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        df.write.mode("overwrite").partitionBy(*by).parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
 
+    store, logs = AnswerStore(spark, f"{base}/responses", store_buckets), f"{base}/call_log"
+    if call_log:
+        store.absorb(logs, rid)
     # Texts are de-duplicated (a shuffle of every text) once, requests hashed once: later steps read
     # the small table of pairs.
     entries = written(prep.prepare_entries(entries_raw), "entries")
     tasks = requests(entries, selected, scheme, template, model, temperature)
-    pairs = written(tasks.select("ordinal", "cat_ordinal", "category", "title", *KEYS), "pairs")
-    store = read_store(spark, store_path)
-    pending = pairs if store is None else joins.pending_tasks(pairs, stored_answers(store).select(*KEYS))
-    bucket = F.pmod(F.xxhash64(*PAIR), F.lit(buckets))
-    # The pending categories of each text (bounded by the selection) are joined to the texts; requests
-    # are built for those pairs only.
-    todo = written(pending.groupBy("ordinal").agg(F.collect_set("category").alias("_pending")), "pending")
-    for b in range(buckets):
-        mine = (requests(entries.join(todo, "ordinal"), selected, scheme, template, model, temperature)
-                .filter(F.array_contains(F.col("_pending"), F.col("category")) & (bucket == b)).drop("_pending"))
-        answers = infer.classify(mine.drop("model", "temperature"), infer_fn, model=model, temperature=temperature,
-                                 num_partitions=num_partitions, backoff=backoff)
-        answers.write.mode("overwrite").parquet(f"{store_path}/run_id={rid}/bucket={b}")
-    store = read_store(spark, store_path)
-    new_answers = store.filter(F.col("run_id") == rid)
+    pairs = written(with_request_id(tasks).select("ordinal", "cat_ordinal", "category", "title", "request_id"), "pairs")
+    # The pending categories of each text (bounded by the selection) are joined to the texts once; every wave
+    # then reads its own folder and builds the requests of those pairs only.
+    pending = store.without_answer(pairs).groupBy("ordinal").agg(F.collect_set("category").alias("_pending"))
+    wave = F.pmod(F.xxhash64("ordinal"), F.lit(waves)).cast("int")
+    todo = written(entries.join(pending, "ordinal").withColumn("_wave", wave), "pending", by=["_wave"])
+    for w in sorted(r["_wave"] for r in todo.select("_wave").distinct().collect()):
+        mine = (requests(todo.where(F.col("_wave") == w).drop("_wave"), selected, scheme, template, model, temperature)
+                .filter(F.array_contains(F.col("_pending"), F.col("category"))))
+        log = f"{logs}/{rid}/{uuid.uuid4().hex}" if call_log else None
+        store.add(infer.classify(mine.drop("model", "temperature"), infer_fn, model=model, temperature=temperature,
+                                 num_partitions=num_partitions, backoff=backoff, call_log=log), rid)
+        if log:
+            CallLog.drop(log)
     outcomes = Observation(f"coding_run_{rid}")
-    answered = pairs.join(stored_answers(store), KEYS)
+    answered = pairs.join(store.answered(), "request_id")
     valid = validate.validate_responses(answered, "response", observation=outcomes, on_invalid=on_invalid)
     coded = written(valid.select("ordinal", "cat_ordinal", "title", "category", "ai_code", "confidence",
                                  "confidence_level", "reasoning", "outcome"), "coded")
     results_io.write_results(results.wide_results(coded, categories, entries=entries), f"{base}/results", rid)
     out = {"coded": coded.join(entries.select("ordinal", "description"), "ordinal"),
            "wide": results_io.read_results(spark, f"{base}/results", rid), "metrics": results.category_metrics(coded),
-           "new_answers": new_answers, "outcomes": outcomes}
+           "new_answers": store.table().filter(F.col("run_id") == rid), "outcomes": outcomes}
     if human_codes is not None:
         merged = joins.merge_codes(entries, prep.prepare_codes_wide(human_codes).drop("ordinal"))
         human = joins.codes_long(merged, categories)

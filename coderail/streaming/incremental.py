@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import infer, joins, prep, prompt
-from ..plans.run import KEYS, read_store, requests
+from ..plans.run import requests
+from ..sources.answers import KEYS, read_store
 
 PAIR = ["title", "category"]
 

@@ -56,11 +56,11 @@ def test_killed_run_pays_only_what_was_not_committed(spark):
     infer.classify = classify
     try:
         with pytest.raises(RuntimeError, match="killed"):
-            coding_run(spark, *args, infer.rule_scorer, base, P.CATEGORIES, run_id="a", buckets=5)
+            coding_run(spark, *args, infer.rule_scorer, base, P.CATEGORIES, run_id="a", waves=5)
     finally:
         infer.classify = real
     paid = spark.read.parquet(f"{base}/responses").count()
-    out = coding_run(spark, *args, infer.rule_scorer, base, P.CATEGORIES, run_id="b", buckets=5)
+    out = coding_run(spark, *args, infer.rule_scorer, base, P.CATEGORIES, run_id="b", waves=5)
     n_tasks = P.tasks(spark, SF_SMALL).count()
     assert 0 < paid < n_tasks and out["new_answers"].count() == n_tasks - paid and out["coded"].count() == n_tasks
 
@@ -89,9 +89,117 @@ def test_template_messages_agreement_and_invalid_answers(spark):
 def test_unreadable_store_is_not_an_empty_one(spark, tmp_path):
     import pytest
 
-    from coderail.plans.run import read_store
+    from coderail.sources.answers import read_store
     assert read_store(spark, str(tmp_path / "none")) is None
     (tmp_path / "bad").mkdir()
     (tmp_path / "bad" / "x.parquet").write_text("not parquet")
     with pytest.raises(Exception):
         read_store(spark, str(tmp_path / "bad"))
+
+
+def test_same_id_again_keeps_the_store(spark):
+    """Started again under its own id a run keeps what it paid for, whether it ended well, failed in part or was killed."""
+    import pytest
+    base = scratch_path(spark, "test-same-id")
+    args = (P.entries_raw(spark, SF_SMALL), fixture(spark, SF_SMALL, "selected"), P.task_scheme(spark, SF_SMALL))
+    n_tasks = P.tasks(spark, SF_SMALL).count()
+    real, calls = infer.classify, []
+
+    def classify(*a, **k):
+        calls.append(1)
+        if len(calls) > 2:
+            raise RuntimeError("killed")
+        return real(*a, **k)
+    infer.classify = classify
+    try:
+        with pytest.raises(RuntimeError, match="killed"):
+            coding_run(spark, *args, infer.flaky_scorer, base, P.CATEGORIES, run_id="r", waves=4, backoff=0.0)
+    finally:
+        infer.classify = real
+    paid = spark.read.parquet(f"{base}/responses").filter("error IS NULL").count()
+    assert 0 < paid < n_tasks
+    for _ in range(3):
+        out = coding_run(spark, *args, infer.rule_scorer, base, P.CATEGORIES, run_id="r", waves=4)
+        stored = spark.read.parquet(f"{base}/responses").filter("error IS NULL")
+        assert stored.count() == stored.select("prompt_hash").distinct().count() == n_tasks
+        assert out["coded"].count() == n_tasks and out["wide"].count() == n_tasks // 3
+
+
+def plan_of(df):
+    import contextlib
+    import io
+    with contextlib.redirect_stdout(io.StringIO()) as out:
+        df.explain()
+    return out.getvalue()
+
+
+def test_store_is_joined_in_its_buckets(spark, tmp_path):
+    """Neither the search for pending pairs nor the join with the answers shuffles the store, in any session's name for it."""
+    from coderail.sources.answers import AnswerStore, with_request_id
+    rows = spark.range(500).selectExpr("sha2(string(id), 256) prompt_hash", "'m' model", "0.0D temperature", "1 attempts",
+                                       "string(id) response", "if(id % 5 = 0, 'down', null) error")
+    store = AnswerStore(spark, str(tmp_path / "s"), 6)
+    store.add(rows, "a")
+    store.add(rows.where("response % 2 = 0"), "b")
+    assert AnswerStore(spark, str(tmp_path / "s"), 99).buckets == 6
+    asked = spark.range(600).selectExpr("id", "sha2(string(id), 256) prompt_hash", "'m' model", "0.0D temperature")
+    asked = with_request_id(asked)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df, n in ((store.without_answer(asked), 200), (asked.join(store.answered(), "request_id"), 400)):
+            assert df.count() == n
+            plan = plan_of(df)
+            assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 1, plan  # the other side's
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_call_log_of_a_dead_job_is_taken_in(spark, tmp_path):
+    from coderail.sources.answers import KEYS, AnswerStore, CallLog
+    store, log = AnswerStore(spark, str(tmp_path / "s"), 3), str(tmp_path / "log")
+    store.absorb(log, "r")  # there is none
+    first = CallLog(f"{log}/r/job", 4)
+    first.record(("h1", "m", 0.0), "one", 2)
+    first.record(("h2", "m", 0.0), "two\n{}", 1)
+    assert CallLog(f"{log}/r/job", 4).known() == {("h1", "m", 0.0): ("one", 2, None), ("h2", "m", 0.0): ("two\n{}", 1, None)}
+    assert CallLog(f"{log}/r/job", 5).known() == {}
+    store.absorb(log, "r")
+    store.absorb(log, "r")
+    CallLog(f"{log}/r/later", 0).record(("h1", "m", 0.0), "one", 1)  # answered already
+    store.absorb(log, "r")
+    assert sorted(tuple(r[c] for c in KEYS) + (r["response"],) for r in store.table().collect()) == [("h1", "m", 0.0, "one"), ("h2", "m", 0.0, "two\n{}")]
+
+
+KILLED = """
+import os, sys
+sys.path.insert(0, {repo!r})
+from pyspark.sql import SparkSession
+from coderail.operators import infer
+calls = {calls!r}
+def scorer(request):
+    done = len(os.listdir(calls))
+    if done == 7 and not os.path.exists(calls + ".died"):
+        open(calls + ".died", "w").close()
+        os._exit(1)  # the worker dies after seven paid calls
+    open(os.path.join(calls, request["prompt"] + "-" + str(done)), "w").close()
+    return '{{"value": "1"}}'
+spark = SparkSession.builder.master("local[1,3]").config("spark.ui.enabled", "false").config("spark.default.parallelism", "1").getOrCreate()
+df = spark.range(0, 12, 1, 1).selectExpr("string(id) prompt")
+out = infer.classify(df, scorer, call_log={log!r} if {logged!r} else None)
+print("ANSWERS", out.where("response is not null").count(), "CALLS", len(os.listdir(calls)))
+"""
+
+
+def test_a_task_that_dies_repeats_no_call(tmp_path):
+    """A worker that is killed after seven calls: with the log the retried task makes the other five, without it all twelve."""
+    import os
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for logged, calls in ((True, 12), (False, 19)):
+        folder = tmp_path / f"calls-{logged}"
+        folder.mkdir()
+        code = KILLED.format(repo=repo, calls=str(folder), log=str(tmp_path / "log"), logged=logged)
+        done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300,
+                              env={**os.environ, "PYTHONPATH": repo})
+        assert f"ANSWERS 12 CALLS {calls}" in done.stdout, done.stdout + done.stderr[-3000:]
