@@ -650,6 +650,22 @@ def q_stream_retry(spark, sf):
             .select("ordinal", "category", "response", F.col("batch_id").cast("int").alias("batch_id")))
 
 
+@register("stream_selection", f"""
+SELECT ordinal, category, {_RULE_RESPONSE} AS response, CAST(CASE WHEN batch = 1 AND category = 'toxic' THEN 2 ELSE batch END AS INTEGER) AS batch_id
+FROM (SELECT *, CASE WHEN ordinal % 3 = 0 THEN 0 WHEN ordinal % 3 = 1 THEN 1 ELSE 2 END AS batch FROM o_prompts)
+WHERE category IN ('quality', 'toxic')""", ("o_prompts",))
+def q_stream_selection(spark, sf):
+    """Three batches of texts; the second one's selection leaves a category out, which the third selects again: the texts
+    that came between are asked for it then, and no pair is asked twice."""
+    from ..streaming import incremental
+    store, texts = scratch_path(spark, "stream_selection"), P.entries(spark, sf)
+    common = dict(scheme=P.task_scheme(spark, sf), store=store, model="rule-scorer", temperature=0.0, backoff=0.0, infer_fn=infer.rule_scorer)
+    for b, keys in enumerate((["quality", "toxic"], ["quality"], ["toxic", "quality"])):
+        picked = spark.createDataFrame(list(enumerate(keys, 1)), "ordinal int, key string")
+        incremental.code_batch(texts.where(F.col("ordinal") % 3 == b), b, selected=picked, **common)
+    return incremental.stored_responses(spark, store).select("ordinal", "category", "response", F.col("batch_id").cast("int").alias("batch_id"))
+
+
 # ---------------------------------------------------------------- one batch run with its response store
 @register("coding_run", f"""
 SELECT category, count(*) AS total_samples,

@@ -79,15 +79,10 @@ class AnswerStore:
 
     def absorb(self, log: str, run_id: str) -> None:
         """Takes in the answers that killed jobs left in the call log, then drops the log."""
-        try:
-            left = self.spark.read.schema(CallLog.FIELDS).option("recursiveFileLookup", True).json(log)
-        except AnalysisException as e:
-            if "PATH_NOT_FOUND" in str(e):
-                return
-            raise
-        self.add(self.without_answer(with_request_id(left.where("prompt_hash is not null")).dropDuplicates(["request_id"]))
-                 .withColumn("error", F.lit(None).cast("string")), run_id)
-        CallLog.drop(log)
+        left = CallLog.left(self.spark, log)
+        if left is not None:
+            self.add(self.without_answer(with_request_id(left)).withColumn("error", F.lit(None).cast("string")), run_id)
+            CallLog.drop(log)
 
 
 class CallLog:
@@ -124,6 +119,17 @@ class CallLog:
             f.write(json.dumps(dict(zip(KEYS, key), response=response, attempts=attempts)).encode())
         self.files.move(f"{self.folder}/.{name}", f"{self.folder}/{name}.json")
 
+    @staticmethod
+    def left(spark: SparkSession, path: str) -> DataFrame | None:
+        """What is in the logs below a path, one row per request; None where there is no log."""
+        try:
+            rows = spark.read.schema(CallLog.FIELDS).option("recursiveFileLookup", True).json(path)
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" in str(e):
+                return None
+            raise
+        return rows.where("prompt_hash is not null").dropDuplicates(KEYS)
+
     @staticmethod
     def drop(path: str) -> None:
         from pyarrow import fs

@@ -75,3 +75,52 @@ def test_a_category_dropped_and_selected_again_reaches_the_texts_between(spark,
     got = sorted((r.batch_id, r.title, r.category) for r in incremental.stored_responses(spark, store).collect())
     assert got == sorted([(b, f"t{b}{i}", c) for b in range(3) for i in range(3) for c in ("quality", "toxic") if (b, c) != (1, "toxic")]
                          + [(2, f"t1{i}", "toxic") for i in range(3)])
+
+
+def test_a_batch_reads_its_own_texts_and_what_is_open(spark, tmp_path):
+    """The pairs table of a batch holds new texts and open pairs only, however much came before."""
+    pick = spark.createDataFrame([(1, "quality")], "ordinal int, key string")
+    store = str(tmp_path / "store")
+
+    def scorer(request):
+        if request["title"] == "t0-3":
+            raise ConnectionError("down")
+        return infer.rule_scorer(request)
+    for b in range(4):
+        texts = spark.createDataFrame([(10 * b + i, f"t{b}-{i}", "x" * (i + 1)) for i in range(5)], SCHEMA)
+        incremental.code_batch(texts, b, selected=pick, infer_fn=scorer if b < 3 else infer.rule_scorer, store=store,
+                               scheme=P.task_scheme(spark, SF_SMALL), model="m", temperature=0.0, backoff=0.0)
+    pairs = {(r.batch_id, r.title) for r in spark.read.parquet(f"{store}/pairs").collect()}
+    assert pairs == {(b, f"t{b}-{i}") for b in range(4) for i in range(5)} | {(b, "t0-3") for b in (1, 2, 3)}
+    got = incremental.stored_responses(spark, store)
+    assert got.filter("error IS NULL").count() == 20 and got.filter("error IS NOT NULL").count() == 3
+    assert spark.read.parquet(f"{store}/open").filter("batch_id = 3").count() == 0
+
+
+def test_a_killed_batch_pays_for_the_rest_only(spark, tmp_path):
+    """The log of a killed attempt at a batch is taken in by its replay."""
+    import pytest
+
+    from coderail.sources.answers import CallLog
+    pick = spark.createDataFrame([(1, "quality")], "ordinal int, key string")
+    texts = spark.createDataFrame([(i, f"t{i}", "x" * (i + 1)) for i in range(6)], SCHEMA)
+    store, calls = str(tmp_path / "store"), str(tmp_path / "calls")
+    os.mkdir(calls)
+
+    def scorer(request):
+        open(os.path.join(calls, request["title"] + f"-{len(os.listdir(calls))}"), "w").close()
+        return infer.rule_scorer(request)
+    args = dict(selected=pick, infer_fn=scorer, store=store, scheme=P.task_scheme(spark, SF_SMALL), model="m", temperature=0.0, backoff=0.0)
+    drop = CallLog.drop
+    CallLog.drop = staticmethod(lambda path: (_ for _ in ()).throw(RuntimeError("killed")))
+    try:
+        with pytest.raises(RuntimeError, match="killed"):
+            incremental.code_batch(texts, 0, **args)
+    finally:
+        CallLog.drop = staticmethod(drop)
+    assert len(os.listdir(calls)) == 6
+    import shutil
+    shutil.rmtree(f"{store}/answers")  # as if the job had died before its commit
+    incremental.code_batch(texts, 0, **args)
+    incremental.code_batch(texts, 0, **args)  # a replay of a finished batch
+    assert len(os.listdir(calls)) == 6 and incremental.stored_responses(spark, store).filter("error IS NULL").count() == 6
