@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import gc
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -52,6 +52,19 @@ def parts_for(df: DataFrame, size: Column, bytes_each: int, least: int = 32) ->
     return max(least, -(-int(total) // bytes_each))
 
 
+def exact_ids(column: Iterable) -> pd.Series:
+    """Ids, kept by pandas as strings or Python integers, as longs (beside a null pandas would make doubles of longs)."""
+    return pd.Series([None if x is None else int(x) for x in column], dtype="Int64", index=column.index if isinstance(column, pd.Series) else None)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or that with underscores behind it, so that no column of ``df`` has it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finaliser of splitmix64: spreads the bits of weak 64-bit hashes."""
     with np.errstate(over="ignore"):

@@ -97,7 +97,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, block_tok
                 "doc_null": null.tobytes(), "doc_ends": np.array(ends, "<i8").tobytes(), "levels": dac_encode(ids)}])
 
         for pdf in slices(frames, "text", BATCH_BYTES):
-            keys = [None if pd.isna(x) else int(x) for x in pdf["doc_id"]]
+            keys = [None if x is None else int(x) for x in pdf["id"]]
             for key, ids in zip(keys, enc.encode(list(pdf["text"])), strict=True):
                 raw.append(ids + end)
                 total += len(ids) // 4 + 1
@@ -111,7 +111,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, block_tok
             yield row()
 
     (docs.repartitionByRange(parts, "doc_id", "h").sortWithinPartitions("doc_id", "h")
-     .mapInPandas(blocks, BLOCK).write.option("compression", "none").parquet(path))
+     .select(F.col("doc_id").cast("string").alias("id"), "text").mapInPandas(blocks, BLOCK).write.option("compression", "none").parquet(path))
 
 
 def _with_offsets(blocks: DataFrame) -> DataFrame:

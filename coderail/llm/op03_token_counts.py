@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coderail.llm.common import slices, table
+from coderail.llm.common import exact_ids, slices, table
 
 LIMIT = 4096
 MARK = "▁"
@@ -91,14 +91,14 @@ def count_between(sp, text: str, start: int, end: int) -> int:
 def count_tokens(docs: DataFrame, model: str, limit: int = LIMIT, chunk_chars: int = 1 << 15, overlap: int = 256) -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit of each document."""
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
-    rows = docs.select("doc_id", size.alias("n_bytes"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), size.alias("n_bytes"), F.coalesce("text", F.lit("")).alias("text"))
     split = spliceable(model)
     huge = F.length("text") > chunk_chars if split else F.lit(False)
 
     def whole(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sp = processor(model)
         for pdf in slices(frames, "text"):
-            yield pdf[["doc_id", "n_bytes"]].assign(n_tokens=[len(x) for x in sp.encode(list(pdf["text"]), num_threads=1)])
+            yield pdf[["n_bytes"]].assign(doc_id=exact_ids(pdf["doc_id"]), n_tokens=[len(x) for x in sp.encode(list(pdf["text"]), num_threads=1)])
 
     def chunks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
@@ -109,18 +109,18 @@ def count_tokens(docs: DataFrame, model: str, limit: int = LIMIT, chunk_chars: i
                 row += 1
                 made = pd.DataFrame(cut(text, chunk_chars, overlap), columns=["text", "lo", "hi"])
                 made.insert(0, "n_bytes", n_bytes)
-                made.insert(0, "doc_id", pd.Series([doc_id] * len(made), dtype="Int64"))
+                made.insert(0, "doc_id", doc_id)
                 yield made.assign(row=row, chunk=range(len(made)))
 
     def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sp = processor(model)
         for pdf in frames:
             n = [count_between(sp, t, a, b) for t, a, b in zip(pdf["text"], pdf["lo"], pdf["hi"], strict=True)]
-            yield pdf[["row", "doc_id", "n_bytes"]].assign(n_tokens=n)
+            yield pdf[["row", "n_bytes"]].assign(doc_id=exact_ids(pdf["doc_id"]), n_tokens=n)
 
     result = "doc_id long, n_bytes long, n_tokens long"
     small = rows.where(~huge).mapInPandas(whole, result)
-    dealt = (rows.where(huge).mapInPandas(chunks, "doc_id long, n_bytes long, text string, lo int, hi int, row long, chunk int")
+    dealt = (rows.where(huge).mapInPandas(chunks, "doc_id string, n_bytes long, text string, lo int, hi int, row long, chunk int")
              .repartition("row", "chunk"))  # the chunks of one document go to different tasks
     spliced = (dealt.mapInPandas(counted, "row long, " + result)
                .groupBy("row", "doc_id", "n_bytes").agg(F.sum("n_tokens").alias("n_tokens")).drop("row"))

@@ -174,8 +174,8 @@ def model_of(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS, seed
     return fit(docs.select("doc_id", "text").where("text is not null").join(F.broadcast(drawn), "doc_id"))
 
 
-def judge(docs: DataFrame, model) -> DataFrame:
-    """``docs`` with ``q_``: a struct of the counts, base_failed, probability and kept."""
+def judge(docs: DataFrame, model, name: str = "q_") -> DataFrame:
+    """``docs`` with ``name``: a struct of the counts, base_failed, probability and kept."""
 
     def rate(texts: list[str | None]) -> pa.Array:
         batch = Texts(texts)
@@ -187,7 +187,7 @@ def judge(docs: DataFrame, model) -> DataFrame:
         out["probability"], out["kept"] = p, ~out["base_failed"] & (p >= MIN_PROBABILITY)
         return pa.StructArray.from_arrays([pa.array(out[c]) for c in out], names=list(out))
 
-    return with_text_column(docs, "q_", f"struct<{COUNTS}, base_failed boolean, probability double, kept boolean>",
+    return with_text_column(docs, name, f"struct<{COUNTS}, base_failed boolean, probability double, kept boolean>",
                             rate, SLICE_BYTES)
 
 

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coderail.llm.common import materialise, release, table, with_text_column
+from coderail.llm.common import free_name, materialise, release, table, with_text_column
 from coderail.llm.components import components
 
 SHINGLE_WORDS = 4
@@ -165,15 +165,16 @@ def near_duplicates_kept(docs: DataFrame, width: int = SHINGLE_WORDS, max_bits:
     printed = with_fingerprints(docs.select("doc_id", "text"), width)
     prints = materialise(printed.select("doc_id", F.xxhash64("text").alias("h"), "fp_"), "prints")
     roots = near_duplicates(prints, max_bits)
+    stays = free_name(docs, "_stays")
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
     one = prints.join(roots, "fp_").groupBy("root").agg(F.min(rank).alias("r")).select("r.doc_id", "r.h")
     many = prints.groupBy("doc_id", "h").agg(F.count("*").alias("n"))
     one = materialise(one.alias("o").join(many.alias("m"), F.col("o.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("o.h") == F.col("m.h")))
-                      .select(F.struct(F.col("o.doc_id").alias("id"), F.col("o.h").alias("h"), "n").alias("_stays")), "simhash_kept")
-    stay = docs.join(one, docs["doc_id"].eqNullSafe(F.col("_stays.id")) & (F.xxhash64(docs["text"]) == F.col("_stays.h")))
+                      .select(F.struct(F.col("o.doc_id").alias("id"), F.col("o.h").alias("h"), "n").alias(stays)), "simhash_kept")
+    stay = docs.join(one, docs["doc_id"].eqNullSafe(F.col(f"{stays}.id")) & (F.xxhash64(docs["text"]) == F.col(f"{stays}.h")))
     columns = [docs[f"`{c}`"] for c in docs.columns]
-    single = stay.where("_stays.n = 1").select(columns)
-    repeated = stay.where("_stays.n > 1").dropDuplicates(["_stays"]).select(docs.columns)
+    single = stay.where(f"{stays}.n = 1").select(columns)
+    repeated = stay.where(f"{stays}.n > 1").dropDuplicates([stays]).select(docs.columns)
     return single.unionByName(repeated)
 
 

@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coderail.llm.common import slices, table
+from coderail.llm.common import exact_ids, slices, table
 
 # Public licence notices in their usual wording, with the words that tell them apart.
 TEMPLATES = {
@@ -200,13 +200,13 @@ def scan(docs: DataFrame) -> DataFrame:
         for pdf in slices(frames, "text"):
             out = []
             for doc_id, text in zip(pdf["doc_id"], pdf["text"], strict=True):
-                out += [(doc_id, start, name, verdict, n, missing, added, alone, given)
+                out += [(None if doc_id is None else int(doc_id), start, name, verdict, n, missing, added, alone, given)
                         for n, _, name, verdict, missing, added, alone, given, start, _ in notices(text)]
             made = pd.DataFrame(out, columns=[c.split()[0] for c in RESULT.split(", ")])
-            made["doc_id"] = made["doc_id"].astype("Int64")
+            made["doc_id"] = exact_ids([r[0] for r in out])
             yield made
 
-    return docs.select("doc_id", "text").where(F.col("text").rlike(f"(?i){CUE}")).mapInPandas(rows, RESULT)
+    return docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").where(F.col("text").rlike(f"(?i){CUE}")).mapInPandas(rows, RESULT)
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

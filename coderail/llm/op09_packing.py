@@ -5,7 +5,8 @@ longest first, each into the first bin with room; a tournament tree over the bin
 Groups are drawn by a seeded hash, hold about ``group_docs`` documents at any corpus size and share nothing, so the
 work spreads over tasks; only (doc, length) rows are shuffled, never ids.
 
-Null or empty text: one piece with the end id.  Null ``doc_id``: packed, dealt to groups by its place in the input.
+Null or empty text: one piece with the end id.  Null ``doc_id``: packed, dealt to groups by its place in the input; others
+are dealt by id and text, so rows that share an id do not meet.
 Repeated rows: each is packed.  Empty table: no rows.  Very long texts: many full pieces.  Other columns are ignored.
 """
 
@@ -17,8 +18,9 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from coderail.llm.common import mix64, slices, table
+from coderail.llm.common import exact_ids, mix64, slices, table
 from coderail.llm.tokens import BATCH_BYTES, default_path, encoder
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -56,16 +58,19 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, seq_len: int, groups: i
         enc, end = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
         seen = TaskContext.get().partitionId() << 40
         for pdf in slices(frames, "text", BATCH_BYTES):
-            null = pdf["doc_id"].isna().to_numpy()
-            key = pdf["doc_id"].fillna(0).to_numpy(np.int64).astype(np.uint64)
+            encoded = enc.encode(list(pdf["text"]))
+            ids = exact_ids(pdf["doc_id"])
+            null = ids.isna().to_numpy()
+            text = np.array([zlib.crc32(x) for x in encoded], np.uint64)  # rows that share an id are dealt by their texts
+            with np.errstate(over="ignore"):
+                key = mix64(ids.fillna(0).to_numpy(np.int64).astype(np.uint64) + (text << np.uint64(32)))
             key[null] = (seen + np.arange(len(pdf)))[null].astype(np.uint64)
             seen += len(pdf)
             with np.errstate(over="ignore"):
                 group = mix64(key + np.uint64(seed) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(groups)
             out = []
-            for doc_id, missing, g, ids in zip(pdf["doc_id"], null, group.tolist(), enc.encode(list(pdf["text"])),
-                                               strict=True):
-                raw = ids + end
+            for doc_id, missing, g, ids_raw in zip(ids, null, group.tolist(), encoded, strict=True):
+                raw = ids_raw + end
                 total = len(raw) // 4
                 for s in range(0, total, seq_len):
                     part = raw[4 * s : 4 * min(s + seq_len, total)]
@@ -73,11 +78,11 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, seq_len: int, groups: i
                     out.append((*row, part) if with_ids else row)
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "pack_group"] + ["ids"] * with_ids
             made = pd.DataFrame(out, columns=names)
-            made["doc_id"] = made["doc_id"].astype("Int64")
+            made["doc_id"] = exact_ids([r[0] for r in out])
             yield made
 
     schema = PIECE + ", pack_group long" + (", ids binary" if with_ids else "")
-    return docs.select("doc_id", "text").mapInPandas(cut, schema)
+    return docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(cut, schema)
 
 
 def pack(cut: DataFrame, seq_len: int) -> DataFrame:
@@ -85,12 +90,12 @@ def pack(cut: DataFrame, seq_len: int) -> DataFrame:
     columns = [c for c in cut.columns if c != "pack_group"]
 
     def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_id", "ids_crc32", "start"], kind="stable", na_position="first")
+        pdf = pdf.assign(doc_id=exact_ids(pdf["doc_id"])).sort_values(["doc_id", "ids_crc32", "start"], kind="stable", na_position="first")
         bins, offsets = first_fit_decreasing(pdf["length"].to_numpy(), seq_len)
         return pdf[columns].assign(sequence_id=(int(key[0]) << 32) + bins, offset=offsets)
 
     schema = ", ".join(f"{n} {t}" for n, t in cut.drop("pack_group").dtypes) + ", sequence_id long, offset long"
-    return cut.groupBy("pack_group").applyInPandas(one, schema)
+    return cut.withColumn("doc_id", F.col("doc_id").cast("string")).groupBy("pack_group").applyInPandas(one, schema)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, seq_len: int = 4096, group_docs: int = 4096,

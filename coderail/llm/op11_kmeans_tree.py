@@ -35,6 +35,8 @@ QUERY_STEP, TOP = 50, 5
 SAMPLE, BRANCH, LEAF_SAMPLE, ROUNDS = 32_768, 8, 32, 8
 CALIBRATION, TARGET_RECALL = 1024, 0.99
 CELL_ROWS, QUERY_CHUNK = 8192, 512
+#: Queries that one task leads through the tree.
+QUERIES_EACH = 128
 #: Scores of matrix products this close to a limit are computed again, one by one.
 NEAR = 1e-9
 
@@ -254,7 +256,7 @@ def calibrated(index: Index, queries: DataFrame, keep: int, sample: int, target:
 
     true = index.rows.select("x", "ids", "leaf").mapInPandas(exact, "qid binary, score double, vec_id long, leaf int")
     rank = F.row_number().over(Window.partitionBy("qid").orderBy(F.col("score").desc(), "vec_id"))
-    true = true.withColumn("r", rank).where(F.col("r") < keep).groupBy("qid").agg(F.collect_list("leaf").alias("leaves"))
+    true = true.withColumn("r", rank).where(F.col("r") < keep).groupBy("qid").agg(F.collect_list("leaf").alias("leaves")).repartition(-(-sample // QUERIES_EACH))
 
     def places(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at = {n: i for i, n in enumerate(numbers)}
@@ -298,7 +300,8 @@ def nearest(vectors: DataFrame, k: int = TOP, step: int = QUERY_STEP, sample: in
                 out += [(qid, x, cell, np.array(own, "<i4").tobytes()) for cell, own in by.items()]
             yield pd.DataFrame(out, columns=["qid", "x", "cell", "leaves"])
 
-    wanted = materialise(queries.select("qid", "x").mapInPandas(chosen, "qid binary, x binary, cell long, leaves binary"), "vector_visits")
+    spread = queries.select("qid", "x").repartition(max(1, -(-queries.count() // QUERIES_EACH)))  # few bytes, much work
+    wanted = materialise(spread.mapInPandas(chosen, "qid binary, x binary, cell long, leaves binary"), "vector_visits")
     asking = {r["cell"]: r["count"] for r in wanted.groupBy("cell").count().collect()}  # a row per cell of the tree
     plan = [(int(c), index.shards[c], max(1, -(-n // query_chunk))) for c, n in asking.items()]
     plan = F.broadcast(spark.createDataFrame(plan, "cell long, shards int, chunks int"))  # at most SAMPLE cells

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from coderail.llm.common import arrow_slices, materialise, table, text_bytes
+from coderail.llm.common import arrow_slices, exact_ids, materialise, table, text_bytes
 
 # Fixed values of the score (see ``gains``) and of the terms: all but ASCII blanks, signs and control characters.
 SCALE, LENGTH_SHARE, TF_FACTOR, LENGTH_FACTOR = 1_000_000_000, 90, 1000, 8
@@ -170,6 +170,7 @@ def search(index: DataFrame, asked: DataFrame, k: int = TOP, seed_shards: int =
     weight = F.floor(F.lit(1000.0) * F.log((2.0 * n_docs + 2.0) / (F.lit(2.0) * F.col("df") + 1.0))).cast("long")
     weights = hits.groupBy("block", "term").agg(F.sum("df").alias("df")).withColumn("w", weight)
     one = F.struct("df", "term", "w")
+    asked = asked.withColumn("item_id", F.col("item_id").cast("string"))
     queries = materialise(asked.join(weights, ["block", "term"]).groupBy("rid", "item_id", "block")
                           .agg(F.array_sort(F.collect_list(one)).alias("terms")), "lexical_queries")  # rarest first
 
@@ -191,9 +192,9 @@ def search(index: DataFrame, asked: DataFrame, k: int = TOP, seed_shards: int =
             held = (score > 0) & (score >= item.least)
             docs, score = docs[held], score[held]
             for at in np.lexsort((ids[docs], missing[docs], -score))[:k].tolist():
-                out.append((item.rid, None if pd.isna(item.item_id) else int(item.item_id), None if missing[docs[at]] else int(ids[docs[at]]), int(score[at])))
+                out.append((item.rid, item.item_id, None if missing[docs[at]] else int(ids[docs[at]]), int(score[at])))
         made = pd.DataFrame(out, columns=names)
-        return made.astype({"item_id": "Int64", "doc_id": "Int64"})
+        return made.assign(item_id=exact_ids([r[1] for r in out]), doc_id=exact_ids([r[2] for r in out]))
 
     none = F.lit(None).cast("binary")
     n_blocks = (asked.agg(F.max("block")).first()[0] or 0) + 1

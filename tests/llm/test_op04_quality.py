@@ -21,7 +21,7 @@ def base(text):
 
 def test_base_counts_on_edge_documents(spark, tmp_path):
     rng = random.Random(8)
-    more = [(1000 + i, words(rng, 80, "ab", 2) + "\n" + words(rng, 5) + "\n a b\n a b\n#$% <x>", *[None] * 11) for i in range(30)]
+    more = [(1000 + i, words(rng, 80, "ab", 2) + "\n" + words(rng, 5) + "\n a b\n a b\n#$% <x>", *[None] * 15) for i in range(30)]
     docs = edge_docs(spark).union(spark.createDataFrame(more, edge_docs(spark).schema))
     sf = as_sf(spark, docs, tmp_path)
     spark.createDataFrame([(3, 1, 0), (None, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")

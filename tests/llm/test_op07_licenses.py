@@ -58,3 +58,10 @@ def test_every_notice_of_the_test_table_is_found(spark):
 def test_edge_and_empty_documents(spark, tmp_path):
     assert op7_license_scan(spark, as_sf(spark, edge_docs(spark), tmp_path / "a")).count() == 0
     assert op7_license_scan(spark, as_sf(spark, empty_docs(spark), tmp_path / "b")).count() == 0
+
+
+def test_ids_stay_exact_beside_a_null(spark):
+    text = TEMPLATES["MIT"][0]
+    rows = [((1 << 53) + 1 + 2 * i, text) for i in range(4)] + [(None, text)]
+    got = scan(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+    assert sorted(r["doc_id"] for r in got if r["doc_id"] is not None) == [i for i, _ in rows[:-1]] and len(got) == 5
