@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from coderail.llm.common import materialise, release, table
+from coderail.llm.common import free_name, materialise, release, table
 from coderail.llm.op04_quality import judge, model_of
 from coderail.llm.op05_simhash import near_duplicates_kept
 from coderail.llm.op06_chaining import without_passages
@@ -20,7 +20,8 @@ from coderail.llm.tokens import default_path
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules and the classifier reject go."""
-    return judge(docs, model_of(docs, table(spark, sf_dir, "labels"))).where("q_.kept").drop("q_")
+    verdict = free_name(docs, "q_")
+    return judge(docs, model_of(docs, table(spark, sf_dir, "labels")), verdict).where(f"{verdict}.kept").drop(verdict)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
