@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scheme as S
 from ..functions.text import py_strip
+from ..sources.scheme_documents import SchemeStructureError, documents, load_documents, write_documents
 
 SCHEME_VERSION = "1.0"
 
@@ -125,14 +126,17 @@ def build_scheme(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 def scheme_violations(scheme: DataFrame, group: str = "scheme_id", order: str = "ordinal") -> DataFrame:
     """Every violated rule per category (the validator stops at the first):
     duplicate_name (a later category with the same bare name), key_collision (a later category with the
-    same key), missing_criteria, missing_examples, missing_values, condition_unpacking.
+    same key), missing_criteria, missing_examples, missing_values, condition_unpacking; for categories of whole documents also
+    category_not_object (that rule alone), examples_not_list, values_not_string, criteria_not_string, display_name_not_string.
 
     A category without a display name goes by its key, as in the validator; one without either still
     gets its other rules. Both tests are aggregates (first ordinal per name, per key) joined back, not
     windows, so a name shared by many rows is combined map-side and the joins can be split by AQE.
     """
     key = F.coalesce("key", F.lit(""))
-    named = scheme.withColumns({"_bare": S.bare_name(F.coalesce("display_name", key)), "_key": key})
+    typed = "problems" in scheme.columns  # categories of whole documents: what is missing or wrong was seen in the document
+    other = F.array_contains("problems", "category_not_object") if typed else F.lit(False)
+    named = scheme.withColumns({"_bare": F.when(other, "").otherwise(S.bare_name(F.coalesce("display_name", key))), "_key": key})
     first = named.groupBy(F.col(group).alias("_g1"), F.col("_bare").alias("_b1")).agg(F.min(order).alias("_first"))
     first_key = named.groupBy(F.col(group).alias("_g2"), F.col("_key").alias("_k2")).agg(F.min(order).alias("_first_key"))
     j = (named.join(first, F.col(group).eqNullSafe(F.col("_g1")) & (F.col("_bare") == F.col("_b1")))
@@ -140,11 +144,15 @@ def scheme_violations(scheme: DataFrame, group: str = "scheme_id", order: str =
     rules = F.array(
         F.when((F.col(order) > F.col("_first")) & (F.col("_bare") != ""), F.lit("duplicate_name")),
         F.when((F.col(order) > F.col("_first_key")) & (F.col("_key") != ""), F.lit("key_collision")),
-        F.when(F.col("criteria").isNull(), F.lit("missing_criteria")),
-        F.when(F.col("examples").isNull(), F.lit("missing_examples")),
-        F.when(F.col("values_text").isNull(), F.lit("missing_values")),
+        *([] if typed else [F.when(F.col(c).isNull(), F.lit(r)) for c, r in (
+            ("criteria", "missing_criteria"), ("examples", "missing_examples"), ("values_text", "missing_values"))]),
         F.col("condition_problem") if "condition_problem" in scheme.columns else F.lit(None).cast("string"))
-    return j.select(group, order, F.explode(F.filter(rules, lambda r: r.isNotNull())).alias("rule"))
+    return j.select(group, order, F.explode(F.filter(F.concat(rules, "problems") if typed else rules, lambda r: r.isNotNull())).alias("rule"))
+
+
+def assemble_documents(scheme: DataFrame, path: str, version: str = SCHEME_VERSION) -> str:
+    """Writes every scheme as one nested document (version, categories in scheme order), as the generator does."""
+    return write_documents(documents(scheme, version), path)
 
 
 CATEGORY_JSON_SCHEMA = (
@@ -168,13 +176,15 @@ def assemble_scheme(scheme: DataFrame, path: str, version: str = SCHEME_VERSION)
     return path
 
 
-class SchemeStructureError(ValueError):
-    pass
-
-
 def load_scheme(spark, path: str) -> DataFrame:
-    """Reads scheme documents written by :func:`assemble_scheme` (or any JSON lines of that shape)
-    with an explicit schema. A structure that misses a field everywhere is refused; otherwise a ``problem`` column per category (missing version / key / values)."""
+    """Reads schemes: whole documents (version and a map of categories, see :mod:`coderail.sources.scheme_documents`), or the flat
+    lines of :func:`assemble_scheme` (or any JSON lines of that shape) with an explicit schema. A structure that misses a field everywhere
+    is refused; otherwise a ``problem`` column per category (missing version / key / values)."""
+    first = spark.read.text(path).where(F.length(py_strip(F.col("value"))) > 0).select(
+        F.json_object_keys("value").alias("keys")).first()
+    if first is not None and (first["keys"] is None or "key" not in first["keys"]):  # no line of a category
+        whole = load_documents(spark, path)
+        return whole.withColumn("problem", F.array_join("problems", ", ")).withColumn("problem", F.nullif("problem", F.lit("")))
     found = spark.read.json(path).columns  # what the documents really hold, before the schema fills it up
     missing = [c for c in ("version", "key", "criteria", "examples", "values_text") if c not in found]
     if missing:

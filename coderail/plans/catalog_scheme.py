@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import scheme as S
 from ..functions.text import py_strip
 from ..operators import joins
+from ..sources import scheme_documents
 from ..operators import scheme as OS
 from ..session import scratch_path
 from . import sqlfn as Q
@@ -218,6 +219,43 @@ def q_assemble_scheme(spark, sf):
     return _scheme_out(spark.read.schema(OS.CATEGORY_JSON_SCHEMA).json(path), "version")
 
 
+# Positions of the categories in their documents, in place of the ordinals of the table they came from.
+_DOC_OUT = _SCHEME_OUT.replace("ordinal,", "row_number() OVER (PARTITION BY scheme_id ORDER BY ordinal) - 1 AS ordinal,", 1)
+
+
+@register("scheme_documents", f"SELECT {_DOC_OUT}, '1.0' AS version, CAST(NULL AS VARCHAR) AS problem FROM o_scheme", ("o_scheme",))
+def q_scheme_documents(spark, sf):
+    """Every scheme written as one nested document and loaded again: the same rows, in document order."""
+    path = OS.assemble_documents(normalised(spark, sf), scratch_path(spark, "scheme_documents"))
+    return _scheme_out(OS.load_scheme(spark, path), "version", "problem")
+
+
+# Categories whose fields are of wrong types, or that are no objects at all, by their place in the scheme.
+_BROKEN = {1: '"a text"', 2: '{"criteria": 5, "examples": [], "values": "offen"}', 3: '{"criteria": "c", "examples": "one", "values": "offen"}',
+           4: '{"criteria": "c", "examples": ["e", 2], "values": ["a"]}', 5: '{"display_name": "7.7 Doppelt", "criteria": null, "examples": {}}',
+           6: '["list"]', 7: '{"display_name": 12, "examples": null, "values": 1.5}', 8: '{"display_name": "8.1 Doppelt", "criteria": "[", "examples": [[1]], "values": "{"}'}
+_BROKEN_RULES = {1: ["category_not_object"], 2: ["criteria_not_string"], 3: ["examples_not_list"], 4: ["values_not_string"],
+                 5: ["criteria_not_string", "examples_not_list", "missing_values"], 6: ["category_not_object"],
+                 7: ["missing_criteria", "examples_not_list", "values_not_string", "display_name_not_string"], 8: []}
+
+
+@register("scheme_document_violations", f"""
+WITH e AS (SELECT scheme_id, ordinal, ordinal % 11 AS m FROM o_scheme)
+SELECT scheme_id, pos AS ordinal, unnest(CASE m {' '.join(f"WHEN {m} THEN {r}::VARCHAR[]" for m, r in _BROKEN_RULES.items())} END) AS rule
+FROM (SELECT *, row_number() OVER (PARTITION BY scheme_id ORDER BY ordinal) - 1 AS pos FROM e)
+UNION ALL SELECT scheme_id, pos, 'duplicate_name' FROM (
+  SELECT *, row_number() OVER (PARTITION BY scheme_id, m IN (5, 8) ORDER BY ordinal) AS nth FROM (
+    SELECT *, row_number() OVER (PARTITION BY scheme_id ORDER BY ordinal) - 1 AS pos FROM e)) WHERE m IN (5, 8) AND nth > 1""", ("o_scheme",))
+def q_scheme_document_violations(spark, sf):
+    """Violations of documents as users write them: wrong types, missing fields, names given twice."""
+    raw = F.create_map(*[F.lit(x) for pair in _BROKEN.items() for x in pair])[(F.col("ordinal") % 11).cast("int")]
+    sound = F.concat(F.lit('{"criteria": "c", "examples": [], "values": "offen", "display_name": "'), "ordinal", F.lit('"}'))
+    one = F.concat(F.lit('"k'), "ordinal", F.lit('": '), F.coalesce(raw, sound))
+    docs = normalised(spark, sf).groupBy("scheme_id").agg(F.array_sort(F.collect_list(F.struct("ordinal", one.alias("c")))).alias("c"))
+    text = F.concat(F.lit('{"coding_scheme": {"version": "1.0", "categories": {'), F.array_join(F.transform("c", lambda c: c["c"]), ",\n"), F.lit("}}}"))
+    return OS.scheme_violations(scheme_documents.categories(docs.select("scheme_id", text.alias("document"))))
+
+
 @register("build_scheme", f"""
 SELECT scheme_id, ordinal, key, key AS display_name, {Q.simplify_name('key')} AS simplified_name, {Q.clean_criteria('criteria')} AS criteria,
   array_to_string({Q.clean_examples('examples')}, chr(10)) AS examples_text, {Q.clean_values('values_text')} AS values_text,
