@@ -121,6 +121,8 @@ def oracle_text(name: str) -> str | None:
     if not order:
         return body
     head = "WITH " + ",\n".join(f"{n} AS ({CTES[n][0]})" for n in order)
+    if body[:15].upper() == "WITH RECURSIVE ":
+        return head.replace("WITH ", "WITH RECURSIVE ", 1) + ",\n" + body[15:]
     if body[:5].upper() == "WITH ":
         return head + ",\n" + body[5:]
     return head + "\n" + body

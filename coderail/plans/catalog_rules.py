@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.scheme import parse_condition
 from ..operators import rules as R
 from .catalog import register
-from .fixtures import fixture
+from .fixtures import fixture, register_tables
 
 # Equality conditions of the deployed scheme (derived number, reference, value, source).
 EQUALS_RULES = [("1.0.4", "provider", "1", "open_text"), ("1.0.5", "provider", "1", "open_text"),
@@ -60,6 +60,47 @@ def q_derive_from_conditions(spark, sf):
     return R.derive_any_in_range(fixture(spark, sf, "leaf_codes"), ranges)
 
 
+# Rule tables of many schemes, made from the parts: 20 schemes, a rule per part. Two thirds of the rules range over leaf categories
+# (2.x.y or 3.y), the others over up to three derived categories of smaller numbers, so conditions lie several levels deep.
+_MANY_RULES = """
+SELECT p_partkey % 20 AS scheme_id, concat('9.', CAST(p_partkey / 20 AS STRING)) AS number,
+  CASE WHEN p_partkey % 3 = 0 AND p_partkey > 60 THEN concat('9.', CAST(p_partkey / 20 - 2 - p_size % 3 AS STRING))
+       WHEN p_size % 4 = 0 THEN concat('3.', CAST(1 + p_size % 5 AS STRING))
+       ELSE concat('2.', CAST(1 + p_size % 6 AS STRING), '.', CAST(1 + p_partkey % 4 AS STRING)) END AS range_start,
+  CASE WHEN p_partkey % 3 = 0 AND p_partkey > 60 THEN concat('9.', CAST(p_partkey / 20 - 1 AS STRING))
+       WHEN p_size % 4 = 0 THEN '3.5'
+       ELSE concat('2.', CAST(1 + p_size % 6 + p_partkey % 2 AS STRING), '.', CAST(2 + p_partkey % 5 AS STRING)) END AS range_end,
+  CASE WHEN p_partkey % 3 <> 0 AND p_size % 11 = 0 THEN '-99' ELSE '1' END AS code
+FROM part WHERE p_partkey / 20 <= 60
+"""
+_MANY_DUCK = _MANY_RULES.replace("/ 20", "// 20").replace("AS STRING", "AS VARCHAR")
+
+
+@register("derive_many_schemes", f"""
+WITH RECURSIVE r AS ({_MANY_DUCK}), leaf AS (SELECT doc_id % 20 AS scheme_id, doc_id, number, code FROM leaf_codes),
+ deps AS (SELECT a.scheme_id, a.number AS rule, b.number AS dep FROM r a JOIN r b ON a.scheme_id = b.scheme_id
+   AND len({_num('a.range_start')}) = len({_num('b.number')}) AND {_num('b.number')} BETWEEN {_num('a.range_start')} AND {_num('a.range_end')}
+   AND a.code = '1'),
+ lv AS (SELECT scheme_id, number, 1 AS level FROM r UNION SELECT d.scheme_id, d.rule, lv.level + 1 FROM lv JOIN deps d
+   ON d.scheme_id = lv.scheme_id AND d.dep = lv.number),
+ below AS (SELECT scheme_id, number AS rule, number AS dep FROM r UNION SELECT b.scheme_id, b.rule, d.dep FROM below b JOIN deps d
+   ON d.scheme_id = b.scheme_id AND d.rule = b.dep),
+ hit AS (SELECT DISTINCT l.scheme_id, l.doc_id, r.number FROM leaf l JOIN r ON r.scheme_id = l.scheme_id AND r.code = l.code
+   AND len({_num('r.range_start')}) = len({_num('l.number')}) AND {_num('l.number')} BETWEEN {_num('r.range_start')} AND {_num('r.range_end')}),
+ fired AS (SELECT DISTINCT h.scheme_id, h.doc_id, b.rule FROM hit h JOIN below b ON b.scheme_id = h.scheme_id AND b.dep = h.number)
+SELECT d.scheme_id, d.doc_id, r.number, CASE WHEN f.rule IS NULL THEN '0' ELSE '1' END AS code, CAST(m.level AS INTEGER) AS level
+FROM (SELECT DISTINCT scheme_id, doc_id FROM leaf) d JOIN r ON r.scheme_id = d.scheme_id
+JOIN (SELECT scheme_id, number, max(level) AS level FROM lv GROUP BY ALL) m ON m.scheme_id = r.scheme_id AND m.number = r.number
+LEFT JOIN fired f ON f.scheme_id = d.scheme_id AND f.doc_id = d.doc_id AND f.rule = r.number""", ("leaf_codes",))
+def q_derive_many_schemes(spark, sf):
+    """Range rules of twenty schemes at once: bins for the ranges, levels by a recursive query, nothing collected."""
+    from ..operators.range_rules import derive_ranges
+    leaf = fixture(spark, sf, "leaf_codes").select((F.col("doc_id") % 20).alias("scheme_id"), "doc_id", "number", "code")
+    register_tables(spark, sf, ["part"])
+    rules = spark.sql(_MANY_RULES.replace("p_partkey / 20", "p_partkey div 20"))
+    return derive_ranges(leaf, rules)
+
+
 @register("derive_equals", " UNION ALL ".join(
     f"SELECT doc_id, '{n}' AS number, CASE WHEN {ref} = '{v}' THEN CAST({src} AS VARCHAR) ELSE '-99' END AS code "
     f"FROM provider_codes" for n, ref, v, src in EQUALS_RULES), ("provider_codes",))
