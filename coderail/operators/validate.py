@@ -15,8 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.response import (ANSWER_SCHEMA, REQUIRED_FIELDS, bare_boolean_confidence, bare_literals_quoted,
-                                  json_trimmed, kind_of, parse_float_text, py_list_text, strip_fence)
+from ..functions.response import (ANSWER_SCHEMA, REQUIRED_FIELDS, bare_boolean_confidence, bare_literals_quoted, document,
+                                  json_trimmed, kind_of, overflowing_confidence, parse_float_text, py_list_text, strip_fence)
 from ..functions.text import confidence_level
 
 # Reasoning texts of the default record.
@@ -37,7 +37,7 @@ def _metrics_name(prefix: str) -> str:
     return f"coderail_{prefix}_{uuid.uuid4().hex[:12]}"
 
 
-_TMP = ["_clean", "_t", "_keys", "_parsed", "_j", "_kind", "_miss", "_conf", "_outcome"]
+_TMP = ["_clean", "_t", "_doc", "_keys", "_j", "_kind", "_miss", "_conf", "_outcome"]
 
 
 def validate_responses(df: DataFrame, raw: str = "response", keep_clean: bool = False,
@@ -53,14 +53,17 @@ def validate_responses(df: DataFrame, raw: str = "response", keep_clean: bool =
     """
     t = df.withColumn("_clean", strip_fence(F.col(raw)))
     t = t.withColumn("_t", bare_literals_quoted(json_trimmed(F.col("_clean"))))
-    t = t.withColumns({"_keys": F.json_object_keys(F.col("_t")),
-                       "_parsed": F.try_parse_json(F.col("_t")).isNotNull(),
-                       "_j": F.from_json(F.col("_t"), ANSWER_SCHEMA)})
-    t = t.withColumns({"_kind": kind_of(F.col("_t"), F.col("_keys"), F.col("_parsed")),
-                       "_miss": F.array_except(F.array(*[F.lit(f) for f in REQUIRED_FIELDS]),
-                                               F.coalesce(F.col("_keys"), F.array().cast("array<string>"))),
-                       "_conf": F.coalesce(F.when(F.col("_j.confidence").isin("true", "false"), bare_boolean_confidence("_t")),
-                                           parse_float_text(F.col("_j.confidence")))})
+    t = t.withColumns({"_doc": document("_t"), "_j": F.from_json(F.col("_t"), ANSWER_SCHEMA)})
+    # Keys are only listed for text that is no document; of a document each field is looked up.
+    t = t.withColumn("_keys", F.when(F.col("_doc").isNull(), F.json_object_keys(F.col("_t"))))
+    has = [F.when(F.col("_doc").isNotNull(), F.try_variant_get("_doc", f"$[0].{f}", "variant").isNotNull())
+           .otherwise(F.coalesce(F.array_contains("_keys", f), F.lit(False))) for f in REQUIRED_FIELDS]
+    said = F.col("_j.confidence")
+    t = t.withColumns({"_kind": kind_of(F.col("_t"), F.col("_keys"), F.col("_doc").isNotNull()),
+                       "_miss": F.array_compact(F.array(*[F.when(~h, F.lit(f)) for f, h in zip(REQUIRED_FIELDS, has)])),
+                       "_conf": F.coalesce(F.when(said.isin("true", "false"), bare_boolean_confidence("_t", "_doc"))
+                                           .when(said.isin('"Infinity"', '"-Infinity"'), overflowing_confidence(said, "_doc")),
+                                           parse_float_text(said))})
     kind, miss, conf, j = F.col("_kind"), F.col("_miss"), F.col("_conf"), F.col("_j")
     t = t.withColumn("_outcome", F.when(kind.isNull(), "invalid_json")
                      .when(kind.isin("array", "string"), "missing_fields")
