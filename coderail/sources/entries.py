@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -41,11 +44,45 @@ def _is_empty_file(spark: SparkSession, path: str) -> bool:
     return st.isFile() and st.getLen() == 0
 
 
+def _csv_reader(spark: SparkSession):
+    rd = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    rd = rd.option("mode", "FAILFAST").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    # An unquoted empty field is NULL, a quoted one ("") the empty string: with the default
+    # nullValue "" both would read as NULL.
+    return rd.option("nullValue", NULL_MARKER).option("emptyValue", "")
+
+
+def _by_header(spark: SparkSession, path: str) -> list[list[str]]:
+    """The files below a path, grouped by their first line (one group where all agree)."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+                                         F.monotonically_increasing_id().alias("row")).where("at = 0")
+    first = lines.groupBy("file").agg(F.min_by("value", "row").alias("header"))
+    groups: dict[str, list[str]] = {}
+    for r in first.orderBy("file").collect():  # a row per file, as the driver lists them anyway
+        groups.setdefault(r["header"], []).append(unquote(r["file"]))
+    return list(groups.values())
+
+
+def _read_csv(spark: SparkSession, path: str) -> DataFrame:
+    """CSV files below a path by the header that each one has. The reader takes one header for all files it is given, so
+    files are read per header and put together by column names; columns that a file lacks are NULL."""
+    df = _csv_reader(spark).csv(path)
+    if len(df.inputFiles()) < 2:
+        return df
+    groups = _by_header(spark, path)
+    if len(groups) < 2:
+        return df
+    # The header that counts is checked in every file: one that goes on behind its first line is refused, not mixed up.
+    parts = [_csv_reader(spark).option("enforceSchema", False).csv(files) for files in groups]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def load_entries(spark: SparkSession, path: str, fmt: str | None = None, ordinal_col: str | None = "ordinal") -> DataFrame:
     """Reads an entry table. The extension picks the reader (CSV unless told otherwise).
 
     CSV is read by its header: ``title`` and ``description`` are required, in any order and next to
-    any other columns, which are kept as text (types are never inferred). RFC-4180 quoting and
+    any other columns, which are kept as text (types are never inferred); in a folder every file goes by
+    its own header. RFC-4180 quoting and
     multi-line fields; a multi-line file is read by one task, so prefer Parquet for large input.
     ``ordinal`` is the input order. A source without that column gets ``monotonically_increasing_id``
     (increasing in file order for one file), as with ``ordinal_col=None``. Distinct errors for a
@@ -56,13 +93,7 @@ def load_entries(spark: SparkSession, path: str, fmt: str | None = None, ordinal
         raise ValueError(f"Error loading data file: no Spark reader for xlsx ({path}); export to CSV or Parquet")
     try:
         if kind == "csv":
-            rd = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-            rd = rd.option("mode", "FAILFAST").option("ignoreLeadingWhiteSpace", False)
-            rd = rd.option("ignoreTrailingWhiteSpace", False)
-            # An unquoted empty field is NULL, a quoted one ("") the empty string: with the default
-            # nullValue "" both would read as NULL.
-            rd = rd.option("nullValue", NULL_MARKER).option("emptyValue", "")
-            df = rd.csv(path)
+            df = _read_csv(spark, path)
         elif kind == "json":
             df = spark.read.json(path)
         else:

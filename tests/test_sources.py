@@ -62,3 +62,14 @@ def test_runs_with_other_categories_and_repeated_ids(spark, tmp_path):
     assert sorted((r.run_id, r.ai_quality, r.ai_length) for r in read_results(spark, base).collect()) == [("a", "1", None), ("b", "0", "1")]
     assert read_results(spark, base, "a").columns == ["title", "ai_quality", "run_id"]
     assert new_run_id() != new_run_id()
+
+
+def test_files_of_a_folder_go_by_their_own_headers(spark, tmp_path):
+    (tmp_path / "a one.csv").write_text("title,description\nt1,d1\n\"t2\",\"d\n2\"\n")
+    (tmp_path / "b+2.csv").write_text("description,title\nd3,t3\n")
+    (tmp_path / "c%41.csv").write_text("ordinal,title,description,lang\n7,t4,d4,de\n")
+    (tmp_path / "d.csv").write_text("title,description\nt5,d5\n")
+    (tmp_path / "e.csv").write_text("")
+    rows = load_entries(spark, str(tmp_path), fmt="csv").collect()
+    assert sorted((r.title, r.description, r.lang) for r in rows) == [
+        ("t1", "d1", None), ("t2", "d\n2", None), ("t3", "d3", None), ("t4", "d4", "de"), ("t5", "d5", None)]
