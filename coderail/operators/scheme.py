@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scheme as S
 from ..functions.text import py_strip
+from ..session import scratch_path
 from ..sources.scheme_documents import SchemeStructureError, documents, load_documents, write_documents
 
 SCHEME_VERSION = "1.0"
@@ -20,17 +21,22 @@ def unique_keys(df: DataFrame, group: str = "scheme_id", key: str = "key", order
 
     Positions come from the skew-safe :func:`coderail.operators.ranking.rank_within`. A numbered name
     can only meet another key of its family (the same key without trailing numbers), so only families
-    with a repeated key next to a different one are settled row by row, from (order, key) alone.
+    with a repeated key next to a different one are settled row by row, from (order, key) alone. Rows of equal
+    order stay rows of their own (in any order among them); NULL groups are one group.
+
+    Only (group, key, order) and a row number are ranked and settled; every other column meets the result once, by row number.
     """
     from .ranking import rank_within
-    d = rank_within(df.filter(F.col(key) != ""), [group, key], order, out="_rn")
+    whole = _numbered(df.filter(F.col(key) != ""))
+    d = rank_within(whole.select("_uid", group, key, order), [group, key], order, out="_rn")
     d = d.withColumn("_root", F.regexp_replace(key, "(_[0-9]+)+$", ""))
     mixed = (d.groupBy(group, "_root").agg(F.min(key).alias("_lo"), F.max(key).alias("_hi"), F.max("_rn").alias("_most"))
-             .filter((F.col("_lo") != F.col("_hi")) & (F.col("_most") > 0)).select(group, "_root"))
+             .filter((F.col("_lo") != F.col("_hi")) & (F.col("_most") > 0))
+             .select(F.col(group).alias("_g"), F.col("_root").alias("_r")))
 
     def settle(pdf):
         used, counters, names = set(), {}, []
-        pdf = pdf.sort_values(order, kind="stable")
+        pdf = pdf.sort_values([order, "_uid"], kind="stable")
         for k in pdf[key]:
             name = k
             if k in used:
@@ -40,22 +46,31 @@ def unique_keys(df: DataFrame, group: str = "scheme_id", key: str = "key", order
                 counters[k], name = n + 1, f"{k}_{n}"
             used.add(name)
             names.append(name)
-        return pdf[[group, order]].assign(_name=names)
+        return pdf[["_uid"]].assign(_name=names)
 
-    kinds = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in (group, order))
-    settled = (d.join(mixed, [group, "_root"], "left_semi").select(group, "_root", order, key)
-               .groupBy(group, "_root").applyInPandas(settle, f"{kinds}, _name string"))
+    family = F.col(group).eqNullSafe(F.col("_g")) & (F.col("_root") == F.col("_r"))
+    settled = (d.join(mixed, family, "left_semi").select("_uid", group, "_root", order, key)
+               .groupBy(group, "_root").applyInPandas(settle, "_uid long, _name string"))
     rn = F.col("_rn")
     counted = F.when(rn == 0, F.col(key)).otherwise(F.concat(F.col(key), F.lit("_"), rn.cast("string")))
-    out = d.join(settled, [group, order], "left")
-    return out.withColumn(key, F.coalesce("_name", counted)).select(*df.columns)
+    names = d.select("_uid", counted.alias("_counted")).join(settled, "_uid", "left").select("_uid", F.coalesce("_name", "_counted").alias("_name"))
+    return whole.join(names, "_uid").withColumn(key, F.col("_name")).select(*df.columns)
+
+
+def _numbered(df: DataFrame) -> DataFrame:
+    """``df`` with a number per row, written once: a recomputation could number rows differently."""
+    out = df.withColumn("_uid", F.monotonically_increasing_id())
+    path = scratch_path(df.sparkSession, "numbered")
+    out.write.parquet(path)
+    return df.sparkSession.read.schema(out.schema).parquet(path)
 
 
 def normalise_scheme(rows: DataFrame, group: str = "scheme_id", order: str = "ordinal") -> DataFrame:
     """Importer: skip empty rows -> key -> condition -> ``_DERIVED_`` prefix -> examples/criteria ->
     unique keys -> standardised values. ``display_name`` is carried through unchanged.
 
-    Everything but the unique-key step is a projection; that step shuffles once on (scheme, key).
+    Everything but the unique-key step is a projection; that step writes the rows once, ranks (scheme, key, ordinal) by a range
+    shuffle with a checkpoint, and joins the names back by row number.
     """
     dn, vals = py_strip(F.col("display_name")), py_strip(F.col("values_text"))
     crit, exs = py_strip(F.col("criteria")), py_strip(F.col("examples"))

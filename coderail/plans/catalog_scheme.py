@@ -12,7 +12,7 @@ from ..operators import scheme as OS
 from ..session import scratch_path
 from . import sqlfn as Q
 from .catalog import CTES, register
-from .fixtures import fixture
+from .fixtures import fixture, register_tables
 
 
 def rows(spark, sf):
@@ -93,6 +93,25 @@ def q_unique_keys(spark, sf):
     return OS.unique_keys(k)
 
 
+# Keys of one family in one scheme, with numbers that are taken by other keys before or after they are given.
+_CLASHING = """SELECT p_partkey % 20 AS scheme_id, p_partkey AS ordinal,
+  CASE p_size % 9 WHEN 0 THEN 'Foo' WHEN 1 THEN 'Foo' WHEN 2 THEN 'Foo_1' WHEN 3 THEN 'Foo_3' WHEN 4 THEN 'Foo_1_1' WHEN 5 THEN 'Bar'
+    WHEN 6 THEN 'Bar_2' WHEN 7 THEN concat('Foo_', CAST(p_partkey % 30 AS STRING)) ELSE 'Foo_01' END AS key FROM part"""
+
+
+@register("unique_keys_clashing", f"""
+WITH RECURSIVE k AS (SELECT *, row_number() OVER (PARTITION BY scheme_id ORDER BY ordinal) AS pos FROM ({_CLASHING.replace('AS STRING', 'AS VARCHAR')})),
+ t AS (SELECT scheme_id, CAST(0 AS BIGINT) AS pos, CAST([] AS VARCHAR[]) AS used FROM (SELECT DISTINCT scheme_id FROM k)
+   UNION ALL SELECT t.scheme_id, k.pos, list_append(t.used, CASE WHEN NOT list_contains(t.used, k.key) THEN k.key ELSE
+     k.key || '_' || CAST(list_min(list_filter(range(1, len(t.used) + 2), lambda n: NOT list_contains(t.used, k.key || '_' || CAST(n AS VARCHAR)))) AS VARCHAR) END)
+   FROM t JOIN k ON k.scheme_id = t.scheme_id AND k.pos = t.pos + 1)
+SELECT k.scheme_id, k.ordinal, t.used[t.pos] AS key FROM t JOIN k ON k.scheme_id = t.scheme_id AND k.pos = t.pos""")
+def q_unique_keys_clashing(spark, sf):
+    """Repeated keys beside keys that have, or will take, the numbers given to them."""
+    register_tables(spark, sf, ["part"])
+    return OS.unique_keys(spark.sql(_CLASHING))
+
+
 _C_RAW = Q.condition(Q.strip("values_text"))
 
 

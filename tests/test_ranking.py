@@ -48,3 +48,12 @@ def test_one_plan_without_python_and_without_counting_first(spark):
     df = spark.createDataFrame([("s", "hot", i) for i in range(50)], "scheme_id string, key string, ordinal long")
     plan = rank_within(df, ["scheme_id", "key"], "ordinal", out="r")._jdf.queryExecution().executedPlan().toString()
     assert "Window" in plan and "Python" not in plan and "Pandas" not in plan
+
+
+def test_rows_of_equal_order_and_no_scheme_stay_single(spark):
+    from coderail.operators.scheme import unique_keys
+    rows = [(1, 1, "Foo", "a"), (1, 2, "Foo", "b"), (1, 2, "Foo", "c"), (1, 3, "Foo_1", "d"), (None, 1, "Foo", "e"), (None, 1, "Foo", "f"), (None, 2, "Foo_1", "g"), (1, 4, "", "h")]
+    got = unique_keys(spark.createDataFrame(rows, "scheme_id long, ordinal long, key string, v string")).collect()
+    assert sorted(r.v for r in got) == list("abcdefg")
+    assert sorted(r.key for r in got if r.scheme_id == 1) == ["Foo", "Foo_1", "Foo_1_1", "Foo_2"]
+    assert sorted(r.key for r in got if r.scheme_id is None) == ["Foo", "Foo_1", "Foo_1_1"]
