@@ -58,7 +58,7 @@ def many_rows():
     return out
 
 
-@pytest.mark.parametrize("rows", [edge_rows(), [(*r, *[None] * 11) for r in many_rows()]], ids=["edge", "near copies"])
+@pytest.mark.parametrize("rows", [edge_rows(), [(*r, *[None] * 15) for r in many_rows()]], ids=["edge", "near copies"])
 def test_query_equals_brute_force(spark, tmp_path, rows):
     docs = spark.createDataFrame(rows, edge_docs(spark).schema)
     got = [tuple(r) for r in op5_simhash(spark, as_sf(spark, docs, tmp_path)).collect()]
