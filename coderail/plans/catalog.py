@@ -167,6 +167,18 @@ def q_latest_results(spark, sf):
     return results_io.latest_results(fixture(spark, sf, "runs"))
 
 
+@register("latest_result_file", "SELECT * FROM runs WHERE run_id = (SELECT min(run_id) FROM runs)", ("runs",))
+def q_latest_result_file(spark, sf):
+    """The newest file over both names, not the last name: the first run is written after the last one, and the file
+    written after it has no name of a result."""
+    base, runs = scratch_path(spark, "result_files"), fixture(spark, sf, "runs")
+    last, first = runs.select(F.max("run_id")).scalar(), runs.select(F.min("run_id")).scalar()
+    runs.where(F.col("run_id") == last).write.parquet(f"{base}/results_2.parquet")
+    runs.where(F.col("run_id") == first).write.parquet(f"{base}/ai_coded_results_1.parquet")
+    runs.write.parquet(f"{base}/coded_3.parquet")
+    return results_io.latest_result_file(spark, base)
+
+
 # ---------------------------------------------------------------- preparation
 @register("trim_columns", f"SELECT ordinal, {strip('title')} AS title, {strip('description')} AS description "
           "FROM entries_raw", ("entries_raw",))

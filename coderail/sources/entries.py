@@ -77,6 +77,20 @@ def _read_csv(spark: SparkSession, path: str) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def _read(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    if kind == "xlsx":
+        raise ValueError(f"Error loading data file: no Spark reader for xlsx ({path}); export to CSV or Parquet")
+    if kind == "csv":
+        return _read_csv(spark, path)
+    return spark.read.json(path) if kind == "json" else spark.read.parquet(path)
+
+
+def read_by_extension(spark: SparkSession, path: str) -> DataFrame:
+    """Any table by its extension: CSV by its header, JSON lines, else Parquet."""
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+    return _read(spark, path, _fmt(path, None if "." in name else "parquet"))
+
+
 def load_entries(spark: SparkSession, path: str, fmt: str | None = None, ordinal_col: str | None = "ordinal") -> DataFrame:
     """Reads an entry table. The extension picks the reader (CSV unless told otherwise).
 
@@ -89,15 +103,8 @@ def load_entries(spark: SparkSession, path: str, fmt: str | None = None, ordinal
     missing file, an empty file, missing columns and other failures.
     """
     kind = _fmt(path, fmt)
-    if kind == "xlsx":
-        raise ValueError(f"Error loading data file: no Spark reader for xlsx ({path}); export to CSV or Parquet")
     try:
-        if kind == "csv":
-            df = _read_csv(spark, path)
-        elif kind == "json":
-            df = spark.read.json(path)
-        else:
-            df = spark.read.parquet(path)
+        df = _read(spark, path, kind)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             raise FileNotFoundError(f"Data file not found: {path}") from e

@@ -73,3 +73,30 @@ def test_files_of_a_folder_go_by_their_own_headers(spark, tmp_path):
     rows = load_entries(spark, str(tmp_path), fmt="csv").collect()
     assert sorted((r.title, r.description, r.lang) for r in rows) == [
         ("t1", "d1", None), ("t2", "d\n2", None), ("t3", "d3", None), ("t4", "d4", "de"), ("t5", "d5", None)]
+
+
+def test_latest_result_file_over_both_names(spark, tmp_path):
+    import os
+
+    from coderail.sources.results_io import latest_result_file, result_files
+    base = tmp_path / "data" / "results"
+    assert latest_result_file(spark, str(base)).count() == 0
+    base.mkdir(parents=True)
+    assert latest_result_file(spark, str(base), schema="title string").columns == ["title"]
+    for at, (name, v) in enumerate([("results_9.csv", "old"), ("ai_coded_results_2.csv", "new"), ("results_1.csv", "newest"),
+                                    ("my_results_3.csv", "foreign"), (".results_4.csv", "hidden"), ("results.csv", "no name")]):
+        (base / name).write_text(f"title,ai_quality\n{v},1\n")
+        os.utime(base / name, (1_700_000_000 + at, 1_700_000_000 + at))
+    got = latest_result_file(spark, str(base))
+    assert [tuple(r) for r in got.collect()] == [("newest", "1")] and len(got.inputFiles()) == 1
+    # A folder of part files counts as one result, as new as its newest part; its own columns come with it.
+    spark.createDataFrame([("t", 1), ("u", 2)], "title string, ai_toxic int").repartition(2).write.parquet(str(base / "ai_coded_results_0.parquet"))
+    assert sorted(tuple(r) for r in latest_result_file(spark, str(base) + "/").collect()) == [("t", 1), ("u", 2)]
+    files = {r["name"]: r["n_files"] for r in result_files(spark, "file:" + str(base)).collect()}
+    assert files == {"results_9.csv": 1, "ai_coded_results_2.csv": 1, "results_1.csv": 1, "ai_coded_results_0.parquet": 2}
+    same = 1_800_000_000_000
+    for name in ("results_5.csv", "results_6.csv"):
+        (base / name).write_text(f"title\n{name}\n")
+        os.utime(base / name, ns=(same * 10**6, same * 10**6))
+    assert latest_result_file(spark, str(base)).first()["title"] == "results_6.csv"
+    assert latest_result_file(spark, str(base), names=["my_*"]).first()["title"] == "foreign"
