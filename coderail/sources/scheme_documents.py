@@ -69,12 +69,12 @@ def categories(docs: DataFrame, document: str = "document") -> DataFrame:
     Fields that are missing, null or of a wrong type are NULL. An example that is no string counts by its JSON text, as numbers do
     in the reference's lists."""
     sound = _parsed(docs, document).where(F.col("problem").isNull())
-    # VARIANT sorts the fields of an object; the text of the categories still has them in the order of the document.
-    order = F.json_object_keys(F.get_json_object(document, "$.coding_scheme.categories"))
-    rows = sound.select("scheme_id", F.expr("try_variant_get(_version, '$', 'string')").alias("version"), order.alias("_order"),
-                        F.explode(F.expr("try_variant_get(_categories, '$', 'map<string,variant>')")).alias("key", "_c"))
-    rows = rows.select("scheme_id", "version", (F.array_position("_order", F.col("key")) - 1).cast("bigint").alias("ordinal"), "key",
-                       "_c", kind(F.col("_c")).alias("_kind"))
+    # VARIANT sorts the fields of an object; a map read from the text has them in the order of the document, each with a VARIANT of
+    # its own. A category so gets its place from the generator: no list of all keys goes along with it.
+    body = F.from_json(document, "struct<coding_scheme:struct<categories:map<string,variant>>>")["coding_scheme"]["categories"]
+    rows = sound.select("scheme_id", F.expr("try_variant_get(_version, '$', 'string')").alias("version"),
+                        F.posexplode(body).alias("ordinal", "key", "_c"))
+    rows = rows.select("scheme_id", "version", F.col("ordinal").cast("bigint").alias("ordinal"), "key", "_c", kind(F.col("_c")).alias("_kind"))
     names = ("display_name", "simplified_name", "criteria", "examples", "values")
     fields = {n: F.expr(f"try_variant_get(_c, '$.{n}', 'variant')") for n in names}
     rows = rows.withColumns({f"_{n}": v for n, v in fields.items()}).withColumns({f"_k_{n}": kind(F.col(f"_{n}")) for n in names})

@@ -70,3 +70,17 @@ def test_wrong_types_are_rules_of_their_own(spark):
                           ("f", "display_name_not_string"), ("f", "criteria_not_string"), ("f", "examples_not_list"), ("f", "values_not_string"),
                           ("g", "category_not_object")])
     assert {r.version for r in rows.collect()} == {"1"}
+
+
+def test_a_category_carries_no_list_of_all_keys(spark):
+    """Places in the document come from the generator; a list of all keys beside each category would be quadratic."""
+    import contextlib
+    import io
+    keys = [f"k{(i * 7919) % 20011}" for i in range(20000)] + ["\U0001f600", "￿", "ü\"\n", ""]
+    text = json.dumps({"coding_scheme": {"version": "1", "categories": {k: {"criteria": k, "examples": [1.50, None], "values": "v"} for k in keys}}})
+    rows = D.categories(spark.createDataFrame([("s", text)], "scheme_id string, document string"))
+    with contextlib.redirect_stdout(io.StringIO()) as plan:
+        rows.explain(True)
+    assert "array_position" not in plan.getvalue() and "json_object_keys" not in plan.getvalue()
+    got = sorted((r.ordinal, r.key, r.criteria, r.examples[0]) for r in rows.collect())
+    assert got == [(i, k, k, "1.5") for i, k in enumerate(keys)]
