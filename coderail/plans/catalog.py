@@ -638,8 +638,9 @@ def q_stream_classify(spark, sf):
     from ..streaming import incremental
     base = scratch_path(spark, "stream")
     q = incremental.start(
-        spark, sf, schema="doc_id bigint, text string, lang string, source string, n_chars bigint",
-        path_glob="documents.parquet", selected=fixture(spark, sf, "selected"), scheme=P.task_scheme(spark, sf),
+        spark, f"{sf.rstrip('/')}/{{documents.parquet}}",  # a glob: the table may be one file or a folder of part files
+        schema="doc_id bigint, text string, lang string, source string, n_chars bigint",
+        selected=fixture(spark, sf, "selected"), scheme=P.task_scheme(spark, sf),
         infer_fn=infer.rule_scorer, store=f"{base}/store", checkpoint=f"{base}/checkpoint",
         transform=lambda df: df.selectExpr(*_STREAM_TEXTS))
     q.awaitTermination()

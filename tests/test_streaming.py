@@ -124,3 +124,19 @@ def test_a_killed_batch_pays_for_the_rest_only(spark, tmp_path):
     incremental.code_batch(texts, 0, **args)
     incremental.code_batch(texts, 0, **args)  # a replay of a finished batch
     assert len(os.listdir(calls)) == 6 and incremental.stored_responses(spark, store).filter("error IS NULL").count() == 6
+
+
+def test_the_streamed_table_may_be_a_folder_of_parts(spark, tmp_path):
+    """One file or a folder of part files: the same rows (texts 3 and 7 lack a description or a title)."""
+    from coderail.plans import catalog
+    docs = spark.createDataFrame([(i, f"t{i}\n" + "x" * i, "de", "s", i) for i in range(1, 8)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = {}
+    for kind in ("file", "folder"):
+        sf = tmp_path / kind
+        docs.repartition(1 if kind == "file" else 3).write.parquet(str(sf / ("part" if kind == "file" else "documents.parquet")))
+        if kind == "file":
+            (part,) = (sf / "part").glob("*.parquet")
+            part.rename(sf / "documents.parquet")
+        got[kind] = sorted(map(tuple, catalog.QUERIES["stream_classify"][0](spark, str(sf)).collect()))
+    assert len(got["file"]) == 15 and got["folder"] == got["file"]
