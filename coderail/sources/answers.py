@@ -11,9 +11,14 @@ finds all it has paid for.  The bucket count is written beside the table when it
 from __future__ import annotations
 
 import hashlib
+import io
 import json
+import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,7 +93,9 @@ class AnswerStore:
 class CallLog:
     """Answers of a running job, durable one by one, below a shared folder.
 
-    Each answer is a small file, written under a hidden name and renamed, so a reader sees whole answers only.  A task
+    On a file system mounted by the workers each attempt at a task adds lines to a file of its own, written through with
+    each answer; a last line that its writer could not finish does not count. Object stores and HDFS show a file when it is
+    closed, so there each answer is a small file, written under a hidden name and renamed.  A task
     that is tried again first reads what its earlier attempts left under its partition's number and pays for none of it again; what a
     killed job leaves is taken in by the next run (:meth:`AnswerStore.absorb`).  The files of a job go once its answers
     are committed.  The folder is reached through ``pyarrow.fs`` (local, HDFS, S3, GCS).
@@ -100,25 +107,44 @@ class CallLog:
         self.files, root = file_system(path)
         self.folder = f"{root}/part-{partition:06d}"
         self.files.create_dir(self.folder, recursive=True)
+        self.adds_lines, self.lines, self.lock = self.files.type_name == "local", None, threading.Lock()
 
-    def known(self) -> dict[tuple, tuple[str, int, None]]:
-        """(answer, attempts, no error) by key, of the earlier attempts of this task."""
+    def earlier(self) -> Iterator[tuple[tuple, tuple[str, int, None]]]:
+        """Key and (answer, attempts, no error) of what the earlier attempts of this task have logged, one by one."""
         from pyarrow import fs
 
-        out = {}
         for info in self.files.get_file_info(fs.FileSelector(self.folder)):
             if info.base_name.endswith(".json") and not info.base_name.startswith("."):
-                with self.files.open_input_stream(info.path) as f:
-                    row = json.loads(f.read())
-                out[tuple(row[k] for k in KEYS)] = (row["response"], row["attempts"], None)
-        return out
+                with self.files.open_input_file(info.path) as raw, io.BufferedReader(raw) as f:
+                    for line in f:
+                        try:
+                            row = json.loads(line)
+                        except ValueError:  # the worker died while it wrote
+                            continue
+                        yield tuple(row[k] for k in KEYS), (row["response"], row["attempts"], None)
+
+    def known(self) -> dict[tuple, tuple[str, int, None]]:
+        """(answer, attempts, no error) by key, of the earlier attempts of this task."""
+        return dict(self.earlier())
 
     def record(self, key: tuple, response: str, attempts: int) -> None:
+        row = json.dumps(dict(zip(KEYS, key), response=response, attempts=attempts)).encode()
+        if self.adds_lines:
+            with self.lock:  # calls of one task may overlap
+                if self.lines is None:
+                    self.lines = self.files.open_output_stream(f"{self.folder}/{uuid.uuid4().hex}.json", buffer_size=0)
+                self.lines.write(row + b"\n")
+                self.lines.flush()
+            return
         name = uuid.uuid4().hex
         with self.files.open_output_stream(f"{self.folder}/.{name}") as f:
-            f.write(json.dumps(dict(zip(KEYS, key), response=response, attempts=attempts)).encode())
+            f.write(row)
         self.files.move(f"{self.folder}/.{name}", f"{self.folder}/{name}.json")
 
+    def close(self) -> None:
+        if self.lines is not None:
+            self.lines.close()
+
     @staticmethod
     def left(spark: SparkSession, path: str) -> DataFrame | None:
         """What is in the logs below a path, one row per request; None where there is no log."""
@@ -128,7 +154,7 @@ class CallLog:
             if "PATH_NOT_FOUND" in str(e):
                 return None
             raise
-        return rows.where("prompt_hash is not null").dropDuplicates(KEYS)
+        return rows.where("prompt_hash is not null and response is not null").dropDuplicates(KEYS)
 
     @staticmethod
     def drop(path: str) -> None:
@@ -139,6 +165,49 @@ class CallLog:
             files.delete_dir(root)
 
 
+class Answered:
+    """Answers of one task by request. They lie in a temporary file, whatever their number; memory holds 16 bytes each: a
+    digest of the key and the place in the file, where the whole key is compared."""
+
+    RECENT = 65_536
+
+    def __init__(self, answers: Iterator[tuple[tuple, tuple]] = ()):
+        self.file, self.lock, self.recent = tempfile.TemporaryFile(), threading.Lock(), {}
+        self.digests, self.places = np.empty(0, "u8"), np.empty(0, "i8")  # by digest
+        for key, got in answers:
+            self.put(key, got)
+
+    @staticmethod
+    def digest(key: tuple) -> int:
+        return int.from_bytes(hashlib.blake2b(repr(key).encode(), digest_size=8).digest(), "little")
+
+    def get(self, key: tuple) -> tuple | None:
+        digest = self.digest(key)
+        with self.lock:
+            place = self.recent.get(digest)
+            if place is None:
+                at = np.searchsorted(self.digests, np.uint64(digest))
+                if at == len(self.digests) or int(self.digests[at]) != digest:
+                    return None
+                place = int(self.places[at])
+            self.file.seek(place)
+            *own, response, attempts = json.loads(self.file.readline())
+        return (response, attempts, None) if tuple(own) == key else None
+
+    def put(self, key: tuple, got: tuple) -> None:
+        with self.lock:
+            self.recent[self.digest(key)] = self.file.seek(0, 2)
+            self.file.write(json.dumps([*key, got[0], got[1]]).encode() + b"\n")
+            if len(self.recent) == self.RECENT:
+                digests = np.concatenate([self.digests, np.fromiter(self.recent, "u8", len(self.recent))])
+                places = np.concatenate([self.places, np.fromiter(self.recent.values(), "i8", len(self.recent))])
+                order = np.argsort(digests, kind="stable")
+                self.digests, self.places, self.recent = digests[order], places[order], {}
+
+    def close(self) -> None:
+        self.file.close()
+
+
 def file_system(path: str):
     """The file system of a path or URI, and the path in it."""
     from pyarrow import fs

@@ -170,6 +170,19 @@ def test_call_log_of_a_dead_job_is_taken_in(spark, tmp_path):
     assert sorted(tuple(r[c] for c in KEYS) + (r["response"],) for r in store.table().collect()) == [("h1", "m", 0.0, "one"), ("h2", "m", 0.0, "two\n{}")]
 
 
+def test_a_line_that_was_not_finished_does_not_count(spark, tmp_path):
+    """The log of one attempt is one file; its writer may die within a line."""
+    from coderail.sources.answers import CallLog
+    log = CallLog(str(tmp_path / "log"), 0)
+    for i in range(3):
+        log.record((f"h{i}", "m", 0.0), f"a{i}", 1)
+    (file,) = (tmp_path / "log" / "part-000000").iterdir()
+    file.write_bytes(file.read_bytes()[:-9])
+    want = {(f"h{i}", "m", 0.0): (f"a{i}", 1, None) for i in range(2)}
+    assert CallLog(str(tmp_path / "log"), 0).known() == want
+    assert sorted(r.response for r in CallLog.left(spark, str(tmp_path / "log")).collect()) == ["a0", "a1"]
+
+
 KILLED = """
 import os, sys
 sys.path.insert(0, {repo!r})
