@@ -380,7 +380,7 @@ SELECT ordinal, cat_ordinal, category, title, sha256(prompt) AS prompt_hash, 'ru
   CAST(NULL AS VARCHAR) AS error
 FROM o_prompts""", ("o_prompts",))
 def q_classify_rules(spark, sf):
-    return infer.classify(P.prompts(spark, sf), infer.rule_scorer, num_partitions=8)
+    return infer.classify(P.prompts(spark, sf, num_partitions=8), infer.rule_scorer)
 
 
 @register("classify_retry", f"""
@@ -391,7 +391,7 @@ SELECT ordinal, category,
 FROM o_prompts""", ("o_prompts",))
 def q_classify_retry(spark, sf):
     waits = []
-    out = infer.classify(P.prompts(spark, sf), infer.flaky_scorer, num_partitions=8, sleep=waits.append)
+    out = infer.classify(P.prompts(spark, sf, num_partitions=8), infer.flaky_scorer, sleep=waits.append)
     return out.select("ordinal", "category", "attempts", "response", "error")
 
 

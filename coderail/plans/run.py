@@ -43,8 +43,8 @@ def coding_run(spark: SparkSession, entries_raw: DataFrame, selected: DataFrame,
     data), ``new_answers`` (rows that runs of this id added to the store), ``outcomes`` (an Observation with answers per
     validation outcome) and, with ``human_codes`` (wide, as read), ``agreement`` (kappa per category).
 
-    ``waves``: commits of the paid step; a text's wave is a hash of its ordinal. The call log holds one file per call
-    of a wave, so very many calls want more waves. ``store_buckets``: buckets of a store
+    ``waves``: commits of the paid step; a text's wave is a hash of its ordinal. On object stores the call log holds one file per
+    call of a wave, so very many calls want more waves there. ``store_buckets``: buckets of a store
     that this run creates (default: the session's shuffle partitions). ``call_log=False``: without the log, for shared folders that Python workers cannot reach;
     then a killed wave, or a task that is tried again, pays again for its own calls.
     """
@@ -70,11 +70,14 @@ def coding_run(spark: SparkSession, entries_raw: DataFrame, selected: DataFrame,
     wave = F.pmod(F.xxhash64("ordinal"), F.lit(waves)).cast("int")
     todo = written(entries.join(pending, "ordinal").withColumn("_wave", wave), "pending", by=["_wave"])
     for w in sorted(r["_wave"] for r in todo.select("_wave").distinct().collect()):
-        mine = (requests(todo.where(F.col("_wave") == w).drop("_wave"), selected, scheme, template, model, temperature)
+        texts = todo.where(F.col("_wave") == w).drop("_wave")
+        if num_partitions:  # texts are dealt out, not the requests, each of which repeats its text
+            texts = texts.repartition(num_partitions)
+        mine = (requests(texts, selected, scheme, template, model, temperature)
                 .filter(F.array_contains(F.col("_pending"), F.col("category"))))
         log = f"{logs}/{rid}/{uuid.uuid4().hex}" if call_log else None
         store.add(infer.classify(mine.drop("model", "temperature"), infer_fn, model=model, temperature=temperature,
-                                 num_partitions=num_partitions, backoff=backoff, call_log=log), rid)
+                                 backoff=backoff, call_log=log), rid)
         if log:
             CallLog.drop(log)
     outcomes = Observation(f"coding_run_{rid}")

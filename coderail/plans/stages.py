@@ -33,12 +33,16 @@ def task_scheme(spark: SparkSession, sf: str) -> DataFrame:
                     "values_text")
 
 
-def tasks(spark: SparkSession, sf: str) -> DataFrame:
-    return joins.build_tasks(entries(spark, sf), fixture(spark, sf, "selected"), task_scheme(spark, sf))
+def tasks(spark: SparkSession, sf: str, num_partitions: int | None = None) -> DataFrame:
+    """Pairs to code, on ``num_partitions`` tasks: texts are dealt out before each becomes several."""
+    texts = entries(spark, sf)
+    if num_partitions:
+        texts = texts.repartition(num_partitions)
+    return joins.build_tasks(texts, fixture(spark, sf, "selected"), task_scheme(spark, sf))
 
 
-def prompts(spark: SparkSession, sf: str) -> DataFrame:
-    return prompt.with_prompt_hash(prompt.construct_prompt(tasks(spark, sf)))
+def prompts(spark: SparkSession, sf: str, num_partitions: int | None = None) -> DataFrame:
+    return prompt.with_prompt_hash(prompt.construct_prompt(tasks(spark, sf, num_partitions)))
 
 
 def resolved(spark: SparkSession, sf: str) -> DataFrame:

@@ -131,6 +131,8 @@ def code_batch(batch: DataFrame, batch_id: int, *, selected: DataFrame, scheme:
     todo = opened.where(F.col("category").isin(now)) if now else opened.limit(0)
 
     per_text = todo.groupBy(*TEXT).agg(F.collect_set("category").alias("_pending"))
+    if num_partitions:  # texts are dealt out, not the requests, each of which repeats its text
+        per_text = per_text.repartition(num_partitions)
     tasks = with_request_id(requests(per_text, selected, scheme, template, model, temperature)
                             .where(F.array_contains("_pending", F.col("category"))).drop("_pending"))
     pairs = written(tasks.select("ordinal", "cat_ordinal", "category", "title", *KEYS, "request_id"), "pairs")
@@ -144,8 +146,8 @@ def code_batch(batch: DataFrame, batch_id: int, *, selected: DataFrame, scheme:
     paid = read_store(spark, paid_path)
     if paid is not None:
         tasks = tasks.join(paid.where(F.col("error").isNull()).select("request_id"), "request_id", "left_anti")
-    answers = infer.classify(tasks.drop("model", "temperature"), infer_fn, model=model, temperature=temperature, num_partitions=num_partitions,
-                             backoff=backoff, call_log=f"{log}/{uuid.uuid4().hex}" if call_log else None)
+    answers = infer.classify(tasks.drop("model", "temperature"), infer_fn, model=model, temperature=temperature, backoff=backoff,
+                             call_log=f"{log}/{uuid.uuid4().hex}" if call_log else None)
     answers.select("request_id", "attempts", "response", "error").write.mode("append").parquet(paid_path)
     if call_log:
         CallLog.drop(log)
