@@ -155,7 +155,12 @@ SELECT '20250519_151643', title, description, arg_max({N}, CASE WHEN category =
 def q_write_results(spark, sf):
     """Two runs with different categories below one base path, the second written twice; all of it read back."""
     base = scratch_path(spark, "results")
-    coded, texts = P.coded(spark, sf), P.entries(spark, sf)
+
+    def stored(df, name):  # made once, read by every write
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    coded, texts = stored(P.coded(spark, sf).drop("description"), "results_coded"), stored(P.entries(spark, sf), "results_texts")
     results_io.write_results(results.wide_results(coded, ["quality"], entries=texts), base, "20250519_144300")
     for _ in range(2):
         results_io.write_results(results.wide_results(coded, ["quality", "toxic"], entries=texts), base, "20250519_151643")
